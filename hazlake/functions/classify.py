@@ -19,8 +19,8 @@ def _has_any(corpus: Column, terms, word_boundary: bool = False) -> Column:
 def keyword_hits(text: Column, keywords=DISASTER_KEYWORDS) -> Column:
     """Phrases contained in the text, ignoring case, in list order."""
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    found = [F.when(lowered.contains(k.lower()), F.lit(k)) for k in keywords]
-    return F.array_compact(F.array(*found))
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(lowered.contains(k.lower()), F.array(F.lit(k))).otherwise(none) for k in keywords])
 
 
 def corpus(keywords: Column, text: Column, taxonomy: Taxonomy = DEFAULT) -> Column:

@@ -55,7 +55,10 @@ def fold(text: Column) -> Column:
     """Lowercase and without accents, so that search ignores both."""
     accented, plain = latin_fold()
     bare = F.regexp_replace(text, r"[\u0300-\u036F]", "")
-    return F.lower(F.translate(bare, accented, plain))
+    # Most texts are plain ASCII, where letters have nothing to lose.
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.lower(F.translate(bare, accented, plain))
+    )
 
 
 def tokens(text: Column) -> Column:
@@ -64,6 +67,12 @@ def tokens(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
+def token_line(text: Column) -> Column:
+    """The tokens as one string, two blanks before, between and after them."""
+    padded = F.concat(F.lit(" "), fold(F.coalesce(text, F.lit(""))), F.lit(" "))
+    return F.regexp_replace(padded, r"[^\p{L}\p{N}]+", "  ")
+
+
 def query_tokens(query: str) -> list[str]:
     """The same tokens for a query string the caller holds (driver side, one short string)."""
     accented, plain = latin_fold()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hazlake.functions.once import once
 from hazlake.functions.text import clean_text, label_confidence
 from hazlake.operators.ranges import labelled_text
 
@@ -49,11 +50,11 @@ def temporal_split(
     """Add ``split``: every train day lies before every val day, and those before every test day."""
     cut = split_cutoffs(df, train, val, date).select(F.struct("train_end", "val_end").alias("cut")).scalar()
     label = (
-        F.when(F.col(date) <= cut["train_end"], "train")
-        .when(F.col(date) <= cut["val_end"], "val")
+        F.when(F.col(date) <= F.col("_cut.train_end"), "train")
+        .when(F.col(date) <= F.col("_cut.val_end"), "val")
         .otherwise("test")
     )
-    return df.withColumn("split", label)
+    return df.withColumn("_cut", cut).withColumn("split", label).drop("_cut")
 
 
 def cleaned(
@@ -66,7 +67,7 @@ def cleaned(
     """Labelled records with clean text and confidence; texts that clean to nothing are dropped."""
     chosen = labelled_text(lake, hazard_types, start, end).select(*COLUMNS, "collected_at")
     return (
-        chosen.withColumn("text", clean_text(F.col("text"), keep_unicode))
+        once(chosen, {"text": clean_text(F.col("text"), keep_unicode)})
         .filter(F.col("text").isNotNull())
         .withColumn("label_confidence", label_confidence(F.col("text"), F.col("keywords_hit")))
     )

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hazlake import taxonomy as tx
 from hazlake.functions.classify import corpus, hazard_of, severity_of
+from hazlake.functions.once import once
 from hazlake.functions.payload import engagement_score
-from hazlake.schemas import LAKE, MEDIA_RECORDS, RAW_RECORDS, WEATHER_RECORDS
+from hazlake.schemas import BRONZE_LINE, LAKE, LOCATION, MEDIA_RECORDS, RAW_RECORDS, WEATHER_RECORDS
 from hazlake.sources.bronze import record_shape
 
 
@@ -47,10 +48,16 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
     shaped = parsed.withColumn("shape", record_shape(F.col("keys_of"))).filter(
         F.col("shape").isNotNull() & (F.length(F.col("rec.collected_at")) > 0)
     )
+    # Plain columns from here on: struct fields do not survive pruning through a generator.
+    flat = shaped.select(
+        "shape",
+        *[F.col(f"rec.{f.name}").alias(f"in_{f.name}") for f in BRONZE_LINE.fields if f.name != "location"],
+        *[F.col(f"rec.location.{name}").alias(f"in_place_{name}") for name in LOCATION.fieldNames()],
+    )
     r = F.col
     weather, media = r("shape") == "weather", r("shape") == "media"
-    rain = F.coalesce(r("rec.rainfall_mm"), F.lit(0.0))
-    condition = _text(r("rec.condition"))
+    rain = F.coalesce(r("in_rainfall_mm"), F.lit(0.0))
+    condition = _text(r("in_condition"))
     critical = (rain >= tx.RAIN_CRITICAL_MM) | condition.contains("CRITICAL")
     warning = (rain >= tx.RAIN_WARNING_MM) | condition.contains("WARNING")
 
@@ -60,21 +67,19 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
         .when(weather & critical, F.array(F.lit("critical rainfall")))
         .when(weather & warning, F.array(F.lit("heavy rainfall")))
         .when(weather, _array(F.lit(None).cast("array<string>")))
-        .otherwise(_array(r("rec.keywords_hit")))
-    )
-    step = shaped.withColumn("keywords_hit", keywords).withColumn(
-        "corpus",
-        F.when(~media, corpus(r("keywords_hit"), F.when(weather, condition).otherwise(r("rec.text")), taxonomy)),
+        .otherwise(_array(r("in_keywords_hit")))
     )
-    step = step.withColumn("found", hazard_of(r("corpus"), taxonomy))
+    body = F.when(weather, condition).otherwise(r("in_text"))
+    step = once(flat, {"keywords_hit": keywords, "corpus": F.when(~media, corpus(keywords, body, taxonomy))})
+    step = once(step, {"found": hazard_of(r("corpus"), taxonomy)})
 
-    source_type = F.when(weather, "weather").when(media, "media").otherwise(F.lower(_text(r("rec.source_type"))))
-    url = F.when(media, _text(r("rec.source_url"))).when(~weather, r("rec.url"))
-    place = F.when(weather, _text(r("rec.location_name"))).when(~media, r("rec.location.name"))
+    source_type = F.when(weather, "weather").when(media, "media").otherwise(F.lower(_text(r("in_source_type"))))
+    url = F.when(media, _text(r("in_source_url"))).when(~weather, r("in_url"))
+    place = F.when(weather, _text(r("in_location_name"))).when(~media, r("in_place_name"))
     record_id = (
-        F.when(weather, F.concat(F.lit("weather_"), _text(r("rec.location_name")), F.lit("_"), r("rec.collected_at")))
-        .when(media, F.coalesce(F.nullif(r("rec.source_record_id"), F.lit("")), _text(r("rec.source_url"))))
-        .otherwise(_text(r("rec.record_id")))
+        F.when(weather, F.concat(F.lit("weather_"), _text(r("in_location_name")), F.lit("_"), r("in_collected_at")))
+        .when(media, F.coalesce(F.nullif(r("in_source_record_id"), F.lit("")), _text(r("in_source_url"))))
+        .otherwise(_text(r("in_record_id")))
     )
     severity = (
         F.when(weather & critical, "CRITICAL")
@@ -84,37 +89,37 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
     )
 
     def only(shape_test: Column, name: str) -> Column:
-        return F.when(shape_test, r(f"rec.{name}"))
+        return F.when(shape_test, r(f"in_{name}"))
 
     out = step.select(
         source_type.alias("source_type"),
         F.when(weather, "openweathermap").when(media, "media_collector")
-        .otherwise(_text(r("rec.source_name"))).alias("source_name"),
+        .otherwise(_text(r("in_source_name"))).alias("source_name"),
         record_id.alias("record_id"),
-        r("rec.collected_at").alias("collected_at"),
-        F.when(~weather & ~media, r("rec.published_at")).alias("published_at"),
-        F.substring(r("rec.collected_at"), 1, 10).alias("date_partition"),
+        r("in_collected_at").alias("collected_at"),
+        F.when(~weather & ~media, r("in_published_at")).alias("published_at"),
+        F.substring(r("in_collected_at"), 1, 10).alias("date_partition"),
         url.alias("url"),
-        F.when(~weather & ~media, r("rec.text")).alias("text"),
-        F.when(weather | media, "en").otherwise(_text(r("rec.language"), "en")).alias("language"),
+        F.when(~weather & ~media, r("in_text")).alias("text"),
+        F.when(weather | media, "en").otherwise(_text(r("in_language"), "en")).alias("language"),
         "keywords_hit",
         F.when(weather & r("found").isNull() & (rain >= tx.RAIN_WARNING_MM), "CLOUDBURST")
         .otherwise(r("found")).alias("hazard_type"),
         severity.alias("hazard_severity"),
         place.alias("location_name"),
-        F.when(weather, r("rec.lat")).when(~media, r("rec.location.lat")).alias("lat"),
-        F.when(weather, r("rec.lon")).when(~media, r("rec.location.lon")).alias("lon"),
-        F.when(media, F.array_compact(F.array(F.nullif(r("rec.source_url"), F.lit("")))))
+        F.when(weather, r("in_lat")).when(~media, r("in_place_lat")).alias("lat"),
+        F.when(weather, r("in_lon")).when(~media, r("in_place_lon")).alias("lon"),
+        F.when(media, F.array_compact(F.array(F.nullif(r("in_source_url"), F.lit("")))))
         .when(weather, _array(F.lit(None).cast("array<string>")))
-        .otherwise(_array(r("rec.media_urls"))).alias("media_urls"),
-        F.when(~weather & ~media, engagement_score(source_type, r("rec.raw_payload"))).alias("engagement_score"),
+        .otherwise(_array(r("in_media_urls"))).alias("media_urls"),
+        F.when(~weather & ~media, engagement_score(source_type, r("in_raw_payload"))).alias("engagement_score"),
         only(weather, "temperature_c").alias("temperature_c"),
         only(weather, "humidity_pct").alias("humidity_pct"),
         only(weather, "wind_speed_ms").alias("wind_speed_ms"),
         only(weather, "rainfall_mm").alias("rainfall_mm"),
         only(weather, "pressure_hpa").alias("pressure_hpa"),
         F.when(weather, condition).alias("weather_condition"),
-        F.when(media, _text(r("rec.media_type"))).alias("media_type"),
+        F.when(media, _text(r("in_media_type"))).alias("media_type"),
         only(media, "local_path").alias("local_path"),
         only(media, "file_size_kb").alias("file_size_kb"),
     )
@@ -125,7 +130,7 @@ def ingest_counts(parsed: DataFrame) -> DataFrame:
     """One row: loaded, normalized, skipped, malformed, partitions."""
     good = F.col("keys_of").isNotNull()
     shape = record_shape(F.col("keys_of"))
-    kept = good & shape.isNotNull() & (F.length(F.col("rec.collected_at")) > 0)
+    kept = good & shape.isNotNull() & (F.length(_text(F.col("rec.collected_at"))) > 0)
     source = F.when(shape == "text", F.lower(_text(F.col("rec.source_type")))).otherwise(shape)
     day = F.substring(F.col("rec.collected_at"), 1, 10)
     return parsed.agg(

@@ -12,7 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hazlake.functions.text import query_tokens, tokens
+from hazlake.functions.once import once
+from hazlake.functions.text import query_tokens, token_line, tokens
 
 # BM25 parameters and the floor for non-positive idf.
 K1 = 1.2
@@ -41,32 +42,29 @@ class Match:
     columns: tuple[str, ...] = tuple(INDEXED)
 
 
-def column_tokens(df: DataFrame, columns=INDEXED) -> Column:
-    """map<column, tokens> of a record."""
-    def as_text(name: str) -> Column:
-        kind = df.schema[name].dataType.typeName()
-        return F.array_join(name, " ") if kind == "array" else F.col(name)
+def _as_text(df: DataFrame, name: str) -> Column:
+    return F.array_join(name, " ") if df.schema[name].dataType.typeName() == "array" else F.col(name)
 
-    pairs = [part for name in columns for part in (F.lit(name), tokens(as_text(name)))]
-    return F.create_map(*pairs)
 
+def all_tokens(df: DataFrame) -> Column:
+    """Tokens of the indexed columns of a record, in one array."""
+    return F.concat(*[tokens(_as_text(df, name)) for name in INDEXED])
 
-def _phrase_count(toks: Column, words: list[str], prefix: bool = False) -> Column:
-    """How often ``words`` stand next to each other; the last may be a prefix."""
-    def hit(i: Column) -> Column:
-        tests = []
-        for k, word in enumerate(words):
-            at = F.get(toks, i + k)
-            tests.append(at.startswith(word) if prefix and k == len(words) - 1 else at == word)
-        return reduce(lambda a, b: a & b, tests)
 
-    if len(words) == 1:
-        one = words[0]
-        return F.size(F.filter(toks, lambda t: t.startswith(one) if prefix else t == one))
-    starts = F.when(
-        F.size(toks) >= len(words), F.sequence(F.lit(0), F.size(toks) - len(words))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.size(F.filter(starts, hit))
+def _length(line: Column) -> Column:
+    """Tokens in a token line: one fewer than its pairs of blanks."""
+    blanks = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return (blanks / 2).cast("int") - 1
+
+
+def _occurrences(line: Column, words: list[str], prefix: bool = False) -> Column:
+    """How often ``words`` stand next to each other in a token line; the last may be a prefix."""
+    needle = " " + "  ".join(words) + ("" if prefix else " ")
+    if any(needle.endswith(needle[:k]) for k in range(2, len(needle))):
+        # An occurrence may overlap the next one ("the the"); a look-ahead counts both.
+        return F.regexp_count(line, F.lit(f"(?={needle})"))
+    cut = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(needle), F.lit("")))
+    return (cut / len(needle.encode())).cast("int")
 
 
 def _units(match: Match) -> list[tuple[str, list[str], bool]]:
@@ -105,8 +103,8 @@ def _best(scored: DataFrame, limit: int | None) -> DataFrame:
 def search(lake: DataFrame, match: Match | str, limit: int | None = 50) -> DataFrame:
     """Best ``limit`` records for the match (all with ``None``), with ``score``; scans the table, needs no index.
 
-    No row is exploded: each record's unit counts come from array functions. The
-    corpus totals are one small aggregate, read back as a scalar subquery, and
+    No row is exploded: each record's tokens are written as one line, in which
+    words, phrases and prefixes are counted as substrings. The corpus totals are one small aggregate, read back as a scalar subquery, and
     the result is a top-k, not a global sort.
     """
     match = Match(words=match) if isinstance(match, str) else match
@@ -114,13 +112,13 @@ def search(lake: DataFrame, match: Match | str, limit: int | None = 50) -> DataF
     if not any(role != "none" for role, _, _ in units):
         return lake.limit(0).withColumn("score", F.lit(None).cast("double"))
 
-    counted = lake.withColumn("_tokens", column_tokens(lake))
+    lines = {f"_line_{c}": token_line(_as_text(lake, c)) for c in INDEXED}
     counts = [
-        reduce(lambda a, b: a + b, [_phrase_count(F.col("_tokens")[c], words, prefix) for c in match.columns])
+        reduce(lambda a, b: a + b, [_occurrences(F.col(f"_line_{c}"), words, prefix) for c in match.columns])
         for _, words, prefix in units
     ]
-    length = reduce(lambda a, b: a + b, [F.size(F.col("_tokens")[c]) for c in INDEXED])
-    counted = counted.withColumns({"_f": F.array(*counts), "_len": length}).drop("_tokens")
+    length = reduce(lambda a, b: a + b, [_length(F.col(line)) for line in lines])
+    counted = once(once(lake, lines), {"_f": F.array(*counts), "_len": length}).drop(*lines)
 
     totals = counted.agg(
         F.struct(
@@ -142,12 +140,14 @@ def search(lake: DataFrame, match: Match | str, limit: int | None = 50) -> DataF
         kept = kept.filter(F.col("_f")[i] == 0)
 
     scored = [i for i, (r, _, _) in enumerate(units) if r != "none"]
+    # One column holds the subquery: every further mention of it would be a subquery of its own.
+    kept, totals = kept.withColumn("_totals", totals), F.col("_totals")
     parts = [
         _bm25(F.col("_f")[i].cast("double"), F.col("_len"), _idf(totals["n"], totals[f"h{i}"]), totals["avg_len"])
         for i in scored
     ]
     score = -reduce(lambda a, b: a + b, parts)
-    return _best(kept.withColumn("score", score).drop("_f", "_len"), limit)
+    return _best(kept.withColumn("score", score).drop("_f", "_len", "_totals"), limit)
 
 
 # -- postings table ---------------------------------------------------------
@@ -163,15 +163,14 @@ def postings(lake: DataFrame) -> DataFrame:
     Counts are made inside the record before anything is exploded, by sorting
     its tokens and taking run lengths, so building the table needs no shuffle.
     """
-    all_tokens = F.flatten(F.map_values(column_tokens(lake)))
-    per_doc = lake.select("lake_id", "date_partition", F.array_sort(all_tokens).alias("toks"))
+    per_doc = once(lake.select("lake_id", "date_partition", *INDEXED), {"toks": F.sort_array(all_tokens(lake))})
     per_doc = per_doc.withColumn("len", F.size("toks"))
     # In sorted tokens a run starts where the left neighbour differs.
     starts = F.filter(
         F.sequence(F.lit(0), F.size("toks") - 1),
         lambda i: (i == 0) | (F.get("toks", i) != F.get("toks", i - 1)),
     )
-    runs = per_doc.filter("len > 0").withColumn("starts", starts)
+    runs = once(per_doc.filter("len > 0"), {"starts": starts})
     pairs = F.transform(
         "starts",
         lambda s, k: F.struct(
@@ -187,7 +186,7 @@ def postings(lake: DataFrame) -> DataFrame:
 
 def corpus_stats(lake: DataFrame) -> DataFrame:
     """One row: records and tokens indexed. Appended per batch and summed when read."""
-    length = F.size(F.flatten(F.map_values(column_tokens(lake))))
+    length = reduce(lambda a, b: a + b, [_length(token_line(_as_text(lake, c))) for c in INDEXED])
     return lake.agg(F.count("*").alias("docs"), F.coalesce(F.sum(length), F.lit(0)).cast("bigint").alias("tokens"))
 
 
@@ -205,10 +204,10 @@ def search_postings(posts: DataFrame, stats: DataFrame, words: str, limit: int |
     hits = posts.filter(F.col("token").isin(wanted))
     if "bucket" in posts.columns:
         hits = hits.filter(reduce(lambda a, b: a | b, [F.col("bucket") == b for b in buckets]))
-    total = stats.agg(
+    corpus = stats.agg(
         F.struct(F.sum("docs").cast("double").alias("n"), (F.sum("tokens") / F.sum("docs")).alias("avg_len")).alias("t")
     ).scalar()
-    df = hits.agg(
+    found = hits.agg(
         F.struct(*[F.count_if(F.col("token") == w).cast("double").alias(f"h{i}") for i, w in enumerate(wanted)]).alias("t")
     ).scalar()
     per_doc = hits.groupBy("lake_id").agg(
@@ -217,9 +216,9 @@ def search_postings(posts: DataFrame, stats: DataFrame, words: str, limit: int |
     )
     for i in range(len(wanted)):
         per_doc = per_doc.filter(F.col(f"f{i}").isNotNull())
-    parts = [
-        _bm25(F.col(f"f{i}"), F.col("len"), _idf(total["n"], df[f"h{i}"]), total["avg_len"]) for i in range(len(wanted))
-    ]
+    per_doc = per_doc.withColumns({"_corpus": corpus, "_found": found})
+    n, avg_len = F.col("_corpus.n"), F.col("_corpus.avg_len")
+    parts = [_bm25(F.col(f"f{i}"), F.col("len"), _idf(n, F.col(f"_found.h{i}")), avg_len) for i in range(len(wanted))]
     score = -reduce(lambda a, b: a + b, parts)
     return _best(per_doc.select("lake_id", "date_partition", score.alias("score")), limit)
 

@@ -196,7 +196,7 @@ def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
         "_dry_index", F.last(F.when(is_reading & ~F.col("wet"), F.col("_index")), ignorenulls=True).over(so_far)
     )
     event = F.when(F.col("kind") == EVENT, F.struct("us", "hazard_type"))
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             "rainfall_3h_sum": F.sum("_rain").over(back(3)),
             "rainfall_24h_sum": F.sum("_rain").over(back(24)),
@@ -207,9 +207,13 @@ def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
             "temp_change_24h": F.col("temp_filled") - F.avg("temp_filled").over(back(24)),
             "pressure_drop_3h": F.col("pres_filled") - F.avg("_prev_pres").over(back(3)),
             "consecutive_rain_readings": F.col("_index") - F.coalesce("_dry_index", F.lit(0)),
-            "_next": F.min(event).over(by_time.rangeBetween(1, LABEL)),
         }
-    ).filter(is_reading)
+    )
+    # Running from the latest row backwards, the least event seen so far is the next one to come:
+    # one pass, where a forward frame would be read again for every row.
+    later = key.orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_later", F.min(event).over(later)).filter(is_reading)
+    return rows.withColumn("_next", F.when(F.col("_later.us") <= F.col("us") + LABEL, F.col("_later"))).drop("_later")
 
 
 def feature_rows(

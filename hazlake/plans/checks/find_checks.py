@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hazlake.functions.text import latin_fold
 from hazlake.operators import ranges, search
 from hazlake.plans.checks import base as b
+from hazlake.session import stage
 
 _ACCENTED, _PLAIN = latin_fold()
 _LAKE = b.sql_lake()
@@ -97,8 +98,9 @@ def search_corpus(spark: SparkSession, folder: str) -> DataFrame:
 @b.check(_sql_bm25({"w0": _freq("of"), "w1": _freq("thing"), "w2": _freq("with")}, "w0 > 0 AND w1 > 0 AND w2 > 0", ["w0", "w1", "w2"], 20))
 def search_index(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best records holding all words, found through the index."""
-    lake = b.doc_lake(spark, folder)
-    hits = search.search_postings(search.postings(lake), search.corpus_stats(lake), "of thing with", 20)
+    lake = stage(b.doc_lake(spark, folder), "lake")
+    posts = stage(search.postings(lake), "postings")
+    hits = search.search_postings(posts, search.corpus_stats(lake), "of thing with", 20)
     return search.fetch(hits, lake).select("lake_id", F.round("score", 6).alias("score"))
 
 

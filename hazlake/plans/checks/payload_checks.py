@@ -150,7 +150,8 @@ _SPACES_SQL = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13), chr(28),
 
 def _sql_entities(text: str) -> str:
     for name, char in ENTITIES.items():
-        text = f"replace({text}, '{name}', '{char}')"
+        quoted = char.replace("'", "''")
+        text = f"replace({text}, '{name}', '{quoted}')"
     return text
 
 
@@ -225,8 +226,8 @@ def parse_rss(spark: SparkSession, folder: str) -> DataFrame:
 
 @b.check("""
 SELECT event_id, CASE event_id % 5 WHEN 4 THEN NULL
-  ELSE strftime(CASE event_id % 5 WHEN 0 THEN date_trunc('second', ts) - INTERVAL 19800 SECOND WHEN 1 THEN date_trunc('second', ts) WHEN 2 THEN ts WHEN 3 THEN date_trunc('second', ts) + INTERVAL 3600 SECOND END,
-    CASE WHEN event_id % 5 = 2 AND epoch_us(ts) % 1000000 <> 0 THEN '%Y-%m-%dT%H:%M:%S.%f+00:00' ELSE '%Y-%m-%dT%H:%M:%S+00:00' END) END AS published_at
+  ELSE concat(strftime(CASE event_id % 5 WHEN 0 THEN ts - INTERVAL 19800 SECOND WHEN 3 THEN ts + INTERVAL 3600 SECOND ELSE ts END, '%Y-%m-%dT%H:%M:%S'),
+    CASE WHEN event_id % 5 = 2 AND epoch_us(ts) % 1000000 <> 0 THEN strftime(ts, '.%f') ELSE '' END, '+00:00') END AS published_at
 FROM events""")
 def date_parse(spark: SparkSession, folder: str) -> DataFrame:
     """RFC 2822 with an offset, with a zone name, ISO with a fraction, ISO with an offset, and noise."""

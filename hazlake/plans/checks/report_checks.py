@@ -7,6 +7,7 @@ from hazlake.operators.normalize import bronze_shape
 from hazlake.operators.ranges import labelled_text
 from hazlake.plans.checks import base as b
 from hazlake.plans.checks.text_checks import _sql_clean, mixed_lines, sql_confidence
+from hazlake.session import stage
 from hazlake.sources.bronze import parse_lines
 
 _LAKE = b.sql_lake()
@@ -122,7 +123,7 @@ SELECT lake_id, source_type, date_partition, text, array_to_string(keywords_hit,
   CAST(NULL AS DOUBLE) AS rainfall_mm
 FROM export""")
 def ml_export_rows(spark: SparkSession, folder: str) -> DataFrame:
-    out = ml_export.ml_dataset(b.doc_lake(spark, folder))
+    out = ml_export.finish(stage(ml_export.cleaned(b.doc_lake(spark, folder))))
     return out.withColumns(
         {"keywords_hit": F.array_join("keywords_hit", "|"), "engagement_score": b.r6(F.col("engagement_score"))}
     ).drop("temperature_c", "humidity_pct", "wind_speed_ms", "pressure_hpa")
@@ -130,7 +131,7 @@ def ml_export_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @b.check(_SPLIT + " SELECT split, count(*)::BIGINT AS records FROM export GROUP BY ALL")
 def split_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.split_counts(ml_export.ml_dataset(b.doc_lake(spark, folder)))
+    return reports.split_counts(ml_export.ml_dataset(b.doc_lake(spark, folder), train=0.8, val=0.1))
 
 
 @b.check(_LAKE + """

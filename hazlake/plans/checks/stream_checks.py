@@ -17,11 +17,6 @@ def _landed(records: DataFrame, home: str, parts: int) -> str:
     return path
 
 
-def _text_lines(path: str, spark: SparkSession, files: int) -> DataFrame:
-    reader = spark.readStream.option("maxFilesPerTrigger", files)
-    return reader.text(path).select(F.btrim("value").alias("line"))
-
-
 _STREAMED = """
 SELECT lake_id, source_type, record_id, date_partition, hazard_type, hazard_severity, text FROM lake"""
 
@@ -31,7 +26,7 @@ def stream_normalize(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze lines streamed to silver records, written by the Parquet sink."""
     home = shared_dir(spark)
     records = b.doc_records(spark, folder).drop("doc_id")
-    lines = _text_lines(_landed(records, home, 6), spark, 2)
+    lines = intake.stream_lines(spark, _landed(records, home, 6), 2)
     query = (
         intake.stream_records(lines, b.TERMS_WHOLE).writeStream.format("parquet")
         .option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start(f"{home}/out")
@@ -47,7 +42,7 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """Every record lands twice and the whole run is repeated; the store holds each once."""
     home = shared_dir(spark)
     records = b.doc_records(spark, folder).drop("doc_id")
-    lines = _text_lines(_landed(records.unionAll(records), home, 6), spark, 3)
+    lines = intake.stream_lines(spark, _landed(records.unionAll(records), home, 6), 3)
     for attempt in range(2):
         silver = intake.drop_repeats(intake.stream_records(lines, b.TERMS_WHOLE), ["lake_id"], "40 days")
         intake.start_store_sink(silver, f"{home}/store", f"{home}/checkpoint{attempt}").awaitTermination()

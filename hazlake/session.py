@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Wide projections otherwise become one method too large for the JVM to compile.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hazlake.functions.once import once
 from hazlake.schemas import BRONZE_LINE
 from hazlake.session import path_exists
 
@@ -52,12 +53,12 @@ def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     with exactly one element, an object.
     """
     boxed = F.try_parse_json(F.concat(F.lit("["), F.col(line_col), F.lit("]")))
-    staged = lines.withColumn("_boxed", boxed)
+    parsed = once(lines, {"_boxed": boxed, "rec": F.from_json(line_col, BRONZE_LINE)})
     one_object = F.col(line_col).startswith("{") & F.try_variant_get("_boxed", "$[1]", "variant").isNull()
-    return staged.select(
+    return parsed.select(
         *lines.columns,
         F.when(one_object, F.try_variant_get("_boxed", "$[0]", "variant")).alias("keys_of"),
-        F.from_json(line_col, BRONZE_LINE).alias("rec"),
+        "rec",
     )
 
 

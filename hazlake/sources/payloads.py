@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
 from hazlake.functions.classify import keyword_hits
+from hazlake.functions.once import once
 from hazlake.functions.times import iso_utc, parse_feed_date, parse_iso
 from hazlake.schemas import BRONZE_LINE, LOCATION
 from hazlake.sources.articles import article_text, lead_image
@@ -54,7 +55,7 @@ def parse_tweets(
     pages: DataFrame, collected_at: Column, payload: str = "payload", keywords=tx.DISASTER_KEYWORDS
 ) -> DataFrame:
     """Tweet pages to text records; media keys are looked up in the page's own ``includes``."""
-    page = pages.withColumn("page", F.from_json(payload, _TWEET_PAGE))
+    page = once(pages, {"page": F.from_json(payload, _TWEET_PAGE)})
     tweets = page.select("*", F.explode("page.data").alias("t"))
     media = F.coalesce(F.col("page.includes.media"), F.array().cast("array<struct<media_key:string, url:string, preview_image_url:string>>"))
 
@@ -92,9 +93,9 @@ def parse_reddit(
     posts: DataFrame, collected_at: Column, payload: str = "payload", keywords=tx.DISASTER_KEYWORDS
 ) -> DataFrame:
     """Posts to text records; a post without a keyword is dropped."""
-    p = posts.withColumn("p", F.from_json(payload, _POST))
+    p = once(posts, {"p": F.from_json(payload, _POST)})
     text = F.concat_ws(" ", F.coalesce("p.title", F.lit("")), F.coalesce("p.selftext", F.lit("")))
-    p = p.withColumn("full_text", text).withColumn("hits", keyword_hits(F.col("full_text"), keywords))
+    p = once(p.withColumn("full_text", text), {"hits": keyword_hits(F.col("full_text"), keywords)})
     created = F.timestamp_micros((F.round(F.col("p.created_utc") * 1_000_000)).cast("bigint"))
     linked = _filled(F.col("p.url")).isNotNull() & ~F.coalesce(F.col("p.is_self"), F.lit(False))
     raw = F.to_json(
@@ -124,7 +125,7 @@ def parse_news(
     articles: DataFrame, collected_at: Column, payload: str = "payload", keywords=tx.DISASTER_KEYWORDS
 ) -> DataFrame:
     """Articles to text records; one without a url is dropped, one without a keyword is not."""
-    a = articles.withColumn("a", F.from_json(payload, _ARTICLE)).filter(F.length("a.url") > 0)
+    a = once(articles, {"a": F.from_json(payload, _ARTICLE)}).filter(F.length("a.url") > 0)
     text = F.concat_ws(" ", *[_filled(F.col(f"a.{c}")) for c in ("title", "description", "content")])
     a = a.withColumn("full_text", text)
     image = _filled(F.col("a.urlToImage"))
@@ -157,7 +158,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_feed_items(items: DataFrame, xml: str = "xml") -> DataFrame:
     """<item> texts in column ``xml`` to entries; other columns are kept."""
-    parsed = items.withColumn("_item", F.from_xml(xml, FEED_ITEM))
+    parsed = once(items, {"_item": F.from_xml(xml, FEED_ITEM)})
     kept = [c for c in items.columns if c != xml]
     return parsed.select(*kept, "_item.*").select(*kept, *_entry_columns())
 
@@ -184,7 +185,7 @@ def parse_rss(
     """
     e = entries.withColumns({c: F.coalesce(c, F.lit("")) for c in ("title", "summary", "link")})
     e = e.withColumn("quick", F.concat_ws(" ", "title", "summary"))
-    e = e.withColumn("hits", keyword_hits(F.col("quick"), keywords)).filter(F.size("hits") > 0)
+    e = once(e, {"hits": keyword_hits(F.col("quick"), keywords)}).filter(F.size("hits") > 0)
     if pages is None:
         e = e.withColumns({"body": F.lit(""), "image": F.lit(None).cast("string")})
     else:
@@ -218,7 +219,7 @@ def parse_rss(
 
 def parse_weather(readings: DataFrame, collected_at: Column, payload: str = "payload") -> DataFrame:
     """Weather payloads (with ``location_name, lat, lon`` of the place asked for) to readings."""
-    w = readings.withColumn("w", F.from_json(payload, _READING))
+    w = once(readings, {"w": F.from_json(payload, _READING)})
     rain = F.coalesce(F.col("w.rain.1h"), F.lit(0.0))
     sky = F.coalesce(F.get("w.weather", 0)["description"], F.lit(""))
     condition = (

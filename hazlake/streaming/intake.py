@@ -25,9 +25,11 @@ from hazlake.sources.tables import insert_or_ignore
 POLL_SECONDS = {"reddit": tx.REDDIT_POLL_SECONDS, "weather": tx.WEATHER_POLL_SECONDS}
 
 
-def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def stream_lines(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, pattern: str = "*"
+) -> DataFrame:
     """Landed text lines of a folder, new files as they appear; column ``line``."""
-    reader = spark.readStream.option("pathGlobFilter", "*.json*").option("recursiveFileLookup", "true")
+    reader = spark.readStream.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.text(path).select(F.btrim("value").alias("line")).filter("line <> ''")
