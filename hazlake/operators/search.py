@@ -210,8 +210,8 @@ def search_postings(posts: DataFrame, stats: DataFrame, words: str, limit: int |
     found = hits.agg(
         F.struct(*[F.count_if(F.col("token") == w).cast("double").alias(f"h{i}") for i, w in enumerate(wanted)]).alias("t")
     ).scalar()
-    per_doc = hits.groupBy("lake_id").agg(
-        F.first("date_partition").alias("date_partition"), F.first("len").alias("len"),
+    per_doc = hits.groupBy("lake_id", "date_partition").agg(
+        F.max("len").alias("len"),
         *[F.max(F.when(F.col("token") == w, F.col("freq"))).cast("double").alias(f"f{i}") for i, w in enumerate(wanted)],
     )
     for i in range(len(wanted)):

@@ -13,7 +13,7 @@ are dropped again afterwards:
 * one carry row with what an unbounded look-back would still know: the last
   temperature and pressure, and the length of the running wet spell.
 
-The carry comes from a small per-cell aggregate (cell = 72 hours of a place).
+The carry comes from a small table with one row per cell (72 hours of a place).
 """
 
 from __future__ import annotations
@@ -84,59 +84,57 @@ def _order(*more: str):
 
 
 def _cell_states(timed: DataFrame) -> DataFrame:
-    """Per (place, cell): last known temperature and pressure, row count, wet rows at the end.
+    """Per (place, cell): last known temperature and pressure, and the wet rows it ends with.
 
-    Two hash aggregates with map-side combine. Equal times are ordered by the
-    raw time text, as in the main pass.
+    One shuffle of a few narrow columns. The state is read off the cell's last row.
     """
-    at = F.struct("us", "collected_at")
-    base = timed.select("location_name", "cell", "us", "collected_at", "temperature_c", "pressure_hpa", "wet")
-    cells = base.groupBy("location_name", "cell").agg(
-        F.max_by("temperature_c", F.when(F.col("temperature_c").isNotNull(), at)).alias("temp"),
-        F.max_by("pressure_hpa", F.when(F.col("pressure_hpa").isNotNull(), at)).alias("pres"),
-        F.max(F.when(~F.col("wet"), at)).alias("last_dry"),
-    )
-    # Wet rows after the last dry one of the same cell.
-    marks = cells.select(F.col("location_name").alias("p"), F.col("cell").alias("c"), "last_dry")
-    tail = (
-        base.filter("wet")
-        .join(marks, (F.col("location_name") == F.col("p")) & (F.col("cell") == F.col("c")))
-        .filter(F.col("last_dry").isNull() | (at > F.col("last_dry")))
-        .groupBy("location_name", "cell")
-        .agg(F.count("*").alias("wet_tail"))
+    so_far = Window.partitionBy("location_name", "cell").orderBy(*_order("collected_at"))
+    narrow = timed.select("location_name", "cell", "us", "collected_at", "temperature_c", "pressure_hpa", "wet")
+    indexed = narrow.withColumns(
+        {
+            "temp": F.last("temperature_c", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)),
+            "pres": F.last("pressure_hpa", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)),
+            "index": F.row_number().over(so_far),
+            "more": F.lead("us").over(so_far).isNotNull(),
+        }
     )
-    return cells.join(tail, ["location_name", "cell"], "left").select(
-        "location_name", "cell", "temp", "pres", F.col("last_dry").isNotNull().alias("has_dry"),
-        F.coalesce("wet_tail", F.lit(0)).alias("wet_tail"),
+    dry = F.last(F.when(~F.col("wet"), F.col("index")), ignorenulls=True)
+    ended = indexed.withColumn("dry_index", dry.over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
+    return ended.filter(~F.col("more")).select(
+        "location_name", "cell", "temp", "pres", F.col("dry_index").isNotNull().alias("has_dry"),
+        (F.col("index") - F.coalesce("dry_index", F.lit(0))).alias("wet_tail"),
     )
 
 
 def _carry_rows(timed: DataFrame, slice_cells: int) -> DataFrame:
-    """One row per (place, slice with readings): the state before the slice's history begins."""
-    states = _cell_states(timed)
-    first_history = F.col("slice") * slice_cells - 1
-    wanted = states.select(
-        "location_name", _bucket(F.col("cell"), slice_cells).alias("slice")
-    ).distinct()
-    asks = wanted.select("location_name", first_history.alias("cell"), "slice")
-    # Asks sort before the state of the same cell, so they see earlier cells only.
-    both = states.withColumn("slice", F.lit(None).cast("bigint")).unionByName(asks, allowMissingColumns=True)
-    w = Window.partitionBy("location_name").orderBy("cell", F.col("slice").isNull())
-    running = both.withColumns(
+    """One row per (place, slice with readings): the state before the slice's history begins.
+
+    History of slice k is cell ``k * slice_cells - 1``. The state of a cell is
+    the one wanted if the next cell with readings is already past that cell, or
+    is that cell and the one after it lies in slice k.
+    """
+    by_cell = Window.partitionBy("location_name").orderBy("cell")
+    so_far = by_cell.rowsBetween(Window.unboundedPreceding, 0)
+    running = _cell_states(timed).withColumns(
         {
-            "temp": F.last("temp", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "pres": F.last("pres", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "dry_run": F.sum(F.when(F.col("has_dry"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "seen": F.count("has_dry").over(w.rowsBetween(Window.unboundedPreceding, 0)),
+            "temp": F.last("temp", ignorenulls=True).over(so_far),
+            "pres": F.last("pres", ignorenulls=True).over(so_far),
+            "island": F.sum(F.when(F.col("has_dry"), 1).otherwise(0)).over(so_far),
+            "next": F.lead("cell", 1).over(by_cell),
+            "after": F.lead("cell", 2).over(by_cell),
         }
     )
-    since_dry = Window.partitionBy("location_name", "dry_run").orderBy("cell", F.col("slice").isNull())
-    spell = F.sum(F.coalesce("wet_tail", F.lit(0))).over(since_dry.rowsBetween(Window.unboundedPreceding, 0))
+    # A wet spell runs from the end of the last cell with a dry reading.
+    spell = Window.partitionBy("location_name", "island").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    next_slice, after_slice = _bucket(F.col("next"), slice_cells), _bucket(F.col("after"), slice_cells)
+    past = F.when(F.col("cell") < next_slice * slice_cells - 1, next_slice)
+    across = F.when((F.col("next") == after_slice * slice_cells - 1), after_slice)
     return (
-        running.withColumn("spell", spell)
-        .filter(F.col("slice").isNotNull() & (F.col("seen") > 0))
+        running.withColumn("spell", F.sum("wet_tail").over(spell))
+        .select("location_name", "temp", "pres", "spell", F.explode(F.array_compact(F.array(past, across))).alias("slice"))
         .select(
-            "location_name", "slice", (F.col("cell") * CELL - 1).alias("us"),
+            "location_name", "slice",
+            ((F.col("slice") * slice_cells - 1) * CELL - 1).alias("us"),
             F.col("temp").alias("temperature_c"), F.col("pres").alias("pressure_hpa"),
             F.col("spell").cast("bigint").alias("weight"), F.lit(CARRY).alias("kind"),
         )
