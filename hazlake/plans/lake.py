@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
-from hazlake.functions.text import query_tokens
 from hazlake.operators import ml_export, normalize as norm, ranges, reports, search, sensor
+from hazlake.schemas import DERIVED
 from hazlake.session import path_exists, stage
 from hazlake.sources import bronze, tables
 
@@ -68,15 +68,16 @@ class Lake:
         self._append_cells(inserted)
 
     def _append_cells(self, records: DataFrame) -> int:
-        fresh = stage(ranges.missing_cells(records, self.cells()), "cells")
+        fresh = stage(ranges.missing_cells(records, self.derived("cells")), "cells")
         fresh.write.mode("append").parquet(f"{self.store_dir}/cells")
         return fresh.count()
 
-    def cells(self) -> DataFrame:
-        path = f"{self.store_dir}/cells"
+    def derived(self, name: str) -> DataFrame:
+        """``postings``, ``corpus`` or ``cells``; empty when nothing was stored yet."""
+        path, schema = f"{self.store_dir}/{name}", DERIVED[name]
         if path_exists(self.spark, path):
-            return self.spark.read.parquet(path)
-        return ranges.grid_cells(self.table("lake_records").limit(0))
+            return self.spark.read.schema(schema).parquet(path)
+        return self.spark.createDataFrame([], schema)
 
     def migrate(self) -> dict[str, int]:
         """Fill the store from existing bronze and silver files; a second run adds nothing."""
@@ -140,12 +141,8 @@ class Lake:
     def search_text(self, match: search.Match | str, limit: int = 50) -> DataFrame:
         """Best records for plain words (by the text index) or for a ``Match`` (by scan)."""
         records = self.table("lake_records")
-        indexed = path_exists(self.spark, f"{self.store_dir}/postings/_SUCCESS")
-        if isinstance(match, str) and indexed and query_tokens(match):
-            hits = search.search_postings(
-                self.spark.read.parquet(f"{self.store_dir}/postings"),
-                self.spark.read.parquet(f"{self.store_dir}/corpus"), match, limit,
-            )
+        if isinstance(match, str):
+            hits = search.search_postings(self.derived("postings"), self.derived("corpus"), match, limit)
             return search.fetch(hits, records)
         return search.search(records, match, limit)
 

@@ -59,6 +59,14 @@ LAKE_ON_DISK = T.StructType(
     LAKE.fields + [T.StructField("date", _S), T.StructField("source", _S)]
 )
 
+# Derived tables of the store: text index, corpus counts per batch, grid cells.
+POSTINGS = _schema(
+    ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I), ("len", _I), ("bucket", _I)
+)
+CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()))
+CELLS = _schema(("lake_id", _S), ("lat", _D), ("lon", _D), ("lat_cell", _I), ("lon_cell", _I))
+DERIVED = {"postings": POSTINGS, "corpus": CORPUS, "cells": CELLS}
+
 # Keys under which the first arrival wins.
 KEYS = {
     "raw_records": ["source_type", "record_id"],
