@@ -9,7 +9,9 @@ from hazlake.functions.classify import corpus, hazard_of, severity_of
 from hazlake.functions.once import once
 from hazlake.functions.payload import engagement_score
 from hazlake.schemas import BRONZE_LINE, LAKE, LOCATION, MEDIA_RECORDS, RAW_RECORDS, WEATHER_RECORDS
-from hazlake.sources.bronze import record_shape
+
+
+SHAPES = ["weather", "media", "text"]
 
 
 def _text(col: Column, default: str = "") -> Column:
@@ -40,14 +42,12 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFrame:
-    """Parsed lines (``keys_of``, ``rec``) of any shape to silver records, in one pass.
+    """Parsed lines (``shape``, ``rec``) of any shape to silver records, in one pass.
 
     Every field is one ``when`` over the record's shape, so the input is scanned
     and classified once. Unknown shapes and records without a date are dropped.
     """
-    shaped = parsed.withColumn("shape", record_shape(F.col("keys_of"))).filter(
-        F.col("shape").isNotNull() & (F.length(F.col("rec.collected_at")) > 0)
-    )
+    shaped = parsed.filter(F.col("shape").isin(*SHAPES) & (F.length(F.col("rec.collected_at")) > 0))
     # Plain columns from here on: struct fields do not survive pruning through a generator.
     flat = shaped.select(
         "shape",
@@ -128,9 +128,8 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
 
 def ingest_counts(parsed: DataFrame) -> DataFrame:
     """One row: loaded, normalized, skipped, malformed, partitions."""
-    good = F.col("keys_of").isNotNull()
-    shape = record_shape(F.col("keys_of"))
-    kept = good & shape.isNotNull() & (F.length(_text(F.col("rec.collected_at"))) > 0)
+    shape, good = F.col("shape"), F.col("shape").isNotNull()
+    kept = good & shape.isin(*SHAPES) & (F.length(_text(F.col("rec.collected_at"))) > 0)
     source = F.when(shape == "text", F.lower(_text(F.col("rec.source_type")))).otherwise(shape)
     day = F.substring(F.col("rec.collected_at"), 1, 10)
     return parsed.agg(
@@ -142,14 +141,13 @@ def ingest_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def bronze_shape(keys_of: Column) -> Column:
-    """As ``record_shape``, but anything that is neither weather nor media is text."""
-    shape = record_shape(keys_of, otherwise=F.lit("text"))
-    return F.when(keys_of.isNotNull(), shape)
+def bronze_shape() -> Column:
+    """The bronze table of a parsed line: anything that is neither weather nor media is text."""
+    return F.when(F.col("shape") == "unknown", "text").otherwise(F.col("shape"))
 
 
 def _flat(parsed: DataFrame, shape: str) -> DataFrame:
-    chosen = parsed.filter(bronze_shape(F.col("keys_of")) == shape).select("rec.*")
+    chosen = parsed.filter(bronze_shape() == shape).select("rec.*")
     return chosen.withColumns(
         {
             "collected_at": _text(F.col("collected_at")),

@@ -85,7 +85,7 @@ def collector_summary(spark: SparkSession, folder: str) -> DataFrame:
 SELECT coalesce(CASE event_id % 8 WHEN 0 THEN 'weather' WHEN 1 THEN 'media' WHEN 2 THEN 'text' WHEN 3 THEN 'text' WHEN 7 THEN 'text' END, 'error') AS shape,
   count(*)::BIGINT AS records FROM events GROUP BY ALL""")
 def migration_counters(spark: SparkSession, folder: str) -> DataFrame:
-    shape = F.coalesce(bronze_shape(F.col("keys_of")), F.lit("error")).alias("shape")
+    shape = F.coalesce(bronze_shape(), F.lit("error")).alias("shape")
     return parse_lines(mixed_lines(spark, folder)).groupBy(shape).agg(F.count("*").alias("records"))
 
 

@@ -7,7 +7,7 @@ from hazlake.operators.normalize import media_records, normalize, raw_records, w
 from hazlake.plans.checks import base as b
 from hazlake.plans.checks.text_checks import _weather_lines
 from hazlake.plans.lake import Lake
-from hazlake.session import shared_dir
+from hazlake.session import Scratch, shared_dir
 from hazlake.sources import bronze, tables
 from hazlake.sources.payloads import as_parsed
 
@@ -89,8 +89,9 @@ def insert_or_ignore(spark: SparkSession, folder: str) -> DataFrame:
         {"record_id": (F.col("doc_id") + 100).cast("string"), "url": F.concat(F.lit("2"), "url")}
     )
     first = _silver(records)
-    for batch in (first, _silver(shifted), first):
-        tables.insert_or_ignore(batch, store, "lake_records")
+    with Scratch(spark) as scratch:
+        for batch in (first, _silver(shifted), first):
+            tables.insert_or_ignore(batch, store, "lake_records", scratch)
     return tables.read_table(spark, store, "lake_records").select(
         "lake_id", "source_type", "record_id", "url", "date_partition"
     )
@@ -135,9 +136,9 @@ def bronze_tables(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("2024-02-01T00:00:00+00:00").alias("collected_at"),
     )
     media = media_records(as_parsed(pages, "media"))
-    for _ in range(2):
-        for name, rows in (("weather_records", weather), ("raw_records", raw), ("media_records", media)):
-            tables.insert_or_ignore(rows, store, name)
+    with Scratch(spark) as scratch:
+        for name, rows in 2 * [("weather_records", weather), ("raw_records", raw), ("media_records", media)]:
+            tables.insert_or_ignore(rows, store, name, scratch)
     keys = [
         ("weather", "weather_records", F.concat_ws("|", "location_name", "collected_at")),
         ("raw", "raw_records", F.concat_ws("|", "source_type", "record_id")),

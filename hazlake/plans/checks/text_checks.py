@@ -7,7 +7,7 @@ from hazlake.functions.payload import engagement_score
 from hazlake.functions.text import clean_text, label_confidence
 from hazlake.operators.normalize import bronze_shape, ingest_counts, normalize
 from hazlake.plans.checks import base as b
-from hazlake.sources.bronze import malformed, parse_lines, record_shape
+from hazlake.sources.bronze import malformed, parse_lines
 
 _HITS = f"WITH d AS (SELECT doc_id, text, {b.SQL_HITS} AS hits FROM documents), " \
         f"c AS (SELECT *, {b.sql_corpus('hits', 'text')} AS lead, {b.sql_corpus('hits', 'text', None)} AS whole FROM d) "
@@ -165,7 +165,7 @@ SELECT event_id, CASE event_id % 8 WHEN 0 THEN 'weather' WHEN 1 THEN 'media' WHE
 FROM events""")
 def shape_route(spark: SparkSession, folder: str) -> DataFrame:
     return parse_lines(mixed_lines(spark, folder)).select(
-        "event_id", record_shape(F.col("keys_of")).alias("shape"), bronze_shape(F.col("keys_of")).alias("bronze_shape")
+        "event_id", F.nullif("shape", F.lit("unknown")).alias("shape"), bronze_shape().alias("bronze_shape")
     )
 
 

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
 from hazlake.operators import media as media_ops
 from hazlake.operators.dedupe import cap_per_group, first_arrival, lookback
 from hazlake.operators.reports import collector_summary
 from hazlake.plans.lake import Lake
-from hazlake.session import path_exists, stage
+from hazlake.session import Scratch, path_exists
 from hazlake.sources import bronze, payloads
 
 TEXT_SOURCES = ["twitter", "reddit", "news_api", "rss"]
@@ -79,28 +80,25 @@ def collect(
     weather = collect_weather(spark, landing_dir, as_of)
     if weather is not None:
         found["weather"] = weather
-    staged = {s: stage(df, s) for s, df in found.items() if only is None or s in only}
-    counted = []
-    for source, records in staged.items():
-        bronze.append_bronze(records.withColumn("source", F.lit(source)), raw_dir, day)
-        counted.append(records.select(F.lit(source).alias("source_type")))
-    if media_dir and (only is None or "media" in only):
-        stored = [
-            bronze.load_source_day(spark, raw_dir, s, as_of.strftime("%Y-%m-%d")) for s in TEXT_SOURCES
-        ]
-        texts = stored[0]
-        for more in stored[1:]:
-            texts = texts.unionByName(more)
-        wanted = media_ops.candidates(media_ops.harvest_urls(texts), domains)
-        kept = stage(
-            media_ops.media_records(wanted, media_ops.landed_files(spark, media_dir), F.lit(as_of.isoformat())), "media"
-        )
-        bronze.append_bronze(kept.withColumn("source", F.lit("media")), raw_dir, day)
-        counted.append(kept.select(F.lit("media").alias("source_type")))
-    total = spark.createDataFrame([], "source_type string")
-    for part in counted:
-        total = total.unionByName(part)
-    return collector_summary(total)
+    with Scratch(spark) as scratch:
+        total = spark.createDataFrame([], "source_type string")
+        for source, records in found.items():
+            if only is None or source in only:
+                total = total.unionByName(_save(scratch.stage(records), source, raw_dir, day))
+        if media_dir and (only is None or "media" in only):
+            texts = [bronze.load_source_day(spark, raw_dir, s, as_of.strftime("%Y-%m-%d")) for s in TEXT_SOURCES]
+            wanted = media_ops.candidates(media_ops.harvest_urls(reduce(DataFrame.unionByName, texts)), domains)
+            files = media_ops.landed_files(spark, media_dir)
+            kept = scratch.stage(media_ops.media_records(wanted, files, F.lit(as_of.isoformat())))
+            total = total.unionByName(_save(kept, "media", raw_dir, day))
+        # At most one row per source and the total.
+        counts = collector_summary(total).collect()
+    return spark.createDataFrame(counts, "source_type string, records long")
+
+
+def _save(records: DataFrame, source: str, raw_dir: str, day: Column) -> DataFrame:
+    bronze.append_bronze(records.withColumn("source", F.lit(source)), raw_dir, day)
+    return records.select(F.lit(source).alias("source_type"))
 
 
 def full_run(

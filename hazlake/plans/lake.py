@@ -1,18 +1,20 @@
 """The lake: ingest, reports, search, exports and migration over one folder.
 
 Layout under ``lake_dir``: ``silver/date=/source=`` (as normalised), ``store/<table>/date=``
-(one row per key), ``store/cells`` (grid cells), ``store/postings/bucket=`` and
-``store/corpus`` (text index).
+(one row per key), ``store/cells`` (grid cells), and the text index:
+``store/postings/bucket=``, ``store/indexed`` and ``store/corpus``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
 from hazlake.operators import ml_export, normalize as norm, ranges, reports, search, sensor
 from hazlake.schemas import DERIVED
-from hazlake.session import path_exists, stage
+from hazlake.session import Scratch, path_exists
 from hazlake.sources import bronze, tables
 
 STORE_TABLES = ["lake_records", "raw_records", "weather_records", "media_records"]
@@ -39,63 +41,77 @@ class Lake:
         A run narrowed to a date or source merges into the folders it touches,
         because a file's records may belong to a folder other files share.
         """
-        parsed = bronze.load_bronze(self.spark, self.raw_dir, source, date)
-        counts = norm.ingest_counts(parsed).first().asDict()
-        # Parsed and classified once; silver and store both read the staged rows.
-        records = stage(norm.normalize(parsed, self.taxonomy), "normalized")
-        tables.write_silver(records, self.silver_dir, merge=bool(date or source))
-        inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records")
-        self._index(inserted)
-        self._insert_bronze(parsed)
-        return {**counts, "written": counts["normalized"], "inserted": inserted.count()}
-
-    def _insert_bronze(self, parsed: DataFrame) -> dict[str, int]:
-        return {
-            "raw": tables.insert_or_ignore(norm.raw_records(parsed), self.store_dir, "raw_records").count(),
-            "weather": tables.insert_or_ignore(norm.weather_records(parsed), self.store_dir, "weather_records").count(),
-            "media": tables.insert_or_ignore(norm.media_records(parsed), self.store_dir, "media_records").count(),
-        }
-
-    def _index(self, inserted: DataFrame) -> None:
-        """Append the new records' postings, corpus counts and grid cells."""
+        with Scratch(self.spark) as scratch:
+            # Lines are parsed once; everything below reads the staged columns.
+            parsed = scratch.stage(bronze.load_bronze(self.spark, self.raw_dir, source, date).select("shape", "rec"))
+            counts = norm.ingest_counts(parsed).first().asDict()
+            records = norm.normalize(parsed, self.taxonomy)
+            tables.write_silver(records, self.silver_dir, merge=bool(date or source))
+            inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records", scratch)
+            self._index(inserted)
+            self._append_cells(inserted, scratch)
+            self._insert_bronze(parsed, scratch)
+            return {**counts, "written": counts["normalized"], "inserted": inserted.count()}
+
+    def _insert_bronze(self, parsed: DataFrame, scratch: Scratch) -> None:
+        for table, rows in (
+            ("raw_records", norm.raw_records(parsed)),
+            ("weather_records", norm.weather_records(parsed)),
+            ("media_records", norm.media_records(parsed)),
+        ):
+            tables.insert_or_ignore(rows, self.store_dir, table, scratch)
+
+    def _index(self, records: DataFrame) -> None:
+        """Add records to the text index as one batch.
+
+        Searches see a batch only once its ``corpus`` row is there, which is
+        written last, so a job that dies half-way leaves nothing counted twice.
+        """
+        batch = F.lit(uuid.uuid4().hex).alias("batch")
         (
-            search.postings(inserted)
+            search.postings(records).select("*", batch)
             .hint("rebalance", F.col("bucket"))
             .sortWithinPartitions("bucket", "token")
             .write.mode("append").partitionBy("bucket").parquet(f"{self.store_dir}/postings")
         )
-        search.corpus_stats(inserted).write.mode("append").parquet(f"{self.store_dir}/corpus")
-        self._append_cells(inserted)
+        records.select("lake_id", batch).write.mode("append").parquet(f"{self.store_dir}/indexed")
+        search.corpus_stats(records).select("*", batch).write.mode("append").parquet(f"{self.store_dir}/corpus")
+
+    def _visible(self, name: str) -> DataFrame:
+        """Rows of complete index batches."""
+        return self.derived(name).join(self.derived("corpus").select("batch"), "batch", "left_semi")
 
-    def _append_cells(self, records: DataFrame) -> int:
-        fresh = stage(ranges.missing_cells(records, self.derived("cells")), "cells")
+    def _unindexed(self) -> DataFrame:
+        done = self._visible("indexed").select("lake_id")
+        return self.table("lake_records").join(done, "lake_id", "left_anti")
+
+    def _append_cells(self, records: DataFrame, scratch: Scratch) -> int:
+        fresh = scratch.stage(ranges.missing_cells(records, self.derived("cells")))
         fresh.write.mode("append").parquet(f"{self.store_dir}/cells")
         return fresh.count()
 
     def derived(self, name: str) -> DataFrame:
-        """``postings``, ``corpus`` or ``cells``; empty when nothing was stored yet."""
+        """``postings``, ``indexed``, ``corpus`` or ``cells``; empty when nothing was stored yet."""
         path, schema = f"{self.store_dir}/{name}", DERIVED[name]
         if path_exists(self.spark, path):
             return self.spark.read.schema(schema).parquet(path)
         return self.spark.createDataFrame([], schema)
 
     def migrate(self) -> dict[str, int]:
-        """Fill the store from existing bronze and silver files; a second run adds nothing."""
-        parsed = bronze.load_bronze(self.spark, self.raw_dir)
-        by_shape = (
-            parsed.groupBy(F.coalesce(norm.bronze_shape(F.col("keys_of")), F.lit("error")).alias("shape"))
-            .count().collect()
-        )
-        counts = {"text": 0, "weather": 0, "media": 0, "error": 0, **{r["shape"]: r["count"] for r in by_shape}}
-        counts["raw"] = counts.pop("text")
-        self._insert_bronze(parsed)
-        inserted = tables.insert_or_ignore(
-            tables.reload_silver(self.spark, self.silver_dir), self.store_dir, "lake_records"
-        )
-        self._index(inserted)
-        counts["lake"] = inserted.count()
-        counts["cells"] = self._append_cells(self.table("lake_records"))
-        return counts
+        """Fill the store and its indexes from existing bronze and silver files; a second run adds nothing."""
+        with Scratch(self.spark) as scratch:
+            parsed = scratch.stage(bronze.load_bronze(self.spark, self.raw_dir).select("shape", "rec"))
+            shape = F.coalesce(norm.bronze_shape(), F.lit("error")).alias("shape")
+            found = {r["shape"]: r["count"] for r in parsed.groupBy(shape).count().collect()}
+            self._insert_bronze(parsed, scratch)
+            silver = tables.reload_silver(self.spark, self.silver_dir)
+            inserted = tables.insert_or_ignore(silver, self.store_dir, "lake_records", scratch)
+            self._index(scratch.stage(self._unindexed()))
+            return {
+                "raw": found.get("text", 0), "weather": found.get("weather", 0), "media": found.get("media", 0),
+                "error": found.get("error", 0), "lake": inserted.count(),
+                "cells": self._append_cells(self.table("lake_records"), scratch),
+            }
 
     # -- reports ------------------------------------------------------------------
 
@@ -142,7 +158,7 @@ class Lake:
         """Best records for plain words (by the text index) or for a ``Match`` (by scan)."""
         records = self.table("lake_records")
         if isinstance(match, str):
-            hits = search.search_postings(self.derived("postings"), self.derived("corpus"), match, limit)
+            hits = search.search_postings(self._visible("postings"), self.derived("corpus"), match, limit)
             return search.fetch(hits, records)
         return search.search(records, match, limit)
 
@@ -161,10 +177,11 @@ class Lake:
         end: str | None = None, format: str = "parquet", train_ratio: float = 0.8, val_ratio: float = 0.1,
     ) -> DataFrame:
         """Write the labelled text dataset; returns what was written."""
-        clean = stage(
-            ml_export.cleaned(self.table("lake_records"), hazard_types=hazard_types, start=start, end=end), "ml_clean"
-        )
-        return _export(ml_export.finish(clean, train_ratio, val_ratio), output, format, "date_partition")
+        records = self.table("lake_records")
+        with Scratch(self.spark) as scratch:
+            # Cleaned once: the maxima and the split days are read from the staged columns.
+            clean = scratch.stage(ml_export.cleaned(records, hazard_types=hazard_types, start=start, end=end))
+            return _export(ml_export.finish(clean, train_ratio, val_ratio), output, format, "date_partition")
 
     def export_sensor_features(
         self, output: str, start: str | None = None, end: str | None = None,

@@ -61,11 +61,13 @@ LAKE_ON_DISK = T.StructType(
 
 # Derived tables of the store: text index, corpus counts per batch, grid cells.
 POSTINGS = _schema(
-    ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I), ("len", _I), ("bucket", _I)
+    ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I), ("len", _I), ("batch", _S),
+    ("bucket", _I),
 )
-CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()))
+INDEXED = _schema(("lake_id", _S), ("batch", _S))
+CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()), ("batch", _S))
 CELLS = _schema(("lake_id", _S), ("lat", _D), ("lon", _D), ("lat_cell", _I), ("lon_cell", _I))
-DERIVED = {"postings": POSTINGS, "corpus": CORPUS, "cells": CELLS}
+DERIVED = {"postings": POSTINGS, "indexed": INDEXED, "corpus": CORPUS, "cells": CELLS}
 
 # Keys under which the first arrival wins.
 KEYS = {

@@ -46,47 +46,45 @@ def read_lines(
 
 
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Add ``keys_of`` (variant, null for a malformed line) and ``rec`` (typed fields).
+    """Add ``shape`` and ``rec`` (typed fields).
 
-    ``from_json`` alone forgives single quotes and trailing text, so a line
-    counts as well-formed only if, put between brackets, it is valid strict JSON
-    with exactly one element, an object.
+    Shape goes by which keys an object has, even with a null value: ``weather``,
+    ``media``, ``text``, or ``unknown``; null for a malformed line. ``from_json``
+    alone forgives single quotes and trailing text, so a line counts as
+    well-formed only if, put between brackets, it is valid strict JSON with
+    exactly one element, an object.
     """
     boxed = F.try_parse_json(F.concat(F.lit("["), F.col(line_col), F.lit("]")))
     parsed = once(lines, {"_boxed": boxed, "rec": F.from_json(line_col, BRONZE_LINE)})
-    one_object = F.col(line_col).startswith("{") & F.try_variant_get("_boxed", "$[1]", "variant").isNull()
-    return parsed.select(
-        *lines.columns,
-        F.when(one_object, F.try_variant_get("_boxed", "$[0]", "variant")).alias("keys_of"),
-        "rec",
+    one_object = (
+        F.col(line_col).startswith("{")
+        & F.col("_boxed").isNotNull()
+        & F.try_variant_get("_boxed", "$[1]", "variant").isNull()
     )
 
+    def has(key: str) -> Column:
+        return F.try_variant_get("_boxed", f"$[0].{key}", "variant").isNotNull()
 
-def has_key(keys_of: Column, key: str) -> Column:
-    """True when the object has the key, even with a null value."""
-    return F.coalesce(F.try_variant_get(keys_of, f"$.{key}", "variant").isNotNull(), F.lit(False))
-
-
-def record_shape(keys_of: Column, otherwise: Column | None = None) -> Column:
-    """weather, media or text by which keys are there; ``otherwise`` (null) if none fit."""
-    rest = F.lit(None).cast("string") if otherwise is None else otherwise
-    return (
-        F.when(has_key(keys_of, "temperature_c") & has_key(keys_of, "location_name"), "weather")
-        .when(has_key(keys_of, "source_url") & has_key(keys_of, "local_path"), "media")
-        .when(has_key(keys_of, "source_type"), "text")
-        .otherwise(rest)
+    shape = F.when(
+        one_object,
+        F.when(has("temperature_c") & has("location_name"), "weather")
+        .when(has("source_url") & has("local_path"), "media")
+        .when(has("source_type"), "text")
+        .otherwise("unknown"),
     )
+    shaped = once(parsed.select(*lines.columns, "_boxed", "rec"), {"shape": shape})
+    return shaped.select(*lines.columns, "shape", "rec")
 
 
 def malformed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """The lines the loader skips."""
-    return parse_lines(lines, line_col).filter(F.col("keys_of").isNull()).drop("keys_of", "rec")
+    return parse_lines(lines, line_col).filter(F.col("shape").isNull()).drop("shape", "rec")
 
 
 def load_bronze(
     spark: SparkSession, raw_dir: str, source: str | None = None, date: str | None = None
 ) -> DataFrame:
-    """Parsed lines of every chosen file; malformed lines have ``keys_of`` null."""
+    """Parsed lines of every chosen file; malformed lines have no shape."""
     return parse_lines(read_lines(spark, raw_dir, source, date))
 
 
@@ -94,7 +92,7 @@ def load_source_day(spark: SparkSession, raw_dir: str, source: str, date: str |
     """One source and day, today when none is named; a malformed line raises."""
     day = date or spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd")).first()[0]
     parsed = load_bronze(spark, raw_dir, source, day)
-    checked = F.when(F.col("keys_of").isNotNull(), F.col("rec")).otherwise(
+    checked = F.when(F.col("shape").isNotNull(), F.col("rec")).otherwise(
         F.raise_error(F.concat(F.lit("malformed line in "), F.col("file_path"))).cast(BRONZE_LINE)
     )
     return parsed.select(checked.alias("rec")).select("rec.*")

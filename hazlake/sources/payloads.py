@@ -242,15 +242,10 @@ def parse_weather(readings: DataFrame, collected_at: Column, payload: str = "pay
 
 
 def as_parsed(records: DataFrame, shape: str) -> DataFrame:
-    """Typed records as parsed lines (``keys_of``, ``rec``), for ``normalize`` without a file in between."""
-    marks = {
-        "text": '{"source_type":1}',
-        "weather": '{"temperature_c":1,"location_name":1}',
-        "media": '{"source_url":1,"local_path":1}',
-    }
+    """Typed records as parsed lines (``shape``, ``rec``), for ``normalize`` without a file in between."""
     have = set(records.columns)
     fields = [
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in BRONZE_LINE.fields
     ]
-    return records.select(F.parse_json(F.lit(marks[shape])).alias("keys_of"), F.struct(*fields).alias("rec"))
+    return records.select(F.lit(shape).alias("shape"), F.struct(*fields).alias("rec"))

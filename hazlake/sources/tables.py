@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hazlake.operators.dedupe import first_arrival, new_rows
 from hazlake.schemas import KEYS, LAKE_COLUMNS, LAKE_ON_DISK, TABLES
-from hazlake.session import path_exists, stage
+from hazlake.session import Scratch, path_exists
 
 
 # -- silver: as normalised, duplicates kept, one folder per date and source ---
@@ -46,12 +46,18 @@ def write_silver(records: DataFrame, path: str, merge: bool = False) -> None:
     """
     spark = records.sparkSession
     out = records.select(*LAKE_COLUMNS, F.col("date_partition").alias("date"), F.col("source_type").alias("source"))
-    if merge and path_exists(spark, path):
-        batch = stage(out, "silver_batch")
+    if not (merge and path_exists(spark, path)):
+        _replace_folders(out, path)
+        return
+    with Scratch(spark) as scratch:
+        batch = scratch.stage(out)
         touched = batch.select("date", "source").distinct()
         stored = read_silver(spark, path).join(touched, ["date", "source"], "left_semi").select(*batch.columns)
         kept = stored.join(batch.select("lake_id").distinct(), "lake_id", "left_anti").select(*batch.columns)
-        out = stage(kept.unionByName(batch), "silver_merge")
+        _replace_folders(scratch.stage(kept.unionByName(batch)), path)
+
+
+def _replace_folders(out: DataFrame, path: str) -> None:
     (
         out.hint("rebalance", F.col("date"), F.col("source"))
         .write.mode("overwrite")
@@ -90,15 +96,15 @@ def fresh_rows(batch: DataFrame, stored: DataFrame, table: str) -> DataFrame:
     return new_rows(first_arrival(batch, keys, order), stored, keys)
 
 
-def insert_or_ignore(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
-    """Append rows with new keys; returns the inserted rows (staged on shared storage).
+def insert_or_ignore(batch: DataFrame, store_dir: str, table: str, scratch: Scratch) -> DataFrame:
+    """Append rows with new keys; returns the inserted rows, kept in ``scratch``.
 
     Running the same batch again inserts nothing, so a failed or repeated job is safe to rerun.
     """
     spark = batch.sparkSession
     schema = TABLES[table]
     typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    fresh = stage(fresh_rows(typed, read_table(spark, store_dir, table), table), table)
+    fresh = scratch.stage(fresh_rows(typed, read_table(spark, store_dir, table), table))
     (
         fresh.withColumn("date", F.col("date_partition"))
         .hint("rebalance", F.col("date"))

@@ -81,7 +81,7 @@ def test_migrate_fills_an_empty_store(lake, spark, tmp_path):
     other = Lake(spark, lake.raw_dir, str(tmp_path / "lake2"))
     other.silver_dir = lake.silver_dir
     counts = other.migrate()
-    assert counts == {"weather": 3, "media": 0, "error": 1, "raw": 5, "lake": 5, "cells": 0}
+    assert counts == {"weather": 3, "media": 0, "error": 1, "raw": 5, "lake": 5, "cells": 5}
     assert snapshot(other)["lake_records"] == snapshot(lake)["lake_records"]
     assert other.migrate()["lake"] == 0
     assert [r["lake_id"] for r in other.search_text("landslide").collect()] == [
@@ -123,7 +123,7 @@ def test_empty_lake(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "none"), str(tmp_path / "lake"))
     assert lake.stats().count() == 0 and lake.db_stats().count() == 0
     assert lake.run()["loaded"] == 0
-    assert lake.search_text("flood").count() == 0 and lake.bronze_stats().collect()[0]["records"] == 0
+    assert lake.search_text("flood").count() == 0 and lake.bronze_stats().count() == 0
 
 
 def test_source_day_raises_on_a_bad_line(lake, spark):

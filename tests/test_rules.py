@@ -12,7 +12,7 @@ from hazlake.functions.times import iso_utc, parse_feed_date
 from hazlake.operators import dedupe, ml_export, normalize, reports
 from hazlake.schemas import LAKE, LAKE_COLUMNS
 from hazlake.sources.articles import article_text, lead_image
-from hazlake.sources.bronze import malformed, parse_lines, record_shape
+from hazlake.sources.bronze import malformed, parse_lines
 from hazlake.taxonomy import Taxonomy
 
 
@@ -42,9 +42,9 @@ def test_shape_goes_by_key_presence(spark):
         '{"source_type":"rss"}', '{"foo":1}', '{"temperature_c":1}',
     ]
     parsed = lines(spark, *rows)
-    pairs = parsed.select(record_shape(F.col("keys_of")), normalize.bronze_shape(F.col("keys_of"))).collect()
+    pairs = parsed.select("shape", normalize.bronze_shape()).collect()
     assert [tuple(p) for p in pairs] == [
-        ("weather", "weather"), ("media", "media"), ("text", "text"), (None, "text"), (None, "text"),
+        ("weather", "weather"), ("media", "media"), ("text", "text"), ("unknown", "text"), ("unknown", "text"),
     ]
 
 
