@@ -34,11 +34,13 @@ def _typed(df: DataFrame, schema) -> DataFrame:
 
 def _finish(df: DataFrame) -> DataFrame:
     have = set(df.columns)
-    filled = df.withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in LAKE.fields if f.name not in have and f.name != "lake_id"}
+    computed = {"lake_id": lake_id(F.col("source_type"), F.col("record_id"))}
+    return df.select(
+        *[
+            computed.get(f.name, F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in LAKE.fields
+        ]
     )
-    keyed = filled.withColumn("lake_id", lake_id(F.col("source_type"), F.col("record_id")))
-    return _typed(keyed, LAKE)
 
 
 def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFrame:
