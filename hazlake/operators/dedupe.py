@@ -31,10 +31,13 @@ def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     return batch.join(present, keys, "left_anti")
 
 
-def lookback(df: DataFrame, ts: str, as_of: datetime | str, days: int) -> DataFrame:
-    """Rows created in the ``days`` before ``as_of``."""
+def lookback(
+    df: DataFrame, ts: str, as_of: datetime | str, days: int, keep_unknown: bool = False
+) -> DataFrame:
+    """Rows created in the ``days`` before ``as_of``; ``keep_unknown`` keeps rows without a time."""
     cutoff = F.lit(as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(days))
-    return df.filter(F.col(ts) >= cutoff)
+    recent = F.col(ts) >= cutoff
+    return df.filter(recent | F.col(ts).isNull() if keep_unknown else recent)
 
 
 def cap_per_group(df: DataFrame, group: str, n: int, order: list[Column]) -> DataFrame:

@@ -224,8 +224,13 @@ def search_postings(posts: DataFrame, stats: DataFrame, words: str, limit: int |
 
 
 def fetch(hits: DataFrame, lake: DataFrame) -> DataFrame:
-    """Records of the (at most ``limit``) hits, best first."""
-    return (
-        lake.join(F.broadcast(hits.select("lake_id", "date_partition", "score")), ["lake_id", "date_partition"])
-        .orderBy("score", "lake_id")
-    )
+    """Records of the hits, best first.
+
+    No hint: Spark knows how short a limited hit list is, and an unlimited one
+    must not be broadcast unseen. The hits' dates narrow the folders read.
+    """
+    short = hits.select("lake_id", "date_partition", "score")
+    if "date" in lake.columns:
+        short = short.withColumn("date", F.col("date_partition"))
+        return lake.join(short, ["lake_id", "date_partition", "date"]).orderBy("score", "lake_id")
+    return lake.join(short, ["lake_id", "date_partition"]).orderBy("score", "lake_id")

@@ -2,6 +2,7 @@
 
 from hazlake.plans.checks import (  # noqa: F401  (importing registers the checks)
     find_checks,
+    job_checks,
     media_checks,
     payload_checks,
     report_checks,

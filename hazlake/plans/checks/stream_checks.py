@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazlake.plans.checks import base as b
-from hazlake.plans.checks.payload_checks import TWEETS_SQL, flat_text_records, tweet_pages
+from hazlake.plans.checks.payload_checks import TWEETS_SQL, _sql_hits, flat_text_records, posts, tweet_pages
 from hazlake.session import shared_dir
 from hazlake.sources import bronze, tables
 from hazlake.streaming import intake
@@ -54,12 +54,44 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
 @b.check(TWEETS_SQL)
 def stream_tweets(spark: SparkSession, folder: str) -> DataFrame:
     """Tweet pages streamed into bronze by the intake job, read back as bronze lines."""
+    return flat_text_records(_intake(spark, tweet_pages(spark, folder), "twitter"))
+
+
+def _intake(spark: SparkSession, payloads: DataFrame, source: str) -> DataFrame:
+    """Payloads landed for a source, streamed into bronze, read back as records."""
     home = shared_dir(spark)
-    pages = tweet_pages(spark, folder)
-    pages.select(F.col("payload").alias("value")).repartition(4).write.mode("append").text(f"{home}/landing/twitter")
+    payloads.select(F.col("payload").alias("value")).repartition(4).write.text(f"{home}/landing/{source}")
     started = intake.start_intake(
-        spark, f"{home}/landing", f"{home}/raw", f"{home}/checkpoints", sources=("twitter",), poll=False, keywords=b.KEYWORDS
+        spark, f"{home}/landing", f"{home}/raw", f"{home}/checkpoints", sources=(source,), poll=False, keywords=b.KEYWORDS
     )
     for query in started.values():
         query.awaitTermination()
-    return flat_text_records(bronze.load_bronze(spark, f"{home}/raw").select("rec.*"))
+    return bronze.load_bronze(spark, f"{home}/raw", source=source).select("rec.*")
+
+
+@b.check(f"""
+WITH p AS (SELECT *, concat('Post ', doc_id, ' ', text) AS body FROM documents UNION ALL SELECT *, concat('Post ', doc_id, ' ', text) FROM documents WHERE doc_id % 3 = 0)
+SELECT CAST(doc_id AS VARCHAR) AS record_id, body AS text FROM p WHERE {_sql_hits('body')} <> ''""")
+def stream_reddit(spark: SparkSession, folder: str) -> DataFrame:
+    """Polled posts; what a second poll brings again is appended again."""
+    return _intake(spark, posts(spark, folder), "reddit").select("record_id", "text")
+
+
+@b.check(f"""
+SELECT concat('loc_', user_id % 10) AS location_name, value / 10 AS rainfall_mm,
+  concat(CASE WHEN value / 10 >= 35 THEN '[CRITICAL RAINFALL] ' WHEN value / 10 >= 15 THEN '[WARNING RAINFALL] ' ELSE '' END, event_type) AS condition
+FROM events""")
+def stream_weather(spark: SparkSession, folder: str) -> DataFrame:
+    body = F.struct(
+        F.struct((F.col("value") / 10).alias("1h")).alias("rain"),
+        F.array(F.struct(F.col("event_type").alias("description"))).alias("weather"),
+    )
+    landed = b.load(spark, folder, "events").select(
+        F.to_json(
+            F.struct(
+                F.concat(F.lit("loc_"), (F.col("user_id") % 10).cast("string")).alias("location_name"), F.lit(1.0).alias("lat"),
+                F.lit(2.0).alias("lon"), F.to_json(body).alias("payload"),
+            )
+        ).alias("payload")
+    )
+    return _intake(spark, landed, "weather").select("location_name", "rainfall_mm", "condition")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
+from hazlake.functions.once import once
 from hazlake.operators import media as media_ops
 from hazlake.operators.dedupe import cap_per_group, first_arrival, lookback
 from hazlake.operators.reports import collector_summary
@@ -23,6 +24,13 @@ def _landed(spark: SparkSession, landing_dir: str, source: str) -> DataFrame | N
     return spark.read.text(path).withColumnRenamed("value", "payload") if path_exists(spark, path) else None
 
 
+def _unique_recent(records: DataFrame, as_of: datetime, days: int) -> DataFrame:
+    """One record per id, of those not known to be older than the lookback; with ``_created``."""
+    timed = records.withColumn("_created", F.try_to_timestamp("published_at"))
+    recent = lookback(timed, "_created", as_of, days, keep_unknown=True)
+    return first_arrival(recent, ["record_id"], [F.desc("_created")])
+
+
 def collect_texts(
     spark: SparkSession,
     landing_dir: str,
@@ -32,24 +40,25 @@ def collect_texts(
 ) -> dict[str, DataFrame]:
     """Text records by source from what has landed: recent, capped and unique per source."""
     stamp = F.lit(as_of.isoformat())
-    parsers = {
-        "twitter": payloads.parse_tweets, "reddit": payloads.parse_reddit, "news_api": payloads.parse_news,
-    }
     out = {}
-    for source, parse in parsers.items():
-        landed = _landed(spark, landing_dir, source)
-        if landed is None:
-            continue
-        records = parse(landed, stamp, "payload", keywords)
-        recent = lookback(
-            records.withColumn("_created", F.try_to_timestamp("published_at")), "_created", as_of, days
-        )
+    tweets = _landed(spark, landing_dir, "twitter")
+    if tweets is not None:
+        records = _unique_recent(payloads.parse_tweets(tweets, stamp, "payload", keywords), as_of, days)
         newest = [F.desc("_created"), F.col("record_id")]
-        if source == "twitter":
-            recent = cap_per_group(recent, "source_name", tx.MAX_TWEETS, newest)
-        elif source == "reddit":
-            recent = cap_per_group(recent, "source_name", tx.MAX_POSTS_PER_SUBREDDIT, newest)
-        out[source] = first_arrival(recent, ["record_id"], newest).drop("_created")
+        out["twitter"] = cap_per_group(records, "source_name", tx.MAX_TWEETS, newest).drop("_created")
+    posts = _landed(spark, landing_dir, "reddit")
+    if posts is not None:
+        # The cap is on posts seen, not on relevant ones: it comes before the keyword test.
+        seen = once(posts, {"p": F.from_json("payload", "id string, subreddit string, created_utc double")})
+        seen = seen.select("payload", "p.id", "p.subreddit", F.timestamp_micros((F.col("p.created_utc") * 1_000_000).cast("bigint")).alias("created"))
+        newest = [F.desc("created"), F.col("id")]
+        listed = cap_per_group(first_arrival(seen, ["id"], newest), "subreddit", tx.MAX_POSTS_PER_SUBREDDIT, newest)
+        recent = lookback(listed, "created", as_of, days).select("payload")
+        out["reddit"] = payloads.parse_reddit(recent, stamp, "payload", keywords)
+    articles = _landed(spark, landing_dir, "news_api")
+    if articles is not None:
+        records = payloads.parse_news(articles, stamp, "payload", keywords)
+        out["news_api"] = _unique_recent(records, as_of, days).drop("_created")
     if path_exists(spark, f"{landing_dir}/rss"):
         pages_dir = f"{landing_dir}/pages"
         pages = spark.read.parquet(pages_dir) if path_exists(spark, pages_dir) else None

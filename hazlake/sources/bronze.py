@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake.functions.once import once
@@ -90,7 +92,7 @@ def load_bronze(
 
 def load_source_day(spark: SparkSession, raw_dir: str, source: str, date: str | None = None) -> DataFrame:
     """One source and day, today when none is named; a malformed line raises."""
-    day = date or spark.range(1).select(F.date_format(F.current_date(), "yyyy-MM-dd")).first()[0]
+    day = date or datetime.now(timezone.utc).strftime("%Y-%m-%d")
     parsed = load_bronze(spark, raw_dir, source, day)
     checked = F.when(F.col("shape").isNotNull(), F.col("rec")).otherwise(
         F.raise_error(F.concat(F.lit("malformed line in "), F.col("file_path"))).cast(BRONZE_LINE)

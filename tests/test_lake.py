@@ -126,6 +126,24 @@ def test_empty_lake(spark, tmp_path):
     assert lake.search_text("flood").count() == 0 and lake.bronze_stats().count() == 0
 
 
+def test_files_of_other_sources_are_not_opened(lake, spark):
+    os.makedirs(f"{lake.raw_dir}/rss")
+    with open(f"{lake.raw_dir}/rss/2024-03-01.jsonl.gz", "wb") as f:
+        f.write(b"this is no archive")
+    assert bronze.read_lines(spark, lake.raw_dir, source="weather", date="2024-03-01").count() == 3
+    with pytest.raises(Exception):
+        bronze.read_lines(spark, lake.raw_dir, source="rss").count()
+
+
+def test_unfinished_index_batch_is_not_seen(lake, spark):
+    lake.run()
+    want = [tuple(r) for r in lake.search_text("flood").select("lake_id", "score").collect()]
+    # Postings of a job that died before its corpus row was written.
+    lost = lake.derived("postings").withColumn("batch", F.lit("lost"))
+    lost.write.mode("append").partitionBy("bucket").parquet(f"{lake.store_dir}/postings")
+    assert [tuple(r) for r in lake.search_text("flood").select("lake_id", "score").collect()] == want
+
+
 def test_source_day_raises_on_a_bad_line(lake, spark):
     assert bronze.load_source_day(spark, lake.raw_dir, "reddit", "2024-03-02").count() == 1
     assert bronze.load_source_day(spark, lake.raw_dir, "reddit", "2024-03-09").count() == 0
