@@ -27,7 +27,7 @@ def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     by its measured size), and the batch then drops that short list.
     """
     wanted = batch.select(*keys)
-    present = stored.select(*keys).join(wanted, keys, "left_semi")
+    present = stored.select(*keys).join(wanted, keys, "left_semi").distinct()
     return batch.join(present, keys, "left_anti")
 
 

@@ -63,8 +63,9 @@ def collect_texts(
         pages_dir = f"{landing_dir}/pages"
         pages = spark.read.parquet(pages_dir) if path_exists(spark, pages_dir) else None
         entries = payloads.read_feed(spark, f"{landing_dir}/rss")
-        parsed = payloads.parse_rss(entries, stamp, pages, keywords)
-        out["rss"] = first_arrival(parsed, ["record_id"], [F.col("source_name")])
+        # Unique before the page lookup, so that a link found in every feed is looked up once.
+        unique = first_arrival(payloads.relevant_entries(entries, keywords), ["named"], [F.col("feed")])
+        out["rss"] = payloads.parse_rss(unique, stamp, pages, keywords)
     return out
 
 

@@ -77,6 +77,15 @@ class Lake:
         records.select("lake_id", batch).write.mode("append").parquet(f"{self.store_dir}/indexed")
         search.corpus_stats(records).select("*", batch).write.mode("append").parquet(f"{self.store_dir}/corpus")
 
+    def rebuild_index(self) -> None:
+        """Replace the text index and the cells by fresh ones, for instance after rows were removed by hand."""
+        # The corpus rows go first: without them no batch is seen.
+        for name in ("corpus", "postings", "indexed", "cells"):
+            self.spark.createDataFrame([], DERIVED[name]).write.mode("overwrite").parquet(f"{self.store_dir}/{name}")
+        records = self.table("lake_records")
+        self._index(records)
+        ranges.grid_cells(records).write.mode("append").parquet(f"{self.store_dir}/cells")
+
     def _visible(self, name: str) -> DataFrame:
         """Rows of complete index batches."""
         return self.derived(name).join(self.derived("corpus").select("batch"), "batch", "left_semi")

@@ -23,7 +23,7 @@ _TWEET_PAGE = (
     " includes struct<media:array<struct<media_key:string, url:string, preview_image_url:string>>>"
 )
 _POST = (
-    "id string, title string, selftext string, score double, num_comments double, subreddit string,"
+    "id string, title string, selftext string, score bigint, num_comments bigint, subreddit string,"
     " author string, created_utc double, permalink string, url string, is_self boolean"
 )
 _ARTICLE = (
@@ -170,6 +170,14 @@ def _entry_columns() -> list[Column]:
     ]
 
 
+def relevant_entries(entries: DataFrame, keywords=tx.DISASTER_KEYWORDS) -> DataFrame:
+    """Entries with a keyword in title or summary, with what names each of them: its link, else that text."""
+    e = entries.withColumns({c: F.coalesce(c, F.lit("")) for c in ("title", "summary", "link")})
+    e = e.withColumn("quick", F.concat_ws(" ", "title", "summary"))
+    e = e.withColumn("named", F.when(F.col("link") != "", F.col("link")).otherwise(F.col("quick")))
+    return once(e, {"hits": keyword_hits(F.col("quick"), keywords)}).filter(F.size("hits") > 0)
+
+
 def parse_rss(
     entries: DataFrame,
     collected_at: Column,
@@ -183,28 +191,28 @@ def parse_rss(
     dropped before their pages are looked up. ``pages`` (url, html) holds landed
     article pages, one per url.
     """
-    e = entries.withColumns({c: F.coalesce(c, F.lit("")) for c in ("title", "summary", "link")})
-    e = e.withColumn("quick", F.concat_ws(" ", "title", "summary"))
-    e = once(e, {"hits": keyword_hits(F.col("quick"), keywords)}).filter(F.size("hits") > 0)
+    e = entries if "named" in entries.columns else relevant_entries(entries, keywords)
     if pages is None:
         e = e.withColumns({"body": F.lit(""), "image": F.lit(None).cast("string")})
     else:
         # Only pages some entry links to are cleaned and moved.
-        linked = pages.join(e.select(F.col("link").alias("url")).distinct(), "url", "left_semi")
-        landed = linked.select(
-            F.col("url").alias("page_url"),
+        links = e.filter("link <> ''").select(F.col("link").alias("url")).distinct()
+        landed = pages.join(links, "url", "left_semi").select(
+            F.col("url").alias("_key"),
             article_text(F.col("html"), body_chars).alias("body"),
             lead_image(F.col("html")).alias("image"),
         )
-        e = e.join(landed, F.col("link") == F.col("page_url"), "left").drop("page_url")
+        # Entries without a link match no page; a key of their own spreads them over the join.
+        own = F.concat(F.lit(" "), F.md5(F.col("quick").cast("binary")))
+        key = F.when(F.col("link") != "", F.col("link")).otherwise(own)
+        e = e.withColumn("_key", key).join(landed, "_key", "left").drop("_key")
     text = F.btrim(F.concat_ws(" ", "title", "summary", F.coalesce("body", F.lit(""))))
-    named = F.when(F.col("link") != "", F.col("link")).otherwise(F.col("quick"))
     raw = F.to_json(F.struct("title", "summary", "link", F.coalesce("tags", _strings()).alias("tags")))
     published = F.coalesce(parse_feed_date(F.col("published")), parse_feed_date(F.col("updated")))
     return e.select(
         F.lit("rss").alias("source_type"),
         F.col("feed").alias("source_name"),
-        F.md5(named.cast("binary")).alias("record_id"),
+        F.md5(F.col("named").cast("binary")).alias("record_id"),
         collected_at.alias("collected_at"),
         iso_utc(published).alias("published_at"),
         F.col("link").alias("url"),

@@ -144,6 +144,15 @@ def test_unfinished_index_batch_is_not_seen(lake, spark):
     assert [tuple(r) for r in lake.search_text("flood").select("lake_id", "score").collect()] == want
 
 
+def test_rebuilt_index_finds_the_same(lake, spark):
+    lake.run()
+    want = [tuple(r) for r in lake.search_text("flood").select("lake_id", "score").collect()]
+    cells = lake.derived("cells").count()
+    lake.rebuild_index()
+    assert [tuple(r) for r in lake.search_text("flood").select("lake_id", "score").collect()] == want
+    assert lake.derived("cells").count() == cells
+
+
 def test_source_day_raises_on_a_bad_line(lake, spark):
     assert bronze.load_source_day(spark, lake.raw_dir, "reddit", "2024-03-02").count() == 1
     assert bronze.load_source_day(spark, lake.raw_dir, "reddit", "2024-03-09").count() == 0
