@@ -8,6 +8,7 @@ from hazlake.functions.once import once
 from hazlake.functions.text import clean_text, label_confidence
 from hazlake.operators.ranges import labelled_text
 
+# The exported columns; label_confidence and split follow.
 COLUMNS = [
     "lake_id", "source_type", "date_partition", "text", "keywords_hit", "hazard_type",
     "hazard_severity", "location_name", "lat", "lon", "engagement_score", "language",

@@ -29,6 +29,7 @@ SLICE_CELLS = 10  # 30 days per slice, so history adds about a tenth
 
 VALUES = ["temperature_c", "humidity_pct", "wind_speed_ms", "wind_dir_deg", "rainfall_mm", "pressure_hpa"]
 
+# The exported columns.
 COLUMNS = [
     "location_name", "lat", "lon", "collected_at", "date_partition", "temperature_c",
     "temp_change_24h", "humidity_pct", "humidity_24h_max", "wind_speed_ms", "wind_dir_deg",

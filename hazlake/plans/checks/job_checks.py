@@ -11,24 +11,19 @@ from hazlake.plans.checks.report_checks import _SPLIT
 from hazlake.plans.checks.sensor_checks import SQL_FEATURES
 from hazlake.plans.collect import collect_texts
 from hazlake.plans.lake import Lake
-from hazlake.session import Scratch, shared_dir
+from hazlake.session import shared_dir
 from hazlake.sources import bronze, tables
 from hazlake.sources.payloads import as_parsed
 from hazlake.taxonomy import Taxonomy
 
 
-def _insert(spark: SparkSession, store: str, table: str, rows: DataFrame) -> None:
-    with Scratch(spark) as scratch:
-        tables.insert_or_ignore(rows, store, table, scratch)
-
-
 @b.check(_SPLIT + """
 SELECT lake_id, text, CAST(to_json(keywords_hit) AS VARCHAR) AS keywords_hit, hazard_type, label_confidence, split FROM export""")
 def export_ml_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The labelled dataset written as CSV by the job, and read back."""
     home = shared_dir(spark)
     lake = Lake(spark, f"{home}/raw", f"{home}/lake")
-    _insert(spark, lake.store_dir, "lake_records", b.doc_lake(spark, folder))
+    tables.insert_or_ignore(b.doc_lake(spark, folder), lake.store_dir, "lake_records")
     return lake.export_ml(f"{home}/out", format="csv").select(
         "lake_id", "text", "keywords_hit", "hazard_type", "label_confidence", "split"
     )
@@ -46,7 +41,8 @@ def export_sensor_job(spark: SparkSession, folder: str) -> DataFrame:
     """Readings and hazard texts through the store and the export job."""
     home = shared_dir(spark)
     lake = Lake(spark, f"{home}/raw", f"{home}/lake")
-    _insert(spark, lake.store_dir, "weather_records", weather_records(as_parsed(b.event_readings(spark, folder), "weather")))
+    readings = weather_records(as_parsed(b.event_readings(spark, folder), "weather"))
+    tables.insert_or_ignore(readings, lake.store_dir, "weather_records")
     place = F.concat(F.lit("loc_"), (F.col("user_id") % 10).cast("string"))
     none = F.lit(None).cast("double")
     texts = b.load(spark, folder, "events").filter("event_type = 'error'").select(
@@ -55,7 +51,7 @@ def export_sensor_job(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("kind"), (F.col("event_id") % 9).cast("string")).alias("text"),
         F.struct(place.alias("name"), none.alias("lat"), none.alias("lon")).alias("location"),
     )
-    _insert(spark, lake.store_dir, "lake_records", normalize(as_parsed(texts, "text"), _KINDS))
+    tables.insert_or_ignore(normalize(as_parsed(texts, "text"), _KINDS), lake.store_dir, "lake_records")
     out = lake.export_sensor_features(f"{home}/out")
     return out.select(
         "location_name", "collected_at", b.r6(F.col("rainfall_72h_sum")).alias("rainfall_72h_sum"),

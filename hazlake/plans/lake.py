@@ -47,19 +47,19 @@ class Lake:
             counts = norm.ingest_counts(parsed).first().asDict()
             records = norm.normalize(parsed, self.taxonomy)
             tables.write_silver(records, self.silver_dir, merge=bool(date or source))
-            inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records", scratch)
+            inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records")
             self._index(inserted)
             self._append_cells(inserted, scratch)
-            self._insert_bronze(parsed, scratch)
+            self._insert_bronze(parsed)
             return {**counts, "written": counts["normalized"], "inserted": inserted.count()}
 
-    def _insert_bronze(self, parsed: DataFrame, scratch: Scratch) -> None:
+    def _insert_bronze(self, parsed: DataFrame) -> None:
         for table, rows in (
             ("raw_records", norm.raw_records(parsed)),
             ("weather_records", norm.weather_records(parsed)),
             ("media_records", norm.media_records(parsed)),
         ):
-            tables.insert_or_ignore(rows, self.store_dir, table, scratch)
+            tables.insert_or_ignore(rows, self.store_dir, table)
 
     def _index(self, records: DataFrame) -> None:
         """Add records to the text index as one batch.
@@ -112,9 +112,9 @@ class Lake:
             parsed = scratch.stage(bronze.load_bronze(self.spark, self.raw_dir).select("shape", "rec"))
             shape = F.coalesce(norm.bronze_shape(), F.lit("error")).alias("shape")
             found = {r["shape"]: r["count"] for r in parsed.groupBy(shape).count().collect()}
-            self._insert_bronze(parsed, scratch)
+            self._insert_bronze(parsed)
             silver = tables.reload_silver(self.spark, self.silver_dir)
-            inserted = tables.insert_or_ignore(silver, self.store_dir, "lake_records", scratch)
+            inserted = tables.insert_or_ignore(silver, self.store_dir, "lake_records")
             self._index(scratch.stage(self._unindexed()))
             return {
                 "raw": found.get("text", 0), "weather": found.get("weather", 0), "media": found.get("media", 0),

@@ -1,4 +1,4 @@
-"""Table schemas: landed bronze lines, the three bronze tables and the silver record."""
+"""Schemas of landed lines, the three bronze tables and the silver record."""
 
 from pyspark.sql import types as T
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hazlake.operators.dedupe import first_arrival, new_rows
@@ -80,15 +82,21 @@ def table_path(store_dir: str, table: str) -> str:
     return f"{store_dir}/{table}"
 
 
-def read_table(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
-    """A store table with its folder column ``date``; empty when nothing was stored yet."""
-    schema = T.StructType(TABLES[table].fields + [T.StructField("date", T.StringType())])
+def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
+    """A store table with the folder column ``date`` and the insert it came with; empty if unwritten."""
+    extra = [T.StructField("batch", T.StringType()), T.StructField("date", T.StringType())]
+    schema = T.StructType(TABLES[table].fields + extra)
     path = table_path(store_dir, table)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
+def read_table(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
+    """A store table with its folder column ``date``; empty when nothing was stored yet."""
+    return _stored(spark, store_dir, table).drop("batch")
+
+
 def fresh_rows(batch: DataFrame, stored: DataFrame, table: str) -> DataFrame:
     """Rows to insert: the first arrival of each key that is not stored yet."""
     keys = KEYS[table]
@@ -96,25 +104,26 @@ def fresh_rows(batch: DataFrame, stored: DataFrame, table: str) -> DataFrame:
     return new_rows(first_arrival(batch, keys, order), stored, keys)
 
 
-def insert_or_ignore(batch: DataFrame, store_dir: str, table: str, scratch: Scratch) -> DataFrame:
-    """Append rows with new keys; returns the inserted rows, kept in ``scratch``.
+def insert_or_ignore(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
+    """Append rows with new keys; returns the inserted rows, read back from the table.
 
     Running the same batch again inserts nothing, so a failed or repeated job is safe to rerun.
+    Rows carry the id of their insert: a file holds one insert only, so reading
+    it back skips all other files by their statistics, and nothing is written twice.
     """
     spark = batch.sparkSession
     schema = TABLES[table]
     typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    fresh = scratch.stage(fresh_rows(typed, read_table(spark, store_dir, table), table))
+    fresh = fresh_rows(typed, read_table(spark, store_dir, table), table)
+    insert = uuid.uuid4().hex
     # Within a folder, rows lie by latitude where they have one: box queries then skip row groups.
     layout = ["date"] + [c for c in ("lat", "lon") if c in schema.fieldNames()]
     (
-        fresh.withColumn("date", F.col("date_partition"))
+        fresh.withColumns({"batch": F.lit(insert), "date": F.col("date_partition")})
         .hint("rebalance", F.col("date"))
         .sortWithinPartitions(*layout)
         .write.mode("append")
         .partitionBy("date")
         .parquet(table_path(store_dir, table))
     )
-    return fresh
-
-
+    return _stored(spark, store_dir, table).filter(F.col("batch") == insert).select(*schema.fieldNames())

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from hazlake import taxonomy as tx
 from hazlake.functions.times import parse_iso
 from hazlake.operators.normalize import normalize
-from hazlake.session import Scratch
 from hazlake.sources.bronze import append_bronze, parse_lines
 from hazlake.sources.payloads import parse_reddit, parse_tweets, parse_weather
 from hazlake.sources.tables import insert_or_ignore
@@ -58,8 +57,7 @@ def start_store_sink(
 ) -> StreamingQuery:
     """Insert-or-ignore every micro-batch; ``seconds=None`` takes what is there and stops."""
     def insert(batch: DataFrame, _epoch: int) -> None:
-        with Scratch(batch.sparkSession) as scratch:
-            insert_or_ignore(batch, store_dir, table, scratch)
+        insert_or_ignore(batch, store_dir, table)
 
     writer = records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(insert)
     return _triggered(writer, seconds).start()
