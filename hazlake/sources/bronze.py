@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,6 +11,8 @@ from hazlake.functions.once import once
 from hazlake.schemas import BRONZE_LINE
 from hazlake.session import path_exists
 
+log = logging.getLogger(__name__)
+
 _LINE_SCHEMA = "line string, source string, file_date string, file_path string"
 _SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 # folder = source, file stem (or date= folder) = date
@@ -22,9 +25,10 @@ def read_lines(
     """Non-blank landed lines with the source and date their path names.
 
     Source and date filters act on file metadata, so files that cannot match
-    are never opened. A missing folder gives no rows.
+    are never opened. A missing folder gives a warning and no rows.
     """
     if not path_exists(spark, raw_dir):
+        log.warning("no such folder: %s", raw_dir)
         return spark.createDataFrame([], _LINE_SCHEMA)
     text = (
         spark.read.option("recursiveFileLookup", "true")
