@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazlake.llm import quality
+from hazlake.llm import packing, quality
 from hazlake.llm.registry import QUERIES, SQL, query, table
+from hazlake.llm.tokens import tokenizer_path
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -52,3 +53,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )
+
+
+WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+@query()
+def op10_min_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document."""
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path(WORD_BPE))
