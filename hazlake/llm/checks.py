@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import packing, quality
+from hazlake.llm import packing, quality, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 
@@ -62,3 +62,10 @@ WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 def op10_min_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document."""
     return packing.pack(table(spark, folder, "documents"), tokenizer_path(WORD_BPE))
+
+
+@query()
+def op7_transducer_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is longer than the limit."""
+    counts = tokencount.token_counts(table(spark, folder, "documents"), tokenizer_path(BYTE_BPE))
+    return counts.withColumn("over_limit", F.col("n_tokens") > tokencount.LIMIT)
