@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import packing, quality, tokencount
+from hazlake.llm import packing, quality, repair, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
+from hazlake.session import shared_dir
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -69,3 +70,11 @@ def op7_transducer_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is longer than the limit."""
     counts = tokencount.token_counts(table(spark, folder, "documents"), tokenizer_path(BYTE_BPE))
     return counts.withColumn("over_limit", F.col("n_tokens") > tokencount.LIMIT)
+
+
+@query()
+def op6_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Write every document's ids, then read each one's start, length and checksum back from the files."""
+    files = f"{shared_dir(spark)}/ids"
+    repair.write_ids(table(spark, folder, "documents"), files, tokenizer_path(BYTE_BPE))
+    return repair.read_documents(spark, files)
