@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import packing, quality, repair, tokencount
+from hazlake.llm import decontaminate, packing, quality, repair, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 from hazlake.session import shared_dir
@@ -78,3 +78,32 @@ def op6_repair_ids(spark: SparkSession, folder: str) -> DataFrame:
     files = f"{shared_dir(spark)}/ids"
     repair.write_ids(table(spark, folder, "documents"), files, tokenizer_path(BYTE_BPE))
     return repair.read_documents(spark, files)
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _sql_shingles(source: str, key: str, size: int) -> str:
+    """SELECT of the distinct (key, shingle) of a table's texts."""
+    words = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+')"
+    return f"""
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {size}
+      THEN list_transform(range(1, len(w) - {size} + 2), lambda i: array_to_string(w[i:i + {size} - 1], ' '))
+      ELSE [array_to_string(w, ' ')] END) AS shingle
+  FROM (SELECT {key}, {words} AS w FROM {source}) WHERE len(w) > 0"""
+
+
+OP5_SQL = f"""
+WITH d AS ({_sql_shingles('documents', 'doc_id', decontaminate.SHINGLE)}),
+b AS ({_sql_shingles('benchmark', 'item_id', decontaminate.SHINGLE)}),
+sizes AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+FROM d JOIN b USING (shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
+"""
+
+
+@query(OP5_SQL)
+def op5_containment_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item it contains."""
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
