@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import decontaminate, packing, quality, repair, tokencount
+from hazlake.llm import decontaminate, neardup, packing, quality, repair, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 from hazlake.session import shared_dir
@@ -107,3 +107,12 @@ GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
 def op5_containment_search(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and benchmark item it contains."""
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP2_SHINGLE = 4
+
+
+@query()
+def op2_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Component of every document under links of four-word shingle sets."""
+    return neardup.near_duplicates(table(spark, folder, "documents"), OP2_SHINGLE)
