@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import decontaminate, neardup, packing, quality, repair, tokencount
+from hazlake.llm import decontaminate, neardup, packing, quality, repair, sitetree, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 from hazlake.session import shared_dir
@@ -116,3 +116,9 @@ OP2_SHINGLE = 4
 def op2_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document under links of four-word shingle sets."""
     return neardup.near_duplicates(table(spark, folder, "documents"), OP2_SHINGLE)
+
+
+@query()
+def op8_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return sitetree.extract(table(spark, folder, "pages"))
