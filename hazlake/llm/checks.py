@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import decontaminate, neardup, packing, quality, repair, sitetree, tokencount
+from hazlake.llm import decontaminate, neardup, ngram, packing, quality, repair, sitetree, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 from hazlake.session import shared_dir
@@ -122,3 +122,10 @@ def op2_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
 def op8_style_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     return sitetree.extract(table(spark, folder, "pages"))
+
+
+@query()
+def op3_elias_fano_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document under the model of those that are not held out."""
+    docs = table(spark, folder, "documents")
+    return ngram.score(docs, ngram.train(docs))
