@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import decontaminate, neardup, ngram, packing, quality, repair, sitetree, tokencount
+from hazlake.llm import decontaminate, neardup, ngram, packing, quality, repair, revisits, sitetree, snapshots, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 from hazlake.session import shared_dir
@@ -129,3 +129,84 @@ def op3_elias_fano_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     """Score of every document under the model of those that are not held out."""
     docs = table(spark, folder, "documents")
     return ngram.score(docs, ngram.train(docs))
+
+
+OP1_SQL = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), c AS (
+  SELECT conv_id, count(*)::INT AS n_turns, max(turn) AS last,
+    string_agg(concat(turn, chr(1), role, chr(1), text, chr(2)), '' ORDER BY turn, role, text) AS sign,
+    string_agg(concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)), '' ORDER BY turn, role, text) AS text
+  FROM t GROUP BY conv_id
+), p AS (
+  SELECT DISTINCT md5(string_agg(concat(turn, chr(1), role, chr(1), text, chr(2)), '')
+    OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)) AS prefix,
+    lead(turn) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS next, turn
+  FROM t
+), u AS (
+  SELECT min(conv_id) AS conv_id, count(*) AS copies, any_value(n_turns) AS n_turns, sign, any_value(text) AS text FROM c GROUP BY sign
+)
+SELECT conv_id, copies, n_turns, text FROM u WHERE md5(sign) NOT IN (SELECT prefix FROM p WHERE next > turn)
+"""
+
+
+@query(OP1_SQL)
+def op1_snapshot_collapse(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation that no longer one continues, rendered."""
+    return snapshots.rendered(table(spark, folder, "conversations"))
+
+
+def page_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages as captures: two in three are responses, the others not-modified answers, at ten addresses of their host."""
+    page = F.col("page_id")
+    host = F.regexp_extract("url", "://([^/:?#]+)", 1)
+    spelt = F.when(page % 4 == 0, F.concat(F.lit("HTTP://www."), F.upper(host), F.lit(":80"))).otherwise(F.concat(F.lit("https://"), host))
+    url = F.concat(spelt, F.lit("/item/"), (page % 10).cast("string"), F.when(page % 5 == 0, "?utm_source=x&b=1&a=2#top").otherwise("/?a=2&b=1"))
+    stale = page % 3 == 0
+    at = F.timestamp_seconds(1_700_000_000 + page * 7_919 % 5_000_000)
+    tag = F.when(page % 7 != 0, F.concat(F.when(page % 11 == 0, "W/").otherwise(""), F.lit('"v'), (page % 10 % 3 + F.when(page % 40 == 1, 1).otherwise(0)).cast("string"), F.lit('"')))
+    size = F.octet_length("html").cast("string")
+    names = F.array(*[F.lit(n) for n in ("ETag", "Date", "Cache-Control", "Content-Length", "Content-Type", "CONNECTION")])
+    values = F.array(
+        tag, page.cast("string"), F.concat(F.lit("max-age="), (page % 100).cast("string")), F.when(stale, "0").otherwise(size),
+        F.when(~stale, "text/html"), F.when(stale, "close"),
+    )
+    headers = F.map_filter(F.map_from_arrays(names, values), lambda k, v: v.isNotNull())
+    payload = F.when(~stale, F.md5("html"))
+    return table(spark, folder, "pages").select(
+        page.alias("record_id"), url.alias("url"), at.alias("at"), F.when(stale, 304).otherwise(200).alias("status"), headers.alias("headers"), payload.alias("payload"),
+    )
+
+
+OP9_SQL = """
+WITH c AS (
+  SELECT page_id AS record_id, concat(regexp_replace(lower(concat(CASE WHEN page_id % 4 = 0 THEN 'www.' ELSE '' END, regexp_extract(url, '://([^/:?#]+)', 1))), '^www\\.', ''), '/item/', page_id % 10, '/?a=2&b=1') AS place,
+    page_id * 7919 % 5000000 AS at, page_id % 3 = 0 AS stale, strlen(html) AS size, md5(html) AS digest,
+    CASE WHEN page_id % 7 <> 0 THEN concat(CASE WHEN page_id % 11 = 0 THEN 'W/' ELSE '' END, '"v', page_id % 10 % 3 + CASE WHEN page_id % 40 = 1 THEN 1 ELSE 0 END, '"') END AS tag
+  FROM pages
+), f AS (
+  SELECT r.*, s.record_id AS source_id, s.size AS stored_size, s.digest AS stored_digest, s.tag AS stored_tag,
+    row_number() OVER (PARTITION BY r.record_id ORDER BY s.at DESC, s.record_id DESC) AS k
+  FROM c r LEFT JOIN c s ON s.place = r.place AND NOT s.stale AND s.at < r.at WHERE r.stale
+), o AS (
+  SELECT *, CASE WHEN source_id IS NULL THEN 'no_earlier'
+    WHEN tag IS NOT NULL AND stored_tag IS NOT NULL AND (tag = stored_tag OR ((tag LIKE 'W/%' OR stored_tag LIKE 'W/%') AND replace(tag, 'W/', '') = replace(stored_tag, 'W/', ''))) THEN 'resolved'
+    WHEN tag IS NOT NULL THEN 'changed' WHEN stored_tag IS NULL THEN 'resolved' ELSE 'unconfirmed' END AS outcome
+  FROM f WHERE k = 1
+)
+SELECT record_id, place, source_id, outcome, CASE WHEN outcome = 'resolved' THEN stored_digest END AS payload,
+  CASE WHEN outcome = 'resolved'
+    THEN concat('cache-control=max-age=', record_id % 100, ';content-length=', stored_size, ';content-type=text/html;date=', record_id, CASE WHEN tag IS NULL THEN '' ELSE concat(';etag=', tag) END)
+    ELSE concat('cache-control=max-age=', record_id % 100, ';connection=close;content-length=0;date=', record_id, CASE WHEN tag IS NULL THEN '' ELSE concat(';etag=', tag) END) END AS headers
+FROM o
+"""
+
+
+@query(OP9_SQL)
+def op9_not_modified(spark: SparkSession, folder: str) -> DataFrame:
+    """Every not-modified capture with the response it stands for, its payload's digest and its headers in order."""
+    found = revisits.resolve(page_captures(spark, folder))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return found.select("record_id", "place", "source_id", "outcome", "payload", F.array_join(lines, ";").alias("headers"))
