@@ -65,11 +65,14 @@ def local_name(url: Column, kind: Column) -> Column:
     return F.concat(folder, F.md5(url.cast("binary")), extension)
 
 
-def passes_size_gate(kind: Column, length: Column, width: Column, height: Column) -> Column:
-    """At most 10 MB, and images of known size at least 300 x 200."""
+def passes_size_gate(
+    kind: Column, length: Column, width: Column, height: Column,
+    max_bytes: int = tx.MAX_FILE_BYTES, min_width: int = tx.MIN_IMAGE_WIDTH, min_height: int = tx.MIN_IMAGE_HEIGHT,
+) -> Column:
+    """At most ``max_bytes`` (10 MB), and images of known size at least ``min_width`` x ``min_height`` (300 x 200)."""
     known = (F.coalesce(width, F.lit(0)) > 0) & (F.coalesce(height, F.lit(0)) > 0)
-    small = (kind == "image") & known & ((width < tx.MIN_IMAGE_WIDTH) | (height < tx.MIN_IMAGE_HEIGHT))
-    return (length <= tx.MAX_FILE_BYTES) & ~small
+    small = (kind == "image") & known & ((width < min_width) | (height < min_height))
+    return (length <= max_bytes) & ~small
 
 
 def size_kb(length: Column) -> Column:

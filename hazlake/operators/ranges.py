@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 CELL_DEGREES = 1.0
+CELLS = ["lat_cell", "lon_cell"]
 
 
 def _date_prune(lake: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -42,19 +43,22 @@ def bbox(lake: DataFrame, min_lat: float, max_lat: float, min_lon: float, max_lo
     """
     out = lake
     if "lat_cell" in lake.columns:
-        out = out.filter(F.col("lat_cell").between(math.floor(min_lat / CELL_DEGREES), math.floor(max_lat / CELL_DEGREES)))
-        out = out.filter(F.col("lon_cell").between(math.floor(min_lon / CELL_DEGREES), math.floor(max_lon / CELL_DEGREES)))
+        # Rows stored before there were cells have none; their points decide.
+        for cell, least, most in (("lat_cell", min_lat, max_lat), ("lon_cell", min_lon, max_lon)):
+            inside = F.col(cell).between(math.floor(least / CELL_DEGREES), math.floor(most / CELL_DEGREES))
+            out = out.filter(inside | F.col(cell).isNull())
     return out.filter(F.col("lat").between(min_lat, max_lat) & F.col("lon").between(min_lon, max_lon))
 
 
-def _cell(degrees: Column) -> Column:
+def cell_of(degrees: Column) -> Column:
+    """Number of the grid row or column a coordinate lies in."""
     return F.floor(degrees / CELL_DEGREES).cast("int")
 
 
 def grid_cells(lake: DataFrame) -> DataFrame:
     """One row per record with a position: id, point, and the cell it lies in."""
     return lake.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
-        "lake_id", "lat", "lon", _cell(F.col("lat")).alias("lat_cell"), _cell(F.col("lon")).alias("lon_cell")
+        "lake_id", "lat", "lon", cell_of(F.col("lat")).alias("lat_cell"), cell_of(F.col("lon")).alias("lon_cell")
     )
 
 

@@ -205,7 +205,7 @@ def search_postings(posts: DataFrame, stats: DataFrame, words: str, limit: int |
     if "bucket" in posts.columns:
         hits = hits.filter(reduce(lambda a, b: a | b, [F.col("bucket") == b for b in buckets]))
     corpus = stats.agg(
-        F.struct(F.sum("docs").cast("double").alias("n"), (F.sum("tokens") / F.sum("docs")).alias("avg_len")).alias("t")
+        F.struct(F.sum("docs").cast("double").alias("n"), F.try_divide(F.sum("tokens"), F.sum("docs")).alias("avg_len")).alias("t")
     ).scalar()
     found = hits.agg(
         F.struct(*[F.count_if(F.col("token") == w).cast("double").alias(f"h{i}") for i, w in enumerate(wanted)]).alias("t")

@@ -49,7 +49,7 @@ def sql_r6(expr: str) -> str:
 
 KEYWORDS = ["of the", "The Of", "and The", "de la", "la de", "der und", "is on", "that with", "the ing", "sch"]
 HAZARDS = (("A", ("thing",)), ("B", ("ment",)), ("C", ("eau",)))
-TERMS = Taxonomy(hazards=HAZARDS, critical=("sos",), warning=("ther",))
+TERMS_500 = Taxonomy(hazards=HAZARDS, critical=("sos",), warning=("ther",), scan_chars=500)
 TERMS_WHOLE = Taxonomy(hazards=HAZARDS, critical=("sos",), warning=("ther",), scan_chars=None)
 
 SQL_HITS = "list_filter([" + ", ".join(f"'{k}'" for k in KEYWORDS) + "], lambda k: contains(lower(text), lower(k)))"

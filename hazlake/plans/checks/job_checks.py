@@ -86,15 +86,22 @@ _AS_OF = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
 WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS id, {_SQL_TS} AS made FROM documents UNION ALL SELECT concat('r', doc_id), {_SQL_TS} FROM documents),
 p AS (SELECT doc_id, source, text, {_SQL_TS} + CASE WHEN doc_id % 2 = 0 THEN INTERVAL 500 MILLISECOND ELSE INTERVAL 0 SECOND END AS made FROM documents),
 listed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY made DESC, CAST(doc_id AS VARCHAR)) AS n, concat('Post ', doc_id, ' ', text) AS body FROM p)
-SELECT source_type, record_id FROM (
+SELECT 'all' AS taken, 'twitter' AS source_type, id AS record_id FROM t WHERE made >= TIMESTAMP '2024-01-23 12:00:00'
+UNION ALL SELECT 'all', 'reddit', CAST(doc_id AS VARCHAR) FROM listed WHERE made >= TIMESTAMP '2024-01-23 12:00:00' AND {_sql_hits('body')} <> ''
+UNION ALL SELECT 'capped', source_type, record_id FROM (
   SELECT 'twitter' AS source_type, id AS record_id, row_number() OVER (ORDER BY made DESC, id) AS n FROM t WHERE made >= TIMESTAMP '2024-01-23 12:00:00'
-) WHERE n <= 500
-UNION ALL SELECT 'reddit', CAST(doc_id AS VARCHAR) FROM listed
-WHERE n <= 100 AND made >= TIMESTAMP '2024-01-23 12:00:00' AND {_sql_hits('body')} <> ''""")
+) WHERE n <= 50
+UNION ALL SELECT 'capped', 'reddit', CAST(doc_id AS VARCHAR) FROM listed
+WHERE n <= 10 AND made >= TIMESTAMP '2024-01-23 12:00:00' AND {_sql_hits('body')} <> ''""")
 def collect_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed tweets and posts of the last week: unique, capped per source, relevant."""
+    """Landed tweets and posts of the last week, unique and relevant: all of them, and with caps asked for."""
     landing = f"{shared_dir(spark)}/landing"
     tweet_pages(spark, folder).select("payload").write.text(f"{landing}/twitter")
     posts(spark, folder).select("payload").write.text(f"{landing}/reddit")
-    found = collect_texts(spark, landing, _AS_OF, 7, b.KEYWORDS)
-    return found["twitter"].unionByName(found["reddit"]).select("source_type", "record_id")
+    whole = collect_texts(spark, landing, _AS_OF, 7, b.KEYWORDS)
+    capped = collect_texts(spark, landing, _AS_OF, 7, b.KEYWORDS, max_tweets=50, max_posts=10)
+
+    def taken(name: str, found: dict[str, DataFrame]) -> DataFrame:
+        return found["twitter"].unionByName(found["reddit"]).select(F.lit(name).alias("taken"), "source_type", "record_id")
+
+    return taken("all", whole).unionByName(taken("capped", capped))

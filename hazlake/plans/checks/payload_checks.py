@@ -6,7 +6,7 @@ from hazlake.functions.times import iso_utc, parse_feed_date
 from hazlake.operators.dedupe import first_arrival
 from hazlake.plans.checks import base as b
 from hazlake.sources import payloads
-from hazlake.sources.articles import ENTITIES, article_text, lead_image
+from hazlake.sources.articles import article_text, lead_image
 
 def _id() -> Column:
     return F.col("doc_id")
@@ -148,8 +148,17 @@ def parse_news(spark: SparkSession, folder: str) -> DataFrame:
 _SPACES_SQL = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), chr(133), chr(160))"
 
 
+# The references that occur in the given pages; &amp; is decoded last.
+_ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&copy;": "©",
+    "&reg;": "®", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
+    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&euro;": "€", "&deg;": "°",
+    "&amp;": "&",
+}
+
+
 def _sql_entities(text: str) -> str:
-    for name, char in ENTITIES.items():
+    for name, char in _ENTITIES.items():
         quoted = char.replace("'", "''")
         text = f"replace({text}, '{name}', '{quoted}')"
     return text
@@ -182,9 +191,9 @@ SELECT page_id, body, substring(body, 1, 3000) AS stored_body,
   CASE page_id % 4 WHEN 0 THEN concat('https://img.example.org/', page_id, '.jpg?a=1&b=2') WHEN 1 THEN concat('http://tw.example.org/', page_id, '.png') END AS image
 FROM t""")
 def page_text_image(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole body text, the stored body, and the lead image."""
+    """Whole body text, its leading part, and the lead image."""
     return _pages_with_image(spark, folder).select(
-        "page_id", article_text(F.col("html"), None).alias("body"), article_text(F.col("html")).alias("stored_body"),
+        "page_id", article_text(F.col("html"), None).alias("body"), article_text(F.col("html"), 3000).alias("stored_body"),
         lead_image(F.col("html")).alias("image"),
     )
 
@@ -206,7 +215,7 @@ def feed_items(spark: SparkSession, folder: str) -> DataFrame:
 @b.check(f"""
 WITH i AS (
   SELECT d.doc_id, d.source, concat('Item ', d.doc_id) AS title, trim(regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', ' ', 'g'), concat(' ', chr(9), chr(10), chr(13))) AS summary,
-    coalesce(p.url, '') AS link, CASE WHEN p.url IS NULL THEN '' ELSE substring({_sql_article('p.html')}, 1, 3000) END AS body
+    coalesce(p.url, '') AS link, CASE WHEN p.url IS NULL THEN '' ELSE {_sql_article('p.html')} END AS body
   FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id
 ), q AS (SELECT *, concat(title, ' ', summary) AS quick FROM i),
 h AS (SELECT *, {_sql_hits('quick')} AS hits FROM q)

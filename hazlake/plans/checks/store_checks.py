@@ -59,16 +59,16 @@ def dedupe_first(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @b.check("""
-WITH e AS (SELECT *, value > 50 AS late FROM events),
-first AS (SELECT *, row_number() OVER (PARTITION BY late, user_id, event_type ORDER BY ts, event_id) AS n FROM e)
-SELECT event_id, user_id, event_type FROM first f WHERE n = 1 AND late
-AND NOT EXISTS (SELECT 1 FROM e WHERE NOT e.late AND e.user_id = f.user_id AND e.event_type = f.event_type)""")
+WITH e AS (SELECT *, event_id % 3 = 0 AS late, strftime(ts, '%Y-%m-%d') AS day FROM events),
+first AS (SELECT *, row_number() OVER (PARTITION BY late, user_id, event_type, day ORDER BY ts, event_id) AS n FROM e)
+SELECT event_id, user_id, event_type, day FROM first f WHERE n = 1 AND late
+AND NOT EXISTS (SELECT 1 FROM e WHERE NOT e.late AND e.user_id = f.user_id AND e.event_type = f.event_type AND e.day = f.day)""")
 def new_versus_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """Large events whose user and type never had a small one."""
-    keys, order = ["user_id", "event_type"], [F.col("ts"), F.col("event_id")]
-    events = b.load(spark, folder, "events")
-    batch = first_arrival(events.filter("value > 50"), keys, order)
-    return new_rows(batch, events.filter("value <= 50"), keys).select("event_id", *keys)
+    """Every third event whose user had no other of its type on that day."""
+    keys, order = ["user_id", "event_type", "day"], [F.col("ts"), F.col("event_id")]
+    events = b.load(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    batch = first_arrival(events.filter("event_id % 3 = 0"), keys, order)
+    return new_rows(batch, events.filter("event_id % 3 <> 0"), keys).select("event_id", *keys)
 
 
 _BOTH = b.sql_lake() + """, batches AS (
@@ -118,7 +118,7 @@ def silver_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def silver_partitions(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_dir(spark)}/silver"
     tables.write_silver(b.doc_lake(spark, folder), path)
-    return tables.list_partitions(tables.read_silver(spark, path))
+    return tables.list_partitions(spark, path)
 
 
 @b.check(f"""

@@ -1,11 +1,14 @@
 """Streams over landed files, run to the end of what has landed."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazlake.plans.checks import base as b
-from hazlake.plans.checks.payload_checks import TWEETS_SQL, _sql_hits, flat_text_records, posts, tweet_pages
+from hazlake.plans.checks.payload_checks import TWEETS_SQL, _SQL_TS, _sql_hits, flat_text_records, posts, tweet_pages
+from hazlake.plans.lake import Lake
 from hazlake.session import shared_dir
-from hazlake.sources import bronze, tables
+from hazlake.sources import bronze
 from hazlake.streaming import intake
 
 
@@ -39,14 +42,14 @@ def stream_normalize(spark: SparkSession, folder: str) -> DataFrame:
 
 @b.check(b.sql_lake() + _STREAMED)
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record lands twice and the whole run is repeated; the store holds each once."""
+    """Every record lands twice, days of a month in any order, and the whole run is repeated; the store holds each once."""
     home = shared_dir(spark)
     records = b.doc_records(spark, folder).drop("doc_id")
     lines = intake.stream_lines(spark, _landed(records.unionAll(records), home, 6), 3)
+    lake = Lake(spark, f"{home}/raw", f"{home}/lake", b.TERMS_WHOLE)
     for attempt in range(2):
-        silver = intake.drop_repeats(intake.stream_records(lines, b.TERMS_WHOLE), ["lake_id"], "40 days")
-        intake.start_store_sink(silver, f"{home}/store", f"{home}/checkpoint{attempt}").awaitTermination()
-    return tables.read_table(spark, f"{home}/store", "lake_records").select(
+        intake.start_store_sink(lines, lake, f"{home}/checkpoint{attempt}").awaitTermination()
+    return lake.table("lake_records").select(
         "lake_id", "source_type", "record_id", "date_partition", "hazard_type", "hazard_severity", "text"
     )
 
@@ -62,7 +65,8 @@ def _intake(spark: SparkSession, payloads: DataFrame, source: str) -> DataFrame:
     home = shared_dir(spark)
     payloads.select(F.col("payload").alias("value")).repartition(4).write.text(f"{home}/landing/{source}")
     started = intake.start_intake(
-        spark, f"{home}/landing", f"{home}/raw", f"{home}/checkpoints", sources=(source,), poll=False, keywords=b.KEYWORDS
+        spark, f"{home}/landing", f"{home}/raw", f"{home}/checkpoints", sources=(source,), poll=False, keywords=b.KEYWORDS,
+        as_of=datetime(2024, 1, 30, 12, tzinfo=timezone.utc),
     )
     for query in started.values():
         query.awaitTermination()
@@ -71,9 +75,10 @@ def _intake(spark: SparkSession, payloads: DataFrame, source: str) -> DataFrame:
 
 @b.check(f"""
 WITH p AS (SELECT *, concat('Post ', doc_id, ' ', text) AS body FROM documents UNION ALL SELECT *, concat('Post ', doc_id, ' ', text) FROM documents WHERE doc_id % 3 = 0)
-SELECT CAST(doc_id AS VARCHAR) AS record_id, body AS text FROM p WHERE {_sql_hits('body')} <> ''""")
+SELECT CAST(doc_id AS VARCHAR) AS record_id, body AS text FROM p
+WHERE {_sql_hits('body')} <> '' AND {_SQL_TS} + CASE WHEN doc_id % 2 = 0 THEN INTERVAL 500 MILLISECOND ELSE INTERVAL 0 SECOND END >= TIMESTAMP '2024-01-29 12:00:00'""")
 def stream_reddit(spark: SparkSession, folder: str) -> DataFrame:
-    """Polled posts; what a second poll brings again is appended again."""
+    """Polled posts of the last day; what a second poll brings again is appended again."""
     return _intake(spark, posts(spark, folder), "reddit").select("record_id", "text")
 
 

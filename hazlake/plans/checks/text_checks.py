@@ -19,7 +19,7 @@ def hazard_classify(spark: SparkSession, folder: str) -> DataFrame:
     docs = b.load(spark, folder, "documents").withColumn("hits", keyword_hits(F.col("text"), b.KEYWORDS))
     return docs.select(
         "doc_id",
-        hazard_type(F.col("hits"), F.col("text"), b.TERMS).alias("hazard_type"),
+        hazard_type(F.col("hits"), F.col("text"), b.TERMS_500).alias("hazard_type"),
         hazard_type(F.col("hits"), F.col("text"), b.TERMS_WHOLE).alias("hazard_type_whole"),
     )
 
@@ -34,7 +34,7 @@ def severity_classify(spark: SparkSession, folder: str) -> DataFrame:
     )
     return docs.select(
         "doc_id",
-        hazard_severity(F.col("hits"), F.col("text"), b.TERMS).alias("severity"),
+        hazard_severity(F.col("hits"), F.col("text"), b.TERMS_500).alias("severity"),
         hazard_severity(F.col("hits"), F.col("text"), b.TERMS_WHOLE).alias("severity_whole"),
         hazard_severity(F.col("hits"), F.col("text"), b.TERMS_WHOLE, mark).alias("severity_marked"),
     )
@@ -52,7 +52,7 @@ def _flat(lake: DataFrame) -> DataFrame:
     return lake.withColumns({c: F.array_join(c, "|") for c in ("keywords_hit", "media_urls")})
 
 
-@b.check(b.sql_lake(500) + """
+@b.check(b.sql_lake() + """
 SELECT lake_id, source_type, source_name, record_id, collected_at, published_at, date_partition, url, text, language,
   array_to_string(keywords_hit, '|') AS keywords_hit, hazard_type, hazard_severity, location_name, lat, lon, media_urls,
   engagement_score
@@ -61,7 +61,7 @@ def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
     """documents as landed JSON lines, through the line parser to silver."""
     records = b.doc_records(spark, folder).drop("doc_id").withColumn("raw_payload", F.parse_json("raw_payload"))
     lines = records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
-    return _flat(normalize(parse_lines(lines), b.TERMS)).select(
+    return _flat(normalize(parse_lines(lines), b.TERMS_WHOLE)).select(
         "lake_id", "source_type", "source_name", "record_id", "collected_at", "published_at", "date_partition", "url",
         "text", "language", "keywords_hit", "hazard_type", "hazard_severity", "location_name", "lat", "lon",
         "media_urls", "engagement_score",

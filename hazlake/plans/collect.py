@@ -13,7 +13,7 @@ from hazlake.operators import media as media_ops
 from hazlake.operators.dedupe import cap_per_group, first_arrival, lookback
 from hazlake.operators.reports import collector_summary
 from hazlake.plans.lake import Lake
-from hazlake.session import Scratch, path_exists
+from hazlake.session import Scratch, path_exists, stage
 from hazlake.sources import bronze, payloads
 
 TEXT_SOURCES = ["twitter", "reddit", "news_api", "rss"]
@@ -37,22 +37,32 @@ def collect_texts(
     as_of: datetime,
     days: int = tx.LOOKBACK_DAYS,
     keywords=tx.DISASTER_KEYWORDS,
+    max_tweets: int | None = None,
+    max_posts: int | None = None,
+    body_chars: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Text records by source from what has landed: recent, capped and unique per source."""
+    """Text records by source from what has landed: recent and unique per source.
+
+    ``max_tweets`` and ``max_posts`` (per subreddit) cap what is taken, newest
+    first, and ``body_chars`` the length of an article's body, where one asks for that.
+    """
     stamp = F.lit(as_of.isoformat())
     out = {}
     tweets = _landed(spark, landing_dir, "twitter")
     if tweets is not None:
         records = _unique_recent(payloads.parse_tweets(tweets, stamp, "payload", keywords), as_of, days)
-        newest = [F.desc("_created"), F.col("record_id")]
-        out["twitter"] = cap_per_group(records, "source_name", tx.MAX_TWEETS, newest).drop("_created")
+        if max_tweets is not None:
+            records = cap_per_group(records, "source_name", max_tweets, [F.desc("_created"), F.col("record_id")])
+        out["twitter"] = records.drop("_created")
     posts = _landed(spark, landing_dir, "reddit")
     if posts is not None:
         # The cap is on posts seen, not on relevant ones: it comes before the keyword test.
         seen = once(posts, {"p": F.from_json("payload", "id string, subreddit string, created_utc double")})
         seen = seen.select("payload", "p.id", "p.subreddit", F.timestamp_micros((F.col("p.created_utc") * 1_000_000).cast("bigint")).alias("created"))
         newest = [F.desc("created"), F.col("id")]
-        listed = cap_per_group(first_arrival(seen, ["id"], newest), "subreddit", tx.MAX_POSTS_PER_SUBREDDIT, newest)
+        listed = first_arrival(seen, ["id"], newest)
+        if max_posts is not None:
+            listed = cap_per_group(listed, "subreddit", max_posts, newest)
         recent = lookback(listed, "created", as_of, days).select("payload")
         out["reddit"] = payloads.parse_reddit(recent, stamp, "payload", keywords)
     articles = _landed(spark, landing_dir, "news_api")
@@ -63,9 +73,10 @@ def collect_texts(
         pages_dir = f"{landing_dir}/pages"
         pages = spark.read.parquet(pages_dir) if path_exists(spark, pages_dir) else None
         entries = payloads.read_feed(spark, f"{landing_dir}/rss")
-        # Unique before the page lookup, so that a link found in every feed is looked up once.
-        unique = first_arrival(payloads.relevant_entries(entries, keywords), ["named"], [F.col("feed")])
-        out["rss"] = payloads.parse_rss(unique, stamp, pages, keywords)
+        # Unique before the page lookup, so that a link found in every feed is looked up once; staged, so
+        # that feeds are read and parsed once although the lookup uses the entries twice.
+        unique = stage(first_arrival(payloads.relevant_entries(entries, keywords), ["named"], [F.col("feed")]), "entries")
+        out["rss"] = payloads.parse_rss(unique, stamp, pages, keywords, body_chars)
     return out
 
 
@@ -82,11 +93,11 @@ def collect_weather(spark: SparkSession, landing_dir: str, as_of: datetime) -> D
 def collect(
     spark: SparkSession, landing_dir: str, raw_dir: str, as_of: datetime,
     days: int = tx.LOOKBACK_DAYS, keywords=tx.DISASTER_KEYWORDS, media_dir: str | None = None,
-    domains=tx.MEDIA_DOMAINS, only: list[str] | None = None,
+    domains=tx.MEDIA_DOMAINS, only: list[str] | None = None, max_tweets: int | None = None, max_posts: int | None = None,
 ) -> DataFrame:
     """Append every landed source to bronze, then media found through the text records; returns counts by source."""
     day = F.lit(as_of.strftime("%Y-%m-%d"))
-    found = dict(collect_texts(spark, landing_dir, as_of, days, keywords))
+    found = dict(collect_texts(spark, landing_dir, as_of, days, keywords, max_tweets, max_posts))
     weather = collect_weather(spark, landing_dir, as_of)
     if weather is not None:
         found["weather"] = weather
@@ -114,11 +125,12 @@ def _save(records: DataFrame, source: str, raw_dir: str, day: Column) -> DataFra
 def full_run(
     lake: Lake, landing_dir: str, as_of: datetime, days: int = tx.LOOKBACK_DAYS,
     collect_only: bool = False, lake_only: bool = False, date: str | None = None, media_dir: str | None = None,
+    max_tweets: int | None = None, max_posts: int | None = None,
 ) -> dict[str, DataFrame | dict]:
     """Land, ingest, report."""
     out: dict[str, DataFrame | dict] = {}
     if not lake_only:
-        out["collected"] = collect(lake.spark, landing_dir, lake.raw_dir, as_of, days, media_dir=media_dir)
+        out["collected"] = collect(lake.spark, landing_dir, lake.raw_dir, as_of, days, media_dir=media_dir, max_tweets=max_tweets, max_posts=max_posts)
     if not collect_only:
         out["ingested"] = lake.run(date=date)
         out["stats"], out["hazard_summary"] = lake.stats(), lake.hazard_summary()

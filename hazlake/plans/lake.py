@@ -41,17 +41,33 @@ class Lake:
         A run narrowed to a date or source merges into the folders it touches,
         because a file's records may belong to a folder other files share.
         """
+        return self.ingest(bronze.load_bronze(self.spark, self.raw_dir, source, date), merge=bool(date or source))
+
+    def ingest(self, parsed: DataFrame, merge: bool) -> dict[str, int]:
+        """Parsed lines to silver, the store, its index and the bronze tables; returns the counters."""
         with Scratch(self.spark) as scratch:
-            # Lines are parsed once; everything below reads the staged columns.
-            parsed = scratch.stage(bronze.load_bronze(self.spark, self.raw_dir, source, date).select("shape", "rec"))
+            # Lines are parsed once and records normalised and labelled once; everything below reads staged columns.
+            parsed = scratch.stage(parsed.select("shape", "rec"))
             counts = norm.ingest_counts(parsed).first().asDict()
-            records = norm.normalize(parsed, self.taxonomy)
-            tables.write_silver(records, self.silver_dir, merge=bool(date or source))
-            inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records")
-            self._index(inserted)
-            self._append_cells(inserted, scratch)
+            records = scratch.stage(norm.normalize(parsed, self.taxonomy))
+            tables.write_silver(records, self.silver_dir, merge=merge)
+            inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records").count()
             self._insert_bronze(parsed)
-            return {**counts, "written": counts["normalized"], "inserted": inserted.count()}
+            self._upkeep(scratch, tables.days_of(records))
+            return {**counts, "written": counts["normalized"], "inserted": inserted}
+
+    def _upkeep(self, scratch: Scratch, days: list[str] | None = None) -> int:
+        """Index and grid cells of stored records that have none yet; returns the new cells.
+
+        Goes by what is stored, not by what was just inserted, so records of a job that died
+        after its insert are found again by the next one. ``days`` limits the look to those folders.
+        """
+        records = tables.of_days(self.table("lake_records"), days)
+        fresh = scratch.stage(records.join(self._visible("indexed").select("lake_id"), "lake_id", "left_anti"))
+        self._index(fresh)
+        cells = scratch.stage(ranges.missing_cells(records, self.derived("cells")))
+        cells.write.mode("append").parquet(f"{self.store_dir}/cells")
+        return cells.count()
 
     def _insert_bronze(self, parsed: DataFrame) -> None:
         for table, rows in (
@@ -67,6 +83,8 @@ class Lake:
         Searches see a batch only once its ``corpus`` row is there, which is
         written last, so a job that dies half-way leaves nothing counted twice.
         """
+        if records.isEmpty():
+            return
         batch = F.lit(uuid.uuid4().hex).alias("batch")
         (
             search.postings(records).select("*", batch)
@@ -83,22 +101,14 @@ class Lake:
         for name in ("corpus", "postings", "indexed", "cells"):
             self.spark.createDataFrame([], DERIVED[name]).write.mode("overwrite").parquet(f"{self.store_dir}/{name}")
         records = self.table("lake_records")
-        self._index(records)
+        with Scratch(self.spark) as scratch:
+            self._index(scratch.stage(records))
         ranges.grid_cells(records).write.mode("append").parquet(f"{self.store_dir}/cells")
 
     def _visible(self, name: str) -> DataFrame:
         """Rows of complete index batches."""
         return self.derived(name).join(self.derived("corpus").select("batch"), "batch", "left_semi")
 
-    def _unindexed(self) -> DataFrame:
-        done = self._visible("indexed").select("lake_id")
-        return self.table("lake_records").join(done, "lake_id", "left_anti")
-
-    def _append_cells(self, records: DataFrame, scratch: Scratch) -> int:
-        fresh = scratch.stage(ranges.missing_cells(records, self.derived("cells")))
-        fresh.write.mode("append").parquet(f"{self.store_dir}/cells")
-        return fresh.count()
-
     def derived(self, name: str) -> DataFrame:
         """``postings``, ``indexed``, ``corpus`` or ``cells``; empty when nothing was stored yet."""
         path, schema = f"{self.store_dir}/{name}", DERIVED[name]
@@ -115,11 +125,10 @@ class Lake:
             self._insert_bronze(parsed)
             silver = tables.reload_silver(self.spark, self.silver_dir)
             inserted = tables.insert_or_ignore(silver, self.store_dir, "lake_records")
-            self._index(scratch.stage(self._unindexed()))
             return {
                 "raw": found.get("text", 0), "weather": found.get("weather", 0), "media": found.get("media", 0),
                 "error": found.get("error", 0), "lake": inserted.count(),
-                "cells": self._append_cells(self.table("lake_records"), scratch),
+                "cells": self._upkeep(scratch),
             }
 
     # -- reports ------------------------------------------------------------------
@@ -163,7 +172,7 @@ class Lake:
             self.table(name).createOrReplaceTempView(name)
         return self.spark.sql(sql, args=args or None)
 
-    def search_text(self, match: search.Match | str, limit: int = 50) -> DataFrame:
+    def search_text(self, match: search.Match | str, limit: int | None = 50) -> DataFrame:
         """Best records for plain words (by the text index) or for a ``Match`` (by scan)."""
         records = self.table("lake_records")
         if isinstance(match, str):
@@ -172,7 +181,7 @@ class Lake:
         return search.search(records, match, limit)
 
     def query_bbox(self, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
-        return ranges.bbox(self.table("lake_records"), min_lat, max_lat, min_lon, max_lon)
+        return ranges.bbox(tables.read_cells(self.spark, self.store_dir), min_lat, max_lat, min_lon, max_lon).drop(*ranges.CELLS)
 
     def query_time_range(
         self, start: str, end: str, source_type: str | None = None, hazard_type: str | None = None
@@ -220,4 +229,5 @@ def _export(df: DataFrame, output: str, format: str, sort: str | None = None) ->
     arrays = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
     flat = out.withColumns({name: F.to_json(name) for name in arrays})
     flat.write.mode("overwrite").option("header", "true").option("escape", '"').csv(output)
-    return df.sparkSession.read.schema(flat.schema).option("header", "true").option("escape", '"').csv(output)
+    reader = df.sparkSession.read.schema(flat.schema).option("header", "true").option("escape", '"')
+    return reader.option("multiLine", "true").csv(output)

@@ -2,20 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
-from hazlake.taxonomy import ARTICLE_BODY_CHARS
-
-# Named character references that occur in article text. &amp; is decoded last.
-ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ", "&copy;": "©",
-    "&reg;": "®", "&middot;": "·", "&bull;": "•", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—",
-    "&lsquo;": "‘", "&rsquo;": "’", "&ldquo;": "“", "&rdquo;": "”", "&euro;": "€", "&deg;": "°",
-    "&amp;": "&",
-}
-
 _SKIPPED = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 # A paragraph starts at its tag and runs to its end tag, the next paragraph, or the end of its container.
 _PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
@@ -29,22 +19,39 @@ def _char(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
+def _numbered(digits: Column, base: int) -> Column:
+    """The character of a numeric reference of any length; U+FFFD where there is none."""
+    short = F.regexp_replace(digits, "^0+", "")
+    # More than seven digits are beyond every character; their number is not looked at.
+    code = F.when(F.length(short) > 7, F.lit(0)).otherwise(F.conv(F.concat(F.lit("0"), short), base, 10).cast("int"))
+    none = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    # Codes of the C1 controls mean the characters of Windows-1252, where it has one.
+    c1 = code.between(0x80, 0x9F) & ~code.isin(0x81, 0x8D, 0x8F, 0x90, 0x9D)
+    windows = F.element_at(F.array(*[F.lit(bytes([k]).decode("cp1252", "replace")) for k in range(0x80, 0xA0)]), F.greatest(F.lit(1), code - 0x7F))
+    return F.when(none, "\ufffd").when(c1, windows).otherwise(_char(code))
+
+
+def _named() -> Column:
+    """Character by name, of all references of HTML that end in a semicolon."""
+    pairs = [x for name, char in html5.items() if name.endswith(";") for x in (F.lit(name[:-1]), F.lit(char))]
+    return F.create_map(*pairs)
+
+
 def decode_entities(text: Column) -> Column:
-    """Numeric references, then the named ones of ``ENTITIES``."""
-    decimal = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,6});"), 1))
-    hexes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#[xX]([0-9a-fA-F]{1,5});"), 1))
-    out = F.aggregate(
-        decimal, text,
-        lambda acc, n: F.replace(acc, F.concat(F.lit("&#"), n, F.lit(";")), _char(n.cast("int"))),
-    )
-    out = F.aggregate(
-        hexes, out,
-        lambda acc, n: F.replace(
-            F.replace(acc, F.concat(F.lit("&#x"), n, F.lit(";")), _char(F.conv(n, 16, 10).cast("int"))),
-            F.concat(F.lit("&#X"), n, F.lit(";")), _char(F.conv(n, 16, 10).cast("int")),
-        ),
-    )
-    return reduce(lambda col, kv: F.replace(col, F.lit(kv[0]), F.lit(kv[1])), ENTITIES.items(), out)
+    """Numeric and named references, each decoded once."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"), 1))
+
+    def char(name: Column) -> Column:
+        return (
+            F.when(name.rlike("^#[xX]"), _numbered(F.regexp_replace(name, "^..", ""), 16))
+            .when(name.startswith("#"), _numbered(F.regexp_replace(name, "^.", ""), 10))
+            .otherwise(F.try_element_at(_named(), name))
+        )
+
+    known = F.filter(F.transform(found, lambda n: F.struct(n.alias("n"), char(n).alias("c"))), lambda x: x["c"].isNotNull())
+    # What gives an ampersand comes last, so that nothing is decoded twice.
+    in_order = F.array_sort(F.transform(known, lambda x: F.struct((x["c"] == "&").alias("last"), x["n"].alias("n"), x["c"].alias("c"))))
+    return F.aggregate(in_order, text, lambda acc, x: F.replace(acc, F.concat(F.lit("&"), x["n"], F.lit(";")), x["c"]))
 
 
 def paragraph_texts(html: Column) -> Column:
@@ -65,8 +72,8 @@ def paragraph_texts(html: Column) -> Column:
     return F.transform(F.slice(opened, 2, F.greatest(F.size(opened) - 1, F.lit(0))), strings)
 
 
-def article_text(html: Column, max_chars: int | None = ARTICLE_BODY_CHARS) -> Column:
-    """All paragraph texts joined by a blank; '' for null. The stored body is 3,000 characters long."""
+def article_text(html: Column, max_chars: int | None = None) -> Column:
+    """All paragraph texts joined by a blank, or the leading ``max_chars`` of it; '' for null."""
     joined = F.coalesce(F.array_join(paragraph_texts(html), " "), F.lit(""))
     return joined if max_chars is None else F.substring(joined, 1, max_chars)
 

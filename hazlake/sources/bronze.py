@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,22 +25,17 @@ def read_lines(
 ) -> DataFrame:
     """Non-blank landed lines with the source and date their path names.
 
-    Source and date filters act on file metadata, so files that cannot match
-    are never opened. A missing folder gives a warning and no rows.
+    A source and a date name the paths to list, so other folders are not even
+    listed. A missing folder gives a warning and no rows.
     """
     if not path_exists(spark, raw_dir):
         log.warning("no such folder: %s", raw_dir)
         return spark.createDataFrame([], _LINE_SCHEMA)
-    text = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json*")
-        .text(raw_dir)
-    )
+    paths = _paths(spark, raw_dir, source, date)
+    if not paths:
+        return spark.createDataFrame([], _LINE_SCHEMA)
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").text(paths)
     path = F.col("_metadata.file_path")
-    if source is not None:
-        text = text.filter(path.rlike(rf"/(?:source=)?\Q{source}\E/(?:date=[^/]+/)?[^/]+$"))
-    if date is not None:
-        text = text.filter(path.rlike(rf"(?:/date=\Q{date}\E/[^/]+|/\Q{date}\E\.jsonl?(?:\.[a-z0-9]+)?)$"))
     named = text.select(
         F.btrim("value", F.lit(_SPACES)).alias("line"),
         F.regexp_extract(path, _FILE, 1).alias("source"),
@@ -51,6 +47,25 @@ def read_lines(
     return named.filter(F.col("line") != "")
 
 
+def _paths(spark: SparkSession, raw_dir: str, source: str | None, date: str | None) -> list[str]:
+    """What to read: the whole folder, or the existing paths a source and a date can lie under."""
+    if source is None and date is None:
+        return [raw_dir]
+    folders = ["*"] if source is None else [_quoted(source), f"source={_quoted(source)}"]
+    ends = [""] if date is None else [f"/date={_quoted(date)}", f"/{_quoted(date)}.json*"]
+    found = []
+    for pattern in (f"{raw_dir}/{folder}{end}" for folder in folders for end in ends):
+        path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        matches = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+        found += [m.getPath().toString() for m in matches]
+    return found
+
+
+def _quoted(name: str) -> str:
+    """A name with the characters that path patterns give a meaning quoted."""
+    return re.sub(r"([*?\[\]{}\\,])", r"\\\1", name)
+
+
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Add ``shape`` and ``rec`` (typed fields).
 

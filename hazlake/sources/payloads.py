@@ -183,7 +183,7 @@ def parse_rss(
     collected_at: Column,
     pages: DataFrame | None = None,
     keywords=tx.DISASTER_KEYWORDS,
-    body_chars: int | None = tx.ARTICLE_BODY_CHARS,
+    body_chars: int | None = None,
 ) -> DataFrame:
     """Feed entries (``feed, title, summary, link, published, updated, tags``) to text records.
 

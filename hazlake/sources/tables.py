@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hazlake.operators.dedupe import first_arrival, new_rows
+from hazlake.operators.ranges import CELLS, cell_of
 from hazlake.schemas import KEYS, LAKE_COLUMNS, LAKE_ON_DISK, TABLES
 from hazlake.session import Scratch, path_exists
 
 
+# More days than a filter should name; beyond that no folder is left out.
+MAX_DAYS = 5_000
+
+
 # -- silver: as normalised, duplicates kept, one folder per date and source ---
 
 
@@ -53,8 +59,13 @@ def write_silver(records: DataFrame, path: str, merge: bool = False) -> None:
         return
     with Scratch(spark) as scratch:
         batch = scratch.stage(out)
+        # The folders the batch touches, as literals: the stored side then lists and reads no other folder.
         touched = batch.select("date", "source").distinct()
-        stored = read_silver(spark, path).join(touched, ["date", "source"], "left_semi").select(*batch.columns)
+        folders = touched.collect()
+        stored = read_silver(spark, path)
+        for name in ("date", "source"):
+            stored = stored.filter(F.col(name).isin(sorted({r[name] for r in folders})))
+        stored = stored.join(touched, ["date", "source"], "left_semi").select(*batch.columns)
         kept = stored.join(batch.select("lake_id").distinct(), "lake_id", "left_anti").select(*batch.columns)
         _replace_folders(scratch.stage(kept.unionByName(batch)), path)
 
@@ -70,9 +81,13 @@ def _replace_folders(out: DataFrame, path: str) -> None:
     )
 
 
-def list_partitions(lake: DataFrame) -> DataFrame:
-    """Stored date/source folders; answered from path columns alone."""
-    return lake.select("date", "source").distinct().orderBy("date", "source")
+def list_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """Stored date/source folders, from a listing of the folders; no file is opened."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/date=*/source=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    folders = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found]
+    rows = sorted((unquote(d.partition("=")[2]), unquote(s.partition("=")[2])) for d, s in folders)
+    return spark.createDataFrame(rows, "date string, source string")
 
 
 # -- store: one row per key, first arrival wins -------------------------------
@@ -84,8 +99,9 @@ def table_path(store_dir: str, table: str) -> str:
 
 def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
     """A store table with the folder column ``date`` and the insert it came with; empty if unwritten."""
+    cells = [T.StructField(c, T.IntegerType()) for c in CELLS] if table == "lake_records" else []
     extra = [T.StructField("batch", T.StringType()), T.StructField("date", T.StringType())]
-    schema = T.StructType(TABLES[table].fields + extra)
+    schema = T.StructType(TABLES[table].fields + cells + extra)
     path = table_path(store_dir, table)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
@@ -94,7 +110,23 @@ def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
 
 def read_table(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
     """A store table with its folder column ``date``; empty when nothing was stored yet."""
-    return _stored(spark, store_dir, table).drop("batch")
+    return _stored(spark, store_dir, table).drop("batch", *CELLS)
+
+
+def read_cells(spark: SparkSession, store_dir: str) -> DataFrame:
+    """``lake_records`` with the grid cell each row was stored under."""
+    return _stored(spark, store_dir, "lake_records").drop("batch")
+
+
+def days_of(records: DataFrame) -> list[str] | None:
+    """The days of records, if they are few enough to be named in a filter."""
+    days = [r[0] for r in records.select("date_partition").distinct().limit(MAX_DAYS + 1).collect()]
+    return None if len(days) > MAX_DAYS or None in days else sorted(days)
+
+
+def of_days(stored: DataFrame, days: list[str] | None) -> DataFrame:
+    """Rows of a store table in the folders of ``days``; all with ``None``."""
+    return stored if days is None else stored.filter(F.col("date").isin(days))
 
 
 def fresh_rows(batch: DataFrame, stored: DataFrame, table: str) -> DataFrame:
@@ -109,15 +141,19 @@ def insert_or_ignore(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
 
     Running the same batch again inserts nothing, so a failed or repeated job is safe to rerun.
     Rows carry the id of their insert: a file holds one insert only, so reading
-    it back skips all other files by their statistics, and nothing is written twice.
+    it back opens the batch's days alone, skips other inserts' files there by
+    their statistics, and nothing is written twice.
     """
     spark = batch.sparkSession
     schema = TABLES[table]
     typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     fresh = fresh_rows(typed, read_table(spark, store_dir, table), table)
     insert = uuid.uuid4().hex
-    # Within a folder, rows lie by latitude where they have one: box queries then skip row groups.
-    layout = ["date"] + [c for c in ("lat", "lon") if c in schema.fieldNames()]
+    days = days_of(typed)
+    if table == "lake_records":
+        fresh = fresh.withColumns({c: cell_of(F.col(c.removesuffix("_cell"))) for c in CELLS})
+    # Within a folder, rows lie by grid cell where they have a position: box queries then skip row groups.
+    layout = ["date"] + [c for c in (*CELLS, "lat", "lon") if c in fresh.columns]
     (
         fresh.withColumns({"batch": F.lit(insert), "date": F.col("date_partition")})
         .hint("rebalance", F.col("date"))
@@ -126,4 +162,5 @@ def insert_or_ignore(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
         .partitionBy("date")
         .parquet(table_path(store_dir, table))
     )
-    return _stored(spark, store_dir, table).filter(F.col("batch") == insert).select(*schema.fieldNames())
+    stored = of_days(_stored(spark, store_dir, table), days)
+    return stored.filter(F.col("batch") == insert).select(*schema.fieldNames())

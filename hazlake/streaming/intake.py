@@ -1,28 +1,30 @@
 """Streams over landing folders.
 
 Parsing and normalising are stateless projections, so a stream gives the same
-rows as a batch over the same files. Repeats are dropped in two steps: a
-watermarked state drops those that arrive close together, and the insert into
-the store drops every later one by its key, which also makes a replayed
-micro-batch harmless.
+rows as a batch over the same files. Repeats are dropped by the store's key
+alone, however late they come, which also makes a replayed micro-batch
+harmless; no row is ever too late.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazlake import taxonomy as tx
-from hazlake.functions.times import parse_iso
+from hazlake.operators.dedupe import lookback
 from hazlake.operators.normalize import normalize
+from hazlake.plans.lake import Lake
 from hazlake.sources.bronze import append_bronze, parse_lines
 from hazlake.sources.payloads import parse_reddit, parse_tweets, parse_weather
-from hazlake.sources.tables import insert_or_ignore
 
 # How often a polled source is read. Tweets are pushed: their files are read as they land.
 POLL_SECONDS = {"reddit": tx.REDDIT_POLL_SECONDS, "weather": tx.WEATHER_POLL_SECONDS}
+# A poll of posts asks for the last day.
+POLL_LOOKBACK_DAYS = {"reddit": 1}
 
 
 def stream_lines(
@@ -40,26 +42,16 @@ def stream_records(lines: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> Data
     return normalize(parse_lines(lines), taxonomy)
 
 
-def drop_repeats(records: DataFrame, keys: list[str], delay: str = "1 day") -> DataFrame:
-    """First of each key among records collected within ``delay`` of each other."""
-    timed = records.withColumn("_collected", parse_iso(F.col("collected_at")))
-    return (
-        timed.withWatermark("_collected", delay).dropDuplicatesWithinWatermark(keys).drop("_collected")
-    )
-
-
 def _triggered(writer, seconds: int | None):
     return writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")
 
 
-def start_store_sink(
-    records: DataFrame, store_dir: str, checkpoint: str, table: str = "lake_records", seconds: int | None = None
-) -> StreamingQuery:
-    """Insert-or-ignore every micro-batch; ``seconds=None`` takes what is there and stops."""
-    def insert(batch: DataFrame, _epoch: int) -> None:
-        insert_or_ignore(batch, store_dir, table)
+def start_store_sink(lines: DataFrame, lake: Lake, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
+    """Ingest every micro-batch of bronze ``lines`` as ``Lake.run`` does; ``seconds=None`` takes what is there and stops."""
+    def ingest(batch: DataFrame, _epoch: int) -> None:
+        lake.ingest(parse_lines(batch), merge=True)
 
-    writer = records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(insert)
+    writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(ingest)
     return _triggered(writer, seconds).start()
 
 
@@ -86,11 +78,15 @@ def start_intake(
     sources: tuple[str, ...] = ("twitter", "reddit", "weather"),
     poll: bool = True,
     keywords=tx.DISASTER_KEYWORDS,
+    lookback_days: dict[str, int] = POLL_LOOKBACK_DAYS,
+    as_of: datetime | None = None,
 ) -> dict[str, StreamingQuery]:
     """One query per chosen source: landed payloads, parsed, appended to bronze.
 
     Each has its own checkpoint, so sources are switched on and off one by one.
-    With ``poll=False`` every query takes what has landed and stops.
+    With ``poll=False`` every query takes what has landed and stops. A source in
+    ``lookback_days`` keeps posts made within so many days before ``as_of``, by
+    default the time of the batch; posts without a readable time are kept.
     """
     parsers = landed_parsers(F.lit(None).cast("string"), keywords)
     started = {}
@@ -99,6 +95,9 @@ def start_intake(
 
         def save(batch: DataFrame, _epoch: int, source: str = source) -> None:
             now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+            if source in lookback_days:
+                made = batch.withColumn("_made", F.try_to_timestamp("published_at"))
+                batch = lookback(made, "_made", as_of or datetime.now(timezone.utc), lookback_days[source], keep_unknown=True).drop("_made")
             stamped = batch.withColumns({"collected_at": now, "source": F.lit(source)})
             append_bronze(stamped, raw_dir)
 

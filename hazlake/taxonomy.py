@@ -78,8 +78,8 @@ SOURCE_TYPES = ["twitter", "reddit", "news_api", "rss", "weather", "media"]
 class Taxonomy:
     """Term lists for hazard and severity labels.
 
-    ``scan_chars`` is how much of a text is searched: the lake's labels are
-    defined on the leading 500 characters; ``None`` searches the whole text.
+    ``scan_chars`` limits the search to the leading characters of a text, for
+    instance ``HAZARD_SCAN_CHARS``; ``None`` searches the whole text.
     ``word_boundary`` asks for whole words instead of substrings.
     """
 
@@ -88,7 +88,7 @@ class Taxonomy:
     )
     critical: tuple[str, ...] = tuple(CRITICAL_TERMS)
     warning: tuple[str, ...] = tuple(WARNING_TERMS)
-    scan_chars: int | None = HAZARD_SCAN_CHARS
+    scan_chars: int | None = None
     word_boundary: bool = False
 
 

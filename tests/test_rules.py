@@ -54,7 +54,7 @@ def test_shape_goes_by_key_presence(spark):
         ("Flood and landslide", "FLOOD", "INFO"),
         ("isosceles flood", "FLOOD", "CRITICAL"),
         ("a blaze, orange ALERT", "FIRE", "WARNING"),
-        ("x" * 500 + "flood", None, None),
+        ("x" * 500 + "flood", "FLOOD", "INFO"),
         ("x" * 495 + "flood", "FLOOD", "INFO"),
         ("nothing here, sos", None, None),
     ],
@@ -194,6 +194,8 @@ def test_article_pages(spark):
     rows = [(page,), (twitter,), ("<p></p>",), (None,)]
     assert values(spark, article_text(F.col("h")), rows, "h string") == ["One two Three &lt; ’A four Five", "", "", ""]
     assert values(spark, article_text(F.col("h"), 7), rows[:1], "h string") == ["One two"]
+    odd = "<p>&#0000039;&#x01F600;&eacute;&#55357;&#150;&amp;eacute;&#38;lt;&nosuch;&#99999999999;&NotEqualTilde;&Eacute;</p>"
+    assert values(spark, article_text(F.col("h")), [(odd,)], "h string") == ["'😀é\ufffd–&eacute;&lt;&nosuch;\ufffd≂̸É"]
     assert values(spark, lead_image(F.col("h")), rows, "h string") == ["https://i/x.jpg?a=1&b", "http://t/y.png", None, None]
 
 
