@@ -238,7 +238,8 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(u, v): every linked class of a group and the least class of its component there."""
     for table in _by_group(batches, "group"):
-        ids = table.column("id").to_numpy()
+        ids, first = np.unique(table.column("id").to_numpy(), return_index=True)
+        table = table.take(pa.array(first))
         label = linked([np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()])
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, label, ids)
@@ -286,16 +287,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     def full_sets(batches):
         for batch in batches:
             own = list(_sets(batch.column("text"), size))
-            columns = [batch.column("doc_id"), pa.array([_name(s) for s in own], pa.binary()), pa.array([s.tobytes() for s in own], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "shingles"])
-
-    wanted = groups.select("id").distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi")
-    sets = texts.mapInArrow(full_sets, "doc_id long, name binary, shingles binary")
-    # A doc_id may stand for several rows; its class is the one whose least doc_id it is.
-    sets = sets.join(classes.select("id", "name"), [sets["doc_id"] == classes["id"], sets["name"] == classes["name"]], "left_semi")
-    sets = sets.select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id", "shingles"])
-    verified = groups.join(sets, "id").repartition("group").sortWithinPartitions("group").mapInArrow(_link_batches, "u long, v long")
+            # A doc_id may stand for several rows; a class is the one whose name it has.
+            at = [i for i, (s, name) in enumerate(zip(own, batch.column("name").to_pylist())) if _name(s) == name]
+            columns = [batch.column("group").take(pa.array(at, pa.int64())), batch.column("id").take(pa.array(at, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([own[i].tobytes() for i in at], pa.binary())], ["group", "id", "shingles"])
+
+    # Members and documents both grow with the input, so neither is sent to all tasks, at any size.
+    members = groups.join(classes.select("id", "name"), "id").hint("merge")
+    rows = docs.join(members, docs["doc_id"] == members["id"]).select("group", "id", "name", "text")
+    sets = rows.mapInArrow(full_sets, "group long, id long, shingles binary")
+    verified = sets.repartition("group").sortWithinPartitions("group").mapInArrow(_link_batches, "u long, v long")
     links = components(verified)
     joined = classes.join(links.withColumnRenamed("u", "id"), "id", "left")
     marked = joined.filter("copies > 1 OR v IS NOT NULL").select("name", F.coalesce("v", "id").alias("component"))
