@@ -169,11 +169,6 @@ def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
     """The window pass over mixed rows (readings, events, carry)."""
     key = Window.partitionBy(*place)
     by_row = key.orderBy(*_order("collected_at"))
-    by_time = key.orderBy("us")
-
-    def back(hours: int):
-        return by_time.rangeBetween(-hours * HOUR + 1, 0)
-
     so_far = by_row.rowsBetween(Window.unboundedPreceding, 0)
     before = by_row.rowsBetween(Window.unboundedPreceding, -1)
     is_reading = F.col("kind") == READING
@@ -197,14 +192,6 @@ def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
     event = F.when(F.col("kind") == EVENT, F.struct("us", "hazard_type"))
     rows = rows.withColumns(
         {
-            "rainfall_3h_sum": F.sum("_rain").over(back(3)),
-            "rainfall_24h_sum": F.sum("_rain").over(back(24)),
-            "rainfall_72h_sum": F.sum("_rain").over(back(72)),
-            "rainfall_24h_max": F.max("_rain").over(back(24)),
-            "wind_24h_max": F.max("_wind").over(back(24)),
-            "humidity_24h_max": F.max("_humi").over(back(24)),
-            "temp_change_24h": F.col("temp_filled") - F.avg("temp_filled").over(back(24)),
-            "pressure_drop_3h": F.col("pres_filled") - F.avg("_prev_pres").over(back(3)),
             "consecutive_rain_readings": F.col("_index") - F.coalesce("_dry_index", F.lit(0)),
         }
     )
@@ -212,7 +199,67 @@ def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
     # one pass, where a forward frame would be read again for every row.
     later = key.orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_later", F.min(event).over(later)).filter(is_reading)
-    return rows.withColumn("_next", F.when(F.col("_later.us") <= F.col("us") + LABEL, F.col("_later"))).drop("_later")
+    rows = rows.withColumn("_next", F.when(F.col("_later.us") <= F.col("us") + LABEL, F.col("_later"))).drop("_later")
+    return _with_frames(rows, place)
+
+
+def _with_frames(readings: DataFrame, place: list[str]) -> DataFrame:
+    """Sums, means and maxima over the frames ``(t - w, t]``, in time that grows with the rows alone.
+
+    Every reading is joined by marks at the left edges of its frames, ``t - w``. A sum over a frame is the
+    running total at the reading less the one at the mark. A maximum over 24 hours is the greater of the running
+    maximum of the reading's 24-hour block so far and, at the mark, of what follows it in the block before. All
+    frames only grow, so none is read again for every row, however many readings it holds.
+    """
+    numbered = readings.withColumn("_row", F.row_number().over(Window.partitionBy(*place).orderBy("us", "collected_at")))
+    kept = [c for c in numbered.columns if c not in (*place, "us", "_row")]
+    edge = F.col("_edge")
+    marked = numbered.withColumn("_edge", F.explode(F.array(*[F.lit(w) for w in (0, 3, 24, 72)])))
+    marked = marked.select(
+        *place, "_row", "_edge", (F.col("us") - edge * HOUR).alias("us"), *[F.when(edge == 0, F.col(c)).alias(c) for c in kept],
+    ).withColumn("_block", _bucket(F.col("us"), 24 * HOUR))
+
+    so_far = Window.partitionBy(*place).orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    block = Window.partitionBy(*place, "_block")
+    until = block.orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    after = block.orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, -1)
+    totals = {name: F.coalesce(F.sum(name).over(so_far), F.lit(0.0)) for name in ("_rain", "temp_filled", "_prev_pres")}
+    counts = {name: F.count(name).over(so_far) for name in ("temp_filled", "_prev_pres")}
+    marked = marked.withColumns(
+        {f"_sum{name}": column for name, column in totals.items()} | {f"_n{name}": column for name, column in counts.items()}
+    )
+    peaks = ("_rain", "_wind", "_humi")
+    marked = marked.withColumns({f"_max{name}": F.max(name).over(until) for name in peaks})
+    marked = marked.withColumns({f"_past{name}": F.max(name).over(after) for name in peaks})
+
+    own = Window.partitionBy(*place, "_row")
+
+    def at_edge(column: str, hours: int) -> Column:
+        return F.max(F.when(edge == hours, F.col(column))).over(own)
+
+    at = {
+        "_rain3": at_edge("_sum_rain", 3), "_rain24": at_edge("_sum_rain", 24), "_rain72": at_edge("_sum_rain", 72),
+        "_temp24": at_edge("_sumtemp_filled", 24), "_ntemp24": at_edge("_ntemp_filled", 24),
+        "_pres3": at_edge("_sum_prev_pres", 3), "_npres3": at_edge("_n_prev_pres", 3),
+        **{f"_before{name}": at_edge(f"_past{name}", 24) for name in peaks},
+    }
+    joined = marked.withColumns(at).filter("_edge = 0")
+
+    def exact(column: Column) -> Column:
+        """Without the last bits that a difference of running totals leaves."""
+        return F.round(column, 9)
+
+    def mean(name: str, total: str, count: str) -> Column:
+        return F.try_divide(F.col(f"_sum{name}") - F.col(total), F.col(f"_n{name}") - F.col(count))
+
+    return joined.withColumns(
+        {
+            **{f"rainfall_{w}h_sum": exact(F.col("_sum_rain") - F.col(f"_rain{w}")) for w in (3, 24, 72)},
+            **{out: F.greatest(f"_max{name}", f"_before{name}") for out, name in (("rainfall_24h_max", "_rain"), ("wind_24h_max", "_wind"), ("humidity_24h_max", "_humi"))},
+            "temp_change_24h": exact(F.col("temp_filled") - mean("temp_filled", "_temp24", "_ntemp24")),
+            "pressure_drop_3h": exact(F.col("pres_filled") - mean("_prev_pres", "_pres3", "_npres3")),
+        }
+    )
 
 
 def feature_rows(

@@ -3,6 +3,7 @@
 from hazlake.plans.checks import (  # noqa: F401  (importing registers the checks)
     find_checks,
     job_checks,
+    lake_checks,
     media_checks,
     payload_checks,
     report_checks,

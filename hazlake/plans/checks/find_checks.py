@@ -95,7 +95,12 @@ def search_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return search.corpus_stats(b.doc_lake(spark, folder))
 
 
-@b.check(_sql_bm25({"w0": _freq("of"), "w1": _freq("thing"), "w2": _freq("with")}, "w0 > 0 AND w1 > 0 AND w2 > 0", ["w0", "w1", "w2"], 20))
+SEARCH_INDEX_SQL = _sql_bm25(
+    {"w0": _freq("of"), "w1": _freq("thing"), "w2": _freq("with")}, "w0 > 0 AND w1 > 0 AND w2 > 0", ["w0", "w1", "w2"], 20,
+)
+
+
+@b.check(SEARCH_INDEX_SQL)
 def search_index(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best records holding all words, found through the index."""
     lake = stage(b.doc_lake(spark, folder), "lake")

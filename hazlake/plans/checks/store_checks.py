@@ -182,12 +182,3 @@ def ingest_job(spark: SparkSession, folder: str) -> DataFrame:
         "SELECT date_partition, source_type, hazard_type, count(*) AS records, min(lake_id) AS first_id, "
         "sum(engagement_score) AS engagement FROM lake_records WHERE source_type <> :skip GROUP BY ALL", skip="weather",
     )
-
-
-@b.check(b.sql_lake() + """
-SELECT source_type, language, count(*)::BIGINT AS records, round(avg(lat) + 1e-9, 6) AS lat FROM lake GROUP BY ALL""")
-def sql_passthrough(spark: SparkSession, folder: str) -> DataFrame:
-    b.doc_lake(spark, folder).createOrReplaceTempView("lake")
-    return spark.sql(
-        "SELECT source_type, language, count(*) AS records, round(avg(lat) + 1e-9, 6) AS lat FROM lake GROUP BY ALL"
-    )

@@ -125,12 +125,12 @@ def _save(records: DataFrame, source: str, raw_dir: str, day: Column) -> DataFra
 def full_run(
     lake: Lake, landing_dir: str, as_of: datetime, days: int = tx.LOOKBACK_DAYS,
     collect_only: bool = False, lake_only: bool = False, date: str | None = None, media_dir: str | None = None,
-    max_tweets: int | None = None, max_posts: int | None = None,
+    max_tweets: int | None = None, max_posts: int | None = None, keywords=tx.DISASTER_KEYWORDS,
 ) -> dict[str, DataFrame | dict]:
     """Land, ingest, report."""
     out: dict[str, DataFrame | dict] = {}
     if not lake_only:
-        out["collected"] = collect(lake.spark, landing_dir, lake.raw_dir, as_of, days, media_dir=media_dir, max_tweets=max_tweets, max_posts=max_posts)
+        out["collected"] = collect(lake.spark, landing_dir, lake.raw_dir, as_of, days, keywords, media_dir, max_tweets=max_tweets, max_posts=max_posts)
     if not collect_only:
         out["ingested"] = lake.run(date=date)
         out["stats"], out["hazard_summary"] = lake.stats(), lake.hazard_summary()

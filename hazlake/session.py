@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,13 +41,16 @@ def shared_dir(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 
     The cluster names the parent in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors are one machine, may fall back to /tmp.
+    session, where driver and executors are one machine, may fall back to /tmp;
+    such a folder goes when the program ends.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if parent:
         return f"{parent.rstrip('/')}/hazlake-{uuid.uuid4().hex}"
     if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="hazlake-", dir="/tmp")
+        folder = tempfile.mkdtemp(prefix="hazlake-", dir="/tmp")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
