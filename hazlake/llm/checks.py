@@ -33,6 +33,7 @@ WITH d AS (
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
     len(list_filter(w, lambda x: list_contains([{_STOPS}], lower(x)))) AS n_stop,
     len(list_filter(w, lambda x: regexp_matches(x, '\\p{{L}}'))) AS n_letter,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters,
     len(list_filter(lines, lambda l: regexp_matches(l, '^\\s*[-*•‣●]\\s'))) AS n_bullet,
     len(list_filter(lines, lambda l: regexp_matches(l, '(\\.\\.\\.|…)\\s*$'))) AS n_ellipsis
   FROM d LEFT JOIN covered c USING (doc_id)
@@ -41,7 +42,7 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.3 AND n_stop / n_words >= 0.02
-    AND n_letter / n_words >= 0.6 AND n_dup_lines / n_lines <= 0.5 AND n_bullet / n_lines <= 0.9
+    AND n_letter / n_words >= 0.6 AND n_stutters / n_words <= 0.3 AND n_dup_lines / n_lines <= 0.5 AND n_bullet / n_lines <= 0.9
     AND n_ellipsis / n_lines <= 0.3 AS kept
 FROM base
 """
@@ -127,8 +128,7 @@ def op8_style_tree(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_elias_fano_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     """Score of every document under the model of those that are not held out."""
-    docs = table(spark, folder, "documents")
-    return ngram.score(docs, ngram.train(docs))
+    return ngram.train_and_score(table(spark, folder, "documents"))
 
 
 OP1_SQL = """

@@ -60,6 +60,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", most=0.3),
     Rule("stop_words", "n_stop_words", "n_words", least=0.02),
     Rule("letters", "n_letter_words", "n_words", least=0.6),
+    Rule("stutter", "n_stutters", "n_words", most=0.3),
     Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.5),
     Rule("bullets", "n_bullet_lines", "n_lines", most=0.9),
     Rule("ellipses", "n_ellipsis_lines", "n_lines", most=0.3),
@@ -99,6 +100,7 @@ def measured(df: DataFrame, text: str = "text", stop_words=STOP_WORDS) -> DataFr
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_stop_words": F.size(F.filter("_words", lambda w: F.lower(w).isin(list(dict.fromkeys(stop_words))))),
         "n_letter_words": F.size(F.filter("_words", lambda w: w.rlike(r"\p{L}"))),
+        "n_stutters": F.size(F.filter(F.zip_with("_words", F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1))), lambda a, b: a == b), lambda x: x)),
         "n_bullet_lines": F.size(F.filter("_lines", lambda line: line.rlike(r"^\s*[-*•‣●]\s"))),
         "n_ellipsis_lines": F.size(F.filter("_lines", lambda line: line.rlike(r"(\.\.\.|…)\s*$"))),
     }
