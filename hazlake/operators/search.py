@@ -22,6 +22,7 @@ IDF_FLOOR = 1e-6
 
 INDEXED = ["text", "keywords_hit", "hazard_type", "location_name"]
 TOKEN_BUCKETS = 256
+PLACE_STEP = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -100,6 +101,21 @@ def _best(scored: DataFrame, limit: int | None) -> DataFrame:
     return ranked if limit is None else ranked.limit(limit)
 
 
+def _matching(counted: DataFrame, units: list[tuple[str, list[str], bool]]) -> DataFrame:
+    """Rows whose counts ``_f`` meet every unit's role."""
+    def role(name: str) -> list[Column]:
+        return [F.col("_f")[i] for i, (r, _, _) in enumerate(units) if r == name]
+
+    kept = counted
+    for freq in role("all"):
+        kept = kept.filter(freq > 0)
+    if role("any"):
+        kept = kept.filter(reduce(lambda a, b: a | b, [freq > 0 for freq in role("any")]))
+    for freq in role("none"):
+        kept = kept.filter(freq == 0)
+    return kept
+
+
 def search(lake: DataFrame, match: Match | str, limit: int | None = 50) -> DataFrame:
     """Best ``limit`` records for the match (all with ``None``), with ``score``; scans the table, needs no index.
 
@@ -128,17 +144,7 @@ def search(lake: DataFrame, match: Match | str, limit: int | None = 50) -> DataF
         ).alias("t")
     ).scalar()
 
-    def role(name: str) -> list[int]:
-        return [i for i, (r, _, _) in enumerate(units) if r == name]
-
-    kept = counted
-    for i in role("all"):
-        kept = kept.filter(F.col("_f")[i] > 0)
-    if role("any"):
-        kept = kept.filter(reduce(lambda a, b: a | b, [F.col("_f")[i] > 0 for i in role("any")]))
-    for i in role("none"):
-        kept = kept.filter(F.col("_f")[i] == 0)
-
+    kept = _matching(counted, units)
     scored = [i for i, (r, _, _) in enumerate(units) if r != "none"]
     # One column holds the subquery: every further mention of it would be a subquery of its own.
     kept, totals = kept.withColumn("_totals", totals), F.col("_totals")
@@ -158,29 +164,37 @@ def _bucket_of(token: Column) -> Column:
 
 
 def postings(lake: DataFrame) -> DataFrame:
-    """(bucket, token, lake_id, date_partition, freq, len): one row per token of a record.
+    """(bucket, token, lake_id, date_partition, freq, places, len): one row per token of a record.
 
-    Counts are made inside the record before anything is exploded, by sorting
-    its tokens and taking run lengths, so building the table needs no shuffle.
+    ``places`` are the token's positions, counted within each column, plus ``PLACE_STEP`` per column.
+    Runs are found inside the record before anything is exploded, by sorting its tokens, so
+    building the table needs no shuffle.
     """
-    per_doc = once(lake.select("lake_id", "date_partition", *INDEXED), {"toks": F.sort_array(all_tokens(lake))})
+    def placed(number: int, name: str) -> Column:
+        return F.transform(
+            tokens(_as_text(lake, name)), lambda t, i: F.struct(t.alias("token"), (F.lit(number * PLACE_STEP) + i).alias("place"))
+        )
+
+    toks = F.sort_array(F.concat(*[placed(k, name) for k, name in enumerate(INDEXED)]))
+    per_doc = once(lake.select("lake_id", "date_partition", *INDEXED), {"toks": toks}).drop(*INDEXED)
     per_doc = per_doc.withColumn("len", F.size("toks"))
     # In sorted tokens a run starts where the left neighbour differs.
     starts = F.filter(
         F.sequence(F.lit(0), F.size("toks") - 1),
-        lambda i: (i == 0) | (F.get("toks", i) != F.get("toks", i - 1)),
+        lambda i: (i == 0) | (F.get("toks", i)["token"] != F.get("toks", i - 1)["token"]),
     )
     runs = once(per_doc.filter("len > 0"), {"starts": starts})
     pairs = F.transform(
         "starts",
         lambda s, k: F.struct(
-            F.get("toks", s).alias("token"),
-            (F.coalesce(F.get("starts", k + 1), F.col("len")) - s).alias("freq"),
+            F.get("toks", s)["token"].alias("token"),
+            F.transform(F.slice("toks", s + 1, F.coalesce(F.get("starts", k + 1), F.col("len")) - s), lambda t: t["place"]).alias("places"),
         ),
     )
     exploded = runs.select("lake_id", "date_partition", "len", F.explode(pairs).alias("p"))
     return exploded.select(
-        _bucket_of(F.col("p.token")).alias("bucket"), "p.token", "lake_id", "date_partition", "p.freq", "len"
+        _bucket_of(F.col("p.token")).alias("bucket"), "p.token", "lake_id", "date_partition",
+        F.size("p.places").alias("freq"), "p.places", "len",
     )
 
 
@@ -190,37 +204,78 @@ def corpus_stats(lake: DataFrame) -> DataFrame:
     return lake.agg(F.count("*").alias("docs"), F.coalesce(F.sum(length), F.lit(0)).cast("bigint").alias("tokens"))
 
 
-def search_postings(posts: DataFrame, stats: DataFrame, words: str, limit: int | None = 50) -> DataFrame:
-    """(lake_id, date_partition, score) of the best records that hold every word.
+def _wanted_postings(posts: DataFrame, words: list[str], prefixes: list[str]) -> DataFrame:
+    """Postings of the words and of all tokens with a prefix.
 
-    Only the query tokens' buckets are read. The word limit is the caller's own
-    query string, so everything up to the top-k works on matching postings.
+    Words name the buckets to read. A prefix may be in any bucket; within one, files are in
+    order of token, so its range skips row groups.
     """
-    wanted = query_tokens(words)
-    if not wanted:
+    tests = [F.col("token").isin(words)] if words else []
+    tests += [F.col("token").between(p, p + "\U0010ffff") for p in prefixes]
+    hits = posts.filter(reduce(lambda a, b: a | b, tests))
+    if "bucket" in posts.columns and not prefixes:
+        # The bucket of a word is computed by Spark on literals, then folded into the partition filter.
+        hits = hits.filter(reduce(lambda a, b: a | b, [F.col("bucket") == _bucket_of(F.lit(w)) for w in words]))
+    return hits
+
+
+def _unit_counts(hits: DataFrame, units: list[tuple[str, list[str], bool]], columns: tuple[str, ...]) -> DataFrame:
+    """(lake_id, date_partition, len, _f): how often each unit occurs in a record, from places of its words."""
+    found = hits.groupBy("lake_id", "date_partition").agg(
+        F.max("len").alias("len"), F.collect_list(F.struct("token", "places")).alias("_found"),
+    )
+    allowed = [k for k, name in enumerate(INDEXED) if name in columns]
+    parts = list(dict.fromkeys((w, prefix and i == len(words) - 1) for _, words, prefix in units for i, w in enumerate(words)))
+
+    def places(word: str, prefix: bool) -> Column:
+        of = F.filter("_found", lambda x: x["token"].startswith(word) if prefix else x["token"] == word)
+        return F.filter(F.flatten(F.transform(of, lambda x: x["places"])), lambda p: F.shiftright(p, 32).isin(allowed))
+
+    # Places stand in columns of their own, so that looking one up does not gather them again.
+    found = once(found, {f"_p{k}": places(*part) for k, part in enumerate(parts)})
+
+    def followed(at: Column, name: str, step: int) -> Column:
+        return F.filter(at, lambda p: F.array_contains(F.col(name), p + step))
+
+    def count(words: list[str], prefix: bool) -> Column:
+        names = [f"_p{parts.index((w, prefix and i == len(words) - 1))}" for i, w in enumerate(words)]
+        at = F.col(names[0])
+        for step, name in enumerate(names[1:], 1):
+            at = followed(at, name, step)
+        return F.size(at)
+
+    counted = once(found, {"_f": F.array(*[count(words, prefix) for _, words, prefix in units])})
+    return counted.select("lake_id", "date_partition", "len", "_f")
+
+
+def search_postings(posts: DataFrame, stats: DataFrame, match: Match | str, limit: int | None = 50) -> DataFrame:
+    """(lake_id, date_partition, score) of the best records for the match, as ``search`` ranks them.
+
+    Only postings of the query's tokens are read; the query is the caller's own short string, so everything
+    up to the top-k works on matching postings.
+    """
+    match = Match(words=match) if isinstance(match, str) else match
+    units = _units(match)
+    if not any(role != "none" for role, _, _ in units):
         return posts.limit(0).select("lake_id", "date_partition", F.lit(None).cast("double").alias("score"))
-    # The bucket of a word is computed by Spark on literals, then folded into the partition filter.
-    buckets = [_bucket_of(F.lit(w)) for w in wanted]
-    hits = posts.filter(F.col("token").isin(wanted))
-    if "bucket" in posts.columns:
-        hits = hits.filter(reduce(lambda a, b: a | b, [F.col("bucket") == b for b in buckets]))
+    words = list(dict.fromkeys(w for _, ws, prefix in units for w in (ws[:-1] if prefix else ws)))
+    prefixes = list(dict.fromkeys(ws[-1] for _, ws, prefix in units if prefix))
+    counted = _unit_counts(_wanted_postings(posts, words, prefixes), units, match.columns)
+
     corpus = stats.agg(
         F.struct(F.sum("docs").cast("double").alias("n"), F.try_divide(F.sum("tokens"), F.sum("docs")).alias("avg_len")).alias("t")
     ).scalar()
-    found = hits.agg(
-        F.struct(*[F.count_if(F.col("token") == w).cast("double").alias(f"h{i}") for i, w in enumerate(wanted)]).alias("t")
+    found = counted.agg(
+        F.struct(*[F.count_if(F.col("_f")[i] > 0).cast("double").alias(f"h{i}") for i in range(len(units))]).alias("t")
     ).scalar()
-    per_doc = hits.groupBy("lake_id", "date_partition").agg(
-        F.max("len").alias("len"),
-        *[F.max(F.when(F.col("token") == w, F.col("freq"))).cast("double").alias(f"f{i}") for i, w in enumerate(wanted)],
-    )
-    for i in range(len(wanted)):
-        per_doc = per_doc.filter(F.col(f"f{i}").isNotNull())
-    per_doc = per_doc.withColumns({"_corpus": corpus, "_found": found})
+    kept = _matching(counted, units).withColumns({"_corpus": corpus, "_found": found})
     n, avg_len = F.col("_corpus.n"), F.col("_corpus.avg_len")
-    parts = [_bm25(F.col(f"f{i}"), F.col("len"), _idf(n, F.col(f"_found.h{i}")), avg_len) for i in range(len(wanted))]
+    parts = [
+        _bm25(F.col("_f")[i].cast("double"), F.col("len"), _idf(n, F.col(f"_found.h{i}")), avg_len)
+        for i, (role, _, _) in enumerate(units) if role != "none"
+    ]
     score = -reduce(lambda a, b: a + b, parts)
-    return _best(per_doc.select("lake_id", "date_partition", score.alias("score")), limit)
+    return _best(kept.select("lake_id", "date_partition", score.alias("score")), limit)
 
 
 def fetch(hits: DataFrame, lake: DataFrame) -> DataFrame:

@@ -73,6 +73,15 @@ def search_match(spark: SparkSession, folder: str) -> DataFrame:
     return search.search(b.doc_lake(spark, folder), match, None).select("lake_id", F.round("score", 6).alias("score"))
 
 
+@b.check(_sql_bm25(_UNITS, _KEEP, ["w0", "p0", "x0", "o0", "o1"]))
+def search_index_match(spark: SparkSession, folder: str) -> DataFrame:
+    """The same match through postings with their places."""
+    lake = stage(b.doc_lake(spark, folder), "lake")
+    match = search.Match("with", ("of the",), ("thi",), ("is on", "ouen"), ("sos",))
+    hits = search.search_postings(stage(search.postings(lake), "postings"), search.corpus_stats(lake), match, None)
+    return hits.select("lake_id", F.round("score", 6).alias("score"))
+
+
 @b.check(_sql_bm25(
     {"w0": "len(list_filter(l, lambda x: x = 'loc'))", "w1": "len(list_filter(l, lambda x: x = '3'))"},
     "w0 > 0 AND w1 > 0", ["w0", "w1"]))

@@ -173,12 +173,9 @@ class Lake:
         return self.spark.sql(sql, args=args or None)
 
     def search_text(self, match: search.Match | str, limit: int | None = 50) -> DataFrame:
-        """Best records for plain words (by the text index) or for a ``Match`` (by scan)."""
-        records = self.table("lake_records")
-        if isinstance(match, str):
-            hits = search.search_postings(self._visible("postings"), self.derived("corpus"), match, limit)
-            return search.fetch(hits, records)
-        return search.search(records, match, limit)
+        """Best records for plain words or a ``Match``, by the text index."""
+        hits = search.search_postings(self._visible("postings"), self.derived("corpus"), match, limit)
+        return search.fetch(hits, self.table("lake_records"))
 
     def query_bbox(self, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
         return ranges.bbox(tables.read_cells(self.spark, self.store_dir), min_lat, max_lat, min_lon, max_lon).drop(*ranges.CELLS)

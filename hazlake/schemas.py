@@ -61,8 +61,8 @@ LAKE_ON_DISK = T.StructType(
 
 # Derived tables of the store: text index, corpus counts per batch, grid cells.
 POSTINGS = _schema(
-    ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I), ("len", _I), ("batch", _S),
-    ("bucket", _I),
+    ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I),
+    ("places", T.ArrayType(T.LongType())), ("len", _I), ("batch", _S), ("bucket", _I),
 )
 INDEXED = _schema(("lake_id", _S), ("batch", _S))
 CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()), ("batch", _S))

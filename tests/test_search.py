@@ -117,3 +117,21 @@ def test_no_words_no_rows(lake):
     _, df = lake
     assert search.search(df, "?!").count() == 0
     assert search.search_postings(search.postings(df), search.corpus_stats(df), "").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_index_and_scan_agree_on_any_match(spark, seed):
+    rng = random.Random(seed)
+    df = spark.createDataFrame(records(), LAKE)
+    posts, stats = search.postings(df), search.corpus_stats(df)
+
+    def some(most, words=2):
+        return tuple(" ".join(rng.choices(WORDS, k=rng.randint(1, words))) for _ in range(rng.randint(0, most)))
+
+    match = search.Match(
+        " ".join(some(2, 1)), some(1), tuple(p[:-1] for p in some(1) if len(p) > 3), some(2), some(1),
+        tuple(rng.sample(search.INDEXED, rng.randint(1, 4))),
+    )
+    want = [(r["lake_id"], round(r["score"], 9)) for r in search.search(df, match, None).collect()]
+    got = [(r["lake_id"], round(r["score"], 9)) for r in search.search_postings(posts, stats, match, None).collect()]
+    assert got == want
