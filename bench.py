@@ -15,6 +15,7 @@ import time
 from pyspark.sql import functions as F
 
 from hazlake import Lake
+from hazlake.operators.search import Match
 from hazlake.plans.checks import QUERIES, base
 from hazlake.session import build_session, shared_dir
 from hazlake.sources import bronze
@@ -26,7 +27,7 @@ HEADLINE = [
     "hazard_classify", "keyword_hit_list", "normalize_text", "normalize_weather", "ingest_counters", "lake_stats",
     "hazard_summary", "totals", "dedupe_first", "new_versus_stored", "text_clean", "ml_export_rows", "sensor_features",
     "hazard_ahead", "search_bm25", "search_postings", "page_text_image", "parse_tweet", "parse_rss", "harvest_urls",
-    "cap_per_source",
+    "cap_per_source", "export_sensor_job", "stream_tweets", "stream_weather",
 ]
 
 
@@ -63,6 +64,8 @@ def main() -> None:
     timed("lake_reingest", lake.run, times=1)
     timed("lake_stats_stored", lambda: run(lake.db_stats()))
     timed("lake_search", lambda: run(lake.search_text("of thing with", 20)))
+    match = Match("with", ("of the",), ("thi",), ("is on", "ouen"), ("sos",))
+    timed("lake_search_match", lambda: run(lake.search_text(match, 20)))
     timed("lake_bbox", lambda: run(lake.query_bbox(12.5, 30.25, 70, 90.75)))
     timed("lake_time_range", lambda: run(lake.query_time_range("2024-01-03", "2024-01-05")))
     timed("lake_export_ml", lambda: lake.export_ml(f"{home}/ml"))
