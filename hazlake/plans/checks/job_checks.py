@@ -62,8 +62,8 @@ def export_sensor_job(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @b.check(b.sql_lake() + """
-SELECT 'lake_records' AS tbl, source_type, count(*)::BIGINT AS records FROM lake GROUP BY ALL
-UNION ALL SELECT 'raw_records', source_type, count(*)::BIGINT FROM lake GROUP BY ALL""")
+SELECT 'lake_records' AS tbl, source_type, record_id, text, lake_id, hazard_type FROM lake
+UNION ALL SELECT 'raw_records', source_type, record_id, text, NULL, NULL FROM lake""")
 def migrate_job(spark: SparkSession, folder: str) -> DataFrame:
     """An empty store filled from landed lines and silver folders, twice."""
     home = shared_dir(spark)
@@ -74,8 +74,8 @@ def migrate_job(spark: SparkSession, folder: str) -> DataFrame:
     lake.migrate()
     lake.migrate()
     return lake.db_query(
-        "SELECT 'lake_records' AS tbl, source_type, count(*) AS records FROM lake_records GROUP BY ALL "
-        "UNION ALL SELECT 'raw_records', source_type, count(*) FROM raw_records GROUP BY ALL"
+        "SELECT 'lake_records' AS tbl, source_type, record_id, text, lake_id, hazard_type FROM lake_records "
+        "UNION ALL SELECT 'raw_records', source_type, record_id, text, NULL, NULL FROM raw_records"
     )
 
 

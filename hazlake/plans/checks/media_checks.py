@@ -8,7 +8,7 @@ from hazlake.plans.checks import base as b
 
 DOMAINS = ["example.com", "ththth.example.net", "spam-farm.example.org"]
 _SKIP_SQL = r"(?i)logo|icon|avatar|banner|pixel|tracker|badge|button|sprite|widget|gravatar|favicon|ads|advert|analytics|1x1|blank\.|spacer"
-_HOST = r"regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), '^www\.', '')"
+_HOST = r"regexp_replace(regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), ':[0-9]*$', ''), '^www\.', '')"
 _ALLOWED = " OR ".join(f"{_HOST} = '{d}' OR ends_with({_HOST}, '.{d}')" for d in DOMAINS)
 
 # Links of every sort a page may carry, five per page.
@@ -34,7 +34,7 @@ def _links(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @b.check("WITH" + _LINKS + rf"""
-SELECT page_id, k::BIGINT AS k, (NOT regexp_matches(url, '{_SKIP_SQL}') AND (k = 4 OR {_ALLOWED}))::INT AS relevant FROM links""")
+SELECT page_id, k::BIGINT AS k, (NOT regexp_matches(url, '{_SKIP_SQL}') AND ({_ALLOWED}))::INT AS relevant FROM links""")
 def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return _links(spark, folder).select(
         "page_id", F.col("k").cast("bigint").alias("k"), is_relevant_url(F.col("url"), DOMAINS).cast("int").alias("relevant")

@@ -101,16 +101,17 @@ def _silver(records: DataFrame) -> DataFrame:
 
 
 @b.check(b.sql_lake() + """
-SELECT date_partition AS date, source_type AS source, count(*)::BIGINT AS records, count(DISTINCT lake_id)::BIGINT AS ids,
-  sum(length(text))::BIGINT AS chars FROM lake GROUP BY ALL""")
+SELECT date_partition AS date, source_type AS source, lake_id, record_id, collected_at, published_at, url, text, language,
+  array_to_string(keywords_hit, '|') AS keywords_hit, hazard_type, hazard_severity, location_name, lat, lon, engagement_score FROM lake""")
 def silver_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Silver written in full, then one source merged again: same rows, read back by folder."""
     path = f"{shared_dir(spark)}/silver"
     records = b.doc_lake(spark, folder)
     tables.write_silver(records, path)
     tables.write_silver(records.filter("source_type = 'reddit'"), path, merge=True)
-    return tables.read_silver(spark, path).groupBy("date", "source").agg(
-        F.count("*").alias("records"), F.count_distinct("lake_id").alias("ids"), F.sum(F.length("text")).alias("chars")
+    return tables.read_silver(spark, path).select(
+        "date", "source", "lake_id", "record_id", "collected_at", "published_at", "url", "text", "language",
+        F.array_join("keywords_hit", "|").alias("keywords_hit"), "hazard_type", "hazard_severity", "location_name", "lat", "lon", "engagement_score",
     )
 
 
@@ -122,9 +123,10 @@ def silver_partitions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @b.check(f"""
-SELECT DISTINCT 'weather' AS kind, concat('loc_', user_id % 10, '|', {b.SQL_ISO_MICROS}) AS key FROM events
-UNION ALL SELECT 'raw', concat(CASE doc_id % 4 WHEN 0 THEN 'twitter' WHEN 1 THEN 'reddit' WHEN 2 THEN 'news_api' ELSE source END, '|', doc_id) FROM documents
-UNION ALL SELECT DISTINCT 'media', url FROM pages""")
+SELECT DISTINCT 'weather' AS kind, concat('loc_', user_id % 10, '|', {b.SQL_ISO_MICROS}) AS key, concat_ws('|', '90.0', '10.5', '76.25', '1010.0') AS held FROM events
+UNION ALL SELECT 'raw', concat(CASE doc_id % 4 WHEN 0 THEN 'twitter' WHEN 1 THEN 'reddit' WHEN 2 THEN 'news_api' ELSE source END, '|', doc_id),
+  concat_ws('|', concat('https://example.org/', doc_id), text, array_to_string({b.SQL_HITS}, ',')) FROM documents
+UNION ALL SELECT DISTINCT 'media', url, 'images/x|image|12.5|640|480' FROM pages""")
 def bronze_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The three typed bronze tables, each filled twice."""
     store = shared_dir(spark)
@@ -132,18 +134,19 @@ def bronze_tables(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_records(as_parsed(b.doc_records(spark, folder), "text"))
     pages = b.load(spark, folder, "pages").select(
         F.col("url").alias("source_url"), F.lit("images/x").alias("local_path"), F.lit("image").alias("media_type"),
-        F.lit("2024-02-01T00:00:00+00:00").alias("collected_at"),
+        F.lit("2024-02-01T00:00:00+00:00").alias("collected_at"), F.lit(12.5).alias("file_size_kb"), F.lit(640).alias("width"), F.lit(480).alias("height"),
     )
     media = media_records(as_parsed(pages, "media"))
     for name, rows in 2 * [("weather_records", weather), ("raw_records", raw), ("media_records", media)]:
         tables.insert_or_ignore(rows, store, name)
     keys = [
-        ("weather", "weather_records", F.concat_ws("|", "location_name", "collected_at")),
-        ("raw", "raw_records", F.concat_ws("|", "source_type", "record_id")),
-        ("media", "media_records", F.col("source_url")),
+        ("weather", "weather_records", F.concat_ws("|", "location_name", "collected_at"), ["wind_dir_deg", "lat", "lon", "pressure_hpa"]),
+        ("raw", "raw_records", F.concat_ws("|", "source_type", "record_id"), ["url", "text", F.array_join("keywords_hit", ",")]),
+        ("media", "media_records", F.col("source_url"), ["local_path", "media_type", "file_size_kb", "width", "height"]),
     ]
     parts = [
-        tables.read_table(spark, store, name).select(F.lit(kind).alias("kind"), key.alias("key")) for kind, name, key in keys
+        tables.read_table(spark, store, name).select(F.lit(kind).alias("kind"), key.alias("key"), F.concat_ws("|", *held).alias("held"))
+        for kind, name, key, held in keys
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
