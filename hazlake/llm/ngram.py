@@ -36,7 +36,7 @@ from hazlake.llm.words import mix, slices, word_hashes
 from hazlake.session import stage
 
 MU = 200.0
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 3_000_000
 CHUNK_BYTES = 8 << 20
 HELD_OUT_ONE_IN = 10
 
@@ -62,9 +62,10 @@ def _tokens(batch: pa.RecordBatch, training: bool) -> Iterator[tuple[list, np.nd
         own = [i for i, d in enumerate(doc_ids) if not held_out(d)]
         doc_ids, texts = [doc_ids[i] for i in own], texts.take(pa.array(own, pa.int64()))
     for first, some in slices(texts, CHUNK_BYTES):
-        words, by_text = word_hashes(some)
+        hashed = [word_hashes(part) for _, part in slices(some)]  # hashing needs many times a slice's bytes
+        words = np.concatenate([w for w, _ in hashed])
         n = len(some)
-        offsets = by_text + np.arange(n + 1)
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(at) for _, at in hashed]) + 1)])
         tokens = np.full(offsets[-1], END, dtype=np.uint64)
         is_word = np.ones(len(tokens), dtype=bool)
         is_word[offsets[1:] - 1] = False
@@ -198,95 +199,125 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
 
 
-class Model:
-    """A trained model: ``shards`` (shard, trie) as a table in the shared folder, and what all tasks need to know."""
+class Vocabulary:
+    """What all tasks need to know of a corpus: training tokens, types and texts, and how words are spread."""
+
+    def __init__(self, shards: Shards, tokens: int, types: int, texts: int, mu: float):
+        self.shards, self.tokens, self.texts, self.mu = shards, tokens, texts, mu
+        #: Base probability that one count is worth.
+        self.unit = 1.0 / (tokens + 0.1 * (types + 1))
+
+    def trie(self, words: np.ndarray, contexts: np.ndarray, often: np.ndarray) -> bytes:
+        """The shard of these training pairs."""
+        distinct, parent = np.unique(words, return_inverse=True)
+        counts = np.bincount(parent, weights=often, minlength=len(distinct)).astype(np.int64)
+        spread = self.shards.count(distinct)
+        return Trie.to_bytes(distinct, np.where(spread >= 0, spread, counts), parent, contexts, often, self.unit, self.mu)
+
+    def look_up(self, trie: Trie | None, block: bytes) -> bytes:
+        """Per text of a block with tokens of this shard: tokens, known tokens, base score and score."""
+        w, word, h, context, document, _ = _unpacked(block)
+        words, word, document = np.cumsum(w), word.astype(np.int64), np.cumsum(document).astype(np.int64)
+        context = np.cumsum(h)[context.astype(np.int64)]
+        number, count = trie.find(words) if trie else (np.zeros(len(words), np.int64), np.zeros(len(words), np.int64))
+        here = count > 0
+        spread = self.shards.count(words)
+        count = np.where(spread >= 0, spread, count)
+        base = np.log10((count + 0.1) * self.unit)
+        value = np.log10(self.mu) + base[word]
+        known = np.flatnonzero(here[word])
+        if len(known):
+            hit, stored = trie.seen(number[word[known]], context[known])
+            value[known[hit]] = stored[hit]
+        # As the word before the next one, a word divides by its count; the end stands before nothing.
+        value -= np.where(words == END, 0.0, np.log10(count + self.mu))[word]
+        rows, place = np.unique(document, return_inverse=True)
+        sums = b"".join(np.bincount(place, weights=x).astype("<f8").tobytes() for x in (base[word], value))
+        head = _packed(rows=rows, n=np.bincount(place), known=np.bincount(place, weights=(count > 0)[word]).astype(np.int64))
+        return struct.pack("<II", len(head), len(rows)) + head + sums
+
 
-    def __init__(self, table: DataFrame, shards: Shards, tokens: int, types: int, texts: int, mu: float):
-        self.table, self.shards, self.tokens, self.types, self.texts, self.mu = table, shards, tokens, types, texts, mu
+class Model:
+    """A trained model: ``table`` (shard, trie) in the shared folder, and the vocabulary."""
 
-    @property
-    def unit(self) -> float:
-        """Base probability that one count is worth."""
-        return 1.0 / (self.tokens + 0.1 * (self.types + 1))
+    def __init__(self, table: DataFrame, vocabulary: Vocabulary):
+        self.table, self.vocabulary = table, vocabulary
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def train(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Learn from the documents of (doc_id, text) that are not held out."""
-    rows = _rows(docs)
-    counts = stage(rows.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+def vocabulary(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_TOKENS) -> Vocabulary:
+    """Count the words of the training documents."""
+    counts = stage(_rows(docs).mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    texts = F.coalesce(F.sum(F.when(F.col("word") == int(END), F.col("n"))), F.lit(0))
+    tokens, types, texts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), texts).first()
     n = 1 + tokens // shard_tokens
     # At most 2 n words have more than a share of 1 / (2 n).
     hot = {} if n == 1 else {r["word"] % (1 << 64): r["n"] for r in counts.filter(F.col("n") * (2 * n) > tokens).collect()}
-    shards = Shards(n, tokens, hot)
-    unit = 1.0 / (tokens + 0.1 * (types + 1))
+    return Vocabulary(Shards(n, tokens, hot), tokens, types, texts, mu)
+
+
+def _edges(shard: np.ndarray) -> list[tuple[int, int]]:
+    edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+    return list(zip(edges, edges[1:])) if len(shard) else []
+
+
+def train(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_TOKENS) -> Model:
+    """Learn from the documents of (doc_id, text) that are not held out."""
+    known = vocabulary(docs, mu, shard_tokens)
 
     def pairs(batches):
         for batch in batches:
-            for _, _, tokens_, before in _tokens(batch, True):
-                shard = shards.of(tokens_, before)
-                order = np.lexsort((before, tokens_, shard))
-                shard, tokens_, before = shard[order], tokens_[order], before[order]
-                new = np.concatenate([[True], (tokens_[1:] != tokens_[:-1]) | (before[1:] != before[:-1])])
-                at = np.flatnonzero(new)
-                often = np.diff(np.append(at, len(new))).astype(np.uint64)
-                shard, tokens_, before = shard[at], tokens_[at], before[at]
-                edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
+            for _, _, tokens, before in _tokens(batch, True):
+                shard, context = known.shards.of(tokens, before), _context(before)
+                order = np.lexsort((context, tokens, shard))
+                shard, tokens, context = shard[order], tokens[order], context[order]
+                at = np.flatnonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (context[1:] != context[:-1])]))
+                often = np.diff(np.append(at, len(tokens)))
+                shard, tokens, context = shard[at], tokens[at], context[at]
                 ids, blocks = [], []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                for a, b in _edges(shard):
+                    w, word = _numbered(tokens[a:b])
+                    h, number = _numbered(context[a:b])
                     ids.append(int(shard[a]))
-                    w, word = _numbered(tokens_[a:b])
-                    h, context = _numbered(_context(before[a:b]))
-                    blocks.append(_packed(w=w, word=np.diff(word, prepend=0), h=h, context=context, often=often[a:b]))
+                    blocks.append(_packed(w=w, word=np.diff(word, prepend=0), h=h, context=number, often=often[a:b]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blocks, pa.binary())], ["shard", "block"])
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        tokens_, contexts, often = [], [], []
+        parts = []
         for block in group["block"]:
-            w, word, h, context, n_ = _unpacked(block)
-            tokens_.append(np.cumsum(w)[np.cumsum(word).astype(np.int64)])
-            contexts.append(np.cumsum(h)[context.astype(np.int64)])
-            often.append(n_)
-        tokens_, contexts, often = (np.concatenate(x) for x in (tokens_, contexts, often))
-        words, parent = np.unique(tokens_, return_inverse=True)
-        counts_ = np.bincount(parent, weights=often).astype(np.int64)
-        spread = shards.count(words)
-        counts_ = np.where(spread >= 0, spread, counts_)
-        trie = Trie.to_bytes(words, counts_, parent, contexts, often, unit, mu)
-        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "trie": [trie]})
-
-    table = rows.mapInArrow(pairs, "shard long, block binary").groupBy("shard").applyInPandas(build, "shard long, trie binary")
-    ends = counts.filter(F.col("word") == int(END)).agg(F.sum("n")).first()[0] or 0
-    return Model(stage(table, "tries"), shards, tokens, types, ends, mu)
+            w, word, h, context, often = _unpacked(block)
+            parts.append((np.cumsum(w)[np.cumsum(word).astype(np.int64)], np.cumsum(h)[context.astype(np.int64)], often))
+        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "trie": [known.trie(*(np.concatenate(x) for x in zip(*parts)))]})
 
+    table = _rows(docs).mapInArrow(pairs, "shard long, block binary").groupBy("shard").applyInPandas(build, "shard long, trie binary")
+    return Model(stage(table, "tries"), known)
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of (doc_id, text)."""
-    shards, tokens, mu, unit = model.shards, model.tokens, model.mu, model.unit
 
+def _sent_blocks(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """(shard, chunk, block): the tokens of some texts, shard by shard, and under a shard below 0 whose they are."""
     def texts(batches):
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for doc_ids, offsets, tokens_, before in _tokens(batch, False):
-                shard = shards.of(tokens_, before)
+            for doc_ids, offsets, tokens, before in _tokens(batch, False):
+                shard, context = known.shards.of(tokens, before), _context(before)
                 document = np.repeat(np.arange(len(doc_ids)), np.diff(offsets))
+                apart = np.array([held_out(d) for d in doc_ids])
                 order = np.argsort(shard, kind="stable")
-                shard, tokens_, before, document = shard[order], tokens_[order], before[order], document[order]
-                edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
+                shard, tokens, context, document = shard[order], tokens[order], context[order], document[order]
                 ids, blocks = [], []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                for a, b in _edges(shard):
+                    w, word = _numbered(tokens[a:b])
+                    h, which = _numbered(context[a:b])
+                    own = document[a:b]
+                    rows = np.unique(own)
                     ids.append(int(shard[a]))
-                    w, word = _numbered(tokens_[a:b])
-                    h, context = _numbered(_context(before[a:b]))
-                    blocks.append(_packed(w=w, word=word, h=h, context=context, document=np.diff(document[a:b], prepend=0)))
-                # The chunk's doc_ids travel once, with an extra row that no shard scores.
-                ids.append(-1 - (task * 7919 + number) % shards.n)
+                    blocks.append(_packed(w=w, word=word, h=h, context=which, document=np.diff(own, prepend=0), apart=rows[apart[rows]]))
+                ids.append(-1 - (task * 7919 + number) % known.shards.n)
                 blocks.append(_packed(
-                    ids=np.array([(d or 0) % (1 << 64) for d in doc_ids], dtype=np.uint64), known=np.array([d is not None for d in doc_ids], dtype=np.uint64),
+                    ids=np.array([(d or 0) % (1 << 64) for d in doc_ids], dtype=np.uint64), given=np.array([d is not None for d in doc_ids], dtype=np.uint64),
                 ))
                 chunk = (task << 32) + number
                 number += 1
@@ -294,59 +325,72 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     [pa.array(ids, pa.int64()), pa.array([chunk] * len(ids), pa.int64()), pa.array(blocks, pa.binary())], ["shard", "chunk", "block"],
                 )
 
-    def look_up(blocks: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
-        out = {"chunk": [], "shard": [], "block": []}
-        trie = Trie(tries["trie"].iloc[0]) if len(tries) else None
-        for shard, chunk, block in zip(blocks["shard"], blocks["chunk"], blocks["block"]):
-            out["chunk"].append(chunk), out["shard"].append(shard)
-            if shard < 0:
-                out["block"].append(block)
-                continue
-            w, word, h, context, document = _unpacked(block)
-            words, word, document = np.cumsum(w), word.astype(np.int64), np.cumsum(document).astype(np.int64)
-            context = np.cumsum(h)[context.astype(np.int64)]
-            number, count = trie.find(words) if trie else (np.zeros(len(words), np.int64), np.zeros(len(words), np.int64))
-            spread = shards.count(words)
-            count = np.where(spread >= 0, spread, count)
-            base = np.log10((count + 0.1) * unit)
-            found = np.zeros(len(word), dtype=bool)
-            value = np.log10(mu) + base[word]
-            if trie:
-                in_trie = np.flatnonzero((trie.find(words)[1] > 0)[word])
-                hit, stored = trie.seen(number[word[in_trie]], context[in_trie])
-                found[in_trie] = hit
-                value[in_trie[hit]] = stored[hit]
-            # As the word before the next one, a word divides by its count; the end stands before nothing.
-            value -= np.where(words == END, 0.0, np.log10(count + mu))[word]
-            rows, place = np.unique(document, return_inverse=True)
-            sums = [np.bincount(place, weights=x).astype("<f8") for x in (base[word], value)]
-            whole = [np.bincount(place), np.bincount(place, weights=(count > 0)[word])]
-            head = _packed(rows=rows, n=whole[0], known=whole[1].astype(np.int64))
-            out["block"].append(struct.pack("<II", len(head), len(rows)) + head + b"".join(s.tobytes() for s in sums))
-        return pd.DataFrame(out)
-
-    scored = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    from_start = float(np.log10(model.texts + mu))  # every text begins after the start once
-
-    def gathered(group: pd.DataFrame) -> pd.DataFrame:
-        ids, known_id = _unpacked(group.loc[group["shard"] < 0, "block"].iloc[0])
-        doc_ids = [i if k else None for i, k in zip(ids.view(np.int64).tolist(), known_id.tolist())]
+    return _rows(docs).mapInArrow(texts, "shard long, chunk long, block binary")
+
+
+_FOUND = "chunk long, shard long, block binary"
+
+
+def _looked_up(blocks: pd.DataFrame, trie: Trie | None, known: Vocabulary) -> pd.DataFrame:
+    found = [b if s < 0 else known.look_up(trie, b) for s, b in zip(blocks["shard"], blocks["block"])]
+    return pd.DataFrame({"chunk": blocks["chunk"], "shard": blocks["shard"], "block": found})
+
+
+def _summed(found: DataFrame, known: Vocabulary) -> DataFrame:
+    """One row per text, from what the shards found of its chunk."""
+    tokens, from_start = known.tokens, float(np.log10(known.texts + known.mu))  # every text begins after the start once
+
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        ids, given = _unpacked(group.loc[group["shard"] < 0, "block"].iloc[0])
+        doc_ids = [i if k else None for i, k in zip(ids.view(np.int64).tolist(), given.tolist())]
         n = len(doc_ids)
-        total, known, base, value = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+        total, seen, base, value = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
         # In the order of shards, so that sums come out alike every time.
         for block in group[group["shard"] >= 0].sort_values("shard")["block"]:
-            head, rows_n = struct.unpack_from("<II", block)
+            head, n_rows = struct.unpack_from("<II", block)
             rows, count, good = (x.astype(np.int64) for x in _unpacked(block[8 : 8 + head]))
-            sums = np.frombuffer(block, "<f8", 2 * rows_n, 8 + head)
+            sums = np.frombuffer(block, "<f8", 2 * n_rows, 8 + head)
             total[rows] += count
-            known[rows] += good
-            base[rows] += sums[:rows_n]
-            value[rows] += sums[rows_n:]
+            seen[rows] += good
+            base[rows] += sums[:n_rows]
+            value[rows] += sums[n_rows:]
         return pd.DataFrame({
-            "doc_id": pd.array(doc_ids, dtype="Int64"), "held_out": [held_out(d) for d in doc_ids], "n_tokens": total, "n_known": known,
+            "doc_id": pd.array(doc_ids, dtype="Int64"), "held_out": [held_out(d) for d in doc_ids], "n_tokens": total, "n_known": seen,
             "train_tokens": tokens, "base_score": base, "score": value - from_start,
         })
 
-    blocks = _rows(docs).mapInArrow(texts, "shard long, chunk long, block binary")
-    found = blocks.groupBy("shard").cogroup(model.table.groupBy("shard")).applyInPandas(look_up, "chunk long, shard long, block binary")
-    return found.groupBy("chunk").applyInPandas(gathered, scored)
+    columns = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return found.groupBy("chunk").applyInPandas(gather, columns)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of (doc_id, text)."""
+    known = model.vocabulary
+
+    def look_up(blocks: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
+        return _looked_up(blocks, Trie(tries["trie"].iloc[0]) if len(tries) else None, known)
+
+    found = _sent_blocks(docs, known).groupBy("shard").cogroup(model.table.groupBy("shard")).applyInPandas(look_up, _FOUND)
+    return _summed(found, known)
+
+
+def train_and_score(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """``score(docs, train(docs))``, with tokens sent to the shards once for both."""
+    known = vocabulary(docs, mu, shard_tokens)
+
+    def fit_and_look_up(blocks: pd.DataFrame) -> pd.DataFrame:
+        words, contexts = [], []
+        for shard, block in zip(blocks["shard"], blocks["block"]):
+            if shard >= 0:
+                w, word, h, context, document, apart = _unpacked(block)
+                learnt = ~np.isin(np.cumsum(document), apart)
+                words.append(np.cumsum(w)[word.astype(np.int64)[learnt]])
+                contexts.append(np.cumsum(h)[context.astype(np.int64)[learnt]])
+        trie = None
+        if sum(map(len, words)):
+            words, contexts = np.concatenate(words), np.concatenate(contexts)
+            trie = Trie(known.trie(words, contexts, np.ones(len(words), dtype=np.int64)))
+        del words, contexts
+        return _looked_up(blocks, trie, known)
+
+    return _summed(_sent_blocks(docs, known).groupBy("shard").applyInPandas(fit_and_look_up, _FOUND), known)

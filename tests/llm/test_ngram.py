@@ -71,9 +71,12 @@ def test_scores_follow_the_formula(spark, shard_tokens):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' AS score", "1 AS shard").repartition(3)
     model = ngram.train(docs, shard_tokens=shard_tokens)
-    assert (model.shards.n > 5) == (shard_tokens == 500)
-    assert shard_tokens != 500 or len(model.shards.words) > 2
-    same(ngram.score(docs, model).collect(), brute(rows))
+    shards = model.vocabulary.shards
+    assert (shards.n > 5) == (shard_tokens == 500)
+    assert shard_tokens != 500 or len(shards.words) > 2
+    want = brute(rows)
+    same(ngram.score(docs, model).collect(), want)
+    same(ngram.train_and_score(docs, shard_tokens=shard_tokens).collect(), want)
 
 
 def test_probabilities_sum_to_one():
@@ -99,13 +102,14 @@ def test_a_trie_is_read_from_a_mapped_file(tmp_path):
 
 def test_no_rows_and_nothing_learnt(spark):
     none = spark.createDataFrame([], SCHEMA)
-    assert ngram.score(none, ngram.train(none)).count() == 0
+    assert ngram.score(none, ngram.train(none)).count() == 0 and ngram.train_and_score(none).count() == 0
     rows = [(next(i for i in range(100) if ngram.held_out(i)), "a b")]
     docs = spark.createDataFrame(rows, SCHEMA)
     same(ngram.score(docs, ngram.train(docs)).collect(), brute(rows))
+    same(ngram.train_and_score(docs).collect(), brute(rows))
 
 
 def test_held_out_documents_score_better_than_the_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = ngram.score(docs, ngram.train(docs)).filter("held_out").collect()
+    rows = ngram.train_and_score(docs).filter("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.1 * sum(r["n_tokens"] for r in rows)
