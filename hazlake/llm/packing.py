@@ -25,7 +25,7 @@ from hazlake.llm.tokens import encoder, gather
 from hazlake.session import stage
 
 CAPACITY = 4096
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 500
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -123,10 +123,10 @@ def _places(bins, capacity: int) -> tuple[np.ndarray, ...]:
     return (table[:, 0] << 48) + table[:, 1], table[:, 1], table[:, 2], table[:, 3], table[:, 4]
 
 
-def _ranked(pieces: DataFrame, rows: int) -> DataFrame:
+def _ranked(pieces: DataFrame) -> DataFrame:
     """Add ``rank``, from 0 within a length; block by block, so that no length is one task."""
-    blocks = max(1, rows // BLOCK_ROWS)
-    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
+    blocks = pieces.groupBy("length").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
+    pieces = pieces.join(blocks, "length").withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.col("blocks")))
     sizes = pieces.groupBy("length", "block").count()
     before = F.sum("count").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("length", "block", F.coalesce(before, F.lit(0)).alias("first"))
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY)
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    ranked = _ranked(pieces, sum(counts.values()))
+    ranked = _ranked(pieces)
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long")).mapInArrow(place, PLACED)
 
 
