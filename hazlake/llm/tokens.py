@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from hazlake.llm.words import joined_bytes, slices
 
-CACHE_PARTS = 500_000
+CACHE_PARTS = 200_000
 SLICE_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -74,38 +75,55 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+class _Known:
+    """Ids of distinct parts: ``slots`` numbers the parts, whose ids lie one after the other in ``pool``."""
+
+    def __init__(self):
+        self.slots: dict[bytes, int] = {}
+        self.pool = np.zeros(1 << 16, dtype=np.uint32)
+        self.starts, self.lengths = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+        self.used = 0
+
+    def add(self, units: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        at, end = len(self.slots), self.used + len(ids)
+        while len(self.pool) < end:
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while len(self.starts) < at + len(units):
+            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+        self.pool[self.used : end] = ids
+        self.starts[at : at + len(units)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[at : at + len(units)] = lengths
+        self.slots.update(zip(units, range(at, at + len(units))))
+        self.used = end
+
+    def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the parts one after the other, how many each has)."""
+        lengths = self.lengths[slots]
+        return self.pool[gather(self.starts[slots], lengths)], lengths
+
+
 class Encoder:
-    """Ids of texts; keeps what it has encoded, up to ``cache_parts`` distinct parts."""
+    """Ids of texts. Parts seen lately stay known: of two generations of ``cache_parts``, the older one goes."""
 
     def __init__(self, path: str, cache_parts: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.cache_parts = Tokenizer.from_file(path), cache_parts
-        self._clear()
-
-    def _clear(self) -> None:
-        self.slots: dict[bytes, int] = {}
-        self.pool = np.zeros(1 << 16, dtype=np.uint32)
-        self.starts, self.lengths = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
+        self.new, self.old = _Known(), _Known()
 
     def _learn(self, units: list[bytes]) -> None:
-        """Encode parts that are not in the cache."""
+        """Bring parts into the new generation, from the old one or by the library."""
+        have = self.old.slots
+        again = [u for u in units if u in have]
+        if again:
+            self.new.add(again, *self.old.ids(np.fromiter(map(have.__getitem__, again), dtype=np.int64, count=len(again))))
+            units = [u for u in units if u not in have]
         for first in range(0, len(units), 20_000):
             some = units[first : first + 20_000]
-            ids = [e.ids for e in self.library.encode_batch_fast([u.decode() for u in some], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            at, end = len(self.slots), self.used + int(lengths.sum())
-            while len(self.pool) < end:
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            while len(self.starts) < at + len(some):
-                self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-            self.pool[self.used : end] = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=end - self.used)
-            self.starts[at : at + len(some)] = self.used + np.cumsum(lengths) - lengths
-            self.lengths[at : at + len(some)] = lengths
-            self.slots.update(zip(some, range(at, at + len(some))))
-            self.used = end
+            found = [e.ids for e in self.library.encode_batch_fast([u.decode() for u in some], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            self.new.add(some, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other as unsigned 32-bit integers, n + 1 offsets); null counts as empty."""
@@ -113,14 +131,13 @@ class Encoder:
         for _, some in slices(texts, SLICE_BYTES):
             coded, by_text = parts(some)
             units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-            if len(self.slots) > self.cache_parts:
-                self._clear()
-            missing = [u for u in units if u not in self.slots]
-            self._learn(missing)
-            slot = np.fromiter(map(self.slots.__getitem__, units), dtype=np.int64, count=len(units))
-            slot = slot[coded.indices.to_numpy(zero_copy_only=False)] if len(units) else slot
-            lengths = self.lengths[slot]
-            found.append(self.pool[gather(self.starts[slot], lengths)])
+            if len(self.new.slots) > self.cache_parts:
+                self.new, self.old = _Known(), self.new
+            slots = self.new.slots
+            self._learn([u for u in units if u not in slots])
+            slot = np.fromiter(map(slots.__getitem__, units), dtype=np.int64, count=len(units))
+            ids, lengths = self.new.ids(slot[coded.indices.to_numpy(zero_copy_only=False)] if len(units) else slot)
+            found.append(ids)
             offsets.append(np.concatenate([[0], np.cumsum(lengths)])[by_text][1:] + offsets[-1][-1])
         return (np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)), np.concatenate(offsets)
 
