@@ -100,14 +100,18 @@ class Grammar:
         return cls(base, rules.reshape(-1, 2), rounds, wide.view("<u4").ravel().astype(np.int64), starts)
 
 
+def _renumbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct ids, number of each id), by a table as large as the largest id."""
+    seen = np.bincount(ids) > 0 if len(ids) else np.zeros(0, dtype=bool)
+    return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.uint32) - np.uint32(1))[ids]
+
+
 def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) -> Grammar:
     """The grammar of documents given one after the other with n + 1 offsets; no rule spans two of them."""
-    base, symbols = np.unique(ids, return_inverse=True)
-    symbols = symbols.astype(np.uint32)
+    base, symbols = _renumbered(ids)
     opens = np.zeros(len(symbols) + 1, dtype=bool)
     opens[offsets] = True
     opens = opens[:-1]
-    document = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint32), np.diff(offsets))
     rules, rounds, known, ceiling = [], [], len(base), None
     factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - TABLE_BITS)
     while len(symbols) > 1:
@@ -125,7 +129,8 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
         table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
         table[((pairs * factor) >> shift).astype(np.int64)] = np.arange(len(pairs), dtype=np.int32)
         rank = table[((keys * factor) >> shift).astype(np.int64)]
-        rank[(rank >= 0) & ((pairs[rank] != keys) | opens[1:])] = -1
+        at = np.flatnonzero(rank >= 0)
+        rank[at[(pairs[rank[at]] != keys[at]) | opens[at + 1]]] = -1
         # A place is replaced if its pair is more frequent than those that overlap it; of equal ones in a row, every other.
         at = np.flatnonzero(rank >= 0)
         own = rank[at]
@@ -149,11 +154,13 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
         symbols[at] = name[rank[at]]
         stay = np.ones(len(symbols), dtype=bool)
         stay[at + 1] = False
-        symbols, opens, document = symbols[stay], opens[stay], document[stay]
+        symbols, opens = symbols[stay], opens[stay]
         rules.append(np.stack([pairs[paying] >> np.uint64(32), pairs[paying] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64))
         rounds.append(len(paying))
         known += len(paying)
-    starts = np.searchsorted(document, np.arange(len(offsets), dtype=np.uint32)) if len(symbols) else np.zeros(len(offsets), int)
+    # A document without ids begins where the next one does.
+    begins = np.append(np.flatnonzero(opens), len(symbols))
+    starts = begins[np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])]
     made = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
     return Grammar(base.astype(np.int64), made, np.array(rounds, dtype=np.int64), symbols.astype(np.int64), starts.astype(np.int64))
 
@@ -174,18 +181,16 @@ def _shard_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, sh
 
     doc_ids, held, lengths, n = [], [], [], 0
     for batch in batches:
-        names = batch.column("doc_id").to_pylist()
-        for first in range(0, len(names), 200):
-            ids, offsets = encode(batch.column("text").slice(first, 200))
-            for i, doc_id in enumerate(names[first : first + 200]):
-                own = np.append(ids[offsets[i] : offsets[i + 1]], np.uint32(end_id))
-                if n and n + len(own) > shard_ids:
-                    yield shard(doc_ids, held, lengths)
-                    doc_ids, held, lengths, n = [], [], [], 0
-                doc_ids.append(doc_id)
-                held.append(own)
-                lengths.append(len(own))
-                n += len(own)
+        ids, offsets = encode(batch.column("text"))
+        for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+            own = np.append(ids[offsets[i] : offsets[i + 1]], np.uint32(end_id))
+            if n and n + len(own) > shard_ids:
+                yield shard(doc_ids, held, lengths)
+                doc_ids, held, lengths, n = [], [], [], 0
+            doc_ids.append(doc_id)
+            held.append(own)
+            lengths.append(len(own))
+            n += len(own)
     if doc_ids:
         yield shard(doc_ids, held, lengths)
 
