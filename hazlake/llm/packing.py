@@ -123,10 +123,12 @@ def _places(bins, capacity: int) -> tuple[np.ndarray, ...]:
     return (table[:, 0] << 48) + table[:, 1], table[:, 1], table[:, 2], table[:, 3], table[:, 4]
 
 
-def _ranked(pieces: DataFrame) -> DataFrame:
+def _ranked(pieces: DataFrame, counts: dict[int, int], capacity: int) -> DataFrame:
     """Add ``rank``, from 0 within a length; block by block, so that no length is one task."""
-    blocks = pieces.groupBy("length").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
-    pieces = pieces.join(blocks, "length").withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.col("blocks")))
+    blocks = [-(-counts.get(length, 1) // BLOCK_ROWS) for length in range(1, capacity + 1)]
+    # One constant array, looked up by position; a join on the length would bring its rows together.
+    by_length = F.split(F.lit(",".join(map(str, blocks))), ",").cast("array<bigint>")
+    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.element_at(by_length, F.col("length").cast("int"))))
     sizes = pieces.groupBy("length", "block").count()
     before = F.sum("count").over(Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     firsts = sizes.select("length", "block", F.coalesce(before, F.lit(0)).alias("first"))
@@ -151,7 +153,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY)
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    ranked = _ranked(pieces)
+    ranked = _ranked(pieces, counts, capacity)
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long")).mapInArrow(place, PLACED)
 
 
