@@ -2,13 +2,14 @@
 
 A document is its set of distinct word shingles; two are linked if their Jaccard similarity is
 at least 0.8. Documents with equal sets are one class from the start. Classes carry 64 minwise
-tokens. In every one of ``TREES`` independent trees a node branches by two chosen tokens: a
+tokens. In every one of ``TREES`` independent trees a node branches by three chosen tokens: a
 class goes to one child per token, named by the token's value. A node of at most ``LEAF`` classes
-is compared exhaustively; a larger one branches on, with two further tokens. Two sets
-of similarity s share a token with probability s, so a link at 0.8 is missed by a tree of depth one
-with probability 0.04 and by one of any depth with less than 0.06; four trees miss it with less than 2 in
-100,000. A node that ``DEPTH`` levels have not made small holds a dense group; it is compared exhaustively too, as
-pairs of blocks of its classes, each a node of its own.
+is compared exhaustively; a larger one branches on, with three further tokens, chosen by a hash of the node from those
+that its path has not used, so that sibling branches do not fail together. Two sets of similarity s share a token with
+probability s. Three trees miss a link at 0.8 with a probability of 2 in a million where nodes end at depth one and 3.4 in
+a million at full depth, as computed for tokens drawn without replacement from 64 of which Binomial(64, 0.8) agree; the
+comparison below misses 4.2 in a million: together less than 1 in 100,000. A node that ``DEPTH`` levels have not made
+small holds a dense group; it is compared exhaustively too, as pairs of blocks of its classes, each a node of its own.
 
 Inside a node, pairs whose sizes or tokens allow a link (36 of 64 tokens equal; expected are 51) join classes
 into groups. A group is verified on full sets in one place: every class outside the largest component
@@ -34,19 +35,24 @@ from hazlake.session import stage
 SHINGLE = 5
 PERCENT = 80
 TOKENS = 64
-TREES = 4
-BRANCHES = 2
+TREES = 3
+BRANCHES = 3
 LEAF = 2048
-DEPTH = 6
+DEPTH = 4
 LEAST_EQUAL = 36
 GROUP_SHINGLES = 4 << 20
 
 _ORDER = np.random.Generator(np.random.PCG64(41)).permutation(TOKENS)
 
 
-def _chosen(tree: int, depth: int) -> np.ndarray:
-    """Tokens by which the nodes of a tree's level branch."""
-    return np.roll(_ORDER, -tree * TOKENS // TREES)[depth * BRANCHES : (depth + 1) * BRANCHES]
+def _chosen(tree: int, node: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """The tokens by which each node of a tree branches; ``used``: bits of the tokens on the way to it. Roots share none."""
+    tokens = np.arange(TOKENS, dtype=np.uint64)
+    order = mix(mix(node + np.uint64(tree + 1))[:, None] + tokens * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+    order[(used[:, None] >> tokens) & np.uint64(1) == 1] = np.iinfo(np.uint64).max
+    chosen = np.argpartition(order, BRANCHES - 1, axis=1)[:, :BRANCHES]
+    chosen[used == 0] = _ORDER[tree * BRANCHES : (tree + 1) * BRANCHES]
+    return chosen
 
 
 def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -93,7 +99,7 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 
 def _children(rows: DataFrame, depth: int) -> DataFrame:
-    """(node, id) one level on; of (tree, node, id, tokens), or at the root of (id, tokens)."""
+    """(tree, node, used, id) one level on; of (tree, node, used, id, tokens), or at the root of (id, tokens)."""
     def branch(batches):
         for batch in batches:
             if not len(batch):
@@ -102,13 +108,17 @@ def _children(rows: DataFrame, depth: int) -> DataFrame:
             at_root = depth == 0
             for tree in range(TREES):
                 own = np.arange(n) if at_root else np.flatnonzero(batch.column("tree").to_numpy() == tree)
-                node = np.zeros(n, dtype=np.uint64) if at_root else batch.column("node").to_numpy().view(np.uint64)
-                for token in _chosen(tree, depth).tolist():
-                    child = mix(node[own] * np.uint64(0x9E3779B97F4A7C15) + np.uint64((tree * TOKENS + token) << 32) + signatures[own, token])
-                    columns = [pa.array(np.full(len(own), tree, np.int32)), pa.array(child.view(np.int64)), batch.column("id").take(pa.array(own))]
-                    yield pa.RecordBatch.from_arrays(columns, ["tree", "node", "id"])
-
-    return rows.mapInArrow(branch, "tree int, node long, id long")
+                node, used = (np.zeros(n, np.uint64) if at_root else batch.column(c).to_numpy().view(np.uint64) for c in ("node", "used"))
+                nodes, first, number = np.unique(node[own], return_index=True, return_inverse=True)
+                chosen = _chosen(tree, nodes, used[own][first])[number]
+                for token in chosen.T:
+                    key = (np.uint64(tree * TOKENS) + token.astype(np.uint64)) << np.uint64(32)
+                    child = mix(node[own] * np.uint64(0x9E3779B97F4A7C15) + key + signatures[own, token])
+                    way = used[own] | (np.uint64(1) << token.astype(np.uint64))
+                    columns = [pa.array(np.full(len(own), tree, np.int32)), pa.array(child.view(np.int64)), pa.array(way.view(np.int64)), batch.column("id").take(pa.array(own))]
+                    yield pa.RecordBatch.from_arrays(columns, ["tree", "node", "used", "id"])
+
+    return rows.mapInArrow(branch, "tree int, node long, used long, id long")
 
 
 def _blocks(rows: DataFrame) -> DataFrame:

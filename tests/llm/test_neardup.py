@@ -126,3 +126,16 @@ def test_one_document_of_each_group_stays(spark):
     left = neardup.without_near_duplicates(docs)
     assert left.columns == ["doc_id", "text", "more"]
     assert sorted(r["doc_id"] for r in left.collect()) == sorted({c for _, _, c in brute(list(dict(rows).items()), 5)})
+
+
+def test_dense_nodes_keep_their_pairs(spark, monkeypatch):
+    """Pairs at 0.8 inside nodes that no level makes small meet in a leaf, as a comparison of all classes would have them."""
+    monkeypatch.setattr(neardup, "LEAF", 2)
+    rng, n = np.random.default_rng(8), 4000
+    a = rng.integers(0, 1 << 32, (n, neardup.TOKENS), dtype=np.uint32)
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 1 << 32, a.shape, dtype=np.uint32))
+    # With a third class, equal in its tokens to the first, a node that holds a pair is larger than a leaf.
+    rows = [(3 * i + k, x[i].tobytes()) for i in range(n) for k, x in enumerate((a, b, a))]
+    classes = spark.createDataFrame(rows, "id long, tokens binary").localCheckpoint()
+    met = neardup._leaves(classes, spark).filter("id % 3 < 2").select("node", F.expr("id div 3").alias("pair"), "id").distinct()
+    assert met.groupBy("node", "pair").count().filter("count = 2").select("pair").distinct().count() == n
