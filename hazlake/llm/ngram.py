@@ -6,11 +6,13 @@ words, the words by an unseen one, and the probabilities after any h sum to 1. C
 The trie is keyed by the predicted word, its children by the word before it. Its two levels and the monotone pointers
 from words to their children are Elias-Fano coded; children are found by successor search within their word's
 range. Smoothed values are stored as 16-bit codes of log10(c(h w) + MU P(w)). The other factor of a pair, 1 / (c(h) + MU), only
-needs the count of h, which its own shard has as a word; so a text's score is a sum of what shards find on their own, and texts
-go to the shards once. Levels lie in one buffer per shard that is read in place; ``Trie.open`` maps one from a file.
+needs the count of h, which its own shard has as a word; so a text's score is a sum of what shards find on their own. Tries are
+built from pair counts, summed in every task before they are sent; then texts go to the shards once, to be scored. Levels lie in one buffer per shard that is read in place; ``Trie.open`` maps one from a file.
 
 A shard holds about ``SHARD_TOKENS`` training tokens; a word with more than half of that is spread over several by the word
-before it. Such words are at most twice as many as shards and known to all. Tasks send shards packed blocks: each
+before it. Such words are at most twice as many as shards and known to all. A pair is never spread, so a shard with a frequent
+pair holds many more tokens, though few counts; what is looked up in it is dealt by chunk of texts to several groups, each of
+which gets the shard's trie. Tasks send shards packed blocks: each
 distinct word once, then small numbers.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id counts as an empty one for the split; repeated rows are
@@ -216,7 +218,7 @@ class Vocabulary:
 
     def look_up(self, trie: Trie | None, block: bytes) -> bytes:
         """Per text of a block with tokens of this shard: tokens, known tokens, base score and score."""
-        w, word, h, context, document, _ = _unpacked(block)
+        w, word, h, context, document = _unpacked(block)
         words, word, document = np.cumsum(w), word.astype(np.int64), np.cumsum(document).astype(np.int64)
         context = np.cumsum(h)[context.astype(np.int64)]
         number, count = trie.find(words) if trie else (np.zeros(len(words), np.int64), np.zeros(len(words), np.int64))
@@ -238,11 +240,17 @@ class Vocabulary:
 
 
 class Model:
-    """A trained model: ``table`` (shard, trie) in the shared folder, and the vocabulary."""
+    """A trained model: ``table`` (shard, trie, tokens) in the shared folder, and the vocabulary."""
 
     def __init__(self, table: DataFrame, vocabulary: Vocabulary):
         self.table, self.vocabulary = table, vocabulary
 
+    def parts(self) -> dict[int, int]:
+        """Among how many groups the tokens of a shard are dealt; only shards with more than twice the mean, so less than half of all."""
+        v = self.vocabulary
+        large = self.table.filter(F.col("tokens") * v.shards.n > 2 * v.tokens).select("shard", "tokens")
+        return {r["shard"]: 1 + r["tokens"] * v.shards.n // (2 * v.tokens) for r in large.collect()}
+
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -290,42 +298,42 @@ def train(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_TOKENS) ->
         for block in group["block"]:
             w, word, h, context, often = _unpacked(block)
             parts.append((np.cumsum(w)[np.cumsum(word).astype(np.int64)], np.cumsum(h)[context.astype(np.int64)], often))
-        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "trie": [known.trie(*(np.concatenate(x) for x in zip(*parts)))]})
+        words, contexts, often = (np.concatenate(x) for x in zip(*parts))
+        del parts
+        return pd.DataFrame({"shard": [group["shard"].iloc[0]], "trie": [known.trie(words, contexts, often)], "tokens": [int(often.sum())]})
 
-    table = _rows(docs).mapInArrow(pairs, "shard long, block binary").groupBy("shard").applyInPandas(build, "shard long, trie binary")
+    table = _rows(docs).mapInArrow(pairs, "shard long, block binary").groupBy("shard").applyInPandas(build, "shard long, trie binary, tokens long")
     return Model(stage(table, "tries"), known)
 
 
-def _sent_blocks(docs: DataFrame, known: Vocabulary) -> DataFrame:
-    """(shard, chunk, block): the tokens of some texts, shard by shard, and under a shard below 0 whose they are."""
+def _sent_blocks(docs: DataFrame, known: Vocabulary, parts: dict[int, int]) -> DataFrame:
+    """(shard, part, chunk, block): the tokens of some texts, shard by shard, and under a shard below 0 whose they are."""
     def texts(batches):
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for doc_ids, offsets, tokens, before in _tokens(batch, False):
                 shard, context = known.shards.of(tokens, before), _context(before)
                 document = np.repeat(np.arange(len(doc_ids)), np.diff(offsets))
-                apart = np.array([held_out(d) for d in doc_ids])
                 order = np.argsort(shard, kind="stable")
                 shard, tokens, context, document = shard[order], tokens[order], context[order], document[order]
                 ids, blocks = [], []
                 for a, b in _edges(shard):
                     w, word = _numbered(tokens[a:b])
                     h, which = _numbered(context[a:b])
-                    own = document[a:b]
-                    rows = np.unique(own)
                     ids.append(int(shard[a]))
-                    blocks.append(_packed(w=w, word=word, h=h, context=which, document=np.diff(own, prepend=0), apart=rows[apart[rows]]))
+                    blocks.append(_packed(w=w, word=word, h=h, context=which, document=np.diff(document[a:b], prepend=0)))
                 ids.append(-1 - (task * 7919 + number) % known.shards.n)
                 blocks.append(_packed(
                     ids=np.array([(d or 0) % (1 << 64) for d in doc_ids], dtype=np.uint64), given=np.array([d is not None for d in doc_ids], dtype=np.uint64),
                 ))
                 chunk = (task << 32) + number
                 number += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([chunk] * len(ids), pa.int64()), pa.array(blocks, pa.binary())], ["shard", "chunk", "block"],
-                )
+                dealt = int(mix(np.array([chunk], dtype=np.uint64))[0] >> np.uint64(1))
+                part = [dealt % parts.get(i, 1) for i in ids]
+                columns = [pa.array(ids, pa.int64()), pa.array(part, pa.int64()), pa.array([chunk] * len(ids), pa.int64()), pa.array(blocks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "part", "chunk", "block"])
 
-    return _rows(docs).mapInArrow(texts, "shard long, chunk long, block binary")
+    return _rows(docs).mapInArrow(texts, "shard long, part long, chunk long, block binary")
 
 
 _FOUND = "chunk long, shard long, block binary"
@@ -365,32 +373,17 @@ def _summed(found: DataFrame, known: Vocabulary) -> DataFrame:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of (doc_id, text)."""
-    known = model.vocabulary
+    known, parts = model.vocabulary, model.parts()
 
     def look_up(blocks: pd.DataFrame, tries: pd.DataFrame) -> pd.DataFrame:
         return _looked_up(blocks, Trie(tries["trie"].iloc[0]) if len(tries) else None, known)
 
-    found = _sent_blocks(docs, known).groupBy("shard").cogroup(model.table.groupBy("shard")).applyInPandas(look_up, _FOUND)
+    last = F.when(F.col("tokens") * known.shards.n > 2 * known.tokens, F.expr(f"tokens * {known.shards.n} div {2 * max(known.tokens, 1)}")).otherwise(F.lit(0))
+    tries = model.table.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("part"), "trie")
+    found = _sent_blocks(docs, known, parts).groupBy("shard", "part").cogroup(tries.groupBy("shard", "part")).applyInPandas(look_up, _FOUND)
     return _summed(found, known)
 
 
 def train_and_score(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """``score(docs, train(docs))``, with tokens sent to the shards once for both."""
-    known = vocabulary(docs, mu, shard_tokens)
-
-    def fit_and_look_up(blocks: pd.DataFrame) -> pd.DataFrame:
-        words, contexts = [], []
-        for shard, block in zip(blocks["shard"], blocks["block"]):
-            if shard >= 0:
-                w, word, h, context, document, apart = _unpacked(block)
-                learnt = ~np.isin(np.cumsum(document), apart)
-                words.append(np.cumsum(w)[word.astype(np.int64)[learnt]])
-                contexts.append(np.cumsum(h)[context.astype(np.int64)[learnt]])
-        trie = None
-        if sum(map(len, words)):
-            words, contexts = np.concatenate(words), np.concatenate(contexts)
-            trie = Trie(known.trie(words, contexts, np.ones(len(words), dtype=np.int64)))
-        del words, contexts
-        return _looked_up(blocks, trie, known)
-
-    return _summed(_sent_blocks(docs, known).groupBy("shard").applyInPandas(fit_and_look_up, _FOUND), known)
+    """``score(docs, train(docs))``."""
+    return score(docs, train(docs, mu, shard_tokens))

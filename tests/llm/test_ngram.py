@@ -113,3 +113,19 @@ def test_held_out_documents_score_better_than_the_base(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = ngram.train_and_score(docs).filter("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows) + 0.1 * sum(r["n_tokens"] for r in rows)
+
+
+def test_a_frequent_pair_is_no_single_group(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join("of the" if rng.random() < 0.5 else f"w{rng.randrange(3000)}" for _ in range(150))) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(40).localCheckpoint()
+    model = ngram.train(docs, shard_tokens=2000)
+    known, sent = model.vocabulary, Counter()
+    for r in ngram._sent_blocks(docs, known, model.parts()).filter("shard >= 0").collect():
+        sent[r["shard"], r["part"]] += len(ngram._unpacked(r["block"])[1])
+    whole = Counter()
+    for (shard, _), n in sent.items():
+        whole[shard] += n
+    assert max(whole.values()) > 20_000  # a third of all tokens are one pair's
+    assert max(sent.values()) < 12_000
+    same(ngram.train_and_score(docs, shard_tokens=2000).collect(), brute(rows))
