@@ -5,7 +5,8 @@ document's. A sketch of a long document says nothing about a short item, so both
 partitioned by size: items by the power of two their shingle count rounds up to, documents into
 windows of twice that size, one starting at every multiple of it. An item's passage lies within a
 window of its class, where its share is large: at a containment of 0.8 and the least item of a class
-the 64 minwise hashes miss all with a probability below 2 in a million. Minima of larger windows are
+the 64 minwise hashes miss all with a probability below 2 in a million. Items of fewer than five shingles, below the
+least class, need all of them at 80 %: they are looked up exactly, by their least shingle. Minima of larger windows are
 minima of smaller ones, so all classes cost one pass. Every match of a minimum is checked against the
 whole document's shingles.
 
@@ -13,7 +14,7 @@ The benchmark is the query set; it goes to the tasks in blocks of at most ``BLOC
 as measured before, and every block is searched in all documents.
 
 Defined cases: a text without words holds nothing and is held by nothing; one of fewer than five words has
-one shingle, its whole sequence; repeated rows and equal items give a row each; empty tables give no
+one shingle, its whole sequence, so an item of one to four words is found as a whole document and not inside a longer one; repeated rows and equal items give a row each; empty tables give no
 rows; other columns are not read, and ``clean_documents`` returns them as they came.
 """
 
@@ -32,6 +33,7 @@ PERCENT = 80
 HASHES = 64
 BLOCK_BYTES = 16 << 20
 LEAST_CLASS = 8
+LEAST_SKETCHED = 5
 
 
 class Index:
@@ -52,12 +54,20 @@ class Index:
         sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         self.factors = constants(HASHES, 29)
+        #: The least shingles of items too small for a class, in order, their items, and marks of the low bits.
+        small = np.flatnonzero(sizes < LEAST_SKETCHED)
+        least = np.array([self.sets[i][0] for i in small.tolist()], dtype=np.uint64)
+        order = np.argsort(least, kind="stable")
+        bits = max(16, int(len(small)).bit_length() + 6)
+        marks = np.zeros(1 << bits, dtype=bool)
+        marks[least & np.uint64((1 << bits) - 1)] = True
+        self.small = (np.uint64((1 << bits) - 1), least[order], small[order], marks)
         signatures = minima(np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64), offsets, self.factors)
         classes = np.maximum(LEAST_CLASS, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
         #: By class: [for each hash: values in order, items in that order, marks of the values' low bits].
         self.classes = {}
-        for c in np.unique(classes).tolist():
-            items = np.flatnonzero(classes == c)
+        for c in np.unique(classes[sizes >= LEAST_SKETCHED]).tolist():
+            items = np.flatnonzero((classes == c) & (sizes >= LEAST_SKETCHED))
             bits = max(16, int(len(items)).bit_length() + 6)
             columns = []
             for j in range(HASHES):
@@ -69,8 +79,15 @@ class Index:
             self.classes[c] = (np.uint32((1 << bits) - 1), columns)
 
     def _candidates(self, hashes: np.ndarray, by_text: np.ndarray) -> set[tuple[int, int]]:
-        """(text, item set) for every minimum of a window that is an item's."""
+        """(text, item set) for every minimum of a window that is an item's, and every shingle that is a small item's least."""
         found: set[tuple[int, int]] = set()
+        mask, values, items, marks = self.small
+        if len(values) and len(hashes):
+            at = np.flatnonzero(marks[hashes & mask])
+            first, last = (np.searchsorted(values, hashes[at], side=side) for side in ("left", "right"))
+            text = np.searchsorted(by_text, at, side="right") - 1
+            for k in np.flatnonzero(last > first).tolist():
+                found.update((int(text[k]), i) for i in items[first[k] : last[k]].tolist())
         if not self.classes or not len(hashes):
             return found
         size, largest = min(self.classes), max(self.classes)

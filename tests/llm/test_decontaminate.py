@@ -102,3 +102,23 @@ def test_index_of_no_items_finds_nothing():
 def test_query_equals_sql(spark):
     folder = "/root/testdata/sf0.01"
     assert differences(QUERIES["op5_containment_search"](spark, folder), SQL["op5_containment_search"], folder) is None
+
+
+def test_shortest_items_inside_long_documents_are_found(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(5 + i % 4))) for i in range(4000)]  # one to four shingles
+    docs, want = [], []
+    for d in range(200):
+        body = [f"d{d}x{k}" for k in range(400)]
+        for i in range(20 * d, 20 * d + 20):
+            at = rng.choice([0, rng.randint(0, len(body))])
+            words = items[i][1].split()
+            if rng.random() < 0.1:  # any edit leaves less than 80 %
+                words[rng.randrange(len(words))] = "edited"
+            body[at:at] = words
+        docs.append((d, " ".join(body)))
+    # What is put in later may part what was put in before.
+    for d, text in docs:
+        own = shingles(text)
+        want += [(d, i, n, n) for i in range(20 * d, 20 * d + 20) if len(held := shingles(items[i][1])) == (n := len(held & own))]
+    assert len(want) > 3000 and found(spark, docs, items) == sorted(want)
