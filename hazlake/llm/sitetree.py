@@ -6,8 +6,10 @@ of a node's text is 1 less the mean entropy of its texts over the pages; a node'
 of its presentations; both are composed bottom-up as in the published method (weight 0.9 to the power of the number of
 presentations for the node itself). A branch whose importance is low, taken against the most important one of its host, is
 removed from every page. That speaks only for branches on ``LEAST_PAGES`` pages or more, so what an element is for (its
-tag, role, class and id) has a say too: menus, headers and footers of the page, sidebars, notices, adverts, forms
-and comments have no importance, and where a page has an article, only what stands inside it counts.
+tag, role, class and id) has a say too, as a level of importance below 1: ``ASIDE_PRIOR`` for menus, headers and footers of the page,
+sidebars, notices, adverts and forms, ``NEVER_PRIOR`` for comments. What stays is down to the first level at which texts hold ``LEAST_SHARE`` of the page's words, so a mark around nearly all of a page takes nothing away. A class token marks
+an element if all its parts are such words or mere nouns of layout ("sidebar", "cookie-notice", "share-bar"; not "with-sidebar", "comments-open"). Where
+one article, itself not in a marked branch, has at least half of the words that would stay, only what stands in articles stays.
 
 Pages are read twice, each time row by row; only counts of (host, path, text hash) are shuffled, summed per task
 before, so a host with most of the pages is no single task. A host's removed branches are one row.
@@ -23,6 +25,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -63,6 +66,15 @@ ASIDE_WORDS = frozenset(
     "widget widgets toolbar pagination pager skip".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
+#: Parts that say nothing of their own beside a mark.
+LAYOUT_WORDS = frozenset(
+    "area bar block body box button buttons col column container content foot form group head inner item items left link links list main "
+    "outer panel post posts right rail row section site page primary secondary slot stories story thread top bottom unit wrap wrapper".split()
+)
+ASIDE_PRIOR = 0.1
+NEVER_PRIOR = 0.01
+LEAST_SHARE = 0.1
+ARTICLE_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -80,21 +92,28 @@ class Open(NamedTuple):
     tag: str
     path: str
     unshown: bool
-    aside: bool  # not the article, unless an article begins further inside
-    never: bool
-    article: bool
+    prior: float  # the least factor of importance of what is open
+    article: int  # number of the outermost article or main part that is open, 0 if none
+    hidden: bool
 
 
 class Text(NamedTuple):
     block: int
     path: str
-    aside: bool
-    article: bool
+    prior: float
+    article: int
     text: str
 
 
-def _opened(tag: str, attributes: str, above: Open) -> Open:
-    path, aside, never, article = above.path, above.aside, above.never, above.article
+@lru_cache(1 << 16)
+def _marked(token: str, words: frozenset[str]) -> bool:
+    """Whether a class token or an id as a whole says that an element is one of ``words``."""
+    parts = {w.lower() for w in _WORD.findall(token)}
+    return bool(parts & words) and parts <= ASIDE_WORDS | COMMENT_WORDS | LAYOUT_WORDS | {"header"}
+
+
+def _opened(tag: str, attributes: str, above: Open, number: int) -> Open:
+    path, prior, article, hidden = above.path, above.prior, above.article, above.hidden
     unshown = above.unshown or tag in UNSHOWN
     marks, role = "", ""
     if "=" in attributes or "hidden" in attributes:
@@ -105,28 +124,29 @@ def _opened(tag: str, attributes: str, above: Open) -> Open:
             elif name in ("role", "itemprop"):
                 role = value.lower() if name == "role" or value.lower() == "articlebody" else role
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "").lower()):
-                never = True
-    words = {w.lower() for w in _WORD.findall(marks)} if marks else frozenset()
+                hidden = True
+    tokens = marks.split()
     begins = tag in ("article", "main") or role in ("main", "article", "articlebody")
-    if words & COMMENT_WORDS and tag not in ("html", "body", "main"):
-        never = True
-    elif begins:
-        aside, article = False, True
-    elif tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not article):
-        never = True
-    elif words & ASIDE_WORDS and tag not in ("html", "body"):
-        aside = True
-    elif {"header"} == words and not article:
-        aside = True
+    if tag in ("html", "body", "main"):
+        pass
+    elif any(_marked(t, COMMENT_WORDS) for t in tokens):
+        prior = min(prior, NEVER_PRIOR)
+    elif not begins and (
+        tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not article) or any(_marked(t, ASIDE_WORDS) for t in tokens)
+        or (not article and any(_marked(t, frozenset({"header"})) for t in tokens))
+    ):
+        prior = min(prior, ASIDE_PRIOR)
+    if begins and not article and prior == 1:
+        article = number
     if tag not in INLINE or marks:
         own = ".".join([tag, *_DIGITS.sub("0", marks).split()])
         path = f"{path}/{own}" if path else own
-    return Open(tag, path, unshown, aside, never, article)
+    return Open(tag, path, unshown, prior, article, hidden)
 
 
 def read_page(html: str) -> tuple[list[Text], dict[str, list[str]]]:
     """(the texts in page order, {path: keys of its children in order})."""
-    stack = [Open("", "", False, False, False, False)]
+    stack = [Open("", "", False, 1.0, 0, False)]
     texts: list[Text] = []
     children: dict[str, list[str]] = {}
     block = at = 0
@@ -138,7 +158,7 @@ def read_page(html: str) -> tuple[list[Text], dict[str, list[str]]]:
             top = stack[-1]
             piece = html[at:end]
             if not top.unshown:
-                texts.append(Text(block, top.path, top.aside or top.never, top.article, entities.unescape(piece) if "&" in piece else piece))
+                texts.append(Text(block, top.path, 0.0 if top.hidden else top.prior, top.article, entities.unescape(piece) if "&" in piece else piece))
         if not found:
             break
         at = found.end()
@@ -172,7 +192,7 @@ def read_page(html: str) -> tuple[list[Text], dict[str, list[str]]]:
                 if stack[k].tag not in INLINE:
                     break
         attributes = found[3]
-        new = _opened(tag, attributes, stack[-1])
+        new = _opened(tag, attributes, stack[-1], at)
         if new.path != stack[-1].path:
             below = children.setdefault(stack[-1].path, [])
             key = new.path.rpartition("/")[2]
@@ -181,7 +201,7 @@ def read_page(html: str) -> tuple[list[Text], dict[str, list[str]]]:
         if tag in RAW:
             close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
             if tag not in UNSHOWN and not new.unshown:
-                texts.append(Text(block, new.path, True, new.article, html[at : close.start() if close else size]))
+                texts.append(Text(block, new.path, 0.0, new.article, html[at : close.start() if close else size]))
             at = close.start() if close else size
             stack.append(new)
         elif not attributes.rstrip(">").endswith("/") or tag not in ("svg", "math"):
@@ -274,8 +294,6 @@ def removed_branches(pages: DataFrame) -> DataFrame:
 
 def main_text(html: str, removed: frozenset[str]) -> str:
     """The page's text without branches that are removed or not the article."""
-    texts, _ = read_page(html)
-    has_article = any(t.article and not t.aside and not t.text.isspace() for t in texts)
     held: dict[str, bool] = {"": True}
 
     def stays(path: str) -> bool:
@@ -283,9 +301,25 @@ def main_text(html: str, removed: frozenset[str]) -> str:
             held[path] = path not in removed and stays(path.rpartition("/")[0])
         return held[path]
 
+    texts = [t for t in read_page(html)[0] if t.prior and stays(t.path)]
+    by_prior: Counter = Counter()
+    by_article: Counter = Counter()
+    for t in texts:
+        n = len(t.text.split())
+        by_prior[t.prior] += n
+        by_article[t.prior, t.article] += n
+    # The first level of importance that holds a share of the words; what is less important goes.
+    words, level = 0, 1.0
+    for level in sorted(by_prior, reverse=True):
+        words += by_prior[level]
+        if words and words >= LEAST_SHARE * by_prior.total():
+            break
+    largest = max((n for (prior, article), n in by_article.items() if article and prior >= level), default=0)
+    articles_only = largest and largest >= ARTICLE_SHARE * words
+
     blocks: dict[int, str] = {}
     for t in texts:
-        if not t.aside and (t.article or not has_article) and stays(t.path):
+        if t.prior >= level and (t.article or not articles_only):
             blocks[t.block] = blocks.get(t.block, "") + t.text
     return " ".join(" ".join(blocks.values()).split())
 

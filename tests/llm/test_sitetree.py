@@ -95,3 +95,25 @@ def test_given_pages_give_their_article(spark):
         inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
         want = html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)\b[^>]*>", " \n ", inner)))
         assert got[r["page_id"]] == " ".join(want.split())
+
+
+BODY = " ".join(f"own{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    "page, there, gone",
+    [
+        (f"<div id=content><p>{BODY}</p></div>" + "<article><h2>teaser</h2><p>of another page</p></article>" * 6, BODY, None),
+        (f"<div id=content><p>{BODY}</p></div><div class=related><article>teaser one</article><article>teaser two</article></div>", BODY, "teaser"),
+        (f"<div class=sidebar><main>teaser</main></div><div><p>{BODY}</p></div>", BODY, "teaser"),
+        (f"<article class='post comments-open'><p>{BODY}</p></article>", BODY, None),
+        (f"<div class='entry has-comments'><p>{BODY}</p></div><div id=comments>reply text</div>", BODY, "reply"),
+        (f"<div class='content with-sidebar'><p>{BODY}</p><div class=sidebar>beside</div></div>", BODY, "beside"),
+        (f"<div class='page has-ads'><p>{BODY}</p><div class='ad-slot'>buy</div></div>", BODY, "buy"),
+        (f"<h1>t</h1><div class=sidebar><p>{BODY}</p></div>", BODY, None),
+        (f"<div id=comments><p>{BODY}</p></div><article><p>{' '.join(['word'] * 20)}</p></article>", "word", "own1"),
+    ],
+)
+def test_marks_do_not_take_the_text_away(page, there, gone):
+    text = sitetree.main_text(page, NONE)
+    assert there in text and (gone is None or gone not in text)
