@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import decontaminate, neardup, ngram, packing, quality, repair, revisits, sitetree, snapshots, tokencount
+from hazlake.llm import audit_checks, decontaminate, neardup, ngram, packing, quality, repair, revisits, sitetree, snapshots, tokencount
 from hazlake.llm.registry import QUERIES, SQL, query, table
 from hazlake.llm.tokens import tokenizer_path
 from hazlake.session import shared_dir
 
-__all__ = ["QUERIES", "SQL"]
+__all__ = ["QUERIES", "SQL", "audit_checks"]
 
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 

@@ -16,8 +16,12 @@ SLICE_BYTES = 1 << 20
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _LOWER += np.uint64(1)
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Which bytes are inside a word: all but white space; letters; letters and digits. Bytes beyond ASCII count as letters.
+WORD, LETTERS, ALPHANUMERIC = np.ones(256, dtype=bool), np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+for first, last in ((0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
+    LETTERS[first:last] = ALPHANUMERIC[first:last] = True
+ALPHANUMERIC[0x30:0x3A] = True
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -72,9 +76,9 @@ def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
-def word_spans(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(body: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, n + 1 offsets into them by text) of the words."""
-    inside = ~_SPACE[body]
+    inside = kind[body]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     stops = inside.copy()
@@ -88,16 +92,21 @@ def word_spans(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _LOWER) -> np.ndarray:
+    """Hash of every span of the bytes; ``values`` gives each byte's number, by default one for both cases."""
+    n = len(body)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values[body] * _power(_BASE, n)[:n], out=total[1:])
+    return mix((total[ends] - total[starts]) * _power(_INVERSE, n)[starts])
+
+
+def word_hashes(texts: pa.Array, kind: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, n + 1 offsets into them by text)."""
     body, offsets = joined_bytes(texts)
     if not len(body):
         return np.zeros(0, dtype=np.uint64), np.zeros(len(texts) + 1, dtype=np.int64)
-    starts, ends, by_text = word_spans(body, offsets)
-    n = len(body)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_LOWER[body] * _power(_BASE, n)[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * _power(_INVERSE, n)[starts]), by_text
+    starts, ends, by_text = word_spans(body, offsets, kind)
+    return span_hashes(body, starts, ends), by_text
 
 
 def shingle_hashes(words: np.ndarray, by_text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
