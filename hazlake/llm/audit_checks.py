@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hazlake.llm import licences
+from hazlake.llm import hardneg, licences
 from hazlake.llm.registry import query, table
 
 
@@ -12,3 +12,34 @@ from hazlake.llm.registry import query, table
 def op13_licence_automaton(spark: SparkSession, folder: str) -> DataFrame:
     """Places of licence phrases and labels of licence texts in every document."""
     return licences.scan(table(spark, folder, "documents")).drop("spans")
+
+
+OP12_SQL = f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({hardneg.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS same, list_sum(list_transform(list_zip(a.v, o.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM e a JOIN e o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {hardneg.POSITIVES}
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND {hardneg.LEAST_PERCENT} * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= {hardneg.NEGATIVES}
+"""
+
+
+@query(OP12_SQL)
+def op12_one_bit_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The best five negatives under each of the best five positives of every hundredth vector."""
+    vec = F.col("vec_id")
+    label = F.when(vec % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").select(vec.alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hardneg.mine(vectors, F.col("id") % 100 == 0)
