@@ -1,10 +1,10 @@
 """How far each source's words lie from its language's and from every other source's, with strings left behind.
 
-Texts are counted where they are read, a term as a 64-bit digest; a shuffle moves (lang, source, digest, counts) and
-never a term. Terms themselves stay in the staged rows of their tasks, one row per term and task. Per digest the least
-and the greatest of its terms are found from those: where they differ, two terms share a digest. Only the digests that
-do are counted again with their terms and split into (digest, number). Text is joined back at the end, to the rows
-whose value ranks high enough to be kept.
+Texts are counted where they are read, a term as a 64-bit digest; the shuffle of counts moves digests and numbers,
+packed by language and range of digests, and never a term. Terms stay in the staged rows of their tasks, once a task.
+For the digests that a language keeps, the least and the greatest of their terms are found from those: where they
+differ, two terms share a digest. Those digests are counted again with their terms and split into (digest, number).
+Text is joined back at the end, to the rows whose value ranks high enough to be kept.
 
 A language keeps the terms of at least ``LEAST_DOCS`` of its documents, V of them. For a group (lang, source) or a
 whole language, N is the sum of its counts over kept terms and p(term) = 1 + floor(GRAIN * (count + 1) / (N + V)); the
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hazlake.llm.words import LETTERS, joined_bytes, mix, slices, span_hashes, word_spans
@@ -41,6 +42,9 @@ BITS = 64
 
 SLICE_BYTES = 4 << 20
 HELD_ROWS = 1 << 19
+#: Bytes of text whose terms one group of digests should have.
+BUCKET_BYTES = 64 << 20
+LIST_TERMS = 4096
 SOME_PAIRS = 1 << 20
 HELD_PAIRS = 1 << 20
 
@@ -48,7 +52,11 @@ HELD_PAIRS = 1 << 20
 _OTHER = mix(np.arange(256, dtype=np.uint64) + np.uint64(12345))
 _OTHER[65:91] = _OTHER[97:123]
 
-TERMS = "lang string, source string, digest long, n long, docs long, term string"
+#: A task's counts of one language and range of digests, one after the other; or, with neither, digests and their terms.
+ROWS = (
+    "lang string, bucket long, sources array<string>, source binary, digest binary, n binary, docs binary, "
+    "digests array<long>, terms array<string>"
+)
 
 
 def _sums(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -64,10 +72,10 @@ def _sums(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.nda
 
 
 class Counter:
-    """Counts of a task's texts; gives rows of ``TERMS``, counts and terms in rows of their own."""
+    """Counts of a task's texts; gives ``ROWS``."""
 
-    def __init__(self, bits: int):
-        self.mask = np.uint64((1 << bits) - 1)
+    def __init__(self, bits: int, buckets: int):
+        self.mask, self.buckets = np.uint64((1 << bits) - 1), np.uint64(buckets)
         self.groups: dict[tuple[str, str], int] = {}
         self.seen: set[int] = set()
         self.clear()
@@ -81,13 +89,15 @@ class Counter:
         if not len(starts):
             return
         digest = span_hashes(body, starts, ends)
-        whole = digest ^ mix(span_hashes(body, starts, ends, _OTHER))
-        digest &= self.mask
+        # A second hash tells apart terms that share a digest.
+        whole, first, code = np.unique(digest ^ mix(span_hashes(body, starts, ends, _OTHER)), return_index=True, return_inverse=True)
+        digest = digest[first] & self.mask
+        yield from self._terms(body, starts[first], ends[first], digest, whole)
+        size = len(digest)
         text = np.repeat(np.arange(len(texts)), np.diff(by_text))
-        yield from self._terms(body, starts, ends, digest, whole)
-        (text, digest), (n,) = _sums([text, digest], [np.ones(len(digest), dtype=np.int64)])
-        (group, digest), (n, docs) = _sums([groups[text], digest], [n, np.ones(len(n), dtype=np.int64)])
-        self.keys.append((group, digest)), self.values.append((n, docs))
+        held, n = np.unique(text * size + code, return_counts=True)
+        (key,), (n, docs) = _sums([groups[held // size] * size + held % size], [n, np.ones(len(n), dtype=np.int64)])
+        self.keys.append((key // size, digest[key % size])), self.values.append((n, docs))
         self.held += len(n)
         if self.held > HELD_ROWS:
             yield from self.counts()
@@ -98,35 +108,41 @@ class Counter:
             (group, digest), (n, docs) = _sums(
                 [np.concatenate(c) for c in zip(*self.keys)], [np.concatenate(c) for c in zip(*self.values)],
             )
-            lang, source = (pa.array([g[i] for g in self.groups], pa.string()) for i in (0, 1))
-            at = pa.array(group)
-            yield _batch(lang.take(at), source.take(at), digest, n, docs, None)
+            names = list(self.groups)
+            langs: dict[str, int] = {}
+            lang = np.array([langs.setdefault(l, len(langs)) for l, _ in names], dtype=np.int64)[group]
+            bucket = (digest % self.buckets).astype(np.int64)
+            order = np.lexsort((digest, bucket, lang))
+            lang, bucket, group, digest, n, docs = (x[order] for x in (lang, bucket, group, digest, n, docs))
+            cut = np.flatnonzero(np.append(True, (lang[1:] != lang[:-1]) | (bucket[1:] != bucket[:-1])))
+            rows = []
+            for a, b in zip(cut.tolist(), np.append(cut[1:], len(n)).tolist()):
+                own, source = np.unique(group[a:b], return_inverse=True)
+                rows.append({
+                    "lang": names[own[0]][0], "bucket": int(bucket[a]), "sources": [names[g][1] for g in own.tolist()],
+                    "source": source.astype(np.uint32).tobytes(), "digest": digest[a:b].tobytes(),
+                    "n": n[a:b].astype(np.uint32).tobytes(), "docs": docs[a:b].astype(np.uint32).tobytes(),
+                })
+            yield pa.RecordBatch.from_pylist(rows, _ARROW)
         self.clear()
 
     def _terms(self, body, starts, ends, digest, whole) -> Iterator[pa.RecordBatch]:
         """(digest, term) of terms this task has not given yet; ``whole`` tells terms apart."""
-        _, first = np.unique(whole, return_index=True)
-        new = [i for i, w in zip(first.tolist(), whole[first].tolist()) if w not in self.seen]
+        new = [i for i, w in enumerate(whole.tolist()) if w not in self.seen]
         self.seen.update(whole[new].tolist())
         if len(self.seen) > HELD_ROWS:
             self.seen = set()
         if new:
             data = body.tobytes()
-            term = [data[a:b].decode("utf-8").translate(_LOWER) for a, b in zip(starts[new].tolist(), ends[new].tolist())]
-            yield _batch(None, None, digest[new], None, None, term)
+            terms = [data[a:b].decode("utf-8").translate(_LOWER) for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+            digests = digest[new].view(np.int64).tolist()
+            lists = [{"digests": digests[i : i + LIST_TERMS], "terms": terms[i : i + LIST_TERMS]} for i in range(0, len(new), LIST_TERMS)]
+            yield pa.RecordBatch.from_pylist(lists, _ARROW)
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
-
-
-def _batch(lang, source, digest, n, docs, term) -> pa.RecordBatch:
-    size = len(digest)
-
-    def held(values, kind):
-        return pa.nulls(size, kind) if values is None else pa.array(values, kind) if not isinstance(values, pa.Array) else values
-
-    columns = [held(lang, pa.string()), held(source, pa.string()), pa.array(digest.view(np.int64)), held(n, pa.int64()), held(docs, pa.int64()), held(term, pa.string())]
-    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in TERMS.split(", ")])
+_KINDS = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
+_ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (field.split() for field in ROWS.split(", "))])
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -134,9 +150,12 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def term_rows(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """Rows of ``TERMS``: counts per (lang, source, digest) of a task, and its terms with their digests."""
+    """``ROWS`` of all texts."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + size // BUCKET_BYTES
+
     def rows(batches):
-        counter = Counter(bits)
+        counter = Counter(bits, buckets)
         for batch in batches:
             groups = [counter.groups.setdefault(g, len(counter.groups)) for g in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())]
             groups = np.array(groups, dtype=np.int64)
@@ -144,11 +163,35 @@ def term_rows(docs: DataFrame, bits: int = BITS) -> DataFrame:
                 yield from counter.add(some, groups[first : first + len(some)])
         yield from counter.counts()
 
-    return docs.mapInArrow(rows, TERMS)
+    return docs.mapInArrow(rows, ROWS)
+
+
+_KEPT = "lang string, digest long, n_lang long, own array<struct<source: string, n: long>>"
+
+
+def _kept(rows: pa.Table) -> pa.Table:
+    """The digests that enough documents of a language have, with their counts by source."""
+    codes: dict[str, int] = {}
+    parts = []
+    for row in rows.to_pylist():
+        names = np.array([codes.setdefault(s, len(codes)) for s in row["sources"]], dtype=np.int64)
+        numbers = [np.frombuffer(row[k], dtype=np.uint32) for k in ("source", "n", "docs")]
+        parts.append((names[numbers[0]], np.frombuffer(row["digest"], dtype=np.uint64), *(x.astype(np.int64) for x in numbers[1:])))
+    source, digest, n, docs = (np.concatenate(c) for c in zip(*parts))
+    (digest, source), (n, docs) = _sums([digest, source], [n, docs])
+    first = np.flatnonzero(np.append(True, digest[1:] != digest[:-1]))
+    size = np.diff(np.append(first, len(digest)))
+    enough = np.add.reduceat(docs, first) >= LEAST_DOCS
+    held = np.repeat(enough, size)
+    own = pa.StructArray.from_arrays([pa.array(list(codes), pa.string()).take(pa.array(source[held])), pa.array(n[held])], ["source", "n"])
+    offsets = pa.array(np.concatenate([[0], np.cumsum(size[enough])]).astype(np.int32))
+    total = np.add.reduceat(n, first)[enough]
+    columns = [pa.array([rows.column("lang")[0].as_py()] * len(total), pa.string()), pa.array(digest[first[enough]].view(np.int64)), pa.array(total)]
+    return pa.table([*columns, pa.ListArray.from_arrays(offsets, own)], names=["lang", "digest", "n_lang", "own"])
 
 
 def _recounted(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """(lang, source, digest, term, n, docs) of the terms of the digests that several terms share."""
+    """(lang, source, digest, part, n, docs) of the terms of the digests that several terms share."""
     words = F.regexp_extract_all("text", F.lit(r"([^\x00-\x40\x5B-\x60\x7B-\x7F]+)"), F.lit(1))
     lower = F.translate("word", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = docs.withColumn("_row", F.monotonically_increasing_id()).select("lang", "source", "_row", F.explode(words).alias("word"))
@@ -157,19 +200,28 @@ def _recounted(docs: DataFrame, shared: DataFrame) -> DataFrame:
     return counted.join(shared, "term")
 
 
-def _split(counts: DataFrame, names: DataFrame, rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Counts and names with ``part``: 0, or the number of the term among those of its digest where there are several."""
+def _by_term(counts: DataFrame) -> DataFrame:
+    """Rows like ``_KEPT`` and their part from (lang, source, digest, part, n, docs)."""
+    kept = counts.groupBy("lang", "digest", "part").agg(
+        F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("own"),
+    )
+    return kept.filter(F.col("docs") >= LEAST_DOCS).drop("docs")
+
+
+def _split(kept: DataFrame, rows: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Kept digests and their terms with ``part``: 0, or the term's number among those of its digest where there are several."""
+    given = rows.filter("lang IS NULL").select(F.explode(F.arrays_zip("digests", "terms")).alias("t")).select(F.col("t.digests").alias("digest"), F.col("t.terms").alias("term"))
+    given = given.join(kept.select("digest").distinct(), "digest", "left_semi")
+    names = stage(given.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most")), "names")
     collided = names.filter(F.col("least") != F.col("most")).select("digest")
-    plain = counts.withColumn("part", F.lit(0)), names.select("digest", F.lit(0).alias("part"), F.col("least").alias("term"))
+    kept, named = kept.withColumn("part", F.lit(0)), names.select("digest", F.lit(0).alias("part"), F.col("least").alias("term"))
     if collided.isEmpty():
-        return plain
-    shared = rows.filter("term IS NOT NULL").select("digest", "term").join(collided, "digest", "left_semi").distinct()
+        return kept, named
     number = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
-    shared = stage(shared.withColumn("part", number), "shared")
-    again = _recounted(docs, shared).select(*plain[0].columns)
+    shared = stage(given.join(collided, "digest", "left_semi").distinct().withColumn("part", number), "shared")
     return (
-        plain[0].join(collided, "digest", "left_anti").select(*plain[0].columns).unionByName(again),
-        plain[1].join(collided, "digest", "left_anti").select("digest", "part", "term").unionByName(shared.select("digest", "part", "term")),
+        kept.join(collided, "digest", "left_anti").unionByName(_by_term(_recounted(docs, shared))),
+        named.join(collided, "digest", "left_anti").unionByName(shared),
     )
 
 
@@ -202,7 +254,7 @@ def _shares(batches) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         own = batch.column("own")
-        size = np.asarray(pa.compute.list_value_length(own), dtype=np.int64)
+        size = np.asarray(pc.list_value_length(own), dtype=np.int64)
         entry = own.flatten()
         row = np.repeat(np.arange(len(size)), size)
         lang, source = batch.column("lang").dictionary_encode(), entry.field("source").dictionary_encode()
@@ -254,15 +306,10 @@ def audit(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """(lang, source, part, item, value, rank) of (lang, source, text)."""
     docs = _documents(docs)
     rows = stage(term_rows(docs, bits), "terms")
-    counts = rows.filter("term IS NULL").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    names = rows.filter("term IS NOT NULL").groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
-    counts, names = _split(counts, stage(names, "names"), rows, docs)
+    kept = stage(rows.filter("lang IS NOT NULL").groupBy("lang", "bucket").applyInArrow(_kept, _KEPT), "kept")
+    kept, names = _split(kept, rows, docs)
 
     term = ["lang", "digest", "part"]
-    kept = counts.groupBy(*term).agg(
-        F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("own"),
-    )
-    kept = stage(kept.filter(F.col("docs") >= LEAST_DOCS).drop("docs"), "kept")
     langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("all_lang"))
     each = kept.select(*term, "n_lang", F.inline("own"))
     used = each.groupBy("lang", "source").agg(F.sum("n").alias("all"), F.count("*").alias("terms"))

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hazlake.session import stage
@@ -167,7 +168,7 @@ class Cell:
 
     def negatives(self) -> pa.Table:
         lists = self.anchors.column("a_positives").combine_chunks()
-        at = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(lists)))])
+        at = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))])
         pair = lists.flatten()
         p_ids, p_scores = np.asarray(pair.field("positive_id")), np.asarray(pair.field("positive_score"))
         out = []

@@ -79,7 +79,7 @@ def test_small_steps_give_the_same():
     import pyarrow as pa
 
     rows = cases()
-    counter = divergence.Counter(64)
+    counter = divergence.Counter(64, 3)
     held, divergence.HELD_ROWS = divergence.HELD_ROWS, 10
     try:
         groups = np.arange(len(rows)) % 3
@@ -91,11 +91,13 @@ def test_small_steps_give_the_same():
     n, docs, terms = Counter(), Counter(), {}
     for b in batches:
         for r in b.to_pylist():
-            if r["term"] is None:
-                n[r["source"], r["digest"]] += r["n"]
-                docs[r["source"], r["digest"]] += r["docs"]
-            else:
-                terms[r["digest"]] = r["term"]
+            if r["lang"] is None:
+                terms |= dict(zip(r["digests"], r["terms"]))
+                continue
+            source, counts, held = (np.frombuffer(r[k], np.uint32).tolist() for k in ("source", "n", "docs"))
+            for s, d, c, h in zip(source, np.frombuffer(r["digest"], np.int64).tolist(), counts, held):
+                n[r["sources"][s], d] += c
+                docs[r["sources"][s], d] += h
     want, want_docs = Counter(), Counter()
     for i, (_, text, *_rest) in enumerate(rows):
         lower = "".join(c.lower() if c.isascii() else c for c in text or "")
