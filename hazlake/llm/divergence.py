@@ -40,10 +40,10 @@ TOP = 200
 #: Bits of a digest.
 BITS = 64
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 HELD_ROWS = 1 << 19
 #: Bytes of text whose terms one group of digests should have.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 LIST_TERMS = 4096
 SOME_PAIRS = 1 << 20
 HELD_PAIRS = 1 << 20
