@@ -125,8 +125,9 @@ def main(argv: list[str] | None = None) -> None:
         ).show()
     elif name == "stream":
         chosen = tuple(s for s in ("twitter", "reddit", "weather") if not getattr(args, f"no_{s}"))
-        for query in start_intake(spark, args.landing, args.raw, args.checkpoint, chosen).values():
-            query.awaitTermination()
+        start_intake(spark, args.landing, args.raw, args.checkpoint, chosen)
+        # A source that fails ends the program, so that nobody takes a silent one for running.
+        spark.streams.awaitAnyTermination()
     elif name == "bronze-stats":
         report("bronze_stats", lake.bronze_stats().orderBy("source", "file_date"))
     elif name == "run":

@@ -1,9 +1,10 @@
-"""Landed JSON lines: ``<raw>/<source>/<date>.jsonl`` or ``<raw>/source=<s>/date=<d>/``."""
+"""Landed JSON lines: ``<raw>/<source>/<date>.jsonl`` or ``<raw>/[batch=<b>/]source=<s>/date=<d>/``."""
 
 from __future__ import annotations
 
 import logging
 import re
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -51,7 +52,9 @@ def _paths(spark: SparkSession, raw_dir: str, source: str | None, date: str | No
     """What to read: the whole folder, or the existing paths a source and a date can lie under."""
     if source is None and date is None:
         return [raw_dir]
-    folders = ["*"] if source is None else [_quoted(source), f"source={_quoted(source)}"]
+    # What no batch wrote lies in the first two; a date alone looks below any folder.
+    named = "*" if source is None else f"source={_quoted(source)}"
+    folders = [*dict.fromkeys(["*" if source is None else _quoted(source), named]), f"batch=*/{named}"]
     ends = [""] if date is None else [f"/date={_quoted(date)}", f"/{_quoted(date)}.json*"]
     found = []
     for pattern in (f"{raw_dir}/{folder}{end}" for folder in folders for end in ends):
@@ -124,9 +127,12 @@ def line_stats(lines: DataFrame) -> DataFrame:
     return lines.rollup("source", "file_date").agg(F.count("*").alias("records"))
 
 
-def append_bronze(records: DataFrame, raw_dir: str, date: Column | None = None) -> None:
+def append_bronze(records: DataFrame, raw_dir: str, date: Column | None = None, batch: str | None = None) -> None:
     """Append records (with a ``source`` column) as JSON lines by source and save date.
 
+    Every call writes below a root of its own, ``batch=<b>``, so writers at the same time share no
+    folder that one could clear while another uses it. Writing a ``batch`` again replaces it whole,
+    so a repeated batch of a stream leaves no row twice; without a name it is a new one.
     Null keys are written, because readers route on key presence. ``raw_payload``
     JSON text is written as an object again.
     """
@@ -138,8 +144,9 @@ def append_bronze(records: DataFrame, raw_dir: str, date: Column | None = None)
         )
     (
         out.hint("rebalance", F.col("source"), F.col("date"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("source", "date")
         .option("ignoreNullFields", "false")
-        .json(raw_dir)
+        .json(f"{raw_dir}/batch={batch or uuid.uuid4().hex}")
     )

@@ -1,7 +1,9 @@
 """Streams over landing folders.
 
 Parsing and normalising are stateless projections, so a stream gives the same
-rows as a batch over the same files. Repeats are dropped by the store's key
+rows as a batch over the same files. Every source and micro-batch writes bronze under a
+root of its own, named by the query's id and the batch's number: sources run side by side,
+and a batch that is run again after a failure replaces what it wrote. Repeats are dropped by the store's key
 alone, however late they come, which also makes a replayed micro-batch
 harmless; no row is ever too late.
 """
@@ -55,6 +57,11 @@ def start_store_sink(lines: DataFrame, lake: Lake, checkpoint: str, seconds: int
     return _triggered(writer, seconds).start()
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps over restarts; a stream with a fresh checkpoint has a new one."""
+    return spark.read.json(f"{checkpoint}/metadata", "id string").first()["id"]
+
+
 def landed_parsers(collected_at: Column, keywords=tx.DISASTER_KEYWORDS) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """Payload column ``line`` to bronze records, by source."""
     place = "location_name string, lat double, lon double, payload string"
@@ -93,13 +100,13 @@ def start_intake(
     for source in sources:
         parsed = parsers[source](stream_lines(spark, f"{landing_dir}/{source}"))
 
-        def save(batch: DataFrame, _epoch: int, source: str = source) -> None:
+        def save(batch: DataFrame, epoch: int, source: str = source) -> None:
             now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
             if source in lookback_days:
                 made = batch.withColumn("_made", F.try_to_timestamp("published_at"))
                 batch = lookback(made, "_made", as_of or datetime.now(timezone.utc), lookback_days[source], keep_unknown=True).drop("_made")
             stamped = batch.withColumns({"collected_at": now, "source": F.lit(source)})
-            append_bronze(stamped, raw_dir)
+            append_bronze(stamped, raw_dir, batch=f"{_query_id(batch.sparkSession, f'{checkpoint_dir}/{source}')}-{epoch}")
 
         writer = parsed.writeStream.option("checkpointLocation", f"{checkpoint_dir}/{source}").foreachBatch(save)
         seconds = POLL_SECONDS.get(source, 5) if poll else None
