@@ -128,13 +128,15 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
     return _finish(out)
 
 
-def ingest_counts(parsed: DataFrame) -> DataFrame:
-    """One row: loaded, normalized, skipped, malformed, partitions."""
+def ingest_counts(parsed: DataFrame, by_table: bool = False) -> DataFrame:
+    """One row: loaded, normalized, skipped, malformed, partitions; ``by_table`` adds the lines of each bronze table."""
     shape, good = F.col("shape"), F.col("shape").isNotNull()
     kept = good & shape.isin(*SHAPES) & (F.length(_text(F.col("rec.collected_at"))) > 0)
     source = F.when(shape == "text", F.lower(_text(F.col("rec.source_type")))).otherwise(shape)
     day = F.substring(F.col("rec.collected_at"), 1, 10)
+    tables = [F.count_if(bronze_shape() == shape).alias(shape) for shape in SHAPES] if by_table else []
     return parsed.agg(
+        *tables,
         F.count_if(good).alias("loaded"),
         F.count_if(kept).alias("normalized"),
         F.count_if(good & ~kept).alias("skipped"),

@@ -1,14 +1,12 @@
 """The lake: ingest, reports, search, exports and migration over one folder.
 
-Layout under ``lake_dir``: ``silver/date=/source=`` (as normalised), ``store/<table>/date=``
-(one row per key), ``store/cells`` (grid cells), and the text index:
-``store/postings/bucket=``, ``store/indexed`` and ``store/corpus``.
+Layout under ``lake_dir``: ``silver/date=/source=`` (as normalised), ``store/<table>/date=/insert=``
+(one row per key) with ``store/keys``, ``store/inserts`` and ``store/done`` beside it (see ``sources/tables.py``),
+and the text index: ``store/postings/bucket=/insert=`` and ``store/corpus/insert=``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
@@ -48,69 +46,60 @@ class Lake:
         with Scratch(self.spark) as scratch:
             # Lines are parsed once and records normalised and labelled once; everything below reads staged columns.
             parsed = scratch.stage(parsed.select("shape", "rec"))
-            counts = norm.ingest_counts(parsed).first().asDict()
+            counts = norm.ingest_counts(parsed, by_table=True).first().asDict()
+            found = {shape: counts.pop(shape) for shape in norm.SHAPES}
             records = scratch.stage(norm.normalize(parsed, self.taxonomy))
             tables.write_silver(records, self.silver_dir, merge=merge)
-            inserted = tables.insert_or_ignore(records, self.store_dir, "lake_records").count()
-            self._insert_bronze(parsed)
-            self._upkeep(scratch, tables.days_of(records))
+            insert = tables.insert_new(records, self.store_dir, "lake_records")
+            self._insert_bronze(parsed, found)
+            self._upkeep()
+            inserted = tables.read_insert(self.spark, self.store_dir, "lake_records", insert).count()
             return {**counts, "written": counts["normalized"], "inserted": inserted}
 
-    def _upkeep(self, scratch: Scratch, days: list[str] | None = None) -> int:
-        """Index and grid cells of stored records that have none yet; returns the new cells.
+    def _insert_bronze(self, parsed: DataFrame, found: dict[str, int]) -> None:
+        """Fill the bronze tables that there are lines for; ``found`` counts lines by shape."""
+        for shape, table, rows in (
+            ("text", "raw_records", norm.raw_records),
+            ("weather", "weather_records", norm.weather_records),
+            ("media", "media_records", norm.media_records),
+        ):
+            if found.get(shape):
+                tables.insert_new(rows(parsed), self.store_dir, table)
+
+    def _upkeep(self) -> None:
+        """Index the inserts that are not indexed yet, this job's and those of jobs that died after theirs.
 
-        Goes by what is stored, not by what was just inserted, so records of a job that died
-        after its insert are found again by the next one. ``days`` limits the look to those folders.
+        Which these are is read from folder names: neither stored records nor the index are read for it.
         """
-        records = tables.of_days(self.table("lake_records"), days)
-        fresh = scratch.stage(records.join(self._visible("indexed").select("lake_id"), "lake_id", "left_anti"))
-        self._index(fresh)
-        cells = scratch.stage(ranges.missing_cells(records, self.derived("cells")))
-        cells.write.mode("append").parquet(f"{self.store_dir}/cells")
-        return cells.count()
-
-    def _insert_bronze(self, parsed: DataFrame) -> None:
-        for table, rows in (
-            ("raw_records", norm.raw_records(parsed)),
-            ("weather_records", norm.weather_records(parsed)),
-            ("media_records", norm.media_records(parsed)),
-        ):
-            tables.insert_or_ignore(rows, self.store_dir, table)
+        for insert in tables.pending(self.spark, self.store_dir, "lake_records", "index"):
+            self._index(tables.read_insert(self.spark, self.store_dir, "lake_records", insert), insert)
+            tables.mark_done(self.spark, self.store_dir, "index", insert)
 
-    def _index(self, records: DataFrame) -> None:
-        """Add records to the text index as one batch.
+    def _index(self, records: DataFrame, insert: str) -> None:
+        """Add an insert's records to the text index.
 
-        Searches see a batch only once its ``corpus`` row is there, which is
-        written last, so a job that dies half-way leaves nothing counted twice.
+        Searches see an insert only once its ``corpus`` row is there, which is written last, so a job
+        that dies half-way leaves nothing counted twice; indexing it again replaces what it left.
         """
-        if records.isEmpty():
-            return
-        batch = F.lit(uuid.uuid4().hex).alias("batch")
-        (
-            search.postings(records).select("*", batch)
-            .hint("rebalance", F.col("bucket"))
-            .sortWithinPartitions("bucket", "token")
-            .write.mode("append").partitionBy("bucket").parquet(f"{self.store_dir}/postings")
-        )
-        records.select("lake_id", batch).write.mode("append").parquet(f"{self.store_dir}/indexed")
-        search.corpus_stats(records).select("*", batch).write.mode("append").parquet(f"{self.store_dir}/corpus")
+        named = F.lit(insert).alias("insert")
+        posts = search.postings(records).select("*", named).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "token")
+        tables.put(posts, f"{self.store_dir}/postings", "bucket", "insert")
+        tables.put(search.corpus_stats(records).select("*", named), f"{self.store_dir}/corpus", "insert")
 
     def rebuild_index(self) -> None:
-        """Replace the text index and the cells by fresh ones, for instance after rows were removed by hand."""
-        # The corpus rows go first: without them no batch is seen.
-        for name in ("corpus", "postings", "indexed", "cells"):
-            self.spark.createDataFrame([], DERIVED[name]).write.mode("overwrite").parquet(f"{self.store_dir}/{name}")
-        records = self.table("lake_records")
-        with Scratch(self.spark) as scratch:
-            self._index(scratch.stage(records))
-        ranges.grid_cells(records).write.mode("append").parquet(f"{self.store_dir}/cells")
+        """Replace the text index by a fresh one, for instance after rows were removed by hand."""
+        # The corpus rows go first: without them no insert is seen.
+        for name in ("corpus", "postings"):
+            self.spark.createDataFrame([], DERIVED[name]).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.store_dir}/{name}")
+        for insert in tables.pending(self.spark, self.store_dir, "lake_records", "nothing"):
+            self._index(tables.read_insert(self.spark, self.store_dir, "lake_records", insert), insert)
 
     def _visible(self, name: str) -> DataFrame:
-        """Rows of complete index batches."""
-        return self.derived(name).join(self.derived("corpus").select("batch"), "batch", "left_semi")
+        """Rows of inserts that are indexed whole."""
+        return self.derived(name).join(self.derived("corpus").select("insert"), "insert", "left_semi")
 
     def derived(self, name: str) -> DataFrame:
-        """``postings``, ``indexed``, ``corpus`` or ``cells``; empty when nothing was stored yet."""
+        """``postings`` or ``corpus``; empty when nothing was stored yet."""
         path, schema = f"{self.store_dir}/{name}", DERIVED[name]
         if path_exists(self.spark, path):
             return self.spark.read.schema(schema).parquet(path)
@@ -122,13 +111,16 @@ class Lake:
             parsed = scratch.stage(bronze.load_bronze(self.spark, self.raw_dir).select("shape", "rec"))
             shape = F.coalesce(norm.bronze_shape(), F.lit("error")).alias("shape")
             found = {r["shape"]: r["count"] for r in parsed.groupBy(shape).count().collect()}
-            self._insert_bronze(parsed)
+            self._insert_bronze(parsed, found)
             silver = tables.reload_silver(self.spark, self.silver_dir)
-            inserted = tables.insert_or_ignore(silver, self.store_dir, "lake_records")
+            insert = tables.insert_new(silver, self.store_dir, "lake_records")
+            self._upkeep()
+            inserted = tables.read_insert(self.spark, self.store_dir, "lake_records", insert)
+            placed = F.count_if(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+            rows = inserted.agg(F.count("*").alias("lake"), placed.alias("cells")).first()
             return {
                 "raw": found.get("text", 0), "weather": found.get("weather", 0), "media": found.get("media", 0),
-                "error": found.get("error", 0), "lake": inserted.count(),
-                "cells": self._upkeep(scratch),
+                "error": found.get("error", 0), "lake": rows["lake"], "cells": rows["cells"],
             }
 
     # -- reports ------------------------------------------------------------------

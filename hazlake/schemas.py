@@ -59,15 +59,13 @@ LAKE_ON_DISK = T.StructType(
     LAKE.fields + [T.StructField("date", _S), T.StructField("source", _S)]
 )
 
-# Derived tables of the store: text index, corpus counts per batch, grid cells.
+# The text index of the store: postings, and the size of every insert that is indexed.
 POSTINGS = _schema(
     ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I),
-    ("places", T.ArrayType(T.LongType())), ("len", _I), ("batch", _S), ("bucket", _I),
+    ("places", T.ArrayType(T.LongType())), ("len", _I), ("bucket", _I), ("insert", _S),
 )
-INDEXED = _schema(("lake_id", _S), ("batch", _S))
-CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()), ("batch", _S))
-CELLS = _schema(("lake_id", _S), ("lat", _D), ("lon", _D), ("lat_cell", _I), ("lon_cell", _I))
-DERIVED = {"postings": POSTINGS, "indexed": INDEXED, "corpus": CORPUS, "cells": CELLS}
+CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()), ("insert", _S))
+DERIVED = {"postings": POSTINGS, "corpus": CORPUS}
 
 # Keys under which the first arrival wins.
 KEYS = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hazlake.operators.dedupe import first_arrival, new_rows
 from hazlake.operators.ranges import CELLS, cell_of
@@ -13,8 +13,8 @@ from hazlake.schemas import KEYS, LAKE_COLUMNS, LAKE_ON_DISK, TABLES
 from hazlake.session import Scratch, path_exists
 
 
-# More days than a filter should name; beyond that no folder is left out.
-MAX_DAYS = 5_000
+# More folders than a filter should name; beyond that none is left out.
+MAX_FOLDERS = 5_000
 
 
 # -- silver: as normalised, duplicates kept, one folder per date and source ---
@@ -61,10 +61,11 @@ def write_silver(records: DataFrame, path: str, merge: bool = False) -> None:
         batch = scratch.stage(out)
         # The folders the batch touches, as literals: the stored side then lists and reads no other folder.
         touched = batch.select("date", "source").distinct()
-        folders = touched.collect()
+        folders = touched.limit(MAX_FOLDERS + 1).collect()
         stored = read_silver(spark, path)
-        for name in ("date", "source"):
-            stored = stored.filter(F.col(name).isin(sorted({r[name] for r in folders})))
+        if len(folders) <= MAX_FOLDERS:
+            for name in ("date", "source"):
+                stored = stored.filter(F.col(name).isin(sorted({r[name] for r in folders if r[name] is not None})))
         stored = stored.join(touched, ["date", "source"], "left_semi").select(*batch.columns)
         kept = stored.join(batch.select("lake_id").distinct(), "lake_id", "left_anti").select(*batch.columns)
         _replace_folders(scratch.stage(kept.unionByName(batch)), path)
@@ -91,18 +92,65 @@ def list_partitions(spark: SparkSession, path: str) -> DataFrame:
 
 
 # -- store: one row per key, first arrival wins -------------------------------
+#
+# ``<table>/date=/insert=``            rows, an insert's files in folders of its own
+# ``keys/<table>/bucket=/insert=``     their keys by hash, in order of the hash
+# ``inserts/<table>/<id>``             an empty file per insert, made before its first row is written
+# ``done/<work>/<id>``                 an empty file per insert, made after the work on it is done
+#
+# What is derived from rows goes by insert: the inserts that a work has no file for are what it still has to do.
+
+KEY_BUCKETS = 16
+# So many keys are named in the filter on the key table; it then skips row groups too.
+NAMED_KEYS = 1_000
 
 
 def table_path(store_dir: str, table: str) -> str:
     return f"{store_dir}/{table}"
 
 
-def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
-    """A store table with the folder column ``date`` and the insert it came with; empty if unwritten."""
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    at, fs = _files(spark, path)
+    fs.create(at, True).close()
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last names of the paths that match, in order."""
+    at, fs = _files(spark, pattern)
+    return sorted(f.getPath().getName() for f in fs.globStatus(at) or [])
+
+
+def _paths(spark: SparkSession, patterns: list[str]) -> list[str]:
+    found = []
+    for pattern in patterns:
+        at, fs = _files(spark, pattern)
+        found += [f.getPath().toString() for f in fs.globStatus(at) or []]
+    return found
+
+
+def pending(spark: SparkSession, store_dir: str, table: str, work: str) -> list[str]:
+    """Inserts of a table that ``work`` is not done for, from two folder listings."""
+    done = set(_names(spark, f"{store_dir}/done/{work}/*"))
+    return [i for i in _names(spark, f"{store_dir}/inserts/{table}/*") if i not in done]
+
+
+def mark_done(spark: SparkSession, store_dir: str, work: str, insert: str) -> None:
+    _touch(spark, f"{store_dir}/done/{work}/{insert}")
+
+
+def _disk_schema(table: str) -> T.StructType:
     cells = [T.StructField(c, T.IntegerType()) for c in CELLS] if table == "lake_records" else []
-    extra = [T.StructField("batch", T.StringType()), T.StructField("date", T.StringType())]
-    schema = T.StructType(TABLES[table].fields + cells + extra)
-    path = table_path(store_dir, table)
+    return T.StructType(TABLES[table].fields + cells + [T.StructField("date", T.StringType()), T.StructField("insert", T.StringType())])
+
+
+def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
+    """A store table with the folder columns ``date`` and ``insert``; empty if unwritten."""
+    path, schema = table_path(store_dir, table), _disk_schema(table)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
@@ -110,57 +158,109 @@ def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
 
 def read_table(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
     """A store table with its folder column ``date``; empty when nothing was stored yet."""
-    return _stored(spark, store_dir, table).drop("batch", *CELLS)
+    return _stored(spark, store_dir, table).drop("insert", *CELLS)
 
 
 def read_cells(spark: SparkSession, store_dir: str) -> DataFrame:
     """``lake_records`` with the grid cell each row was stored under."""
-    return _stored(spark, store_dir, "lake_records").drop("batch")
+    return _stored(spark, store_dir, "lake_records").drop("insert")
 
 
-def days_of(records: DataFrame) -> list[str] | None:
-    """The days of records, if they are few enough to be named in a filter."""
-    days = [r[0] for r in records.select("date_partition").distinct().limit(MAX_DAYS + 1).collect()]
-    return None if len(days) > MAX_DAYS or None in days else sorted(days)
+def read_insert(spark: SparkSession, store_dir: str, table: str, insert: str) -> DataFrame:
+    """The rows of one insert; no other insert's folder is listed."""
+    path, schema = table_path(store_dir, table), _disk_schema(table)
+    found = _paths(spark, [f"{path}/date=*/insert={insert}"])
+    if not found:
+        return spark.createDataFrame([], schema).drop("insert")
+    return spark.read.schema(schema).option("basePath", path).parquet(*found).drop("insert")
 
 
-def of_days(stored: DataFrame, days: list[str] | None) -> DataFrame:
-    """Rows of a store table in the folders of ``days``; all with ``None``."""
-    return stored if days is None else stored.filter(F.col("date").isin(days))
+def put(df: DataFrame, path: str, *folders: str) -> None:
+    """Replace the folders that ``df`` has rows for.
 
+    Spark then gathers a job's files in a folder of the job's own, so that writers at the
+    same time do not disturb each other, and a repeated write replaces itself.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
-def fresh_rows(batch: DataFrame, stored: DataFrame, table: str) -> DataFrame:
-    """Rows to insert: the first arrival of each key that is not stored yet."""
-    keys = KEYS[table]
-    order = [F.col("date_partition"), F.col("collected_at")]
-    return new_rows(first_arrival(batch, keys, order), stored, keys)
 
+def _key(table: str) -> Column:
+    return F.xxhash64(*KEYS[table])
 
-def insert_or_ignore(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
-    """Append rows with new keys; returns the inserted rows, read back from the table.
 
-    Running the same batch again inserts nothing, so a failed or repeated job is safe to rerun.
-    Rows carry the id of their insert: a file holds one insert only, so reading
-    it back opens the batch's days alone, skips other inserts' files there by
-    their statistics, and nothing is written twice.
+def _bucket(key: Column) -> Column:
+    return F.pmod(key, F.lit(KEY_BUCKETS)).cast("int")
+
+
+def read_keys(spark: SparkSession, store_dir: str, table: str, buckets: list[int] | None = None) -> DataFrame:
+    """Stored keys with their hash ``key``, of some buckets or of all; other buckets are not listed."""
+    path, fields = f"{store_dir}/keys/{table}", {f.name: f for f in TABLES[table].fields}
+    schema = T.StructType(
+        [fields[k] for k in KEYS[table]] + [T.StructField("key", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("insert", T.StringType())]
+    )
+    wanted = ["*"] if buckets is None else [str(b) for b in buckets]
+    found = _paths(spark, [f"{path}/bucket={b}" for b in wanted])
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
+
+
+def write_keys(spark: SparkSession, store_dir: str, table: str, insert: str) -> None:
+    """Add the keys of an insert to the key table; writing them again replaces them."""
+    rows = read_insert(spark, store_dir, table, insert).select(*KEYS[table], _key(table).alias("key"))
+    keyed = rows.withColumns({"bucket": _bucket(F.col("key")), "insert": F.lit(insert)})
+    ordered = keyed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "key")
+    put(ordered, f"{store_dir}/keys/{table}", "bucket", "insert")
+    mark_done(spark, store_dir, f"keys-{table}", insert)
+
+
+def stored_keys(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
+    """The stored keys that can be a key of ``batch``: its buckets are named, and few keys one by one."""
+    spark = batch.sparkSession
+    if not path_exists(spark, f"{store_dir}/keys/{table}"):
+        return read_keys(spark, store_dir, table)
+    # At most KEY_BUCKETS numbers.
+    held = batch.agg(F.count("*").alias("rows"), F.collect_set(_bucket(_key(table))).alias("buckets")).first()
+    keys = read_keys(spark, store_dir, table, sorted(held["buckets"]))
+    if held["rows"] > NAMED_KEYS:
+        return keys
+    return keys.filter(F.col("key").isin([r["key"] for r in batch.select(_key(table).alias("key")).collect()]))
+
+
+def insert_new(batch: DataFrame, store_dir: str, table: str) -> str:
+    """Append rows with new keys; returns the id of the insert.
+
+    What is stored already is looked up in the key table, in the batch's buckets alone, so an insert
+    costs what its batch costs. Inserts whose job died before it wrote their keys are given theirs first.
+    Inserts at the same time break nothing, but may both store a key that is new to both.
     """
     spark = batch.sparkSession
-    schema = TABLES[table]
-    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    fresh = fresh_rows(typed, read_table(spark, store_dir, table), table)
+    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table].fields])
+    for left in pending(spark, store_dir, table, f"keys-{table}"):
+        write_keys(spark, store_dir, table, left)
+    order = [F.col("date_partition"), F.col("collected_at")]
+    fresh = new_rows(first_arrival(typed, KEYS[table], order), stored_keys(typed, store_dir, table), KEYS[table])
     insert = uuid.uuid4().hex
-    days = days_of(typed)
     if table == "lake_records":
         fresh = fresh.withColumns({c: cell_of(F.col(c.removesuffix("_cell"))) for c in CELLS})
     # Within a folder, rows lie by grid cell where they have a position: box queries then skip row groups.
     layout = ["date"] + [c for c in (*CELLS, "lat", "lon") if c in fresh.columns]
-    (
-        fresh.withColumns({"batch": F.lit(insert), "date": F.col("date_partition")})
-        .hint("rebalance", F.col("date"))
-        .sortWithinPartitions(*layout)
-        .write.mode("append")
-        .partitionBy("date")
-        .parquet(table_path(store_dir, table))
-    )
-    stored = of_days(_stored(spark, store_dir, table), days)
-    return stored.filter(F.col("batch") == insert).select(*schema.fieldNames())
+    rows = fresh.withColumns({"date": F.col("date_partition"), "insert": F.lit(insert)})
+    at = f"{store_dir}/inserts/{table}/{insert}"
+    _touch(spark, at)
+    put(rows.hint("rebalance", F.col("date")).sortWithinPartitions(*layout), table_path(store_dir, table), "date", "insert")
+    if _paths(spark, [f"{table_path(store_dir, table)}/date=*/insert={insert}"]):
+        write_keys(spark, store_dir, table, insert)
+    else:
+        path, fs = _files(spark, at)
+        fs.delete(path, False)
+    return insert
+
+
+def insert_or_ignore(batch: DataFrame, store_dir: str, table: str) -> DataFrame:
+    """Append rows with new keys; returns the inserted rows, read back from the table.
+
+    Running the same batch again inserts nothing, so a failed or repeated job is safe to rerun.
+    """
+    insert = insert_new(batch, store_dir, table)
+    return read_insert(batch.sparkSession, store_dir, table, insert).select(*TABLES[table].fieldNames())
