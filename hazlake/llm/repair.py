@@ -31,6 +31,7 @@ SHARD_IDS = 1 << 20
 LEAST_PAIRS = 8
 LEAST_GAIN = 0.01
 TABLE_BITS = 18
+COUNT_BITS = 20
 MAGIC = b"RPS1"
 
 
@@ -116,9 +117,14 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
     factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - TABLE_BITS)
     while len(symbols) > 1:
         keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        ordered = np.sort(keys[~opens[1:]])
+        hashed = keys * factor
+        # Only keys whose place of the hash holds enough of all keys can be frequent enough themselves; the others are not sorted.
+        place = (hashed >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+        full = np.bincount(place[~opens[1:]], minlength=1 << COUNT_BITS) >= least
+        ordered = np.sort(keys[full[place] & ~opens[1:]])
         edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(ordered) else np.zeros(1, int)
         counts = np.diff(edges)
+        del hashed
         if not len(counts) or counts.max() < least:
             break
         ceiling = int(counts.max()) if ceiling is None else min(ceiling, int(counts.max()))
@@ -128,7 +134,7 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
         pairs = ordered[edges[:-1][chosen]]
         table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
         table[((pairs * factor) >> shift).astype(np.int64)] = np.arange(len(pairs), dtype=np.int32)
-        rank = table[((keys * factor) >> shift).astype(np.int64)]
+        rank = table[place >> (COUNT_BITS - TABLE_BITS)]
         at = np.flatnonzero(rank >= 0)
         rank[at[(pairs[rank[at]] != keys[at]) | opens[at + 1]]] = -1
         # A place is replaced if its pair is more frequent than those that overlap it; of equal ones in a row, every other.
