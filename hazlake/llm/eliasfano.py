@@ -37,17 +37,21 @@ class Sequence:
         zeros = np.flatnonzero(np.unpackbits(packed, count=n_bits) == 0)
         #: How many values have a smaller upper part, for every upper part and one more.
         self.first = np.concatenate([[0], zeros - np.arange(len(zeros))])
-        planes = np.frombuffer(buffer, np.uint8, self.n * self.low_bytes, at).reshape(self.n, self.low_bytes)
-        wide = np.zeros((self.n, 8), dtype=np.uint8)
-        wide[:, : self.low_bytes] = planes
-        self.low = wide.view("<u8").ravel()
-        self.end = at + planes.size
+        #: Lower parts, left where they are in the buffer.
+        self.planes = np.frombuffer(buffer, np.uint8, self.n * self.low_bytes, at).reshape(self.n, self.low_bytes)
+        self.end = at + self.planes.size
+
+    def low(self, index: np.ndarray) -> np.ndarray:
+        """The lower parts at positions."""
+        wide = np.zeros((len(index), 8), dtype=np.uint8)
+        wide[:, : self.low_bytes] = self.planes[index]
+        return wide.view("<u8").ravel()
 
     def values(self, index: np.ndarray) -> np.ndarray:
         """The values at positions."""
         upper = np.searchsorted(self.first, index, side="right") - 1
         shift = 8 * self.low_bytes
-        return (upper.astype(np.uint64) << np.uint64(shift) if shift < 64 else np.uint64(0)) | self.low[index]
+        return (upper.astype(np.uint64) << np.uint64(shift) if shift < 64 else np.uint64(0)) | self.low(index)
 
     def successor(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position of the first value that is not smaller, whether it is equal), for each wanted value."""
@@ -61,10 +65,10 @@ class Sequence:
         open_ = np.flatnonzero(at < stop)
         while len(open_):
             middle = (at[open_] + stop[open_]) // 2
-            less = self.low[middle] < low[open_]
+            less = self.low(middle) < low[open_]
             at[open_[less]] = middle[less] + 1
             stop[open_[~less]] = middle[~less]
             open_ = open_[at[open_] < stop[open_]]
         equal = ~beyond & (at < ends)
-        equal[equal] = self.low[at[equal]] == low[equal]
+        equal[equal] = self.low(at[equal]) == low[equal]
         return np.where(beyond, self.n, at), equal

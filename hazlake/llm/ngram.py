@@ -38,8 +38,8 @@ from hazlake.llm.words import mix, slices, word_hashes
 from hazlake.session import stage
 
 MU = 200.0
-SHARD_TOKENS = 3_000_000
-CHUNK_BYTES = 8 << 20
+SHARD_TOKENS = 1_000_000
+CHUNK_BYTES = 2 << 20
 HELD_OUT_ONE_IN = 10
 
 END, START = np.uint64(1), np.uint64(2)
