@@ -11,7 +11,9 @@ _SKIPPED = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</s
 _PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
 _PARAGRAPH_REST = r"(?is)</(?:p|article|section|div|main|td|body|html)\s*>.*$"
 _TAG = r"(?s)<[^>]*>"
-_MARK = "\u0001"
+_MARK, _NEXT = "\u0001", "\u0002"
+# The names most pages use; they are tried before the whole list.
+_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "rsquo": "\u2019", "mdash": "\u2014", "copy": "\u00a9"}
 _SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
@@ -32,20 +34,36 @@ def _numbered(digits: Column, base: int) -> Column:
 
 
 def _named() -> Column:
-    """Character by name, of all references of HTML that end in a semicolon."""
-    pairs = [x for name, char in html5.items() if name.endswith(";") for x in (F.lit(name[:-1]), F.lit(char))]
-    return F.create_map(*pairs)
+    """Character by name, of all references of HTML that end in a semicolon; one literal, which Spark reads once."""
+    pairs = "\u0003".join(f"{name[:-1]}\u0004{char}" for name, char in html5.items() if name.endswith(";"))
+    return F.str_to_map(F.lit(pairs), F.lit("\u0003"), F.lit("\u0004"))
+
+
+def _named_char(name: Column) -> Column:
+    common = [(F.lit(n), F.lit(c)) for n, c in _COMMON.items()]
+    found = F.when(name == common[0][0], common[0][1])
+    for own, char in common[1:]:
+        found = found.when(name == own, char)
+    return found.otherwise(F.try_element_at(_named(), name))
 
 
 def decode_entities(text: Column) -> Column:
-    """Numeric and named references, each decoded once."""
+    """Numeric and named references, each decoded once; a text without an ampersand is left alone.
+
+    The one-element array binds the text, so that what computes it is not run again for every use.
+    """
+    bound = F.transform(F.array(text), lambda t: F.when(t.contains("&"), _decoded(t)).otherwise(t))
+    return F.get(bound, F.lit(0))
+
+
+def _decoded(text: Column) -> Column:
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"), 1))
 
     def char(name: Column) -> Column:
         return (
             F.when(name.rlike("^#[xX]"), _numbered(F.regexp_replace(name, "^..", ""), 16))
             .when(name.startswith("#"), _numbered(F.regexp_replace(name, "^.", ""), 10))
-            .otherwise(F.try_element_at(_named(), name))
+            .otherwise(_named_char(name))
         )
 
     known = F.filter(F.transform(found, lambda n: F.struct(n.alias("n"), char(n).alias("c"))), lambda x: x["c"].isNotNull())
@@ -61,15 +79,19 @@ def paragraph_texts(html: Column) -> Column:
     An unclosed paragraph ends where the next begins.
     """
     body = F.regexp_replace(html, _SKIPPED, " ")
-    opened = F.split(body, _PARAGRAPH_START)
 
     def strings(paragraph: Column) -> Column:
-        inner = F.regexp_replace(paragraph, _PARAGRAPH_REST, "")
-        marked = decode_entities(F.regexp_replace(inner, _TAG, _MARK))
-        parts = F.transform(F.split(marked, _MARK), lambda s: F.btrim(s, F.lit(_SPACES)))
+        parts = F.transform(F.split(paragraph, _MARK), lambda s: F.btrim(s, F.lit(_SPACES)))
         return F.array_join(F.array_remove(parts, ""), " ")
 
-    return F.transform(F.slice(opened, 2, F.greatest(F.size(opened) - 1, F.lit(0))), strings)
+    def marked(paragraph: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(paragraph, _PARAGRAPH_REST, ""), _TAG, _MARK)
+
+    # References are decoded once a page: paragraphs are joined by a mark for it.
+    opened = F.split(body, _PARAGRAPH_START)
+    rest = F.transform(F.array(opened), lambda o: F.when(F.size(o) > 1, F.array_join(F.transform(F.slice(o, 2, F.size(o)), marked), _NEXT)))
+    decoded = decode_entities(F.get(rest, F.lit(0)))
+    return F.coalesce(F.transform(F.split(decoded, _NEXT), strings), F.array().cast("array<string>"))
 
 
 def article_text(html: Column, max_chars: int | None = None) -> Column:
