@@ -17,8 +17,8 @@ found so far is compared with all others, so no link between two components is l
 component cost nothing. Verified links of all groups then become components by alternating stars.
 
 Defined cases: a text without words has an empty set and no link; one of fewer words than a shingle has one, its whole
-sequence; a null doc_id is linked with nothing and kept; repeated rows are one class; an empty table gives no
-rows; other columns of the input are not read.
+sequence; a null doc_id is linked with nothing and kept; repeated rows are one class; several texts of one doc_id are
+classes of their own, each with its own component; an empty table gives no rows; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from hazlake.llm.words import constants, minima, mix, shingle_hashes, slices, word_hashes
 from hazlake.session import stage
@@ -280,17 +280,33 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of (doc_id, text)."""
-    spark, docs = docs.sparkSession, _plain(docs)
-    sketched = stage(sketches(docs, size), "sketches")
+def _classes(sketched: DataFrame) -> DataFrame:
+    """(name, id, least, copies, n_shingles, tokens): one row per different set; ``least`` is its least doc_id.
+
+    ``id`` is ``least`` too, unless several classes have the same: then it is a hash of the set's name,
+    so that no class takes another's links.
+    """
     named = sketched.filter("name IS NOT NULL AND doc_id IS NOT NULL")
     classes = stage(
         named.groupBy("name").agg(
-            F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
+            F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
         ), "classes",
     )
-    nodes = _leaves(classes, spark).join(classes.select("id", "n_shingles", "tokens"), "id")
+    shared = classes.groupBy("least").count().filter("count > 1").select("least")
+    if shared.isEmpty():
+        return classes.withColumn("id", F.col("least"))
+    marked = classes.join(shared.withColumn("shared", F.lit(True)), "least", "left")
+    return stage(marked.withColumn("id", F.when(F.col("shared"), F.xxhash64("name")).otherwise(F.col("least"))).drop("shared"), "classes")
+
+
+def _resolved(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, n_shingles, name, component, first) of every row; ``first``: whether its set is the one that stays.
+
+    Rows without a set, or with one that is linked with nothing and has no copy, may have neither component nor first.
+    """
+    sketched = stage(sketches(docs, size), "sketches")
+    classes = _classes(sketched)
+    nodes = _leaves(classes, docs.sparkSession).join(classes.select("id", "n_shingles", "tokens"), "id")
     sorted_nodes = nodes.repartition("node").sortWithinPartitions("node")
     groups = stage(sorted_nodes.mapInArrow(_group_batches, "group long, id long").distinct(), "groups")
 
@@ -303,26 +319,67 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array([own[i].tobytes() for i in at], pa.binary())], ["group", "id", "shingles"])
 
     # Members and documents both grow with the input, so neither is sent to all tasks, at any size.
-    members = groups.join(classes.select("id", "name"), "id").hint("merge")
-    rows = docs.join(members, docs["doc_id"] == members["id"]).select("group", "id", "name", "text")
+    members = groups.join(classes.select("id", "least", "name"), "id").hint("merge")
+    rows = docs.join(members, docs["doc_id"] == members["least"]).select("group", "id", "name", "text")
     sets = rows.mapInArrow(full_sets, "group long, id long, shingles binary")
     verified = sets.repartition("group").sortWithinPartitions("group").mapInArrow(_link_batches, "u long, v long")
     links = components(verified)
-    joined = classes.join(links.withColumnRenamed("u", "id"), "id", "left")
-    marked = joined.filter("copies > 1 OR v IS NOT NULL").select("name", F.coalesce("v", "id").alias("component"))
-    result = sketched.select("doc_id", "n_shingles", "name").join(marked, "name", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return result.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    joined = classes.join(links.withColumnRenamed("u", "id"), "id", "left").withColumn("root", F.coalesce("v", "id"))
+    if classes.filter("id <> least").isEmpty():
+        resolved = joined.withColumns({"component": F.col("root"), "first": F.col("id") == F.col("root")})
+    else:
+        # Roots may be hashes: a component is named by the least doc_id of its classes.
+        heads = joined.groupBy("root").agg(F.min(F.struct("least", "name")).alias("head"))
+        resolved = joined.join(heads, "root").withColumns({"component": F.col("head.least"), "first": F.col("name") == F.col("head.name")})
+    marked = resolved.filter("copies > 1 OR v IS NOT NULL OR NOT first OR component <> id").select("name", "component", "first")
+    return sketched.select("doc_id", "n_shingles", "name").join(marked, "name", "left")
+
+
+def _component() -> Column:
+    return F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of (doc_id, text)."""
+    return _resolved(_plain(docs), size).select(
+        "doc_id", "n_shingles", _component().alias("component_id"), F.coalesce(F.col("doc_id") == _component(), F.lit(True)).alias("kept"),
     )
 
 
+def _with_name(docs: DataFrame, size: int, column: str) -> DataFrame:
+    """The rows with the name of their text's set in a column of their own."""
+    def named(batches):
+        for batch in batches:
+            names = [_name(s) if len(s) else None for s in _sets(batch.column(column), size)]
+            at = batch.schema.get_field_index(column)
+            yield batch.set_column(at, pa.field(column, pa.binary()), pa.array(names, pa.binary()))
+
+    text = docs.withColumn(column, F.col("text").cast("string"))
+    return text.mapInArrow(named, T.StructType([*docs.schema.fields, T.StructField(column, T.BinaryType())]))
+
+
 def without_near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """One document of every component, the one with the least doc_id, with the columns it came with."""
-    dropped = stage(near_duplicates(docs, size).filter("NOT kept").select("doc_id").distinct(), "dropped")
-    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    again = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    """One document of every component, the one with the least doc_id, with the columns it came with.
+
+    Of texts that share a doc_id, each is judged by its own set: one that is a copy of an earlier document
+    does not take another with it. Rows of one doc_id and one set are one document, the least text of them;
+    without a set, rows of one doc_id and one text are.
+    """
+    resolved = stage(_resolved(_plain(docs), size).filter("first IS NOT NULL AND doc_id IS NOT NULL").select(
+        "doc_id", "name", ((F.col("doc_id") == F.col("component")) & F.col("first")).alias("stays"),
+    ), "resolved")
+    again = stage(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
+    dropped = resolved.filter("NOT stays").select("doc_id").distinct()
     if again.isEmpty():
-        return left
-    repeated = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(repeated)
+        return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    once_only = docs.join(dropped.unionByName(again).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    own = "_set"
+    while own in docs.columns:
+        own += "_"
+    repeated = _with_name(docs.join(again, "doc_id", "left_semi").select(*docs.columns), size, own)
+    gone = resolved.filter("NOT stays").select("doc_id", F.col("name").alias(own)).distinct()
+    left = repeated.join(gone, ["doc_id", own], "left_anti").select(*repeated.columns)
+    rank = own + "_rank"
+    same = Window.partitionBy("doc_id", own, F.when(F.col(own).isNull(), F.col("text"))).orderBy("text")
+    one = left.withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1)
+    return once_only.unionByName(one.select(*docs.columns))

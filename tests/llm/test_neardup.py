@@ -128,6 +128,22 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted({c for _, _, c in brute(list(dict(rows).items()), 5)})
 
 
+def test_several_texts_of_one_doc_id(spark):
+    """A text that is a copy of an earlier document does not take another text of its doc_id with it."""
+    rng = random.Random(4)
+    a, b, c = ([f"{x}{rng.randrange(10**6)}" for _ in range(60)] for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (5, c), (8, edited(rng, b, 1)), (9, edited(rng, c, 1)), (9, edited(rng, b, 1)), (3, c + ["end"])]
+    rows = [(i, " ".join(t)) for i, t in rows] + [(12, ""), (12, None), (12, "")]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("_set", F.lit("a clash"))
+    got = sorted((tuple(r)[:3:2] for r in neardup.near_duplicates(docs).filter("n_shingles > 0").collect()))
+    assert got == sorted([(1, 1), (5, 1), (5, 5), (5, 3), (8, 5), (9, 3), (9, 5), (3, 3)])
+    left = neardup.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    want = [(1, " ".join(a)), (3, " ".join(c + ["end"])), (5, " ".join(b))]
+    assert sorted((r["doc_id"], r["text"]) for r in left.filter("text <> ''").collect()) == want
+    assert left.filter("doc_id = 12").count() == 2
+
+
 def test_dense_nodes_keep_their_pairs(spark, monkeypatch):
     """Pairs at 0.8 inside nodes that no level makes small meet in a leaf, as a comparison of all classes would have them."""
     monkeypatch.setattr(neardup, "LEAF", 2)
@@ -136,6 +152,6 @@ def test_dense_nodes_keep_their_pairs(spark, monkeypatch):
     b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 1 << 32, a.shape, dtype=np.uint32))
     # With a third class, equal in its tokens to the first, a node that holds a pair is larger than a leaf.
     rows = [(3 * i + k, x[i].tobytes()) for i in range(n) for k, x in enumerate((a, b, a))]
-    classes = spark.createDataFrame(rows, "id long, tokens binary").localCheckpoint()
+    classes = spark.createDataFrame(rows, "id long, tokens binary")
     met = neardup._leaves(classes, spark).filter("id % 3 < 2").select("node", F.expr("id div 3").alias("pair"), "id").distinct()
     assert met.groupBy("node", "pair").count().filter("count = 2").select("pair").distinct().count() == n
