@@ -113,6 +113,10 @@ def main(argv: list[str] | None = None) -> None:
         print(f"{out.count()} rows in {args.output}")
     elif name == "migrate":
         print(lake.migrate())
+        unread = lake.unread_files()
+        if not unread.isEmpty():
+            print("silver files not read, or not whole")
+            report("unread_files", unread)
     elif name == "validate":
         for title, result in lake.validate().items():
             print(title)

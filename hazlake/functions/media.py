@@ -75,5 +75,67 @@ def passes_size_gate(
     return (length <= max_bytes) & ~small
 
 
+def _bytes(content: Column, at: Column | int, n: int) -> Column:
+    """``n`` bytes from ``at`` (from 1) as one hexadecimal text."""
+    return F.hex(F.substring(content, at, n))
+
+
+def _number(content: Column, at: Column | int, n: int, little: bool = False) -> Column:
+    """An unsigned number of ``n`` bytes; null where the content ends before."""
+    digits = _bytes(content, at, n)
+    if little:
+        digits = F.concat(*[F.substring(digits, 2 * i + 1, 2) for i in reversed(range(n))])
+    return F.when(F.length(digits) == 2 * n, F.conv(digits, 16, 10).cast("long"))
+
+
+# Markers of JPEG frames that carry the size; those without a length; those after which no frame comes.
+_JPEG_FRAMES = [0xC0, 0xC1, 0xC2, 0xC3, 0xC5, 0xC6, 0xC7, 0xC9, 0xCA, 0xCB, 0xCD, 0xCE, 0xCF]
+_JPEG_BARE = [0x01, *range(0xD0, 0xD9)]
+_JPEG_LAST = [0xD9, 0xDA]
+_JPEG_STEPS = 40
+
+
+def _jpeg_frame(content: Column) -> Column:
+    """Place of the frame header's marker; null if there is none. Segments are skipped by their lengths."""
+    def step(at: Column, _: Column) -> Column:
+        lead, mark = _number(content, at, 1), _number(content, at + 1, 1)
+        after = (at + 2 + F.greatest(_number(content, at + 2, 2), F.lit(2))).cast("int")
+        return (
+            F.when(at.isNull() | (lead != 0xFF) | mark.isNull() | mark.isin(_JPEG_LAST), F.lit(None).cast("int"))
+            .when(mark.isin(_JPEG_FRAMES), at)
+            .when(mark == 0xFF, at + 1)
+            .when(mark.isin(_JPEG_BARE), at + 2)
+            .otherwise(after)
+        )
+
+    # A segment has 4 bytes at least. Most frames come among the first segments; only where they do not is the rest walked.
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(_JPEG_STEPS)), F.lit(3), step)
+    found = _number(content, first + 1, 1).isin(_JPEG_FRAMES)
+    rest = F.aggregate(F.sequence(F.lit(0), F.floor(F.length(content) / 2).cast("int")), first, step)
+    return F.when(first.isNull() | found, first).otherwise(rest)
+
+
+def image_size(content: Column) -> Column:
+    """struct(width, height) from the header of PNG, GIF, JPEG and WebP content; null for any other or a cut header.
+
+    No pixel is decoded.
+    """
+    def size(width: Column, height: Column) -> Column:
+        known = (width > 0) & (height > 0)
+        return F.when(known, F.struct(width.cast("int").alias("width"), height.cast("int").alias("height")))
+
+    head, chunk = _bytes(content, 1, 12), _bytes(content, 13, 4)
+    webp = head.startswith("52494646") & head.endswith("57454250")
+    frame, bits = _jpeg_frame(content), _number(content, 22, 4, little=True)
+    return (
+        F.when(head.startswith("89504E470D0A1A0A") & (chunk == "49484452"), size(_number(content, 17, 4), _number(content, 21, 4)))
+        .when(head.startswith("474946383761") | head.startswith("474946383961"), size(_number(content, 7, 2, True), _number(content, 9, 2, True)))
+        .when(head.startswith("FFD8FF"), size(_number(content, frame + 7, 2), _number(content, frame + 5, 2)))
+        .when(webp & (chunk == "56503858"), size(_number(content, 25, 3, True) + 1, _number(content, 28, 3, True) + 1))
+        .when(webp & (chunk == "56503820"), size(_number(content, 27, 2, True) % 16384, _number(content, 29, 2, True) % 16384))
+        .when(webp & (chunk == "5650384C"), size(bits % 16384 + 1, F.floor(bits / 16384) % 16384 + 1))
+    )
+
+
 def size_kb(length: Column) -> Column:
     return F.round(length / 1024, 2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
-from hazlake.functions.media import is_relevant_url, local_name, media_type, passes_size_gate, size_kb
+from hazlake.functions.media import image_size, is_relevant_url, local_name, media_type, passes_size_gate, size_kb
 
 
 def harvest_urls(records: DataFrame) -> DataFrame:
@@ -32,25 +32,18 @@ def candidates(urls: DataFrame, domains=tx.MEDIA_DOMAINS, content_type: str | No
     )
 
 
-def landed_files(spark: SparkSession, media_dir: str) -> DataFrame:
-    """(local_path, length, width, height) of landed files; unreadable images have no size.
+def landed_files(spark: SparkSession, media_dir: str, max_bytes: int = tx.MAX_FILE_BYTES) -> DataFrame:
+    """(local_path, length, width, height) of landed files; what is not an image, or no readable one, has no size.
 
-    Lengths come from the file listing. Only image files are opened, for their size.
+    One listing gives all lengths. Only images within ``max_bytes`` are opened, the others' length already
+    decides; their size comes from the header, nothing is decoded.
     """
-    relative = F.regexp_extract("path", r"((?:images|videos)/[^/]+)$", 1)
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(media_dir)
-        .select(relative.alias("local_path"), "length")
-    )
-    images = (
-        spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true")
-        .load(media_dir)
-        .select(
-            F.regexp_extract("image.origin", r"((?:images|videos)/[^/]+)$", 1).alias("local_path"),
-            F.when(F.col("image.width") > 0, F.col("image.width")).alias("width"),
-            F.when(F.col("image.height") > 0, F.col("image.height")).alias("height"),
-        )
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    relative = F.regexp_extract("path", r"((?:images|videos)/[^/]+)$", 1).alias("local_path")
+    files = reader.load(media_dir).select(relative, "length")
+    # The length filter reaches the scan: longer files are not read. Kinds are told apart by content, not by name.
+    opened = reader.load(media_dir).filter(F.col("length") <= max_bytes).select(relative, image_size(F.col("content")).alias("size"))
+    images = opened.filter("size IS NOT NULL").select("local_path", "size.width", "size.height")
     return files.join(images, "local_path", "left")
 
 

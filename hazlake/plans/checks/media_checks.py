@@ -1,8 +1,8 @@
 """Media links: relevance, type, stored name, size gates."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hazlake.functions.media import is_relevant_url, local_name, media_type, passes_size_gate, size_kb
+from hazlake.functions.media import image_size, is_relevant_url, local_name, media_type, passes_size_gate, size_kb
 from hazlake.operators import media
 from hazlake.plans.checks import base as b
 
@@ -98,3 +98,35 @@ def media_size_gate(spark: SparkSession, folder: str) -> DataFrame:
     )
     gate = passes_size_gate(F.col("media_type"), F.col("length"), F.col("width"), F.col("height"))
     return files.filter(gate).select("page_id", size_kb(F.col("length")).alias("file_size_kb"))
+
+
+@b.check("""
+WITH s AS (SELECT page_id, page_id % 5 AS kind, 1 + page_id * 37 % 900 AS w, 1 + length(html) % 700 AS h FROM pages)
+SELECT page_id, CASE WHEN kind < 4 THEN w END::BIGINT AS width, CASE WHEN kind < 4 THEN h END::BIGINT AS height FROM s""")
+def image_header_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes read from image headers in front of page contents, of four kinds, and from contents that are no image."""
+    n = F.col("page_id")
+    sized = b.load(spark, folder, "pages").select(
+        "page_id", "html", (1 + n * 37 % 900).cast("long").alias("w"), (1 + F.length("html") % 700).cast("long").alias("h")
+    )
+    # Some 65,000 bytes of pages as comment segments before a JPEG's frame.
+    comment = F.substring(F.encode("html", "UTF-8"), 1, 65_000)
+    length = F.lpad(F.hex(F.octet_length(comment) + 2), 4, "0")
+
+    def big(col: str, digits: int) -> Column:
+        return F.lpad(F.hex(col), digits, "0")
+
+    def little(col: str, digits: int, less: int = 0) -> Column:
+        text = F.lpad(F.hex(F.col(col) - less), digits, "0")
+        return F.concat(*[F.substring(text, i + 1, 2) for i in reversed(range(0, digits, 2))])
+
+    header = (
+        F.when(n % 5 == 0, F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big("w", 8), big("h", 8)))
+        .when(n % 5 == 1, F.concat(F.lit("474946383961"), little("w", 4), little("h", 4)))
+        .when(n % 5 == 2, F.concat(F.lit("FFD8FFE000044A46FFFE"), length, F.hex(comment), F.lit("FFC2001108"), big("h", 4), big("w", 4)))
+        .when(n % 5 == 3, F.concat(F.lit("524946460000000057454250565038580A00000000000000"), little("w", 6, 1), little("h", 6, 1)))
+        .otherwise("")
+    )
+    contents = sized.select("page_id", F.concat(F.unhex(header), F.encode("html", "UTF-8")).alias("content"))
+    size = contents.select("page_id", image_size(F.col("content")).alias("size"))
+    return size.select("page_id", F.col("size.width").cast("long").alias("width"), F.col("size.height").cast("long").alias("height"))

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hazlake.functions.times import iso_utc, parse_feed_date
 from hazlake.operators.dedupe import first_arrival
 from hazlake.plans.checks import base as b
+from hazlake.session import shared_dir
 from hazlake.sources import payloads
 from hazlake.sources.articles import article_text, lead_image
 
@@ -233,6 +234,53 @@ def parse_rss(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _two_dialects(spark: SparkSession, folder: str) -> DataFrame:
+    """One feed per fifty documents and dialect, its entries half of them; dates, links, bodies and tags in the ways feeds write them."""
+    safe = F.replace(F.replace(F.regexp_replace("text", r"[\x00-\x08\x0B\x0C\x0E-\x1F]", " "), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    title, n = F.concat(F.lit("Item "), _str(_id())), _str(_id())
+    iso = F.date_format(_day_ts(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rss = F.concat(
+        F.lit("<item><title>"), title, F.lit("</title><description>"), safe,
+        F.lit("</description><link>https://r.example.org/"), n, F.lit("</link>"),
+        F.when(_id() % 4 == 0, F.concat(F.lit("<pubDate>"), F.date_format(_day_ts(), "E, d MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>")))
+        .otherwise(F.concat(F.lit("<dc:date>"), iso, F.lit("</dc:date>"))),
+        F.lit("<category>x</category><category>y</category></item>"),
+    )
+    body = F.when(_id() % 3 == 0, F.concat(F.lit('<content type="html">'), safe, F.lit("</content>"))).otherwise(F.concat(F.lit("<summary>"), safe, F.lit("</summary><content>other</content>")))
+    atom = F.concat(
+        F.lit('<entry><title type="text">'), title, F.lit('</title><link rel="self" href="https://self.example.org/"/>'),
+        F.lit('<link href="https://a.example.org/'), n, F.lit('?a=1&amp;b=2"/>'), body,
+        F.when(_id() % 5 == 0, F.concat(F.lit("<updated>"), iso, F.lit("</updated>")))
+        .otherwise(F.concat(F.lit("<published>"), iso, F.lit("</published><updated>2030-01-01T00:00:00Z</updated>"))),
+        F.lit('<category term="x" label="X"/><category term="y"/></entry>'),
+    )
+    entries = b.load(spark, folder, "documents").select(F.expr("doc_id div 50").alias("feed"), (_id() % 2 == 0).alias("rss"), F.when(_id() % 2 == 0, rss).otherwise(atom).alias("xml"))
+    feeds = entries.groupBy("feed", "rss").agg(F.array_join(F.collect_list("xml"), "").alias("xml"))
+    head = '<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>All</title>', '<feed xmlns="http://www.w3.org/2005/Atom"><title>All</title>'
+    return feeds.select(
+        F.when(F.col("rss"), F.concat(F.lit(head[0]), "xml", F.lit("</channel></rss>"))).otherwise(F.concat(F.lit(head[1]), "xml", F.lit("</feed>"))).alias("xml")
+    )
+
+
+@b.check(f"""
+WITH i AS (
+  SELECT doc_id, concat('Item ', doc_id) AS title, trim(regexp_replace(text, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', ' ', 'g'), concat(' ', chr(9), chr(10), chr(13))) AS summary,
+    CASE WHEN doc_id % 2 = 0 THEN concat('https://r.example.org/', doc_id) ELSE concat('https://a.example.org/', doc_id, '?a=1&b=2') END AS link
+  FROM documents
+), q AS (SELECT *, concat(title, ' ', summary) AS quick FROM i), h AS (SELECT *, {_sql_hits('quick')} AS hits FROM q)
+SELECT md5(link) AS record_id, link AS url, strftime({_SQL_TS}, '%Y-%m-%dT%H:%M:%S+00:00') AS published_at, trim(quick) AS text, hits AS keywords_hit, 'x|y' AS tags
+FROM h WHERE hits <> ''""")
+def parse_feeds(spark: SparkSession, folder: str) -> DataFrame:
+    """RSS and Atom files of one folder."""
+    home = f"{shared_dir(spark)}/feeds"
+    _two_dialects(spark, folder).write.option("maxRecordsPerFile", 1).text(home)
+    records = payloads.parse_rss(payloads.read_feed(spark, home), _at(), keywords=b.KEYWORDS)
+    tags = F.from_json("raw_payload", "tags array<string>")["tags"]
+    return records.select(
+        "record_id", "url", "published_at", "text", F.array_join("keywords_hit", "|").alias("keywords_hit"), F.array_join(tags, "|").alias("tags"),
+    )
+
+
 @b.check("""
 SELECT event_id, CASE event_id % 5 WHEN 4 THEN NULL
   ELSE concat(strftime(CASE event_id % 5 WHEN 0 THEN ts - INTERVAL 19800 SECOND WHEN 3 THEN ts + INTERVAL 3600 SECOND ELSE ts END, '%Y-%m-%dT%H:%M:%S'),

@@ -185,3 +185,28 @@ def ingest_job(spark: SparkSession, folder: str) -> DataFrame:
         "SELECT date_partition, source_type, hazard_type, count(*) AS records, min(lake_id) AS first_id, "
         "sum(engagement_score) AS engagement FROM lake_records WHERE source_type <> :skip GROUP BY ALL", skip="weather",
     )
+
+
+_LOST_DAY = "2024-01-05"
+
+
+@b.check(b.sql_lake() + f"""
+SELECT 'kept' AS part, lake_id, date_partition AS date, source_type AS source FROM lake WHERE date_partition <> '{_LOST_DAY}'
+UNION ALL SELECT DISTINCT 'unread', NULL, date_partition, source_type FROM lake WHERE date_partition = '{_LOST_DAY}'""")
+def silver_unread_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver of which one day's files were cut off after their first bytes: the rest is loaded, those are named."""
+    path = f"{shared_dir(spark)}/silver"
+    tables.write_silver(b.doc_lake(spark, folder), path)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/date={_LOST_DAY}/*/*.parquet")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for file in fs.globStatus(pattern):
+        out = fs.create(file.getPath(), True)
+        out.writeBytes("PAR1")
+        out.close()
+    kept = tables.reload_silver(spark, path)
+    unread = tables.unread_files(spark, path).filter("promised IS NULL AND found = 0")
+    at = r"date=([^/]+)/source=([^/]+)/"
+    named = unread.select(F.regexp_extract("file", at, 1).alias("date"), F.regexp_extract("file", at, 2).alias("source")).distinct()
+    return kept.select(F.lit("kept").alias("part"), "lake_id", F.col("date_partition").alias("date"), F.col("source_type").alias("source")).unionByName(
+        named.select(F.lit("unread").alias("part"), F.lit(None).cast("string").alias("lake_id"), "date", "source")
+    )

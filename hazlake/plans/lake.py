@@ -123,6 +123,10 @@ class Lake:
                 "error": found.get("error", 0), "lake": rows["lake"], "cells": rows["cells"],
             }
 
+    def unread_files(self) -> DataFrame:
+        """Silver files that ``migrate`` skips, whole or in part."""
+        return tables.unread_files(self.spark, self.silver_dir)
+
     # -- reports ------------------------------------------------------------------
 
     def stats(self) -> DataFrame:

@@ -145,28 +145,43 @@ def parse_news(
     )
 
 
-FEED_ITEM = "title string, description string, link string, pubDate string, updated string, category array<string>"
+# What <item> of RSS and RDF feeds and <entry> of Atom feeds hold; links and tags are texts in one and attributes in the other.
+FEED_ITEM = (
+    "title string, description string, summary string, `content:encoded` string, content string, pubDate string,"
+    " published string, updated string, `dc:date` string,"
+    " link array<struct<_VALUE:string, _href:string, _rel:string>>, category array<struct<_VALUE:string, _term:string>>"
+)
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """RSS files to entries, one per <item>, with the feed's file name as ``feed``."""
-    items = spark.read.schema(FEED_ITEM).option("rowTag", "item").format("xml").load(path)
+    """Feed files to entries, one per <item> or <entry>, with the feed's file name as ``feed``.
+
+    Spark's XML reader takes one row tag, so files are scanned once for each kind; a folder may hold both.
+    """
+    reader = spark.read.schema(FEED_ITEM).format("xml")
+    items = reader.option("rowTag", "item").load(path).unionByName(reader.option("rowTag", "entry").load(path))
     return items.select(
         F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("feed"), *_entry_columns()
     )
 
 
 def parse_feed_items(items: DataFrame, xml: str = "xml") -> DataFrame:
-    """<item> texts in column ``xml`` to entries; other columns are kept."""
+    """<item> or <entry> texts in column ``xml`` to entries; other columns are kept."""
     parsed = once(items, {"_item": F.from_xml(xml, FEED_ITEM)})
     kept = [c for c in items.columns if c != xml]
     return parsed.select(*kept, "_item.*").select(*kept, *_entry_columns())
 
 
 def _entry_columns() -> list[Column]:
+    """A link is the text of an RSS one, else the page an Atom entry stands for, else its first."""
+    links = F.coalesce("link", F.array().cast("array<struct<_VALUE:string,_href:string,_rel:string>>"))
+    page = F.get(F.filter(links, lambda x: x["_href"].isNotNull() & (F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")), F.lit(0))
+    tags = F.array_compact(F.transform("category", lambda x: F.coalesce(x["_VALUE"], x["_term"])))
     return [
-        F.col("title"), F.col("description").alias("summary"), F.col("link"),
-        F.col("pubDate").alias("published"), F.col("updated"), F.col("category").alias("tags"),
+        F.col("title"),
+        F.coalesce(*[_filled(F.col(f"`{c}`")) for c in ("description", "summary", "content:encoded", "content")]).alias("summary"),
+        F.coalesce(F.get(F.filter(links, lambda x: x["_VALUE"].isNotNull()), F.lit(0))["_VALUE"], page["_href"], F.get(links, F.lit(0))["_href"]).alias("link"),
+        F.coalesce("pubDate", "published").alias("published"), F.coalesce("updated", "`dc:date`").alias("updated"), tags.alias("tags"),
     ]
 
 

@@ -44,6 +44,31 @@ def reload_silver(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns(defaults).select(*LAKE_COLUMNS)
 
 
+def unread_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length, promised, found): silver files of which ``reload_silver`` skips rows.
+
+    ``promised`` is the number of rows by the file's footer, null if that cannot be read; ``found`` the number of
+    rows that could be decoded in all columns. Files are listed by the scan, so one
+    of no bytes, which Spark skips without opening, is not among them. The rows of all files are read once.
+    """
+    columns = "file string, length long, promised long, found long"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], columns)
+    name = F.col("_metadata.file_path").alias("file")
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+        .select(name, F.col("_metadata.file_size").alias("length"))
+    )
+    rows = read_silver(spark, path, skip_corrupt=True)
+    # Without a column to decode, rows are counted by footers alone; the hash makes the other count decode all of them.
+    promised = rows.select(name).groupBy("file").agg(F.count("*").alias("promised"))
+    decoded = rows.select(name, F.xxhash64(*rows.columns).alias("h")).groupBy("file")
+    found = decoded.agg(F.count("h").alias("found"))
+    joined = listed.join(promised, "file", "left").join(found, "file", "left")
+    files = joined.withColumn("found", F.coalesce("found", F.lit(0).cast("long")))
+    return files.filter("promised IS NULL OR found < promised").select("file", "length", "promised", "found")
+
+
 def write_silver(records: DataFrame, path: str, merge: bool = False) -> None:
     """Replace the touched date/source folders.
 
