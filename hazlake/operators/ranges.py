@@ -39,14 +39,16 @@ def bbox(lake: DataFrame, min_lat: float, max_lat: float, min_lon: float, max_lo
     """Records on or inside the box; rows without a position never match.
 
     Plain comparisons on doubles reach the Parquet footer statistics. Where the
-    table carries grid cells, a cell range prunes whole row groups first.
+    table carries grid cells, a cell range prunes whole row groups first; a bound may be infinite.
     """
     out = lake
     if "lat_cell" in lake.columns:
         # Rows stored before there were cells have none; their points decide.
         for cell, least, most in (("lat_cell", min_lat, max_lat), ("lon_cell", min_lon, max_lon)):
-            inside = F.col(cell).between(math.floor(least / CELL_DEGREES), math.floor(most / CELL_DEGREES))
-            out = out.filter(inside | F.col(cell).isNull())
+            if math.isfinite(least):
+                out = out.filter((F.col(cell) >= math.floor(least / CELL_DEGREES)) | F.col(cell).isNull())
+            if math.isfinite(most):
+                out = out.filter((F.col(cell) <= math.floor(most / CELL_DEGREES)) | F.col(cell).isNull())
     return out.filter(F.col("lat").between(min_lat, max_lat) & F.col("lon").between(min_lon, max_lon))
 
 

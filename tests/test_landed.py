@@ -5,7 +5,7 @@ import struct
 from pyspark.sql import functions as F
 
 from hazlake.functions.media import image_size
-from hazlake.operators import media
+from hazlake.operators import media, ranges
 from hazlake.plans.lake import Lake
 from hazlake.sources import payloads, tables
 
@@ -102,3 +102,12 @@ def test_unread_silver_files_are_named(spark, tmp_path):
     got = [(r["file"].split("date=")[1][:10], r["length"], r["promised"], r["found"]) for r in lake.unread_files().collect()]
     assert sorted(got) == [("2024-03-01", len(whole) // 2, None, 0), ("2024-03-02", 3, None, 0)]
     assert tables.reload_silver(spark, lake.silver_dir).count() == 2000
+
+
+def test_boxes_may_be_open(spark):
+    rows = spark.createDataFrame([(1, 10.0, 70.0), (2, -30.0, 75.0), (3, 10.0, None)], "id int, lat double, lon double")
+    celled = rows.withColumns({"lat_cell": ranges.cell_of(F.col("lat")), "lon_cell": ranges.cell_of(F.col("lon"))})
+    inf = float("inf")
+    for table in (rows, celled):
+        assert [r["id"] for r in ranges.bbox(table, 0, inf, -inf, inf).collect()] == [1]
+        assert [r["id"] for r in ranges.bbox(table, -inf, 10, 71, 80).collect()] == [2]
