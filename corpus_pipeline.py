@@ -18,7 +18,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality.kept_documents(docs)
+    return quality.kept_documents(docs, language="lang")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -13,9 +13,11 @@ __all__ = ["QUERIES", "SQL", "audit_checks"]
 
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
 
+_LANGUAGES = ", ".join(f"'{x}'" for x in quality.STOP_WORDS_OF)
+
 OP4_SQL = f"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents
 ), windows AS (
@@ -32,6 +34,8 @@ WITH d AS (
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
     len(list_filter(w, lambda x: list_contains([{_STOPS}], lower(x)))) AS n_stop,
+    len(list_filter(w, lambda x: regexp_matches(x, '[^\\P{{L}}\\p{{Latin}}]'))) * 2 < len(w)
+      AND coalesce(regexp_extract(lower(lang), '^\\s*([a-z]*)', 1), '') IN ('', 'und', {_LANGUAGES}) AS listed,
     len(list_filter(w, lambda x: regexp_matches(x, '\\p{{L}}'))) AS n_letter,
     len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutters,
     len(list_filter(lines, lambda l: regexp_matches(l, '^\\s*[-*•‣●]\\s'))) AS n_bullet,
@@ -41,7 +45,7 @@ WITH d AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.3 AND n_stop / n_words >= 0.02
+  NOT base_failed AND word_chars / n_words BETWEEN 2 AND 15 AND n_symbols / n_words <= 0.3 AND (n_stop / n_words >= 0.02 OR NOT listed)
     AND n_letter / n_words >= 0.6 AND n_stutters / n_words <= 0.3 AND n_dup_lines / n_lines <= 0.5 AND n_bullet / n_lines <= 0.9
     AND n_ellipsis / n_lines <= 0.3 AS kept
 FROM base
@@ -51,8 +55,8 @@ FROM base
 @query(OP4_SQL)
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of every document."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return quality.judged(docs).select(
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return quality.judged(docs, language="lang").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
     )
 

@@ -67,6 +67,30 @@ def test_rules(spark, text, broken):
     assert row["broken"] == broken and row["kept"] == (not broken)
 
 
+RUSSIAN = "это обычный русский текст о том как люди живут в большом городе и что они делают каждый день когда идут утром на работу или домой вечером"
+POLISH = "zwykły polski tekst opowiada o tym jak ludzie żyją w dużym mieście i co robią każdego dnia kiedy idą rano do pracy lub wracają wieczorem"
+
+
+@pytest.mark.parametrize(
+    "text, tag, broken",
+    [
+        (RUSSIAN, None, []),
+        (RUSSIAN, "en", []),
+        (RUSSIAN + " " + POLISH.replace("a", "o"), "ru", []),
+        (POLISH, "pl", []),
+        (POLISH, "PL_pl", []),
+        (POLISH, None, ["stop_words"]),
+        (POLISH, "", ["stop_words"]),
+        (POLISH, "en-GB", ["stop_words"]),
+        (CLEAN, "pl", []),
+    ],
+)
+def test_stop_words_speak_for_listed_languages_only(spark, text, tag, broken):
+    docs = spark.createDataFrame([(1, text, tag)], SCHEMA + ", tag string")
+    assert quality.judged(docs, language="tag").first()["broken"] == broken
+    assert quality.kept_documents(docs, language="tag").count() == (not broken)
+
+
 def test_rules_are_a_table(spark):
     own = (quality.Rule("short", "n_words", "n_lines", most=3),)
     docs = spark.createDataFrame([(1, CLEAN), (2, "\n".join(["a b", "c d"] * 10)), (3, None)], SCHEMA)
