@@ -1,20 +1,30 @@
 """Main text of web pages by the style tree of their site.
 
 All pages of a host are merged into one tree. A node is an element by its path (tags with their classes);
-it knows on how many pages it stands, which child sequences (presentations) it has there and which texts. The importance
-of a node's text is 1 less the mean entropy of its texts over the pages; a node's own importance is the entropy
-of its presentations; both are composed bottom-up as in the published method (weight 0.9 to the power of the number of
-presentations for the node itself). A branch whose importance is low, taken against the most important one of its host, is
-removed from every page. That speaks only for branches on ``LEAST_PAGES`` pages or more, so what an element is for (its
-tag, role, class and id) has a say too, as a level of importance below 1: ``ASIDE_PRIOR`` for menus, headers and footers of the page,
-sidebars, notices, adverts and forms, ``NEVER_PRIOR`` for comments. What stays is down to the first level at which texts hold ``LEAST_SHARE`` of the page's words, so a mark around nearly all of a page takes nothing away. A class token marks
-an element if all its parts are such words or mere nouns of layout ("sidebar", "cookie-notice", "share-bar"; not "with-sidebar", "comments-open"). Where
-one article, itself not in a marked branch, has at least half of the words that would stay, only what stands in articles stays.
+it knows on how many pages it stands, which child sequences (presentations) it has there, which texts, and how many words,
+linked or not. Two things make a branch unimportant:
+
+* Its texts and presentations repeat. The importance of a node's text is 1 less the mean entropy of its texts over the pages; a
+  node's own importance is the entropy of its presentations; both are composed bottom-up as in the published method (weight 0.9
+  to the power of the number of presentations for the node itself). A branch that is low all through, taken against the
+  most important text of its host, is removed from every page.
+* It holds little that is new beside the host's content. The content root is the deepest branch with half of the host's
+  new, unlinked words (words weighed by the importance of their text). A branch beside it is low if four fifths of
+  its words are links, or if a page of it has under a quarter of the new words of a page of the root and its blocks are shorter than a
+  paragraph (``PARAGRAPH`` words). Such a branch is removed from the pages that have the root. One with an ``h1`` is
+  judged by its links alone, as it may hold the page's title.
+
+The tree speaks for branches on ``LEAST_PAGES`` pages or more. Under it, what an element is for (tag, role, class and id) has a say
+where a site has too few pages: comments go; so do menus, headers and footers of the page, sidebars, notices, adverts
+and forms. A class token marks an element if all its parts are such words or mere nouns of layout ("sidebar", "cookie-notice",
+"share-bar"; not "with-sidebar", "comments-open"). Where nothing but headings is left, branches that only a class or a form marks come
+back, if most of their words are no links. Where one article has half of the words that are left, what stands outside of articles stays only as an ``h1`` or
+as a paragraph of ``PARAGRAPH`` unlinked words.
 
 Pages are read twice, each time row by row; only counts of (host, path, text hash) are shuffled, summed per task
-before, so a host with most of the pages is no single task. A host's removed branches are one row.
+before, so a host with most of the pages is no single task. A host's low branches are one row.
 
-Defined cases: a null or empty page has an empty text; a page without a url belongs to the host without a name; repeated
+Defined cases: a null or empty page has an empty text, as has one of marked branches alone; a page without a url belongs to the host without a name; repeated
 rows are extracted one by one; an empty table gives no rows; columns other than page_id, url and html are not read.
 """
 
@@ -35,9 +45,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from hazlake.session import stage
 
-LEAST_PAGES = 8
+LEAST_PAGES = 4
 LEAST_IMPORTANCE = 0.25
 OWN_WEIGHT = 0.9
+ROOT_SHARE = 0.5
+LINK_SHARE = 0.8
+PARAGRAPH = 20
 
 # Element names of the HTML standard, by how text in and around them is read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,23 +70,23 @@ CLOSES = {
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 
 # What marks an element as something other than the article.
-ASIDE_TAGS = frozenset("nav footer aside form dialog menu".split())
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
+ASIDE_TAGS = frozenset("nav footer aside dialog menu".split())
+ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted promotion banner sidebar sidebars aside "
     "menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup "
     "modal overlay subscribe subscription newsletter signup login share sharing social related recommended recommendations "
-    "widget widgets toolbar pagination pager skip".split()
+    "widget widgets toolbar pagination pager skip topbar cookiebar adsbygoogle taboola outbrain".split()
 )
-COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply response responses discussion discussions feedback".split())
 #: Parts that say nothing of their own beside a mark.
 LAYOUT_WORDS = frozenset(
     "area bar block body box button buttons col column container content foot form group head inner item items left link links list main "
-    "outer panel post posts right rail row section site page primary secondary slot stories story thread top bottom unit wrap wrapper".split()
+    "article articles card cards global local mobile reader readers user users visitor visitors outer panel post posts right rail row section site page primary secondary slot stories story thread top bottom unit wrap wrapper".split()
 )
+#: Levels of importance: a class or a form may be wrong, an element's own tag or role is not.
 ASIDE_PRIOR = 0.1
 NEVER_PRIOR = 0.01
-LEAST_SHARE = 0.1
 ARTICLE_SHARE = 0.5
 
 _TOKEN = re.compile(
@@ -82,6 +95,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_HEADING = re.compile(r"h[1-6]\Z")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -95,6 +109,8 @@ class Open(NamedTuple):
     prior: float  # the least factor of importance of what is open
     article: int  # number of the outermost article or main part that is open, 0 if none
     hidden: bool
+    linked: bool
+    heading: str  # tag of the heading that is open
 
 
 class Text(NamedTuple):
@@ -103,17 +119,21 @@ class Text(NamedTuple):
     prior: float
     article: int
     text: str
+    linked: bool = False
+    heading: str = ""
 
 
 @lru_cache(1 << 16)
 def _marked(token: str, words: frozenset[str]) -> bool:
     """Whether a class token or an id as a whole says that an element is one of ``words``."""
-    parts = {w.lower() for w in _WORD.findall(token)}
-    return bool(parts & words) and parts <= ASIDE_WORDS | COMMENT_WORDS | LAYOUT_WORDS | {"header"}
+    found = [w.lower() for w in _WORD.findall(token)]
+    parts = set(found)
+    return "".join(found) in words or bool(parts & words) and parts <= ASIDE_WORDS | COMMENT_WORDS | LAYOUT_WORDS | {"header"}
 
 
 def _opened(tag: str, attributes: str, above: Open, number: int) -> Open:
     path, prior, article, hidden = above.path, above.prior, above.article, above.hidden
+    heading = tag if _HEADING.match(tag) else above.heading
     unshown = above.unshown or tag in UNSHOWN
     marks, role = "", ""
     if "=" in attributes or "hidden" in attributes:
@@ -131,8 +151,10 @@ def _opened(tag: str, attributes: str, above: Open, number: int) -> Open:
         pass
     elif any(_marked(t, COMMENT_WORDS) for t in tokens):
         prior = min(prior, NEVER_PRIOR)
+    elif not begins and (tag in ASIDE_TAGS or role in ASIDE_ROLES):
+        prior = min(prior, NEVER_PRIOR)
     elif not begins and (
-        tag in ASIDE_TAGS or role in ASIDE_ROLES or (tag == "header" and not article) or any(_marked(t, ASIDE_WORDS) for t in tokens)
+        tag == "form" or role == "form" or (tag == "header" and not article) or any(_marked(t, ASIDE_WORDS) for t in tokens)
         or (not article and any(_marked(t, frozenset({"header"})) for t in tokens))
     ):
         prior = min(prior, ASIDE_PRIOR)
@@ -141,12 +163,12 @@ def _opened(tag: str, attributes: str, above: Open, number: int) -> Open:
     if tag not in INLINE or marks:
         own = ".".join([tag, *_DIGITS.sub("0", marks).split()])
         path = f"{path}/{own}" if path else own
-    return Open(tag, path, unshown, prior, article, hidden)
+    return Open(tag, path, unshown, prior, article, hidden, above.linked or tag == "a", heading)
 
 
 def read_page(html: str) -> tuple[list[Text], dict[str, list[str]]]:
     """(the texts in page order, {path: keys of its children in order})."""
-    stack = [Open("", "", False, 1.0, 0, False)]
+    stack = [Open("", "", False, 1.0, 0, False, False, "")]
     texts: list[Text] = []
     children: dict[str, list[str]] = {}
     block = at = 0
@@ -158,7 +180,7 @@ def read_page(html: str) -> tuple[list[Text], dict[str, list[str]]]:
             top = stack[-1]
             piece = html[at:end]
             if not top.unshown:
-                texts.append(Text(block, top.path, 0.0 if top.hidden else top.prior, top.article, entities.unescape(piece) if "&" in piece else piece))
+                texts.append(Text(block, top.path, 0.0 if top.hidden else top.prior, top.article, entities.unescape(piece) if "&" in piece else piece, top.linked, top.heading))
         if not found:
             break
         at = found.end()
@@ -214,11 +236,11 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-_PAGES, _CONTENT, _STYLE = 0, 1, 2
+_PAGES, _CONTENT, _STYLE, _WORDS, _LINKED = range(5)
 
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, path, kind, value, n): pages a path stands on, and how many of them have a text or a presentation there."""
+    """(host, path, kind, value, n): pages a path stands on, and how many of them have a text or a presentation there; words in all, and linked ones."""
     for batch in batches:
         seen: Counter = Counter()
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
@@ -226,6 +248,10 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks: dict[tuple[int, str], str] = {}
             for t in texts:
                 blocks[t.block, t.path] = blocks.get((t.block, t.path), "") + t.text
+                if n := len(t.text.split()):
+                    seen[host, t.path, _WORDS, ""] += n
+                    if t.linked:
+                        seen[host, t.path, _LINKED, ""] += n
             content = {(path, joined) for (_, path), text in blocks.items() if (joined := " ".join(text.split()))}
             on_page = {path for path, _ in content} | children.keys()
             seen.update((host, path, _PAGES, "") for path in on_page)
@@ -238,15 +264,10 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["host", "path", "kind", "value", "n"])
 
 
-def _removed(group: pd.DataFrame) -> pd.DataFrame:
-    """The branches of one host's tree to remove; rows (host, path, pages, texts, text_entropy, styles, style_entropy)."""
-    rows = {r.path: r for r in group.itertuples()}
-    below: dict[str, list[str]] = {}
-    for path in rows:
-        if path:
-            below.setdefault(path.rpartition("/")[0], []).append(path)
+def _composed(rows: dict, below: dict[str, list[str]], upwards: list[str]) -> set[str]:
+    """The branches whose texts and presentations are of low importance all through."""
     composed: dict[str, float] = {}
-    for path in sorted(rows, key=lambda p: -p.count("/") - bool(p)):
+    for path in upwards:
         r = rows[path]
         kids = below.get(path, [])
         parts = [(rows[k].pages, composed[k]) for k in kids]
@@ -256,17 +277,65 @@ def _removed(group: pd.DataFrame) -> pd.DataFrame:
         own = OWN_WEIGHT ** r.styles if r.styles and kids else 0.0
         composed[path] = (1 - own) * inside + own * r.style_entropy if not r.texts else inside
     most = max((1 - r.text_entropy / r.texts for r in rows.values() if r.texts), default=0.0)
-    low = {p for p, x in composed.items() if x < LEAST_IMPORTANCE * most}
-    # A branch goes only if everything in it is of low importance.
     whole: dict[str, bool] = {}
-    for path in sorted(rows, key=lambda p: -p.count("/") - bool(p)):
-        whole[path] = path in low and all(whole[k] for k in below.get(path, []))
-    gone = sorted(p for p, x in whole.items() if x and p)
-    return pd.DataFrame([{"host": group["host"].iloc[0], "removed": gone}])
+    for path in upwards:
+        whole[path] = composed[path] < LEAST_IMPORTANCE * most and all(whole[k] for k in below.get(path, []))
+    return {p for p, x in whole.items() if x and p}
+
+
+class Held(NamedTuple):
+    """What a branch holds on all pages."""
+
+    new: float  # unlinked words, each weighed by the importance of its text
+    words: int
+    linked: int
+    blocks: int
+    titled: bool
+
+
+def _beside(rows: dict, below: dict[str, list[str]], upwards: list[str]) -> tuple[str, set[str]]:
+    """(content root, the branches beside it that hold little that is new)."""
+    held: dict[str, Held] = {}
+    for path in upwards:
+        r = rows[path]
+        new = (r.words - r.linked) * (1 - r.text_entropy / r.texts) if r.texts else 0.0
+        title = path.rpartition("/")[2].partition(".")[0] == "h1"
+        parts = [Held(new, r.words, r.linked, r.blocks, title), *(held[k] for k in below.get(path, []))]
+        held[path] = Held(*(sum(column) for column in zip(*(p[:4] for p in parts))), any(p.titled for p in parts))
+    root = ""
+    while root in rows:
+        inner = [k for k in below.get(root, []) if below.get(k) and held[k].new >= ROOT_SHARE * held[""].new > 0]
+        if not inner:
+            break
+        root = inner[0]
+    beside: set[str] = set()
+    steps = root.split("/") if root else []
+    for depth in range(len(steps)):
+        above = "/".join(steps[:depth])
+        for path in below.get(above, []):
+            h = held[path]
+            if path == "/".join(steps[: depth + 1]) or not h.words:
+                continue
+            small = h.new / rows[path].pages < LEAST_IMPORTANCE * held[root].new / rows[root].pages and h.words - h.linked < PARAGRAPH * max(h.blocks, 1)
+            if h.linked >= LINK_SHARE * h.words or (small and not h.titled):
+                beside.add(path)
+    return root, beside
+
+
+def _removed(group: pd.DataFrame) -> pd.DataFrame:
+    """The low branches of one host's tree; rows as ``style_tree`` gives them."""
+    rows = {r.path: r for r in group.itertuples()}
+    below: dict[str, list[str]] = {}
+    for path in rows:
+        if path:
+            below.setdefault(path.rpartition("/")[0], []).append(path)
+    upwards = sorted(rows, key=lambda p: -p.count("/") - bool(p))
+    root, beside = _beside(rows, below, upwards) if "" in rows else ("", set())
+    return pd.DataFrame([{"host": group["host"].iloc[0], "removed": sorted(_composed(rows, below, upwards)), "root": root, "beside": sorted(beside)}])
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, texts, text_entropy, styles, style_entropy) of the branches on enough pages.
+    """(host, path, pages, texts, text_entropy, styles, style_entropy, blocks, words, linked) of the branches on enough pages.
 
     ``text_entropy`` sums the entropies of the node's texts, to the base of its pages; ``style_entropy`` is that of its presentations.
     """
@@ -278,22 +347,28 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("kind") == _PAGES, F.col("n"))).alias("pages"),
         F.count_if(content).alias("texts"),
         F.coalesce(F.sum(F.when(content, F.ln("n"))), F.lit(0.0)).alias("text_logs"),
+        F.coalesce(F.sum(F.when(content, F.col("n"))), F.lit(0)).alias("blocks"),
+        F.coalesce(F.sum(F.when(F.col("kind") == _WORDS, F.col("n"))), F.lit(0)).alias("words"),
+        F.coalesce(F.sum(F.when(F.col("kind") == _LINKED, F.col("n"))), F.lit(0)).alias("linked"),
         F.count_if(style).alias("styles"),
         F.coalesce(F.sum(F.when(style, F.col("n"))), F.lit(0)).alias("styled"),
         F.coalesce(F.sum(F.when(style, F.col("n") * F.ln("n"))), F.lit(0.0)).alias("style_logs"),
     ).filter(F.col("pages") >= LEAST_PAGES)
     base = F.ln("pages")
     entropy = F.when(F.col("styled") > 0, (F.ln("styled") - F.col("style_logs") / F.col("styled")) / base).otherwise(0.0)
-    return nodes.select("host", "path", "pages", "texts", (F.col("text_logs") / base).alias("text_entropy"), "styles", entropy.alias("style_entropy"))
+    return nodes.select("host", "path", "pages", "texts", (F.col("text_logs") / base).alias("text_entropy"), "styles", entropy.alias("style_entropy"), "blocks", "words", "linked")
 
 
 def removed_branches(pages: DataFrame) -> DataFrame:
-    """(host, removed): the paths of low importance of every host with enough pages."""
-    return style_tree(pages).groupBy("host").applyInPandas(_removed, "host string, removed array<string>")
+    """(host, removed, root, beside): paths of low importance of every host, those removed beside its content root apart."""
+    return style_tree(pages).groupBy("host").applyInPandas(_removed, "host string, removed array<string>, root string, beside array<string>")
 
 
-def main_text(html: str, removed: frozenset[str]) -> str:
-    """The page's text without branches that are removed or not the article."""
+def main_text(html: str, removed: frozenset[str], root: str = "", beside: frozenset[str] = frozenset()) -> str:
+    """The page's text without branches that are removed or not the article; ``beside`` counts if the page has ``root``."""
+    read, children = read_page(html)
+    if beside and root in children:
+        removed = removed | beside
     held: dict[str, bool] = {"": True}
 
     def stays(path: str) -> bool:
@@ -301,39 +376,42 @@ def main_text(html: str, removed: frozenset[str]) -> str:
             held[path] = path not in removed and stays(path.rpartition("/")[0])
         return held[path]
 
-    texts = [t for t in read_page(html)[0] if t.prior and stays(t.path)]
-    by_prior: Counter = Counter()
+    texts = [(t, len(t.text.split())) for t in read if t.prior > NEVER_PRIOR and stays(t.path)]
+    weak = [(n, t.linked) for t, n in texts if t.prior < 1]
+    plain = any(n for t, n in texts if t.prior == 1 and not t.heading)
+    if not plain and 2 * sum(n for n, linked in weak if linked) < sum(n for n, _ in weak):
+        # Nothing but headings stands outside the branches that a class or a form marks: these are the page.
+        kept = texts
+    else:
+        kept = [(t, n) for t, n in texts if t.prior == 1]
+
     by_article: Counter = Counter()
-    for t in texts:
-        n = len(t.text.split())
-        by_prior[t.prior] += n
-        by_article[t.prior, t.article] += n
-    # The first level of importance that holds a share of the words; what is less important goes.
-    words, level = 0, 1.0
-    for level in sorted(by_prior, reverse=True):
-        words += by_prior[level]
-        if words and words >= LEAST_SHARE * by_prior.total():
-            break
-    largest = max((n for (prior, article), n in by_article.items() if article and prior >= level), default=0)
-    articles_only = largest and largest >= ARTICLE_SHARE * words
+    unlinked: Counter = Counter()
+    for t, n in kept:
+        by_article[t.article] += n
+        if not t.linked:
+            unlinked[t.block] += n
+    largest = max((n for article, n in by_article.items() if article), default=0)
+    articles_only = largest and largest >= ARTICLE_SHARE * by_article.total()
 
     blocks: dict[int, str] = {}
-    for t in texts:
-        if t.prior >= level and (t.article or not articles_only):
+    for t, _ in kept:
+        if t.article or not articles_only or t.heading == "h1" or unlinked[t.block] >= PARAGRAPH:
             blocks[t.block] = blocks.get(t.block, "") + t.text
     return " ".join(" ".join(blocks.values()).split())
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of (page_id, url, html)."""
-    removed = stage(removed_branches(pages), "removed")
+    low = stage(removed_branches(pages), "removed")
 
     def texts(batches):
         for batch in batches:
-            out = [main_text(h or "", frozenset(r or ())) for h, r in zip(batch.column("html").to_pylist(), batch.column("removed").to_pylist())]
+            columns = [batch.column(name).to_pylist() for name in ("html", "removed", "root", "beside")]
+            out = [main_text(h or "", frozenset(gone or ()), root or "", frozenset(beside or ())) for h, gone, root, beside in zip(*columns)]
             columns = [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"
-    return rows.join(removed, "host", "left").select("page_id", "url", "html", "removed").mapInArrow(texts, schema)
+    return rows.join(low, "host", "left").select("page_id", "url", "html", "removed", "root", "beside").mapInArrow(texts, schema)

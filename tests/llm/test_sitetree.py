@@ -97,6 +97,77 @@ def test_given_pages_give_their_article(spark):
         assert got[r["page_id"]] == " ".join(want.split())
 
 
+def nameless(page):
+    """The page without a name that tells what a branch is for: what is left is the tree."""
+    for name, plain in (("<footer>", "<div class=f>"), ("<nav>", "<div class=n>"), ("nav>", "div>"), ("footer>", "div>"), ("article>", "section>"), ('class="ad"', 'class="k"')):
+        page = page.replace(name, plain)
+    return page
+
+
+def article_of(page):
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)\b[^>]*>", " \n ", inner))).split())
+
+
+def test_the_tree_alone_finds_the_article(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    pages = spark.createDataFrame([(r["page_id"], r["url"], nameless(r["html"])) for r in given], SCHEMA)
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(pages).collect()}
+    right = sum(got[r["page_id"]] == article_of(r["html"]) for r in given)
+    bare = sum(sitetree.main_text(nameless(r["html"]), NONE) == article_of(r["html"]) for r in given[:200])
+    assert right >= 0.9 * len(given) and bare == 0
+
+
+def other_pages(n):
+    """Pages of a second kind: no content root, one short text where the others have their menu's neighbour."""
+    return [(900 + i, "https://d.example/faq", f"<html><body><div class=q><p>answer {i} in short</p></div></body></html>") for i in range(n)]
+
+
+def test_branches_beside_the_root(spark):
+    def page(i):
+        story = "".join(f"<p>{' '.join(f'w{i}x{k}y{j}' for j in range(40))}</p>" for k in range(3))
+        links = "".join(f"<li><a href=/{k}>go {i} to {k}</a></li>" for k in range(5))
+        lead = f"<div class=l>{' '.join(f'lead{i}x{j}' for j in range(25))}</div>"
+        return (
+            f"<html><body><h1>title {i}</h1><ul class=u>{links}</ul>{lead}<div class=q><p>buy {i} now</p></div>"
+            f"<div class=s>{story}<ul>{links}</ul><h2>part {i}</h2></div><div class=z>made {i} by us</div></body></html>"
+        )
+
+    rows = [(i, "https://d.example/x", page(i)) for i in range(12)] + other_pages(6)
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    for i in range(12):
+        assert f"title {i}" in got[i] and f"lead{i}x24" in got[i] and f"w{i}x2y39" in got[i] and f"part {i}" in got[i]
+        assert "buy" not in got[i] and "made" not in got[i]
+        # Links beside the root go, those inside stay.
+        assert got[i].count(f"go {i} to 0") == 1
+    assert all(got[900 + i] == f"answer {i} in short" for i in range(6))
+
+
+@pytest.mark.parametrize("name", "user-comments reader-comments responses discussion user-feedback related-articles top-bar cookiebar global-nav SideBar adsbygoogle taboola promo-card".split())
+def test_marked_classes(name):
+    assert sitetree.main_text(f"<article><p>two words</p></article><div class='{name}'><p>{BODY}</p></div>", NONE) == "two words"
+    assert sitetree.main_text(f"<div><p>two words</p></div><div id='{name}'><p>{BODY}</p></div>", NONE) == "two words"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<nav><a href=/>menu</a> entry</nav>", ""),
+        ("<ul class=menu><li><a href=/>one</a><li><a href=/>two</a></ul>", ""),
+        ("<form id=aspnet><nav>menu</nav><div><p>the whole page</p></div></form>", "the whole page"),
+        ("<h1>Title</h1><article><p>in it</p></article>", "Title in it"),
+        ("<div id=comments><p>only readers</p></div>", ""),
+    ],
+)
+def test_pages_of_one_kind_of_thing(page, text):
+    assert sitetree.main_text(page, NONE) == text
+
+
+def test_paragraphs_beside_an_article_stay():
+    out = " ".join(f"out{i}" for i in range(50))
+    assert sitetree.main_text(f"<article><p>{BODY}</p></article><div><p>{out}</p></div>", NONE) == f"{BODY} {out}"
+
+
 BODY = " ".join(f"own{i}" for i in range(60))
 
 
