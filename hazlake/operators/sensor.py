@@ -29,6 +29,12 @@ SLICE_CELLS = 10  # 30 days per slice, so history adds about a tenth
 
 VALUES = ["temperature_c", "humidity_pct", "wind_speed_ms", "wind_dir_deg", "rainfall_mm", "pressure_hpa"]
 
+#: Columns over look-back frames; all others come from the window pass alone.
+FRAMES = [
+    "temp_change_24h", "humidity_24h_max", "wind_24h_max", "rainfall_3h_sum", "rainfall_24h_sum", "rainfall_72h_sum",
+    "rainfall_24h_max", "pressure_drop_3h",
+]
+
 # The exported columns.
 COLUMNS = [
     "location_name", "lat", "lon", "collected_at", "date_partition", "temperature_c",
@@ -69,10 +75,12 @@ def _bucket(value: Column, width: int) -> Column:
 
 
 def _timed(readings: DataFrame) -> DataFrame:
-    """Readings with a usable time and place: ``us`` (microseconds), ``cell``, ``wet`` and null-free values."""
+    """Readings with a usable time and place: ``us`` (microseconds), ``cell``, ``wet``; values that are no finite number are missing."""
     ts = parse_iso(F.col("collected_at"))
+    # NaN is greater than infinity, so one comparison finds both. Running totals would carry either into all later frames.
+    finite = {name: F.when(F.abs(F.col(name)) < float("inf"), F.col(name)) for name in VALUES if name in readings.columns}
     return (
-        readings.withColumn("ts", ts)
+        readings.withColumns({"ts": ts, **finite})
         .filter(F.col("ts").isNotNull() & F.col("location_name").isNotNull())
         .withColumn("us", F.unix_micros("ts"))
         .withColumn("cell", _bucket(F.col("us"), CELL))
@@ -165,8 +173,8 @@ def _sliced_events(events: DataFrame, slice_cells: int) -> DataFrame:
     )
 
 
-def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
-    """The window pass over mixed rows (readings, events, carry)."""
+def _with_features(rows: DataFrame, place: list[str], frames: bool) -> DataFrame:
+    """The window pass over mixed rows (readings, events, carry); ``frames`` adds the look-back frames."""
     key = Window.partitionBy(*place)
     by_row = key.orderBy(*_order("collected_at"))
     so_far = by_row.rowsBetween(Window.unboundedPreceding, 0)
@@ -200,7 +208,7 @@ def _with_features(rows: DataFrame, place: list[str]) -> DataFrame:
     later = key.orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_later", F.min(event).over(later)).filter(is_reading)
     rows = rows.withColumn("_next", F.when(F.col("_later.us") <= F.col("us") + LABEL, F.col("_later"))).drop("_later")
-    return _with_frames(rows, place)
+    return _with_frames(rows, place) if frames else rows
 
 
 def _with_frames(readings: DataFrame, place: list[str]) -> DataFrame:
@@ -267,12 +275,15 @@ def feature_rows(
     events: DataFrame | None = None,
     slice_cells: int | None = SLICE_CELLS,
     output_from: str | None = None,
+    frames: bool = True,
 ) -> DataFrame:
     """Readings with all features, and the forward-filled ``temp_filled`` and ``pres_filled``.
 
     ``events`` has (location_name, ts, hazard_type). ``slice_cells`` is the slice
     width in 72-hour cells; ``None`` uses one window per place, for places
-    known to be small. ``output_from`` drops warm-up rows before that date.
+    known to be small. ``output_from`` drops warm-up rows before that date. Without
+    ``frames`` the columns in ``FRAMES`` are left out, and with them the rows at the frames' edges.
+    A value that is NaN or infinite counts as missing.
     """
     timed = _timed(readings)
     if slice_cells is None:
@@ -293,7 +304,7 @@ def feature_rows(
             F.lit(0).cast("bigint").alias("weight"),
         )
         rows = rows.unionByName(tagged, allowMissingColumns=True)
-    out = _with_features(rows, place).filter(F.col("slice") == F.col("own"))
+    out = _with_features(rows, place, frames).filter(F.col("slice") == F.col("own"))
     if output_from:
         out = out.filter(F.col("date_partition") >= output_from)
     return out.withColumns(
@@ -306,6 +317,7 @@ def feature_rows(
     )
 
 
-def sensor_features(readings: DataFrame, events: DataFrame | None = None, **options) -> DataFrame:
-    """Readings to the 25 feature columns; options as for ``feature_rows``."""
-    return feature_rows(readings, events, **options).select(*COLUMNS)
+def sensor_features(readings: DataFrame, events: DataFrame | None = None, frames: bool = True, **options) -> DataFrame:
+    """Readings to the 25 feature columns (without ``frames``, those not in ``FRAMES``); options as for ``feature_rows``."""
+    rows = feature_rows(readings, events, frames=frames, **options)
+    return rows.select(*[c for c in COLUMNS if frames or c not in FRAMES])

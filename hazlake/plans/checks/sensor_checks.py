@@ -33,18 +33,18 @@ SQL_FEATURES = "WITH " + b.SQL_READINGS + "," + b.SQL_HAZARDS + f""", filled AS
 )"""
 
 
-def _features(spark: SparkSession, folder: str) -> DataFrame:
-    return sensor.sensor_features(b.event_readings(spark, folder), b.event_hazards(spark, folder), slice_cells=2).withColumn(
-        "us", F.unix_micros("collected_at")
-    )
+def _features(spark: SparkSession, folder: str, frames: bool) -> DataFrame:
+    readings, hazards = b.event_readings(spark, folder), b.event_hazards(spark, folder)
+    return sensor.sensor_features(readings, hazards, frames, slice_cells=2).withColumn("us", F.unix_micros("collected_at"))
 
 
 def _check(name: str, columns: list[str], rounded: list[str] = (), whole: list[str] = ()):
     sql_cols = list(columns) + [f"{b.sql_r6(c)} AS {c}" for c in rounded] + [f"{c}::BIGINT AS {c}" for c in whole]
+    wanted = {*columns, *rounded, *whole}
 
     @b.check(SQL_FEATURES + f" SELECT location_name, us, {', '.join(sql_cols)} FROM features", name)
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return _features(spark, folder).select(
+        return _features(spark, folder, not wanted.isdisjoint(sensor.FRAMES)).select(
             "location_name", "us", *columns, *[b.r6(F.col(c)).alias(c) for c in rounded],
             *[F.col(c).cast("bigint").alias(c) for c in whole],
         )
@@ -69,7 +69,7 @@ _check(
 
 @b.check(SQL_FEATURES + f" SELECT location_name, us, {b.sql_r6('temp')} AS temp, {b.sql_r6('pres')} AS pres FROM features")
 def forward_fill(spark: SparkSession, folder: str) -> DataFrame:
-    rows = sensor.feature_rows(b.event_readings(spark, folder), slice_cells=2)
+    rows = sensor.feature_rows(b.event_readings(spark, folder), slice_cells=2, frames=False)
     return rows.select("location_name", "us", b.r6(F.col("temp_filled")).alias("temp"), b.r6(F.col("pres_filled")).alias("pres"))
 
 

@@ -157,3 +157,30 @@ def test_warmup_keeps_history(spark):
     total = lambda d, **kw: [r[0] for r in sensor.sensor_features(d, **kw).select("rainfall_3h_sum").collect()]
     assert total(cut) == [2.0]
     assert total(warm, output_from="2024-01-02") == [3.0]
+
+
+@pytest.mark.parametrize("cells", [None, 1, 10])
+def test_values_that_are_no_finite_number_are_missing(spark, cells):
+    readings, events = make(7, 3, 300, 40)
+    rng = random.Random(8)
+    odd, missing = [], []
+    for r in readings:
+        spoilt = {k for k in (5, 6, 7, 9, 10) if rng.random() < 0.1}
+        odd.append(tuple(rng.choice([float("nan"), float("inf"), float("-inf")]) if k in spoilt else v for k, v in enumerate(r)))
+        missing.append(tuple(None if k in spoilt else v for k, v in enumerate(r)))
+    want = expected(missing, events)
+    got = run(spark, odd, events, slice_cells=cells)
+    assert got.keys() == want.keys()
+    bad = [(k, got[k], want[k]) for k in want if not all(close(a, b) for a, b in zip(got[k], want[k]))]
+    assert not bad, bad[:3]
+
+
+def test_label_without_frames_reads_no_edges(spark):
+    readings, events = make(3, 3, 200, 30)
+    df = spark.createDataFrame(readings, SCHEMA)
+    ev = spark.createDataFrame(events, "location_name string, ts timestamp, hazard_type string")
+    whole, narrow = sensor.sensor_features(df, ev), sensor.sensor_features(df, ev, frames=False)
+    assert set(whole.columns) - set(narrow.columns) == set(sensor.FRAMES)
+    keyed = lambda rows: sorted(rows.select(*narrow.columns).collect(), key=repr)
+    assert keyed(whole) == keyed(narrow)
+    assert "_edge" in whole._jdf.queryExecution().toString() and "_edge" not in narrow._jdf.queryExecution().toString()
