@@ -29,7 +29,7 @@ def lake_id(source_type: Column, record_id: Column) -> Column:
 
 
 def _typed(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *[c for c in df.columns if c == "_row"])
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def bronze_shape() -> Column:
 
 
 def _flat(parsed: DataFrame, shape: str) -> DataFrame:
-    chosen = parsed.filter(bronze_shape() == shape).select("rec.*")
+    chosen = parsed.filter(bronze_shape() == shape).select("rec.*", *[c for c in parsed.columns if c == "_row"])
     return chosen.withColumns(
         {
             "collected_at": _text(F.col("collected_at")),

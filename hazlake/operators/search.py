@@ -20,6 +20,10 @@ K1 = 1.2
 B = 0.75
 IDF_FLOOR = 1e-6
 
+# What names a record in postings, if no shorter key is given.
+RECORD = ("lake_id", "date_partition")
+NUMBER = ("insert", "doc")
+
 INDEXED = ["text", "keywords_hit", "hazard_type", "location_name"]
 TOKEN_BUCKETS = 256
 PLACE_STEP = 1 << 32
@@ -163,10 +167,10 @@ def _bucket_of(token: Column) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(TOKEN_BUCKETS)).cast("int")
 
 
-def postings(lake: DataFrame) -> DataFrame:
+def postings(lake: DataFrame, key: tuple[str, ...] = RECORD) -> DataFrame:
     """(bucket, token, lake_id, date_partition, freq, places, len): one row per token of a record.
 
-    ``places`` are the token's positions, counted within each column, plus ``PLACE_STEP`` per column.
+    Another ``key``, such as a number, stands in place of the id and the date; it is written once per token. ``places`` are the token's positions, counted within each column, plus ``PLACE_STEP`` per column.
     Runs are found inside the record before anything is exploded, by sorting its tokens, so
     building the table needs no shuffle.
     """
@@ -176,7 +180,7 @@ def postings(lake: DataFrame) -> DataFrame:
         )
 
     toks = F.sort_array(F.concat(*[placed(k, name) for k, name in enumerate(INDEXED)]))
-    per_doc = once(lake.select("lake_id", "date_partition", *INDEXED), {"toks": toks}).drop(*INDEXED)
+    per_doc = once(lake.select(*key, *INDEXED), {"toks": toks}).drop(*INDEXED)
     per_doc = per_doc.withColumn("len", F.size("toks"))
     # In sorted tokens a run starts where the left neighbour differs.
     starts = F.filter(
@@ -191,13 +195,18 @@ def postings(lake: DataFrame) -> DataFrame:
             F.transform(F.slice("toks", s + 1, F.coalesce(F.get("starts", k + 1), F.col("len")) - s), lambda t: t["place"]).alias("places"),
         ),
     )
-    exploded = runs.select("lake_id", "date_partition", "len", F.explode(pairs).alias("p"))
+    exploded = runs.select(*key, "len", F.explode(pairs).alias("p"))
     return exploded.select(
-        _bucket_of(F.col("p.token")).alias("bucket"), "p.token", "lake_id", "date_partition",
+        _bucket_of(F.col("p.token")).alias("bucket"), "p.token", *key,
         F.size("p.places").alias("freq"), "p.places", "len",
     )
 
 
+def in_buckets(posts: DataFrame) -> DataFrame:
+    """Postings as the index keeps them: by bucket and token, without what can be told from the rest."""
+    return posts.drop("freq").hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "token")
+
+
 def corpus_stats(lake: DataFrame) -> DataFrame:
     """One row: records and tokens indexed. Appended per batch and summed when read."""
     length = reduce(lambda a, b: a + b, [_length(token_line(_as_text(lake, c))) for c in INDEXED])
@@ -219,9 +228,9 @@ def _wanted_postings(posts: DataFrame, words: list[str], prefixes: list[str]) ->
     return hits
 
 
-def _unit_counts(hits: DataFrame, units: list[tuple[str, list[str], bool]], columns: tuple[str, ...]) -> DataFrame:
-    """(lake_id, date_partition, len, _f): how often each unit occurs in a record, from places of its words."""
-    found = hits.groupBy("lake_id", "date_partition").agg(
+def _unit_counts(hits: DataFrame, units: list[tuple[str, list[str], bool]], columns: tuple[str, ...], key: tuple[str, ...]) -> DataFrame:
+    """(the key, len, _f): how often each unit occurs in a record, from places of its words."""
+    found = hits.groupBy(*key).agg(
         F.max("len").alias("len"), F.collect_list(F.struct("token", "places")).alias("_found"),
     )
     allowed = [k for k, name in enumerate(INDEXED) if name in columns]
@@ -245,22 +254,26 @@ def _unit_counts(hits: DataFrame, units: list[tuple[str, list[str], bool]], colu
         return F.size(at)
 
     counted = once(found, {"_f": F.array(*[count(words, prefix) for _, words, prefix in units])})
-    return counted.select("lake_id", "date_partition", "len", "_f")
+    return counted.select(*key, "len", "_f")
 
 
-def search_postings(posts: DataFrame, stats: DataFrame, match: Match | str, limit: int | None = 50) -> DataFrame:
+def search_postings(
+    posts: DataFrame, stats: DataFrame, match: Match | str, limit: int | None = 50, records: DataFrame | None = None
+) -> DataFrame:
     """(lake_id, date_partition, score) of the best records for the match, as ``search`` ranks them.
 
-    Only postings of the query's tokens are read; the query is the caller's own short string, so everything
+    Postings by number need ``records``, the id and date of each number (``insert``, ``doc``); those of
+    matching records are looked up before the ranking, which settles ties by id. Only postings of the query's tokens are read; the query is the caller's own short string, so everything
     up to the top-k works on matching postings.
     """
     match = Match(words=match) if isinstance(match, str) else match
     units = _units(match)
     if not any(role != "none" for role, _, _ in units):
-        return posts.limit(0).select("lake_id", "date_partition", F.lit(None).cast("double").alias("score"))
+        return (posts if records is None else records).limit(0).select(*RECORD, F.lit(None).cast("double").alias("score"))
     words = list(dict.fromkeys(w for _, ws, prefix in units for w in (ws[:-1] if prefix else ws)))
     prefixes = list(dict.fromkeys(ws[-1] for _, ws, prefix in units if prefix))
-    counted = _unit_counts(_wanted_postings(posts, words, prefixes), units, match.columns)
+    key = RECORD if records is None else tuple(c for c in NUMBER if c in posts.columns)
+    counted = _unit_counts(_wanted_postings(posts, words, prefixes), units, match.columns, key)
 
     corpus = stats.agg(
         F.struct(F.sum("docs").cast("double").alias("n"), F.try_divide(F.sum("tokens"), F.sum("docs")).alias("avg_len")).alias("t")
@@ -275,7 +288,10 @@ def search_postings(posts: DataFrame, stats: DataFrame, match: Match | str, limi
         for i, (role, _, _) in enumerate(units) if role != "none"
     ]
     score = -reduce(lambda a, b: a + b, parts)
-    return _best(kept.select("lake_id", "date_partition", score.alias("score")), limit)
+    scored = kept.select(*key, score.alias("score"))
+    if records is not None:
+        scored = records.select(*key, *RECORD).join(scored, list(key))
+    return _best(scored.select(*RECORD, "score"), limit)
 
 
 def fetch(hits: DataFrame, lake: DataFrame) -> DataFrame:

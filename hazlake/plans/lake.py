@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazlake import taxonomy as tx
+from hazlake.operators.dedupe import numbered
 from hazlake.operators import ml_export, normalize as norm, ranges, reports, search, sensor
 from hazlake.schemas import DERIVED
 from hazlake.session import Scratch, path_exists
@@ -45,10 +46,11 @@ class Lake:
         """Parsed lines to silver, the store, its index and the bronze tables; returns the counters."""
         with Scratch(self.spark) as scratch:
             # Lines are parsed once and records normalised and labelled once; everything below reads staged columns.
-            parsed = scratch.stage(parsed.select("shape", "rec"))
+            # They are staged by silver folder: this is the only time that whole rows are shuffled.
+            parsed = scratch.stage(_by_folder(parsed))
             counts = norm.ingest_counts(parsed, by_table=True).first().asDict()
             found = {shape: counts.pop(shape) for shape in norm.SHAPES}
-            records = scratch.stage(norm.normalize(parsed, self.taxonomy))
+            records = scratch.stage(numbered(norm.normalize(parsed, self.taxonomy)))
             tables.write_silver(records, self.silver_dir, merge=merge)
             insert = tables.insert_new(records, self.store_dir, "lake_records")
             self._insert_bronze(parsed, found)
@@ -82,7 +84,7 @@ class Lake:
         that dies half-way leaves nothing counted twice; indexing it again replaces what it left.
         """
         named = F.lit(insert).alias("insert")
-        posts = search.postings(records).select("*", named).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "token")
+        posts = search.in_buckets(search.postings(records, ("doc",))).select("*", named)
         tables.put(posts, f"{self.store_dir}/postings", "bucket", "insert")
         tables.put(search.corpus_stats(records).select("*", named), f"{self.store_dir}/corpus", "insert")
 
@@ -108,7 +110,7 @@ class Lake:
     def migrate(self) -> dict[str, int]:
         """Fill the store and its indexes from existing bronze and silver files; a second run adds nothing."""
         with Scratch(self.spark) as scratch:
-            parsed = scratch.stage(bronze.load_bronze(self.spark, self.raw_dir).select("shape", "rec"))
+            parsed = scratch.stage(_by_folder(bronze.load_bronze(self.spark, self.raw_dir)))
             shape = F.coalesce(norm.bronze_shape(), F.lit("error")).alias("shape")
             found = {r["shape"]: r["count"] for r in parsed.groupBy(shape).count().collect()}
             self._insert_bronze(parsed, found)
@@ -170,7 +172,8 @@ class Lake:
 
     def search_text(self, match: search.Match | str, limit: int | None = 50) -> DataFrame:
         """Best records for plain words or a ``Match``, by the text index."""
-        hits = search.search_postings(self._visible("postings"), self.derived("corpus"), match, limit)
+        numbers = tables.read_numbers(self.spark, self.store_dir)
+        hits = search.search_postings(self._visible("postings"), self.derived("corpus"), match, limit, numbers)
         return search.fetch(hits, self.table("lake_records"))
 
     def query_bbox(self, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
@@ -205,6 +208,13 @@ class Lake:
         return _export(features.withColumn("collected_at", _time_text(F.col("collected_at"))), output, format)
 
 
+def _by_folder(parsed: DataFrame) -> DataFrame:
+    """Parsed lines with a number each, those of a date and a source side by side."""
+    folder = {"_date": F.substring("rec.collected_at", 1, 10), "_source": F.lower("rec.source_type")}
+    named = parsed.select("shape", "rec").withColumns(folder)
+    return numbered(named.hint("rebalance", *map(F.col, folder)).drop(*folder))
+
+
 def _time_text(ts: Column) -> Column:
     """``2024-01-01 00:00:00[.ffffff]+00:00``."""
     micros = F.pmod(F.unix_micros(ts), F.lit(1_000_000))

@@ -60,9 +60,9 @@ LAKE_ON_DISK = T.StructType(
 )
 
 # The text index of the store: postings, and the size of every insert that is indexed.
+# A record is named by its insert and its number there (``doc``), which its row in the store bears too.
 POSTINGS = _schema(
-    ("token", _S), ("lake_id", _S), ("date_partition", _S), ("freq", _I),
-    ("places", T.ArrayType(T.LongType())), ("len", _I), ("bucket", _I), ("insert", _S),
+    ("token", _S), ("doc", T.LongType()), ("places", T.ArrayType(T.LongType())), ("len", _I), ("bucket", _I), ("insert", _S),
 )
 CORPUS = _schema(("docs", T.LongType()), ("tokens", T.LongType()), ("insert", _S))
 DERIVED = {"postings": POSTINGS, "corpus": CORPUS}

@@ -7,15 +7,18 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from hazlake.operators.dedupe import first_arrival, new_rows
+from hazlake.operators.dedupe import first_arrival, new_rows, numbered, picked
 from hazlake.operators.ranges import CELLS, cell_of
 from hazlake.schemas import KEYS, LAKE_COLUMNS, LAKE_ON_DISK, TABLES
-from hazlake.session import Scratch, path_exists
+from hazlake.session import STAGED, Scratch, path_exists
 
 
 # More folders than a filter should name; beyond that none is left out.
 MAX_FOLDERS = 5_000
 
+# A number of its own for every row of a staged batch, by which narrow tables name its rows.
+ROW = "_row"
+
 
 # -- silver: as normalised, duplicates kept, one folder per date and source ---
 
@@ -73,33 +76,61 @@ def write_silver(records: DataFrame, path: str, merge: bool = False) -> None:
     """Replace the touched date/source folders.
 
     ``merge`` is for input that may be only part of a folder's records: stored
-    rows with other ids are kept. The new state is then staged first, because
-    a folder is never overwritten while it is being read. ``rebalance`` lets AQE
-    split a folder that holds much of the data over several files and tasks.
+    rows with other ids are kept. Folders in which the batch replaces no stored id only get files added, so
+    that a batch costs what it holds; of the others the rows to keep are staged first, because
+    a folder is never overwritten while it is being read. Records with a column ``_row`` are staged already
+    and lie by folder. For others ``rebalance`` lets AQE split a folder that holds much of the data over several files and tasks.
     """
     spark = records.sparkSession
-    out = records.select(*LAKE_COLUMNS, F.col("date_partition").alias("date"), F.col("source_type").alias("source"))
+    folders = {"date": F.coalesce("date_partition", F.lit("")), "source": F.coalesce("source_type", F.lit(""))}
+    out = records.select(*LAKE_COLUMNS, *[value.alias(name) for name, value in folders.items()])
+    staged = ROW in records.columns
+    if not staged:
+        out = out.hint("rebalance", F.col("date"), F.col("source"))
     if not (merge and path_exists(spark, path)):
-        _replace_folders(out, path)
+        _write_folders(out, path, "overwrite")
         return
     with Scratch(spark) as scratch:
-        batch = scratch.stage(out)
+        batch = out if staged else scratch.stage(out)
         # The folders the batch touches, as literals: the stored side then lists and reads no other folder.
         touched = batch.select("date", "source").distinct()
-        folders = touched.limit(MAX_FOLDERS + 1).collect()
-        stored = read_silver(spark, path)
-        if len(folders) <= MAX_FOLDERS:
-            for name in ("date", "source"):
-                stored = stored.filter(F.col(name).isin(sorted({r[name] for r in folders if r[name] is not None})))
-        stored = stored.join(touched, ["date", "source"], "left_semi").select(*batch.columns)
-        kept = stored.join(batch.select("lake_id").distinct(), "lake_id", "left_anti").select(*batch.columns)
-        _replace_folders(scratch.stage(kept.unionByName(batch)), path)
+        stored = _named_folders(read_silver(spark, path).select("lake_id", "date", "source"), touched)
+        ids = batch.select("lake_id", "date", "source").distinct()
+        hit = scratch.stage(stored.join(ids, ["lake_id", "date", "source"], "left_semi").select("date", "source").distinct())
+        if hit.isEmpty():
+            _write_folders(batch, path, "append")
+            return
+        _write_folders(_outside(batch, hit), path, "append")
+        # Where a stored row lies is short; only that is shuffled to find the rows to leave out.
+        placed = read_silver(spark, path).withColumns({"file": F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
+        stored = _inside(_named_folders(placed, hit), hit)
+        gone = stored.select("lake_id", "date", "source", "file", ROW).join(ids, ["lake_id", "date", "source"], "left_semi")
+        kept = scratch.stage(picked(stored, gone, ["file"], keep=False).select(*batch.columns))
+        _write_folders(kept.unionByName(_inside(batch, hit)), path, "overwrite")
+
+
+def _named_folders(stored: DataFrame, folders: DataFrame) -> DataFrame:
+    """Silver rows of folders with a date and a source that ``folders`` names; no other folder is listed."""
+    named = folders.limit(MAX_FOLDERS + 1).collect()
+    # An empty name is read back as null.
+    names = {name: F.coalesce(name, F.lit("")) for name in ("date", "source")}
+    if len(named) <= MAX_FOLDERS:
+        for name, value in names.items():
+            stored = stored.filter(value.isin(sorted({r[name] for r in named})))
+    return stored.withColumns(names)
+
+
+def _inside(rows: DataFrame, folders: DataFrame) -> DataFrame:
+    return rows.join(F.broadcast(folders), ["date", "source"], "left_semi").select(*rows.columns)
+
 
+def _outside(rows: DataFrame, folders: DataFrame) -> DataFrame:
+    return rows.join(F.broadcast(folders), ["date", "source"], "left_anti").select(*rows.columns)
 
-def _replace_folders(out: DataFrame, path: str) -> None:
+
+def _write_folders(out: DataFrame, path: str, mode: str) -> None:
     (
-        out.hint("rebalance", F.col("date"), F.col("source"))
-        .write.mode("overwrite")
+        out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("date", "source")
@@ -169,7 +200,7 @@ def mark_done(spark: SparkSession, store_dir: str, work: str, insert: str) -> No
 
 
 def _disk_schema(table: str) -> T.StructType:
-    cells = [T.StructField(c, T.IntegerType()) for c in CELLS] if table == "lake_records" else []
+    cells = [*[T.StructField(c, T.IntegerType()) for c in CELLS], T.StructField("doc", T.LongType())] if table == "lake_records" else []
     return T.StructType(TABLES[table].fields + cells + [T.StructField("date", T.StringType()), T.StructField("insert", T.StringType())])
 
 
@@ -183,12 +214,17 @@ def _stored(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
 
 def read_table(spark: SparkSession, store_dir: str, table: str) -> DataFrame:
     """A store table with its folder column ``date``; empty when nothing was stored yet."""
-    return _stored(spark, store_dir, table).drop("insert", *CELLS)
+    return _stored(spark, store_dir, table).drop("insert", "doc", *CELLS)
 
 
 def read_cells(spark: SparkSession, store_dir: str) -> DataFrame:
     """``lake_records`` with the grid cell each row was stored under."""
-    return _stored(spark, store_dir, "lake_records").drop("insert")
+    return _stored(spark, store_dir, "lake_records").drop("insert", "doc")
+
+
+def read_numbers(spark: SparkSession, store_dir: str) -> DataFrame:
+    """(insert, doc, lake_id, date_partition) of ``lake_records``: the text index names a record by the first two."""
+    return _stored(spark, store_dir, "lake_records").select("insert", "doc", "lake_id", "date_partition")
 
 
 def read_insert(spark: SparkSession, store_dir: str, table: str, insert: str) -> DataFrame:
@@ -206,7 +242,8 @@ def put(df: DataFrame, path: str, *folders: str) -> None:
     Spark then gathers a job's files in a folder of the job's own, so that writers at the
     same time do not disturb each other, and a repeated write replaces itself.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", STAGED)
+    out.partitionBy(*folders).parquet(path)
 
 
 def _key(table: str) -> Column:
@@ -256,24 +293,41 @@ def insert_new(batch: DataFrame, store_dir: str, table: str) -> str:
     """Append rows with new keys; returns the id of the insert.
 
     What is stored already is looked up in the key table, in the batch's buckets alone, so an insert
-    costs what its batch costs. Inserts whose job died before it wrote their keys are given theirs first.
+    costs what its batch costs. Which rows are new is found on keys and times; whole rows are shuffled once,
+    by date, when the batch is staged, and not at all if it is staged already (column ``_row``). Inserts whose job died before it wrote their keys are given theirs first.
     Inserts at the same time break nothing, but may both store a key that is new to both.
     """
     spark = batch.sparkSession
-    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table].fields])
+    fields = TABLES[table].fields
+    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], *[c for c in batch.columns if c == ROW])
     for left in pending(spark, store_dir, table, f"keys-{table}"):
         write_keys(spark, store_dir, table, left)
-    order = [F.col("date_partition"), F.col("collected_at")]
-    fresh = new_rows(first_arrival(typed, KEYS[table], order), stored_keys(typed, store_dir, table), KEYS[table])
-    insert = uuid.uuid4().hex
+    with Scratch(spark) as scratch:
+        if ROW not in typed.columns:
+            typed = scratch.stage(numbered(typed.hint("rebalance", F.col("date_partition"))))
+        narrow = typed.select(
+            *KEYS[table], "date_partition", *[c for c in ("collected_at",) if c not in KEYS[table]],
+            F.xxhash64(*[f.name for f in fields]).alias("_hash"), ROW,
+        )
+        firsts = first_arrival(narrow, KEYS[table], [F.col("date_partition"), F.col("collected_at"), F.col("_hash")])
+        new = new_rows(firsts, stored_keys(typed, store_dir, table), KEYS[table])
+        return _append(picked(typed, new, []).drop(ROW), store_dir, table)
+
+
+def _append(fresh: DataFrame, store_dir: str, table: str) -> str:
+    """Write the rows of an insert, then their keys; returns its id."""
+    spark, insert = fresh.sparkSession, uuid.uuid4().hex
     if table == "lake_records":
         fresh = fresh.withColumns({c: cell_of(F.col(c.removesuffix("_cell"))) for c in CELLS})
     # Within a folder, rows lie by grid cell where they have a position: box queries then skip row groups.
     layout = ["date"] + [c for c in (*CELLS, "lat", "lon") if c in fresh.columns]
     rows = fresh.withColumns({"date": F.col("date_partition"), "insert": F.lit(insert)})
+    rows = rows.sortWithinPartitions(*layout)
+    if table == "lake_records":
+        rows = rows.withColumn("doc", F.monotonically_increasing_id())
     at = f"{store_dir}/inserts/{table}/{insert}"
     _touch(spark, at)
-    put(rows.hint("rebalance", F.col("date")).sortWithinPartitions(*layout), table_path(store_dir, table), "date", "insert")
+    put(rows, table_path(store_dir, table), "date", "insert")
     if _paths(spark, [f"{table_path(store_dir, table)}/date=*/insert={insert}"]):
         write_keys(spark, store_dir, table, insert)
     else:
