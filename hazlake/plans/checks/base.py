@@ -38,6 +38,22 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return apply_conf(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
+# Rows of a landed file at most: one task reads it whole, because it is compressed.
+LANDED_ROWS = 50_000
+
+
+def land(lines: DataFrame, path: str, parts: int = 1) -> int:
+    """Write the lines of a column as compressed text, ``parts`` files or more; returns how many there are.
+
+    Tasks write what they read, so the files grow in number with the input and nothing is shuffled.
+    """
+    rows = LANDED_ROWS if parts == 1 else max(1, min(LANDED_ROWS, -(-lines.count() // parts)))
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", rows).text(path)
+    spark = lines.sparkSession
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+    return len(pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern))
+
+
 # Rounding for comparison. The nudge decides exact ties the same way on both sides.
 def r6(col: Column) -> Column:
     return F.round(col + 1e-9, 6)

@@ -96,8 +96,8 @@ WHERE n <= 10 AND made >= TIMESTAMP '2024-01-23 12:00:00' AND {_sql_hits('body')
 def collect_job(spark: SparkSession, folder: str) -> DataFrame:
     """Landed tweets and posts of the last week, unique and relevant: all of them, and with caps asked for."""
     landing = f"{shared_dir(spark)}/landing"
-    tweet_pages(spark, folder).select("payload").write.text(f"{landing}/twitter")
-    posts(spark, folder).select("payload").write.text(f"{landing}/reddit")
+    b.land(tweet_pages(spark, folder).select("payload"), f"{landing}/twitter")
+    b.land(posts(spark, folder).select("payload"), f"{landing}/reddit")
     whole = collect_texts(spark, landing, _AS_OF, 7, b.KEYWORDS)
     capped = collect_texts(spark, landing, _AS_OF, 7, b.KEYWORDS, max_tweets=50, max_posts=10)
 

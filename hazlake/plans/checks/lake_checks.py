@@ -19,12 +19,12 @@ def _lake(spark: SparkSession) -> Lake:
     return Lake(spark, f"{home}/raw", f"{home}/lake", b.TERMS_WHOLE)
 
 
-def _landed_lines(spark: SparkSession, folder: str, home: str, parts: int) -> str:
-    """documents as JSON line files, in no order of time."""
+def _landed_lines(spark: SparkSession, folder: str, home: str, batches: int) -> DataFrame:
+    """documents as JSON line files, in no order of time, streamed in so many batches."""
     records = b.doc_records(spark, folder).drop("doc_id")
     lines = records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    lines.repartition(parts).write.text(f"{home}/lines")
-    return f"{home}/lines"
+    files = b.land(lines, f"{home}/lines", 2 * batches)
+    return intake.stream_lines(spark, f"{home}/lines", -(-files // batches))
 
 
 @b.check(b.sql_lake() + """, t AS (
@@ -74,8 +74,8 @@ def full_run_job(spark: SparkSession, folder: str) -> DataFrame:
     """Landed payloads collected, ingested and reported in one run: what was collected, and what the lake then holds."""
     lake = _lake(spark)
     landing = f"{shared_dir(spark)}/landing"
-    tweet_pages(spark, folder).select("payload").write.text(f"{landing}/twitter")
-    posts(spark, folder).select("payload").write.text(f"{landing}/reddit")
+    b.land(tweet_pages(spark, folder).select("payload"), f"{landing}/twitter")
+    b.land(posts(spark, folder).select("payload"), f"{landing}/reddit")
     done = full_run(lake, landing, _AS_OF, keywords=b.KEYWORDS)
     collected = done["collected"].select(F.lit("collected").alias("step"), "source_type", "records")
     stored = lake.db_query("SELECT 'stored' AS step, source_type, count(*) AS records FROM lake_records GROUP BY ALL")
@@ -91,7 +91,7 @@ def stream_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Two sources switched on and one off, all landed; the one that is off stays unread."""
     home = shared_dir(spark)
     for source, payloads in (("twitter", tweet_pages(spark, folder)), ("reddit", posts(spark, folder)), ("weather", posts(spark, folder))):
-        payloads.select(F.col("payload").alias("value")).write.text(f"{home}/landing/{source}")
+        b.land(payloads.select(F.col("payload").alias("value")), f"{home}/landing/{source}")
     started = intake.start_intake(
         spark, f"{home}/landing", f"{home}/raw", f"{home}/checkpoints", sources=("twitter", "reddit"), poll=False, keywords=b.KEYWORDS, as_of=_AS_OF,
     )
@@ -104,7 +104,7 @@ def stream_sources(spark: SparkSession, folder: str) -> DataFrame:
 def search_after_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Records that came by a stream, searched through the index."""
     lake, home = _lake(spark), shared_dir(spark)
-    lines = intake.stream_lines(spark, _landed_lines(spark, folder, home, 4), 2)
+    lines = _landed_lines(spark, folder, home, 2)
     intake.start_store_sink(lines, lake, f"{home}/checkpoint").awaitTermination()
     return lake.search_text("of thing with", 20).select("lake_id", F.round("score", 6).alias("score"))
 

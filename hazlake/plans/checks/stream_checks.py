@@ -12,12 +12,12 @@ from hazlake.sources import bronze
 from hazlake.streaming import intake
 
 
-def _landed(records: DataFrame, home: str, parts: int) -> str:
-    """Records as JSON line files, several per run so that the stream sees several batches."""
+def _landed(spark: SparkSession, records: DataFrame, home: str, batches: int) -> DataFrame:
+    """Records landed as JSON line files, streamed in so many batches; rows are mixed over the files."""
     path = f"{home}/landing"
     lines = records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    lines.repartition(parts).write.text(path)
-    return path
+    files = b.land(lines.hint("rebalance"), path, 6)
+    return intake.stream_lines(spark, path, -(-files // batches))
 
 
 _STREAMED = """
@@ -29,7 +29,7 @@ def stream_normalize(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze lines streamed to silver records, written by the Parquet sink."""
     home = shared_dir(spark)
     records = b.doc_records(spark, folder).drop("doc_id")
-    lines = intake.stream_lines(spark, _landed(records, home, 6), 2)
+    lines = _landed(spark, records, home, 3)
     query = (
         intake.stream_records(lines, b.TERMS_WHOLE).writeStream.format("parquet")
         .option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start(f"{home}/out")
@@ -45,7 +45,7 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """Every record lands twice, days of a month in any order, and the whole run is repeated; the store holds each once."""
     home = shared_dir(spark)
     records = b.doc_records(spark, folder).drop("doc_id")
-    lines = intake.stream_lines(spark, _landed(records.unionAll(records), home, 6), 3)
+    lines = _landed(spark, records.unionAll(records), home, 2)
     lake = Lake(spark, f"{home}/raw", f"{home}/lake", b.TERMS_WHOLE)
     for attempt in range(2):
         intake.start_store_sink(lines, lake, f"{home}/checkpoint{attempt}").awaitTermination()
@@ -63,7 +63,7 @@ def stream_tweets(spark: SparkSession, folder: str) -> DataFrame:
 def _intake(spark: SparkSession, payloads: DataFrame, source: str) -> DataFrame:
     """Payloads landed for a source, streamed into bronze, read back as records."""
     home = shared_dir(spark)
-    payloads.select(F.col("payload").alias("value")).repartition(4).write.text(f"{home}/landing/{source}")
+    b.land(payloads.select(F.col("payload").alias("value")), f"{home}/landing/{source}", 4)
     started = intake.start_intake(
         spark, f"{home}/landing", f"{home}/raw", f"{home}/checkpoints", sources=(source,), poll=False, keywords=b.KEYWORDS,
         as_of=datetime(2024, 1, 30, 12, tzinfo=timezone.utc),
