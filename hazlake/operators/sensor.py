@@ -5,15 +5,14 @@ place go through one window pass, so a label is a frame over later event rows
 and no range join is needed.
 
 A place may hold a large share of all readings, so the window key is
-(place, time slice), not place. Each slice gets three kinds of extra rows that
-are dropped again afterwards:
-
-* history: the last 72 hours before the slice, for the look-back frames;
-* events of the 24 hours after the slice, for the label frame;
-* one carry row with what an unbounded look-back would still know: the last
-  temperature and pressure, and the length of the running wet spell.
-
-The carry comes from a small table with one row per cell (72 hours of a place).
+(place, slice), not place, and a slice is three hours, which divides all frames:
+what a task holds grows with the readings of some hours and not of days. No reading is
+copied to another slice. A slice gets one carry row instead, dropped again afterwards, with
+what the windows would know of other slices: the last temperature and pressure, the length
+of the running wet spell, sums and maxima of the whole slices inside each frame, and
+the next hazard event after the slice.
+
+The carry comes from a small table with one row per cell (slice of a place) that has readings.
 """
 
 from __future__ import annotations
@@ -23,9 +22,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hazlake.functions.times import calendar_parts, parse_iso
 
 HOUR = 3_600_000_000  # microseconds
-CELL = 72 * HOUR
+EDGES = (3, 24, 72)  # hours of the frames
+CELL_HOURS = 3
+CELL = CELL_HOURS * HOUR
 LABEL = 24 * HOUR
-SLICE_CELLS = 10  # 30 days per slice, so history adds about a tenth
 
 VALUES = ["temperature_c", "humidity_pct", "wind_speed_ms", "wind_dir_deg", "rainfall_mm", "pressure_hpa"]
 
@@ -93,89 +93,91 @@ def _order(*more: str):
 
 
 def _cell_states(timed: DataFrame) -> DataFrame:
-    """Per (place, cell): last known temperature and pressure, and the wet rows it ends with.
+    """Per (place, cell): what its readings alone say; ``temp_nulls`` and ``prev_nulls`` count those that wait for an earlier value.
 
-    One shuffle of a few narrow columns. The state is read off the cell's last row.
+    One shuffle of a few narrow columns.
     """
     so_far = Window.partitionBy("location_name", "cell").orderBy(*_order("collected_at"))
-    narrow = timed.select("location_name", "cell", "us", "collected_at", "temperature_c", "pressure_hpa", "wet")
-    indexed = narrow.withColumns(
+    first = Window.unboundedPreceding
+    names = ("temperature_c", "pressure_hpa", "rainfall_mm", "wind_speed_ms", "humidity_pct")
+    narrow = timed.select("location_name", "cell", "us", "collected_at", "wet", *names)
+    filled = narrow.withColumns(
         {
-            "temp": F.last("temperature_c", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)),
-            "pres": F.last("pressure_hpa", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)),
+            "temp": F.last("temperature_c", ignorenulls=True).over(so_far.rowsBetween(first, 0)),
+            "pres": F.last("pressure_hpa", ignorenulls=True).over(so_far.rowsBetween(first, 0)),
+            "prev": F.last("pressure_hpa", ignorenulls=True).over(so_far.rowsBetween(first, -1)),
             "index": F.row_number().over(so_far),
-            "more": F.lead("us").over(so_far).isNotNull(),
         }
     )
-    dry = F.last(F.when(~F.col("wet"), F.col("index")), ignorenulls=True)
-    ended = indexed.withColumn("dry_index", dry.over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
-    return ended.filter(~F.col("more")).select(
-        "location_name", "cell", "temp", "pres", F.col("dry_index").isNotNull().alias("has_dry"),
-        (F.col("index") - F.coalesce("dry_index", F.lit(0))).alias("wet_tail"),
+    dry = F.max(F.when(~F.col("wet"), F.col("index")))
+    return filled.groupBy("location_name", "cell").agg(
+        F.max_by("temp", "index").alias("temp"), F.max_by("pres", "index").alias("pres"), dry.isNotNull().alias("has_dry"),
+        (F.max("index") - F.coalesce(dry, F.lit(0))).cast("bigint").alias("wet_tail"), F.count("*").alias("n"),
+        *[
+            column
+            for name in ("temp", "prev")
+            for column in (F.coalesce(F.sum(name), F.lit(0.0)).alias(f"{name}_sum"), F.count_if(F.col(name).isNull()).alias(f"{name}_nulls"))
+        ],
+        F.sum(F.coalesce("rainfall_mm", F.lit(0.0))).alias("rain_sum"),
+        *[
+            F.max(F.coalesce(name, F.lit(0.0))).alias(f"max{short}")
+            for name, short in (("rainfall_mm", "_rain"), ("wind_speed_ms", "_wind"), ("humidity_pct", "_humi"))
+        ],
     )
 
 
-def _carry_rows(timed: DataFrame, slice_cells: int) -> DataFrame:
-    """One row per (place, slice with readings): the state before the slice's history begins.
+#: What a carry row says of the whole cells inside the frames of its cell's readings.
+MIDDLES = ["_mid_rain24", "_mid_rain72", "_mid_temp24", "_mid_ntemp24", "_midmax_rain", "_midmax_wind", "_midmax_humi"]
 
-    History of slice k is cell ``k * slice_cells - 1``. The state of a cell is
-    the one wanted if the next cell with readings is already past that cell, or
-    is that cell and the one after it lies in slice k.
-    """
+
+def _carry_rows(timed: DataFrame, events: DataFrame | None) -> DataFrame:
+    """One row per cell with readings: the state before it, whole cells of its frames, and the next event after it."""
+    states = _cell_states(timed)
+    if events is None:
+        states = states.withColumn("first_event", F.lit(None).cast("struct<us: bigint, hazard_type: string>"))
+    else:
+        at = events.select("location_name", _bucket(F.col("us"), CELL).alias("at"), F.struct("us", "hazard_type").alias("event"))
+        firsts = at.groupBy("location_name", "at").agg(F.min("event").alias("first_event"))
+        states = states.unionByName(firsts.withColumnRenamed("at", "cell"), allowMissingColumns=True)
     by_cell = Window.partitionBy("location_name").orderBy("cell")
-    so_far = by_cell.rowsBetween(Window.unboundedPreceding, 0)
-    running = _cell_states(timed).withColumns(
+    before = by_cell.rangeBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("location_name").orderBy(F.desc("cell")).rangeBetween(Window.unboundedPreceding, -1)
+    states = states.withColumns(
         {
-            "temp": F.last("temp", ignorenulls=True).over(so_far),
-            "pres": F.last("pres", ignorenulls=True).over(so_far),
-            "island": F.sum(F.when(F.col("has_dry"), 1).otherwise(0)).over(so_far),
-            "next": F.lead("cell", 1).over(by_cell),
-            "after": F.lead("cell", 2).over(by_cell),
+            "temp_before": F.last("temp", ignorenulls=True).over(before),
+            "pres_before": F.last("pres", ignorenulls=True).over(before),
+            "wet_before": F.coalesce(F.sum("wet_tail").over(before), F.lit(0)),
+            "_ahead": F.min("first_event").over(later),
         }
     )
-    # A wet spell runs from the end of the last cell with a dry reading.
-    spell = Window.partitionBy("location_name", "island").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    next_slice, after_slice = _bucket(F.col("next"), slice_cells), _bucket(F.col("after"), slice_cells)
-    past = F.when(F.col("cell") < next_slice * slice_cells - 1, next_slice)
-    across = F.when((F.col("next") == after_slice * slice_cells - 1), after_slice)
-    return (
-        running.withColumn("spell", F.sum("wet_tail").over(spell))
-        .select("location_name", "temp", "pres", "spell", F.explode(F.array_compact(F.array(past, across))).alias("slice"))
-        .select(
-            "location_name", "slice",
-            ((F.col("slice") * slice_cells - 1) * CELL - 1).alias("us"),
-            F.col("temp").alias("temperature_c"), F.col("pres").alias("pressure_hpa"),
-            F.col("spell").cast("bigint").alias("weight"), F.lit(CARRY).alias("kind"),
-        )
-    )
-
-
-def _sliced_readings(timed: DataFrame, slice_cells: int) -> DataFrame:
-    """Every reading in its own slice, and again as history of the next one if in the last cell."""
-    own = _bucket(F.col("cell"), slice_cells)
-    last_cell = F.pmod(F.col("cell"), F.lit(slice_cells)) == slice_cells - 1
-    slices = F.when(last_cell, F.array(own, own + 1)).otherwise(F.array(own))
-    return timed.withColumn("own", own).select(
-        "*", F.explode(slices).alias("slice"), F.lit(READING).alias("kind"), F.lit(1).cast("bigint").alias("weight")
+    waiting = F.col("temp_nulls")
+    states = states.withColumns(
+        {
+            # A wet spell runs from the end of the last cell with a dry reading.
+            "dry_before": F.last(F.when(F.col("has_dry"), F.col("wet_before")), ignorenulls=True).over(before),
+            "temp_sum": F.col("temp_sum") + F.coalesce(waiting * F.col("temp_before"), F.lit(0.0)),
+            "temp_n": F.col("n") - F.when(F.col("temp_before").isNull(), waiting).otherwise(0),
+        }
     )
 
-
-def _sliced_events(events: DataFrame, slice_cells: int) -> DataFrame:
-    """Every event in its own slice, and in the one before if within 24 hours of the slice start."""
-    span = slice_cells * CELL
-    timed = events.select("location_name", F.unix_micros("ts").alias("us"), "hazard_type")
-    own = _bucket(F.col("us"), span)
-    early = F.pmod(F.col("us"), F.lit(span)) <= LABEL
-    slices = F.when(early, F.array(own, own - 1)).otherwise(F.array(own))
-    return timed.select(
-        "location_name", "us", "hazard_type", F.explode(slices).alias("slice"),
-        F.lit(EVENT).alias("kind"), F.lit(0).cast("bigint").alias("weight"),
+    def inside(hours: int, total: Column) -> Column:
+        return total.over(by_cell.rangeBetween(1 - hours // CELL_HOURS, -1))
+
+    middles = [
+        F.coalesce(inside(24, F.sum("rain_sum")), F.lit(0.0)), F.coalesce(inside(72, F.sum("rain_sum")), F.lit(0.0)),
+        F.coalesce(inside(24, F.sum("temp_sum")), F.lit(0.0)), F.coalesce(inside(24, F.sum("temp_n")), F.lit(0)),
+        *[inside(24, F.max(f"max{name}")) for name in ("_rain", "_wind", "_humi")],
+    ]
+    return states.withColumns(dict(zip(MIDDLES, middles))).filter("n IS NOT NULL").select(
+        "location_name", F.col("cell").alias("slice"), (F.col("cell") * CELL - 1).alias("us"),
+        F.col("temp_before").alias("temperature_c"), F.col("pres_before").alias("pressure_hpa"),
+        (F.col("wet_before") - F.coalesce("dry_before", F.lit(0))).alias("weight"), F.lit(CARRY).alias("kind"), "_ahead", *MIDDLES,
     )
 
 
-def _with_features(rows: DataFrame, place: list[str], frames: bool) -> DataFrame:
+def _with_features(rows: DataFrame, frames: bool) -> DataFrame:
     """The window pass over mixed rows (readings, events, carry); ``frames`` adds the look-back frames."""
-    key = Window.partitionBy(*place)
+    key = Window.partitionBy("location_name", "slice")
     by_row = key.orderBy(*_order("collected_at"))
     so_far = by_row.rowsBetween(Window.unboundedPreceding, 0)
     before = by_row.rowsBetween(Window.unboundedPreceding, -1)
@@ -185,6 +187,7 @@ def _with_features(rows: DataFrame, place: list[str], frames: bool) -> DataFrame
         return F.when(is_reading, F.coalesce(F.col(name), F.lit(0.0)))
 
     rows = rows.withColumns({"_rain": zero_filled("rainfall_mm"), "_wind": zero_filled("wind_speed_ms"), "_humi": zero_filled("humidity_pct")})
+    # The carry row comes first in its slice, so the last value known so far reaches all readings.
     rows = rows.withColumns(
         {
             "temp_filled": F.when(is_reading, F.last("temperature_c", ignorenulls=True).over(so_far)),
@@ -192,6 +195,7 @@ def _with_features(rows: DataFrame, place: list[str], frames: bool) -> DataFrame
             # The previous reading's filled value is the last known value strictly before this row.
             "_prev_pres": F.when(is_reading, F.last("pressure_hpa", ignorenulls=True).over(before)),
             "_index": F.sum("weight").over(so_far),
+            **{name: F.last(name, ignorenulls=True).over(so_far) for name in ["_ahead", *(MIDDLES if frames else [])]},
         }
     )
     rows = rows.withColumn(
@@ -206,66 +210,68 @@ def _with_features(rows: DataFrame, place: list[str], frames: bool) -> DataFrame
     # Running from the latest row backwards, the least event seen so far is the next one to come:
     # one pass, where a forward frame would be read again for every row.
     later = key.orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_later", F.min(event).over(later)).filter(is_reading)
-    rows = rows.withColumn("_next", F.when(F.col("_later.us") <= F.col("us") + LABEL, F.col("_later"))).drop("_later")
-    return _with_frames(rows, place) if frames else rows
+    rows = rows.withColumn("_later", F.coalesce(F.min(event).over(later), F.col("_ahead"))).filter(is_reading)
+    rows = rows.withColumn("_next", F.when(F.col("_later.us") <= F.col("us") + LABEL, F.col("_later"))).drop("_later", "_ahead")
+    return _with_frames(rows) if frames else rows
 
 
-def _with_frames(readings: DataFrame, place: list[str]) -> DataFrame:
+def _with_frames(readings: DataFrame) -> DataFrame:
     """Sums, means and maxima over the frames ``(t - w, t]``, in time that grows with the rows alone.
 
-    Every reading is joined by marks at the left edges of its frames, ``t - w``. A sum over a frame is the
-    running total at the reading less the one at the mark. A maximum over 24 hours is the greater of the running
-    maximum of the reading's 24-hour block so far and, at the mark, of what follows it in the block before. All
-    frames only grow, so none is read again for every row, however many readings it holds.
+    A frame is the reading's cell up to the reading, whole cells (from the carry row), and in the cell of the
+    frame's left edge what follows ``t - w``. That end is found by a mark there: a narrow row, no copy of the reading.
+    All window frames only grow, so none is read again for every row, however many readings it holds.
     """
-    numbered = readings.withColumn("_row", F.row_number().over(Window.partitionBy(*place).orderBy("us", "collected_at")))
-    kept = [c for c in numbered.columns if c not in (*place, "us", "_row")]
+    summed, peaks = {"_rain": EDGES, "temp_filled": (24,), "_prev_pres": (3,)}, ("_rain", "_wind", "_humi")
+    until = Window.partitionBy("location_name", "slice").orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
+    readings = readings.withColumns(
+        {f"_sum{name}": F.coalesce(F.sum(name).over(until), F.lit(0.0)) for name in summed}
+        | {f"_n{name}": F.count(name).over(until) for name in summed}
+        | {f"_max{name}": F.max(name).over(until) for name in peaks}
+    )
+    values = ["_rain", "_wind", "_humi", "temp_filled", "_prev_pres"]
     edge = F.col("_edge")
-    marked = numbered.withColumn("_edge", F.explode(F.array(*[F.lit(w) for w in (0, 3, 24, 72)])))
+    marked = readings.select(
+        "location_name", F.col("us").alias("_at"), F.col("slice").alias("_cell"), *values,
+        F.struct(*[c for c in readings.columns if c not in ("location_name", *values)]).alias("_all"),
+        F.explode(F.array(*[F.lit(w) for w in (0, *EDGES)])).alias("_edge"),
+    )
     marked = marked.select(
-        *place, "_row", "_edge", (F.col("us") - edge * HOUR).alias("us"), *[F.when(edge == 0, F.col(c)).alias(c) for c in kept],
-    ).withColumn("_block", _bucket(F.col("us"), 24 * HOUR))
-
-    so_far = Window.partitionBy(*place).orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
-    block = Window.partitionBy(*place, "_block")
-    until = block.orderBy("us").rangeBetween(Window.unboundedPreceding, 0)
-    after = block.orderBy(F.desc("us")).rangeBetween(Window.unboundedPreceding, -1)
-    totals = {name: F.coalesce(F.sum(name).over(so_far), F.lit(0.0)) for name in ("_rain", "temp_filled", "_prev_pres")}
-    counts = {name: F.count(name).over(so_far) for name in ("temp_filled", "_prev_pres")}
-    marked = marked.withColumns(
-        {f"_sum{name}": column for name, column in totals.items()} | {f"_n{name}": column for name, column in counts.items()}
+        "location_name", "_at", "_edge", (F.col("_at") - edge * HOUR).alias("_us"), (F.col("_cell") - (edge / CELL_HOURS).cast("int")).alias("_block"),
+        *[F.when(edge == 0, F.col(c)).alias(c) for c in (*values, "_all")],
     )
-    peaks = ("_rain", "_wind", "_humi")
-    marked = marked.withColumns({f"_max{name}": F.max(name).over(until) for name in peaks})
-    marked = marked.withColumns({f"_past{name}": F.max(name).over(after) for name in peaks})
+    after = Window.partitionBy("location_name", "_block").orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, -1)
+    ends = {f"_past{name}": F.sum(name).over(after) for name in summed} | {f"_npast{name}": F.count(name).over(after) for name in summed}
+    marked = marked.withColumns(ends | {f"_pastmax{name}": F.max(name).over(after) for name in peaks})
 
-    own = Window.partitionBy(*place, "_row")
+    own = Window.partitionBy("location_name", "_at")
 
     def at_edge(column: str, hours: int) -> Column:
         return F.max(F.when(edge == hours, F.col(column))).over(own)
 
-    at = {
-        "_rain3": at_edge("_sum_rain", 3), "_rain24": at_edge("_sum_rain", 24), "_rain72": at_edge("_sum_rain", 72),
-        "_temp24": at_edge("_sumtemp_filled", 24), "_ntemp24": at_edge("_ntemp_filled", 24),
-        "_pres3": at_edge("_sum_prev_pres", 3), "_npres3": at_edge("_n_prev_pres", 3),
-        **{f"_before{name}": at_edge(f"_past{name}", 24) for name in peaks},
-    }
-    joined = marked.withColumns(at).filter("_edge = 0")
+    at = {f"_end{name}{w}": F.coalesce(at_edge(f"_past{name}", w), F.lit(0.0)) for name, hours in summed.items() for w in hours}
+    at |= {f"_nend{name}{w}": at_edge(f"_npast{name}", w) for name, hours in summed.items() for w in hours}
+    at |= {f"_endmax{name}": at_edge(f"_pastmax{name}", 24) for name in peaks}
+    joined = marked.withColumns(at).filter("_edge = 0").select("location_name", *values, *at, "_all.*")
 
     def exact(column: Column) -> Column:
-        """Without the last bits that a difference of running totals leaves."""
+        """Without the last bits that sums in another order leave."""
         return F.round(column, 9)
 
-    def mean(name: str, total: str, count: str) -> Column:
-        return F.try_divide(F.col(f"_sum{name}") - F.col(total), F.col(f"_n{name}") - F.col(count))
+    def total(name: str, hours: int, middle: str | None = None, n: str = "sum", end: str = "_end") -> Column:
+        whole = F.col(f"_{n}{name}") + F.col(f"{end}{name}{hours}")
+        return whole + F.col(middle) if middle else whole
+
+    def mean(name: str, hours: int, middle: str | None = None, middles: str | None = None) -> Column:
+        return F.try_divide(total(name, hours, middle), total(name, hours, middles, "n", "_nend"))
 
     return joined.withColumns(
         {
-            **{f"rainfall_{w}h_sum": exact(F.col("_sum_rain") - F.col(f"_rain{w}")) for w in (3, 24, 72)},
-            **{out: F.greatest(f"_max{name}", f"_before{name}") for out, name in (("rainfall_24h_max", "_rain"), ("wind_24h_max", "_wind"), ("humidity_24h_max", "_humi"))},
-            "temp_change_24h": exact(F.col("temp_filled") - mean("temp_filled", "_temp24", "_ntemp24")),
-            "pressure_drop_3h": exact(F.col("pres_filled") - mean("_prev_pres", "_pres3", "_npres3")),
+            "rainfall_3h_sum": exact(total("_rain", 3)),
+            **{f"rainfall_{w}h_sum": exact(total("_rain", w, f"_mid_rain{w}")) for w in (24, 72)},
+            **{out: F.greatest(f"_max{name}", f"_midmax{name}", f"_endmax{name}") for out, name in (("rainfall_24h_max", "_rain"), ("wind_24h_max", "_wind"), ("humidity_24h_max", "_humi"))},
+            "temp_change_24h": exact(F.col("temp_filled") - mean("temp_filled", 24, "_mid_temp24", "_mid_ntemp24")),
+            "pressure_drop_3h": exact(F.col("pres_filled") - mean("_prev_pres", 3)),
         }
     )
 
@@ -273,38 +279,27 @@ def _with_frames(readings: DataFrame, place: list[str]) -> DataFrame:
 def feature_rows(
     readings: DataFrame,
     events: DataFrame | None = None,
-    slice_cells: int | None = SLICE_CELLS,
+    slice_cells: int | None = None,
     output_from: str | None = None,
     frames: bool = True,
 ) -> DataFrame:
     """Readings with all features, and the forward-filled ``temp_filled`` and ``pres_filled``.
 
-    ``events`` has (location_name, ts, hazard_type). ``slice_cells`` is the slice
-    width in 72-hour cells; ``None`` uses one window per place, for places
-    known to be small. ``output_from`` drops warm-up rows before that date. Without
+    ``events`` has (location_name, ts, hazard_type). ``slice_cells``, once the width of a slice, changes nothing:
+    slices are always one cell. ``output_from`` drops warm-up rows before that date. Without
     ``frames`` the columns in ``FRAMES`` are left out, and with them the rows at the frames' edges.
     A value that is NaN or infinite counts as missing.
     """
     timed = _timed(readings)
-    if slice_cells is None:
-        rows = timed.withColumns(
-            {"kind": F.lit(READING), "weight": F.lit(1).cast("bigint"), "slice": F.lit(0).cast("bigint"), "own": F.lit(0).cast("bigint")}
-        )
-        place = ["location_name"]
-    else:
-        rows = _sliced_readings(timed, slice_cells).unionByName(
-            _carry_rows(timed, slice_cells), allowMissingColumns=True
-        )
-        place = ["location_name", "slice"]
-    if events is None:
+    found = None if events is None else events.select("location_name", F.unix_micros("ts").alias("us"), "hazard_type")
+    rows = timed.withColumns({"slice": F.col("cell"), "kind": F.lit(READING), "weight": F.lit(1).cast("bigint")})
+    rows = rows.unionByName(_carry_rows(timed, found), allowMissingColumns=True)
+    if found is None:
         rows = rows.withColumn("hazard_type", F.lit(None).cast("string"))
     else:
-        tagged = _sliced_events(events, slice_cells) if slice_cells else events.select(
-            "location_name", F.unix_micros("ts").alias("us"), "hazard_type", F.lit(EVENT).alias("kind"),
-            F.lit(0).cast("bigint").alias("weight"),
-        )
-        rows = rows.unionByName(tagged, allowMissingColumns=True)
-    out = _with_features(rows, place, frames).filter(F.col("slice") == F.col("own"))
+        own = {"slice": _bucket(F.col("us"), CELL), "kind": F.lit(EVENT), "weight": F.lit(0).cast("bigint")}
+        rows = rows.unionByName(found.withColumns(own), allowMissingColumns=True)
+    out = _with_features(rows, frames)
     if output_from:
         out = out.filter(F.col("date_partition") >= output_from)
     return out.withColumns(

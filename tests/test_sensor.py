@@ -184,3 +184,11 @@ def test_label_without_frames_reads_no_edges(spark):
     keyed = lambda rows: sorted(rows.select(*narrow.columns).collect(), key=repr)
     assert keyed(whole) == keyed(narrow)
     assert "_edge" in whole._jdf.queryExecution().toString() and "_edge" not in narrow._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("frames", [True, False])
+def test_a_place_is_many_window_keys(spark, frames):
+    """What a task holds of a place is some hours of it, and no reading is held twice."""
+    rows = spark.createDataFrame(one_place([1.0] * 48, "rain", range(48)), SCHEMA)
+    out = sensor.feature_rows(rows, frames=frames)
+    assert [(r["count"]) for r in out.groupBy("slice").count().collect()] == [3] * 16
