@@ -21,7 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazlake.llm.tokens import encoder, gather
+from hazlake.llm.tokens import SLICE_BYTES, encoder, gather
+from hazlake.llm.words import slices
 from hazlake.session import stage
 
 CAPACITY = 4096
@@ -46,7 +47,8 @@ def _cut(ids: np.ndarray, offsets: np.ndarray, end_id: int, capacity: int):
 
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, keep_ids: bool):
     encode = encoder(path).encode
-    for batch in batches:
+    # Arrays over ids are many times as large as the texts: they are made for a few texts at a time.
+    for batch in (whole.slice(first, len(some)) for whole in batches for first, some in slices(whole.column("text"), SLICE_BYTES)):
         whole, row, number, start, at, length = _cut(*encode(batch.column("text")), end_id, capacity)
         data = whole.tobytes()
         spans = [data[4 * a : 4 * (a + n)] for a, n in zip(at.tolist(), length.tolist())]

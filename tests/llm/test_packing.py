@@ -115,3 +115,15 @@ def test_parts_join_to_the_text(text):
     coded, at = parts(pa.array([text, None, text]))
     units = coded.to_pylist()
     assert b"".join(units[at[0] : at[1]]) == text.encode() == b"".join(units[at[2] : at[3]])
+
+
+def test_arrays_are_made_for_a_few_texts_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["", None, "some words here", "x " * 6000, "one more", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": pa.array(texts, pa.string())})
+    whole = [r for b in packing._piece_batches(iter([batch]), PATH, 1, 4096, True) for r in b.to_pylist()]
+    monkeypatch.setattr(packing, "SLICE_BYTES", 16)
+    parts = list(packing._piece_batches(iter([batch]), PATH, 1, 4096, True))
+    assert len(parts) > 2 and [r for b in parts for r in b.to_pylist()] == whole
+    assert [r["doc_id"] for r in whole] == [0, 1, 2, 3, 3, 4, 5]
