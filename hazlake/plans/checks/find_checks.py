@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazlake.functions.text import latin_fold
 from hazlake.operators import ranges, search
+from hazlake.operators.dedupe import numbered
 from hazlake.plans.checks import base as b
 from hazlake.session import stage
 
@@ -112,9 +113,9 @@ SEARCH_INDEX_SQL = _sql_bm25(
 @b.check(SEARCH_INDEX_SQL)
 def search_index(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 best records holding all words, found through the index."""
-    lake = stage(b.doc_lake(spark, folder), "lake")
-    posts = stage(search.postings(lake), "postings")
-    hits = search.search_postings(posts, search.corpus_stats(lake), "of thing with", 20)
+    lake = stage(numbered(b.doc_lake(spark, folder), "doc"), "lake")
+    posts = stage(search.postings(lake, ("doc",)), "postings")
+    hits = search.search_postings(posts, search.corpus_stats(lake), "of thing with", 20, lake)
     return search.fetch(hits, lake).select("lake_id", F.round("score", 6).alias("score"))
 
 
