@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hazlake.llm import decontaminate, neardup, packing, quality
 from hazlake.llm.tokens import tokenizer_path
-from hazlake.session import apply_conf, stage
+from hazlake.session import ARROW_BYTES, apply_conf, stage
 
 TOKENIZER = "word_bpe_49k.json"
+#: Bytes handed to a Python worker at once: by default up to 64 MB, which lie in the executor's JVM and in the worker.
+BATCH_BYTES = packing.BATCH_BYTES
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -23,11 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of every group of near-duplicates."""
+    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
     return neardup.without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that contain no benchmark item."""
+    spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
     return decontaminate.clean_documents(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 

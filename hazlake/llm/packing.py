@@ -21,12 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hazlake.llm.tokens import SLICE_BYTES, encoder, gather
+from hazlake.llm.tokens import encoder, gather
 from hazlake.llm.words import slices
-from hazlake.session import stage
+from hazlake.session import arrow_batches, stage
 
 CAPACITY = 4096
 BLOCK_ROWS = 500
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -36,8 +38,10 @@ def _cut(ids: np.ndarray, offsets: np.ndarray, end_id: int, capacity: int):
     """(ids with the end ids, and per piece: row, number, start in its document, position, length)."""
     n = np.diff(offsets) + 1
     at = np.concatenate([[0], np.cumsum(n)])
+    ends = np.zeros(at[-1], dtype=bool)
+    ends[at[1:] - 1] = True
     whole = np.full(at[-1], end_id, dtype="<u4")
-    whole[gather(at[:-1], n - 1)] = ids
+    whole[~ends] = ids
     pieces = -(-n // capacity)
     row = np.repeat(np.arange(len(n)), pieces)
     number = gather(np.zeros(len(n), dtype=np.int64), pieces)
@@ -50,7 +54,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, ca
     # Arrays over ids are many times as large as the texts: they are made for a few texts at a time.
     for batch in (whole.slice(first, len(some)) for whole in batches for first, some in slices(whole.column("text"), SLICE_BYTES)):
         whole, row, number, start, at, length = _cut(*encode(batch.column("text")), end_id, capacity)
-        data = whole.tobytes()
+        data = memoryview(whole).cast("B")
         spans = [data[4 * a : 4 * (a + n)] for a, n in zip(at.tolist(), length.tolist())]
         columns = [
             batch.column("doc_id").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(start), pa.array(length),
@@ -140,7 +144,9 @@ def _ranked(pieces: DataFrame, counts: dict[int, int], capacity: int) -> DataFra
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
     """Every piece of (doc_id, text) with its sequence and its offset there."""
-    pieces = stage(pieces_of(docs, path, end_id, capacity), "pieces")
+    # Whole batches lie in memory on both sides of a Python worker, beside a heap that earlier stages have filled.
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        pieces = stage(pieces_of(docs, path, end_id, capacity), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     keys, ranks, sequences, each, offsets = _places(plan(counts, capacity), capacity)
 

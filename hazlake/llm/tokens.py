@@ -4,14 +4,15 @@ Texts are cut before every ASCII white space that follows anything else, and bet
 letter and ASCII punctuation other than an apostrophe. Both vocabularies end a piece
 there whatever comes before, so the ids of the parts, one after the other, are the ids
 of the whole text. Parts repeat a lot: each distinct one is encoded by the library once
-while it stays in a worker's cache, and the rest is array work.
+while it stays in a worker's cache, many with a special token between them per call, and the
+rest is array work.
 """
 
 from __future__ import annotations
 
 import os
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from hazlake.llm.words import joined_bytes, slices
 
 CACHE_PARTS = 200_000
 SLICE_BYTES = 4 << 20
+PARTS_A_CALL = 64
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -72,7 +74,9 @@ def parts(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start .. start + length - 1 of every run, one run after the other."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    out = np.repeat(starts - (ends - lengths), lengths)
+    out += np.arange(len(out))
+    return out
 
 
 class _Known:
@@ -102,6 +106,21 @@ class _Known:
         return self.pool[gather(self.starts[slots], lengths)], lengths
 
 
+def _separator(library) -> tuple[str, int] | None:
+    """(text, id) of a special token that splits whatever it stands between, and shares no end with another added token."""
+    added = library.get_added_tokens_decoder()
+    for number, token in added.items():
+        text = token.content
+        plain = token.special and not (token.normalized or token.lstrip or token.rstrip or token.single_word)
+        shared = any(
+            text.endswith(t.content[:k]) or text.startswith(t.content[-k:])
+            for t in added.values() for k in range(1, len(t.content) + (t.content != text))
+        )
+        if plain and not shared:
+            return text, number
+    return None
+
+
 class Encoder:
     """Ids of texts. Parts seen lately stay known: of two generations of ``cache_parts``, the older one goes."""
 
@@ -111,6 +130,24 @@ class Encoder:
 
         self.library, self.cache_parts = Tokenizer.from_file(path), cache_parts
         self.new, self.old = _Known(), _Known()
+        self.between = _separator(self.library)
+
+    def _by_library(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the parts one after the other, how many each has)."""
+        texts = [u.decode() for u in units]
+        if self.between and not any(self.between[0] in t for t in texts):
+            # The library splits at special tokens before all else, so parts between two of them are encoded one by one.
+            mark, number = self.between
+            calls = [mark.join(texts[at : at + PARTS_A_CALL]) + mark for at in range(0, len(texts), PARTS_A_CALL)]
+            found = self.library.encode_batch_fast(calls, add_special_tokens=False)
+            ids = np.array(list(chain.from_iterable(e.ids for e in found)), dtype=np.uint32)
+            marks = ids == number
+            ends = np.flatnonzero(marks)
+            if len(ends) == len(units):
+                return ids[~marks], np.diff(ends, prepend=-1) - 1
+        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
 
     def _learn(self, units: list[bytes]) -> None:
         """Bring parts into the new generation, from the old one or by the library."""
@@ -121,9 +158,7 @@ class Encoder:
             units = [u for u in units if u not in have]
         for first in range(0, len(units), 20_000):
             some = units[first : first + 20_000]
-            found = [e.ids for e in self.library.encode_batch_fast([u.decode() for u in some], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            self.new.add(some, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths)
+            self.new.add(some, *self._by_library(some))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other as unsigned 32-bit integers, n + 1 offsets); null counts as empty."""
@@ -134,8 +169,11 @@ class Encoder:
             if len(self.new.slots) > self.cache_parts:
                 self.new, self.old = _Known(), self.new
             slots = self.new.slots
-            self._learn([u for u in units if u not in slots])
-            slot = np.fromiter(map(slots.__getitem__, units), dtype=np.int64, count=len(units))
+            slot = np.fromiter(map(slots.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+            unknown = np.flatnonzero(slot < 0)
+            missing = [units[i] for i in unknown.tolist()]
+            self._learn(missing)
+            slot[unknown] = np.fromiter(map(slots.__getitem__, missing), dtype=np.int64, count=len(missing))
             ids, lengths = self.new.ids(slot[coded.indices.to_numpy(zero_copy_only=False)] if len(units) else slot)
             found.append(ids)
             offsets.append(np.concatenate([[0], np.cumsum(lengths)])[by_text][1:] + offsets[-1][-1])

@@ -127,3 +127,39 @@ def test_arrays_are_made_for_a_few_texts_at_a_time(monkeypatch):
     parts = list(packing._piece_batches(iter([batch]), PATH, 1, 4096, True))
     assert len(parts) > 2 and [r for b in parts for r in b.to_pylist()] == whole
     assert [r["doc_id"] for r in whole] == [0, 1, 2, 3, 3, 4, 5]
+
+
+def test_a_worker_holds_little_beside_its_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": pa.array(["word, other " * 800] * 400, pa.string())})
+    list(packing._piece_batches(iter([batch.slice(0, 2)]), PATH, 1, 4096, False))
+    tracemalloc.start()
+    assert sum(b.num_rows for b in packing._piece_batches(iter([batch]), PATH, 1, 4096, False)) == 400
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * batch.nbytes
+
+
+def test_texts_go_to_workers_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from hazlake import session
+
+    def sizes(df):
+        def size(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+        return max(r["n"] for r in df.coalesce(1).mapInArrow(size, "n long").collect())
+
+    docs = spark.range(200).selectExpr("id AS doc_id", "repeat('the of ', 200) AS text")
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(packing, "BATCH_BYTES", 20_000)
+    monkeypatch.setattr(packing, "stage", lambda df, name: seen.append(sizes(docs)) or session.stage(df, name))
+    assert packing.pack(docs, PATH).count() == 200
+    assert seen[0] < 40_000 < sizes(docs)
+    assert spark.conf.get(key) == before
