@@ -26,8 +26,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hazlake.llm.tokens import encoder, gather
+from hazlake.session import arrow_batches
 
 SHARD_IDS = 1 << 20
+BATCH_BYTES = 8 << 20
 LEAST_PAIRS = 8
 LEAST_GAIN = 0.01
 TABLE_BITS = 18
@@ -116,15 +118,18 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
     rules, rounds, known, ceiling = [], [], len(base), None
     factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - TABLE_BITS)
     while len(symbols) > 1:
-        keys = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        hashed = keys * factor
+        keys = symbols[:-1].astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= symbols[1:]
         # Only keys whose place of the hash holds enough of all keys can be frequent enough themselves; the others are not sorted.
-        place = (hashed >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-        full = np.bincount(place[~opens[1:]], minlength=1 << COUNT_BITS) >= least
-        ordered = np.sort(keys[full[place] & ~opens[1:]])
+        place = keys * factor
+        place >>= np.uint64(64 - COUNT_BITS)
+        place = place.view(np.int64)
+        full = np.bincount(place, minlength=1 << COUNT_BITS) >= least
+        ordered = keys[np.flatnonzero(full[place] & ~opens[1:])]
+        ordered.sort()
         edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(ordered) else np.zeros(1, int)
         counts = np.diff(edges)
-        del hashed
         if not len(counts) or counts.max() < least:
             break
         ceiling = int(counts.max()) if ceiling is None else min(ceiling, int(counts.max()))
@@ -134,19 +139,25 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
         pairs = ordered[edges[:-1][chosen]]
         table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
         table[((pairs * factor) >> shift).astype(np.int64)] = np.arange(len(pairs), dtype=np.int32)
-        rank = table[place >> (COUNT_BITS - TABLE_BITS)]
-        at = np.flatnonzero(rank >= 0)
-        rank[at[(pairs[rank[at]] != keys[at]) | opens[at + 1]]] = -1
-        # A place is replaced if its pair is more frequent than those that overlap it; of equal ones in a row, every other.
+        # One place more at both ends, for the neighbours of the first and the last.
+        padded = np.full(len(keys) + 2, -1, dtype=np.int32)
+        rank = padded[1:-1]
+        place >>= COUNT_BITS - TABLE_BITS
+        rank[:] = table[place]
         at = np.flatnonzero(rank >= 0)
         own = rank[at]
+        meant = (pairs[own] == keys[at]) & ~opens[at + 1]
+        rank[at[np.flatnonzero(~meant)]] = -1
+        # A place is replaced if its pair is more frequent than those that overlap it; of equal ones in a row, every other.
+        meant = np.flatnonzero(meant)
+        at, own = at[meant], own[meant]
         beside = np.concatenate([[False], (at[1:] == at[:-1] + 1) & (own[1:] == own[:-1]), [False]])
         run = np.flatnonzero(~beside[:-1])
         odd = (at - at[run][np.cumsum(~beside[:-1]) - 1]) & 1 if len(at) else at
-        left = np.concatenate([[-1], rank])[at]
-        right = np.concatenate([rank, [-1]])[at + 1]
-        at = at[(odd == 0) & (beside[:-1] | (own > left)) & (beside[1:] | (own > right))]
-        used = np.bincount(rank[at], minlength=len(pairs))
+        left, right = padded[at], padded[at + 2]
+        taken = np.flatnonzero((odd == 0) & (beside[:-1] | (own > left)) & (beside[1:] | (own > right)))
+        at, own = at[taken], own[taken]
+        used = np.bincount(own, minlength=len(pairs))
         paying = np.flatnonzero(used >= least)
         ceiling, last = threshold, threshold == least and used[paying].sum() < LEAST_GAIN * len(symbols)
         if last:
@@ -156,10 +167,13 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
         paying = paying[::-1]
         name = np.full(len(pairs), -1, dtype=np.int64)
         name[paying] = known + np.arange(len(paying))
-        at = at[name[rank[at]] >= 0]
-        symbols[at] = name[rank[at]]
+        own = name[own]
+        taken = np.flatnonzero(own >= 0)
+        at = at[taken]
+        symbols[at] = own[taken]
         stay = np.ones(len(symbols), dtype=bool)
         stay[at + 1] = False
+        stay = np.flatnonzero(stay)
         symbols, opens = symbols[stay], opens[stay]
         rules.append(np.stack([pairs[paying] >> np.uint64(32), pairs[paying] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.int64))
         rounds.append(len(paying))
@@ -206,7 +220,9 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = 2, shard_id
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = rows.withColumn("tie", F.xxhash64("text"))
     in_order = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    in_order.mapInArrow(lambda batches: _shard_batches(batches, path, end_id, shard_ids), _SHARDS).write.parquet(folder)
+    shards = in_order.mapInArrow(lambda batches: _shard_batches(batches, path, end_id, shard_ids), _SHARDS)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        shards.write.parquet(folder)
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:

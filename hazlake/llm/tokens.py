@@ -23,19 +23,24 @@ CACHE_PARTS = 200_000
 SLICE_BYTES = 4 << 20
 PARTS_A_CALL = 64
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-
 
 def tokenizer_path(name: str) -> str:
     """Where the public vocabulary file ``name`` lies."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_MARK = np.zeros(256, dtype=bool)
-_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = True
+
+
+#: What a byte is: ASCII white space, a letter, or punctuation other than an apostrophe.
+_SPACE, _LETTER, _MARK = 1, 2, 4
+_KIND = bytearray(256)
+for _byte in range(0x7F):
+    if _byte in b" \t\n\v\f\r":
+        _KIND[_byte] = _SPACE
+    elif chr(_byte).isalpha():
+        _KIND[_byte] = _LETTER
+    elif 0x20 < _byte and not chr(_byte).isalnum() and chr(_byte) != "'":
+        _KIND[_byte] = _MARK
 
 
 def _after_wide_space(body: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -52,18 +57,21 @@ def parts(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     body, offsets = joined_bytes(texts)
     if not len(body):
         return pa.array([], pa.large_binary()).dictionary_encode(), np.zeros(len(texts) + 1, dtype=np.int64)
-    space = _SPACE[body]
+    data = body.tobytes()
+    kind = np.frombuffer(data.translate(_KIND), dtype=np.uint8)
+    space = kind == _SPACE
     cut = np.zeros(len(body), dtype=bool)
     cut[1:] = space[1:] & ~space[:-1]
     at = np.flatnonzero(cut)
     after = at[body[at - 1] >= 0x80]
     cut[after[_after_wide_space(body, after)]] = False
-    if b"<|" not in body.tobytes():  # a special token's string must stay whole
-        letter, mark = _LETTER[body], _MARK[body]
+    if b"<|" not in data:  # a special token's string must stay whole
+        ascii_letter, mark = kind == _LETTER, kind == _MARK
+        letter = ascii_letter.copy()
         latin = body[1:] >= 0x80  # the second byte of a Latin letter, as in the two-byte characters from U+00C0
         latin &= (body[:-1] == 0xC3) & (body[1:] != 0x97) & (body[1:] != 0xB7)
         letter[1:] |= latin
-        cut[1:] |= (letter[:-1] & mark[1:]) | (mark[:-1] & _LETTER[body[1:]])
+        cut[1:] |= (letter[:-1] & mark[1:]) | (mark[:-1] & ascii_letter[1:])
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(cut)
     ends = np.append(starts, len(body)).astype(np.int64)

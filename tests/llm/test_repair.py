@@ -77,3 +77,35 @@ def test_repeated_rows_and_no_rows(spark, tmp_path):
     assert got == want_of([(1, "the")] * 3 + [(2, "of")])
     repair.write_ids(docs.limit(0), f"{tmp_path}/none", PATH)
     assert repair.read_documents(spark, f"{tmp_path}/none").count() == 0
+
+
+class Counted:
+    """A library that counts the texts it is given."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.library.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_the_library_gets_many_parts_in_a_text(name):
+    import pyarrow as pa
+
+    from hazlake.llm.tokens import Encoder
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdeßéÀ'.,;19<|> ́", k=rng.randint(1, 9))) for _ in range(3000)]
+    plain = " ".join(w for w in words if "<|" not in w)
+    texts = [plain, None, "", "\n \t", " ".join(words), "a<|endoftext|>b <|startoftext|> c <|endoftext", "|> d <|"]
+    encoder = Encoder(tokenizer_path(name))
+    library = encoder.library
+    encoder.library = Counted(library)
+    for some in ([plain], texts, [t for t in texts if t]):
+        ids, offsets = encoder.encode(pa.array(some, pa.string()))
+        for i, text in enumerate(some):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+        if some == [plain]:
+            assert encoder.library.texts < len(encoder.new.slots) / 20
