@@ -29,6 +29,7 @@ CAPACITY = 4096
 BLOCK_ROWS = 500
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
+CACHE_PARTS = 100_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -50,7 +51,7 @@ def _cut(ids: np.ndarray, offsets: np.ndarray, end_id: int, capacity: int):
 
 
 def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, keep_ids: bool):
-    encode = encoder(path).encode
+    encode = encoder(path, CACHE_PARTS).encode
     # Arrays over ids are many times as large as the texts: they are made for a few texts at a time.
     for batch in (whole.slice(first, len(some)) for whole in batches for first, some in slices(whole.column("text"), SLICE_BYTES)):
         whole, row, number, start, at, length = _cut(*encode(batch.column("text")), end_id, capacity)
@@ -64,6 +65,8 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, ca
         if keep_ids:
             columns, names = [*columns, pa.array(spans, pa.binary())], [*names, "ids"]
         yield pa.RecordBatch.from_arrays(columns, names)
+        del columns
+        pa.default_memory_pool().release_unused()
 
 
 def pieces_of(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:

@@ -189,6 +189,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cache_parts: int = CACHE_PARTS) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    return Encoder(path)
+    return Encoder(path, cache_parts)
