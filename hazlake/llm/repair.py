@@ -33,7 +33,6 @@ BATCH_BYTES = 8 << 20
 LEAST_PAIRS = 8
 LEAST_GAIN = 0.01
 TABLE_BITS = 18
-COUNT_BITS = 20
 MAGIC = b"RPS1"
 
 
@@ -109,6 +108,13 @@ def _renumbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(seen), (np.cumsum(seen, dtype=np.uint32) - np.uint32(1))[ids]
 
 
+def _pair_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the distinct keys, how often each occurs); sorts ``keys`` in place."""
+    keys.sort()
+    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, int)
+    return keys[edges[:-1]], np.diff(edges)
+
+
 def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) -> Grammar:
     """The grammar of documents given one after the other with n + 1 offsets; no rule spans two of them."""
     base, symbols = _renumbered(ids)
@@ -121,28 +127,31 @@ def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST_PAIRS) ->
         keys = symbols[:-1].astype(np.uint64)
         keys <<= np.uint64(32)
         keys |= symbols[1:]
-        # Only keys whose place of the hash holds enough of all keys can be frequent enough themselves; the others are not sorted.
         place = keys * factor
-        place >>= np.uint64(64 - COUNT_BITS)
+        place >>= shift
         place = place.view(np.int64)
-        full = np.bincount(place, minlength=1 << COUNT_BITS) >= least
-        ordered = keys[np.flatnonzero(full[place] & ~opens[1:])]
-        ordered.sort()
-        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])) if len(ordered) else np.zeros(1, int)
-        counts = np.diff(edges)
+        inside = ~opens[1:]
+        if ceiling is None:
+            found, counts = _pair_counts(keys[inside])
+        else:
+            # A place of the hash that holds too few keys has no pair frequent enough; those keys are not sorted. What is
+            # frequent enough is known before the counts unless all are below the ceiling.
+            held = np.bincount(place, minlength=1 << TABLE_BITS)
+            found, counts = _pair_counts(keys[np.flatnonzero((held >= max(least, ceiling // 8))[place] & inside)])
+            if ceiling // 8 > least and (not len(counts) or counts.max() < ceiling):
+                found, counts = _pair_counts(keys[np.flatnonzero((held >= least)[place] & inside)])
         if not len(counts) or counts.max() < least:
             break
         ceiling = int(counts.max()) if ceiling is None else min(ceiling, int(counts.max()))
         threshold = max(least, ceiling // 8)
         chosen = np.flatnonzero(counts >= threshold)
         chosen = chosen[np.argsort(counts[chosen], kind="stable")]  # rarest first: a frequent pair keeps its table place
-        pairs = ordered[edges[:-1][chosen]]
+        pairs = found[chosen]
         table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
         table[((pairs * factor) >> shift).astype(np.int64)] = np.arange(len(pairs), dtype=np.int32)
         # One place more at both ends, for the neighbours of the first and the last.
         padded = np.full(len(keys) + 2, -1, dtype=np.int32)
         rank = padded[1:-1]
-        place >>= COUNT_BITS - TABLE_BITS
         rank[:] = table[place]
         at = np.flatnonzero(rank >= 0)
         own = rank[at]

@@ -4,22 +4,25 @@ Texts are cut before every ASCII white space that follows anything else, and bet
 letter and ASCII punctuation other than an apostrophe. Both vocabularies end a piece
 there whatever comes before, so the ids of the parts, one after the other, are the ids
 of the whole text. Parts repeat a lot: each distinct one is encoded by the library once
-while it stays in a worker's cache, many with a special token between them per call, and the
-rest is array work.
+while it stays in a worker's cache, many per call, and the rest is array work. Words with white
+space before them follow each other in a call as they do in a text, and the vocabulary shows
+which id ends each; other parts have a special token between them.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
 
 from hazlake.llm.words import joined_bytes, slices
 
-CACHE_PARTS = 200_000
+CACHE_PARTS = 400_000
 SLICE_BYTES = 4 << 20
 PARTS_A_CALL = 64
 
@@ -88,25 +91,34 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class _Known:
-    """Ids of distinct parts: ``slots`` numbers the parts, whose ids lie one after the other in ``pool``."""
+    """Ids of distinct parts: ``slots`` numbers the parts, whose ids lie one after the other in ``pool``; ``met`` marks those seen again."""
 
     def __init__(self):
         self.slots: dict[bytes, int] = {}
         self.pool = np.zeros(1 << 16, dtype=np.uint32)
         self.starts, self.lengths = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
+        self.met = np.zeros(1 << 14, dtype=bool)
         self.used = 0
 
-    def add(self, units: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+    def add(self, units: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The numbers of the parts."""
         at, end = len(self.slots), self.used + len(ids)
         while len(self.pool) < end:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while len(self.starts) < at + len(units):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            self.starts, self.lengths, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.met))
         self.pool[self.used : end] = ids
         self.starts[at : at + len(units)] = self.used + np.cumsum(lengths) - lengths
         self.lengths[at : at + len(units)] = lengths
         self.slots.update(zip(units, range(at, at + len(units))))
         self.used = end
+        return np.arange(at, at + len(units))
+
+    def only_met(self) -> "_Known":
+        """The parts that were seen again, all unmarked."""
+        met, kept = self.met[: len(self.slots)], _Known()
+        kept.add(list(compress(self.slots, met.tolist())), *self.ids(np.flatnonzero(met)))
+        return kept
 
     def ids(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the parts one after the other, how many each has)."""
@@ -129,20 +141,76 @@ def _separator(library) -> tuple[str, int] | None:
     return None
 
 
+def _ends(library) -> tuple[np.ndarray | None, np.ndarray | None]:
+    """(whether an id ends a word, None) or (None, bytes an id stands for), as the vocabulary shows one of them; else two None."""
+    from tokenizers import pre_tokenizers
+
+    settings = json.loads(library.to_str())
+    model, cutter = settings["model"], settings["pre_tokenizer"] or {}
+    last = (cutter.get("pretokenizers") or [cutter])[-1]
+    if model["type"] != "BPE" or last.get("type") != "ByteLevel" or last["add_prefix_space"] or model.get("continuing_subword_prefix"):
+        return None, None
+    vocab, suffix = library.get_vocab(with_added_tokens=True), model.get("end_of_word_suffix")
+    table = np.zeros(max(vocab.values()) + 1, dtype=bool if suffix else np.int64)
+    if suffix and all(byte + suffix in vocab for byte in pre_tokenizers.ByteLevel.alphabet()):
+        for token, number in vocab.items():
+            table[number] = token.endswith(suffix)
+        return table, None
+    if not suffix and last is cutter and settings["normalizer"] is None:
+        for token, number in vocab.items():
+            table[number] = len(token)  # a character of it is a byte of the text
+        return None, table
+    return None, None
+
+
+#: One white space and letters: such a part is cut off from what it stands behind and before another such part.
+_FOLLOWS = re.compile("[ \t\n\v\f\r][^\\W\\d_İ]+")
+
+
 class Encoder:
-    """Ids of texts. Parts seen lately stay known: of two generations of ``cache_parts``, the older one goes."""
+    """Ids of texts. Parts seen lately stay known: when there are more than ``cache_parts``, those not seen again go."""
 
     def __init__(self, path: str, cache_parts: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.cache_parts = Tokenizer.from_file(path), cache_parts
-        self.new, self.old = _Known(), _Known()
+        self.new = _Known()
         self.between = _separator(self.library)
-
-    def _by_library(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        self.closes, self.sizes = _ends(self.library)
+
+    def _counts(self, ids: np.ndarray, texts: list[str]) -> np.ndarray | None:
+        """How many ids each of some joined parts has; None if that does not show."""
+        if self.closes is not None:
+            # Each part has one word at least, so as many ends as parts are one in each.
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            shown = len(ends) == len(texts) and ends[-1] == len(ids)
+        else:
+            at, of_parts = np.cumsum(self.sizes[ids]), np.cumsum([len(t.encode()) for t in texts])
+            ends = np.searchsorted(at, of_parts) + 1
+            shown = at[-1] == of_parts[-1] and (at[ends - 1] == of_parts).all()
+        return np.diff(ends, prepend=0) if shown else None
+
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of parts one after the other, how many each has); the parts may follow each other."""
+        calls = [texts[at : at + PARTS_A_CALL] for at in range(0, len(texts), PARTS_A_CALL)]
+        found = [e.ids for e in self.library.encode_batch_fast(list(map("".join, calls)), add_special_tokens=False)]
+        ids = np.array(list(chain.from_iterable(found)), dtype=np.uint32)
+        counts = self._counts(ids, texts)
+        if counts is not None:
+            return ids, counts
+        if len(calls) == 1:
+            return self._by_library(texts)
+        # Some part shows no end: only its call is made again.
+        out = []
+        for some, own in zip(calls, found):
+            own = np.array(own, dtype=np.uint32)
+            counts = self._counts(own, some)
+            out.append((own, counts) if counts is not None else self._by_library(some))
+        return np.concatenate([own for own, _ in out]), np.concatenate([counts for _, counts in out])
+
+    def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the parts one after the other, how many each has)."""
-        texts = [u.decode() for u in units]
         if self.between and not any(self.between[0] in t for t in texts):
             # The library splits at special tokens before all else, so parts between two of them are encoded one by one.
             mark, number = self.between
@@ -151,22 +219,24 @@ class Encoder:
             ids = np.array(list(chain.from_iterable(e.ids for e in found)), dtype=np.uint32)
             marks = ids == number
             ends = np.flatnonzero(marks)
-            if len(ends) == len(units):
+            if len(ends) == len(texts):
                 return ids[~marks], np.diff(ends, prepend=-1) - 1
         found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         return np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum())), lengths
 
-    def _learn(self, units: list[bytes]) -> None:
-        """Bring parts into the new generation, from the old one or by the library."""
-        have = self.old.slots
-        again = [u for u in units if u in have]
-        if again:
-            self.new.add(again, *self.old.ids(np.fromiter(map(have.__getitem__, again), dtype=np.int64, count=len(again))))
-            units = [u for u in units if u not in have]
+    def _learn(self, units: list[bytes]) -> np.ndarray:
+        """The numbers of parts that were not known, with their ids by the library."""
+        slot = np.empty(len(units), dtype=np.int64)
+        joins = self.closes is not None or self.sizes is not None
         for first in range(0, len(units), 20_000):
-            some = units[first : first + 20_000]
-            self.new.add(some, *self._by_library(some))
+            texts = [u.decode() for u in units[first : first + 20_000]]
+            follows = np.fromiter(map(bool, map(_FOLLOWS.fullmatch, texts)), dtype=bool, count=len(texts)) & joins
+            for which, by in ((np.flatnonzero(follows), self._joined), (np.flatnonzero(~follows), self._by_library)):
+                if len(which):
+                    some = [units[first + i] for i in which.tolist()]
+                    slot[first + which] = self.new.add(some, *by([texts[i] for i in which.tolist()]))
+        return slot
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other as unsigned 32-bit integers, n + 1 offsets); null counts as empty."""
@@ -175,13 +245,11 @@ class Encoder:
             coded, by_text = parts(some)
             units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
             if len(self.new.slots) > self.cache_parts:
-                self.new, self.old = _Known(), self.new
-            slots = self.new.slots
-            slot = np.fromiter(map(slots.get, units, repeat(-1)), dtype=np.int64, count=len(units))
-            unknown = np.flatnonzero(slot < 0)
-            missing = [units[i] for i in unknown.tolist()]
-            self._learn(missing)
-            slot[unknown] = np.fromiter(map(slots.__getitem__, missing), dtype=np.int64, count=len(missing))
+                self.new = self.new.only_met()
+            slot = np.fromiter(map(self.new.slots.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+            unknown = slot < 0
+            self.new.met[slot[~unknown]] = True
+            slot[unknown] = self._learn(list(compress(units, unknown.tolist())))
             ids, lengths = self.new.ids(slot[coded.indices.to_numpy(zero_copy_only=False)] if len(units) else slot)
             found.append(ids)
             offsets.append(np.concatenate([[0], np.cumsum(lengths)])[by_text][1:] + offsets[-1][-1])

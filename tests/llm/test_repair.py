@@ -109,3 +109,22 @@ def test_the_library_gets_many_parts_in_a_text(name):
             assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
         if some == [plain]:
             assert encoder.library.texts < len(encoder.new.slots) / 20
+
+
+def test_rare_pairs_are_not_sorted_every_round(monkeypatch):
+    # Most pairs are too rare to be replaced early.
+    rng, sizes = np.random.default_rng(2), []
+    ids = np.minimum(rng.zipf(1.3, 60_000), 5_000).astype(np.uint32)
+    counted = repair._pair_counts
+    monkeypatch.setattr(repair, "_pair_counts", lambda keys: sizes.append(len(keys)) or counted(keys))
+    grammar = repair.Grammar.from_bytes(repair.compress(ids, np.array([0, 25_000, 60_000])).to_bytes())
+    assert (grammar.expand(grammar.symbols) == ids).all()
+    assert sizes[0] == 59_998 and len(sizes) > 2 and sizes[1] < sizes[0] / 2
+
+
+def test_the_most_frequent_pair_may_be_far_below_the_last_threshold():
+    # One pair 4,000 times, then nothing above 20: less than an eighth of the 500 that were enough in the first round.
+    ids = np.concatenate([np.tile([1, 2], 4_000), np.tile(np.arange(10, 50), 20)]).astype(np.uint32)
+    grammar = repair.compress(ids, np.arange(0, len(ids) + 1, 2))
+    assert (grammar.expand(grammar.symbols) == ids).all()
+    assert len(grammar.symbols) == len(ids) // 2 and len(grammar.rules) == 21
