@@ -29,7 +29,7 @@ CAPACITY = 4096
 BLOCK_ROWS = 500
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 4 << 20
-CACHE_PARTS = 100_000
+CACHE_PARTS = 250_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"

@@ -163,3 +163,30 @@ def test_texts_go_to_workers_in_small_batches(spark, monkeypatch):
     assert packing.pack(docs, PATH).count() == 200
     assert seen[0] < 40_000 < sizes(docs)
     assert spark.conf.get(key) == before
+
+
+def test_words_go_to_the_library_once_and_without_marks(monkeypatch):
+    import pyarrow as pa
+
+    class Heard:
+        def __init__(self, library):
+            self.library, self.texts = library, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.library.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(packing, "CACHE_PARTS", 90)
+    monkeypatch.setattr(packing, "SLICE_BYTES", 1000)
+    encoder = packing.encoder(PATH, 90)
+    library = encoder.library
+    monkeypatch.setattr(encoder, "library", Heard(library))
+    often = " ".join(f"{a}{b}x" for a in "abcdefgh" for b in "abcdefgh")
+    texts = [f" {often} y{chr(97 + i)}z é{chr(97 + i)}" for i in range(26)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(26)), "text": texts})
+    got = [r for b in packing._piece_batches(iter([batch]), PATH, 1, 4096, False) for r in b.to_pylist()]
+    heard = encoder.library.texts
+    assert sum(t.count(" aax") for t in heard) == 1 and not any("<|" in t for t in heard)
+    for row, text in zip(got, texts, strict=True):
+        ids = library.encode(text, add_special_tokens=False).ids + [1]
+        assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
