@@ -20,7 +20,7 @@ def first_arrival(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``batch`` (unique on ``keys``) whose key is not stored yet.
+    """Rows of ``batch`` whose key is not stored yet.
 
     Written in two steps so that the large side is only ever probed: the
     stored keys are cut down to those in the batch (a small batch is broadcast

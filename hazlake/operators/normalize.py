@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hazlake import taxonomy as tx
@@ -32,27 +34,65 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *[c for c in df.columns if c == "_row"])
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, carried: list[str]) -> DataFrame:
     have = set(df.columns)
     computed = {"lake_id": lake_id(F.col("source_type"), F.col("record_id"))}
     return df.select(
+        *carried,
         *[
             computed.get(f.name, F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in LAKE.fields
-        ]
+        ],
     )
 
 
+def _is_record() -> Column:
+    return F.col("shape").isin(*SHAPES) & (F.length(F.col("rec.collected_at")) > 0)
+
+
 def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFrame:
     """Parsed lines (``shape``, ``rec``) of any shape to silver records, in one pass.
 
     Every field is one ``when`` over the record's shape, so the input is scanned
     and classified once. Unknown shapes and records without a date are dropped.
     """
-    shaped = parsed.filter(F.col("shape").isin(*SHAPES) & (F.length(F.col("rec.collected_at")) > 0))
+    return _normalized(parsed.filter(_is_record()), taxonomy, [])
+
+
+def with_records(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFrame:
+    """Parsed lines with their silver record in ``lake``, null where ``normalize`` drops the line; ``records`` reads it.
+
+    All lines stay. The text, which is the line's own, is not held twice; ``lake`` holds the record's marks instead.
+    """
+    named = _normalized(parsed.select("shape", "rec"), taxonomy, ["shape", "rec"])
+    marked = named.withColumns(marks())
+    kept = [name for name in (*LAKE.fieldNames(), *marks()) if name != "text"]
+    return marked.select("shape", "rec", F.when(_is_record(), F.struct(*kept)).alias("lake"))
+
+
+def records(staged: DataFrame) -> DataFrame:
+    """Silver records out of ``with_records``, with their marks and the line's number."""
+    text = F.when(F.col("shape") == "text", F.col("rec.text")).alias("text")
+    fields = [text if name == "text" else F.col(f"lake.{name}") for name in (*LAKE.fieldNames(), *marks())]
+    return staged.filter(_is_record()).select(*fields, *[c for c in staged.columns if c == "_row"])
+
+
+def marks() -> dict[str, Column]:
+    """Two hashes of a silver record: rows with the same pair are taken as equal.
+
+    The first settles which of equal arrivals is the first. As it passes over nulls and the bounds
+    of arrays, the second also goes over which fields are null, and over arrays as JSON.
+    """
+    arrays = [f.name for f in LAKE.fields if f.dataType.typeName() == "array"]
+    nulls = reduce(lambda a, b: a + b, [F.isnull(f.name).cast("int") * F.lit(1 << i) for i, f in enumerate(LAKE.fields)])
+    plain = [F.to_json(c) if c in arrays else F.col(c) for c in LAKE.fieldNames()]
+    return {"_hash": F.xxhash64(*LAKE.fieldNames()), "_mark": F.xxhash64(nulls, *plain)}
+
+
+def _normalized(shaped: DataFrame, taxonomy: tx.Taxonomy, carried: list[str]) -> DataFrame:
     # Plain columns from here on: struct fields do not survive pruning through a generator.
     flat = shaped.select(
-        "shape",
+        *dict.fromkeys(["shape", *carried]),
         *[F.col(f"rec.{f.name}").alias(f"in_{f.name}") for f in BRONZE_LINE.fields if f.name != "location"],
         *[F.col(f"rec.location.{name}").alias(f"in_place_{name}") for name in LOCATION.fieldNames()],
     )
@@ -94,6 +134,7 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
         return F.when(shape_test, r(f"in_{name}"))
 
     out = step.select(
+        *carried,
         source_type.alias("source_type"),
         F.when(weather, "openweathermap").when(media, "media_collector")
         .otherwise(_text(r("in_source_name"))).alias("source_name"),
@@ -125,7 +166,7 @@ def normalize(parsed: DataFrame, taxonomy: tx.Taxonomy = tx.DEFAULT) -> DataFram
         only(media, "local_path").alias("local_path"),
         only(media, "file_size_kb").alias("file_size_kb"),
     )
-    return _finish(out)
+    return _finish(out, carried)
 
 
 def ingest_counts(parsed: DataFrame, by_table: bool = False) -> DataFrame:

@@ -27,6 +27,8 @@ NUMBER = ("insert", "doc")
 INDEXED = ["text", "keywords_hit", "hazard_type", "location_name"]
 TOKEN_BUCKETS = 256
 PLACE_STEP = 1 << 32
+# A token's number in its record takes the lower half of its code.
+CODE = 1 << 32
 
 
 @dataclass(frozen=True)
@@ -171,35 +173,47 @@ def postings(lake: DataFrame, key: tuple[str, ...] = RECORD) -> DataFrame:
     """(bucket, token, lake_id, date_partition, freq, places, len): one row per token of a record.
 
     Another ``key``, such as a number, stands in place of the id and the date; it is written once per token. ``places`` are the token's positions, counted within each column, plus ``PLACE_STEP`` per column.
-    Runs are found inside the record before anything is exploded, by sorting its tokens, so
+    Equal tokens are brought together inside the record before anything is exploded, so
     building the table needs no shuffle.
     """
-    def placed(number: int, name: str) -> Column:
-        return F.transform(
-            tokens(_as_text(lake, name)), lambda t, i: F.struct(t.alias("token"), (F.lit(number * PLACE_STEP) + i).alias("place"))
+    cut = once(lake.select(*key, *INDEXED), {f"_t{k}": tokens(_as_text(lake, name)) for k, name in enumerate(INDEXED)})
+    columns = [f"_t{k}" for k in range(len(INDEXED))]
+    ends = {f"_e{k}": reduce(lambda a, b: a + b, [F.size(c) for c in columns[: k + 1]]) for k in range(len(INDEXED))}
+    joined = once(cut.select(*key, *columns), {"toks": F.concat(*columns), **ends}).drop(*columns)
+    joined = joined.withColumnRenamed(f"_e{len(INDEXED) - 1}", "len").filter("len > 0")
+
+    def number(i: Column) -> Column:
+        """The number of the token whose code stands at ``i``."""
+        return F.get("codes", i).bitwiseAND(F.lit(CODE - 1)).cast("int")
+
+    def starts() -> Column:
+        """Where the left neighbour is another token."""
+        return F.filter(
+            F.sequence(F.lit(0), F.col("len") - 1),
+            lambda i: (i == 0) | (F.get("toks", number(i)) != F.get("toks", number(i - 1))),
         )
 
-    toks = F.sort_array(F.concat(*[placed(k, name) for k, name in enumerate(INDEXED)]))
-    per_doc = once(lake.select(*key, *INDEXED), {"toks": toks}).drop(*INDEXED)
-    per_doc = per_doc.withColumn("len", F.size("toks"))
-    # In sorted tokens a run starts where the left neighbour differs.
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size("toks") - 1),
-        lambda i: (i == 0) | (F.get("toks", i)["token"] != F.get("toks", i - 1)["token"]),
-    )
-    runs = once(per_doc.filter("len > 0"), {"starts": starts})
-    pairs = F.transform(
-        "starts",
-        lambda s, k: F.struct(
-            F.get("toks", s)["token"].alias("token"),
-            F.transform(F.slice("toks", s + 1, F.coalesce(F.get("starts", k + 1), F.col("len")) - s), lambda t: t["place"]).alias("places"),
-        ),
-    )
-    exploded = runs.select(*key, "len", F.explode(pairs).alias("p"))
-    return exploded.select(
-        _bucket_of(F.col("p.token")).alias("bucket"), "p.token", *key,
-        F.size("p.places").alias("freq"), "p.places", "len",
+    def place(code: Column) -> Column:
+        at = code.bitwiseAND(F.lit(CODE - 1))
+        spot = F.when(at < F.col("_e0"), at)
+        for k in range(1, len(INDEXED) - 1):
+            spot = spot.when(at < F.col(f"_e{k}"), at + (F.lit(k * PLACE_STEP) - F.col(f"_e{k - 1}")))
+        return spot.otherwise(at + (F.lit((len(INDEXED) - 1) * PLACE_STEP) - F.col(f"_e{len(INDEXED) - 2}")))
+
+    # A code is a token's hash before its number in the record: codes sort faster than words. Where a run starts and
+    # the hash is that of the run before, two words share it; then the words themselves are sorted.
+    by_hash = F.transform("toks", lambda t, i: F.shiftleft(F.hash(t).cast("bigint"), 32).bitwiseOR(i.cast("bigint")))
+    by_word = F.sort_array(F.transform("toks", lambda t, i: F.struct(t.alias("t"), i.alias("i"))))
+    runs = once(once(joined, {"codes": F.sort_array(by_hash)}), {"starts": starts()})
+    shared = F.exists(
+        "starts", lambda s: (s > 0) & (F.shiftright(F.get("codes", s), 32) == F.shiftright(F.get("codes", s - 1), 32))
     )
+    runs = once(runs, {"shared": shared, "codes": F.when(shared, F.transform(by_word, lambda x: x["i"].cast("bigint"))).otherwise(F.col("codes"))})
+    runs = once(runs, {"starts": F.when(F.col("shared"), starts()).otherwise(F.col("starts")), "places": F.transform("codes", place)})
+    exploded = runs.select(*key, "len", "toks", "codes", "places", "starts", F.posexplode("starts").alias("k", "s"))
+    size = F.coalesce(F.get("starts", F.col("k") + 1), F.col("len")) - F.col("s")
+    found = exploded.select(*key, "len", F.get("toks", number(F.col("s"))).alias("token"), F.slice("places", F.col("s") + 1, size).alias("places"))
+    return found.select(_bucket_of(F.col("token")).alias("bucket"), "token", *key, F.size("places").alias("freq"), "places", "len")
 
 
 def in_buckets(posts: DataFrame) -> DataFrame:
@@ -213,6 +227,12 @@ def corpus_stats(lake: DataFrame) -> DataFrame:
     return lake.agg(F.count("*").alias("docs"), F.coalesce(F.sum(length), F.lit(0)).cast("bigint").alias("tokens"))
 
 
+def postings_stats(posts: DataFrame, docs: int) -> DataFrame:
+    """The row of ``corpus_stats`` for so many records, from all their postings: every token has one place."""
+    tokens = F.coalesce(F.sum(F.size("places")), F.lit(0)).cast("bigint")
+    return posts.agg(F.lit(docs).cast("bigint").alias("docs"), tokens.alias("tokens"))
+
+
 def _wanted_postings(posts: DataFrame, words: list[str], prefixes: list[str]) -> DataFrame:
     """Postings of the words and of all tokens with a prefix.
 

@@ -1,6 +1,7 @@
 """Streams over landed files, run to the end of what has landed."""
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,11 +13,17 @@ from hazlake.sources import bronze
 from hazlake.streaming import intake
 
 
-def _landed(spark: SparkSession, records: DataFrame, home: str, batches: int) -> DataFrame:
-    """Records landed as JSON line files, streamed in so many batches; rows are mixed over the files."""
-    path = f"{home}/landing"
-    lines = records.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    files = b.land(lines.hint("rebalance"), path, 6)
+def _landed(spark: SparkSession, records: DataFrame, home: str, batches: int, copies: int = 1) -> DataFrame:
+    """Records landed as JSON line files, ``copies`` times each, streamed in so many batches.
+
+    Files land in as many waves, one after the other. A hash deals rows and copies over the waves before
+    lines are made of them, so that every wave holds a mix of all and nothing is shuffled for it.
+    """
+    path, files = f"{home}/landing", 0
+    for wave in range(batches):
+        dealt = [records.filter(F.pmod(F.xxhash64("record_id", F.lit(copy)), F.lit(batches)) == wave) for copy in range(copies)]
+        lines = reduce(DataFrame.unionAll, dealt).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+        files += b.land(lines, f"{path}/{wave}", -(-6 // batches))
     return intake.stream_lines(spark, path, -(-files // batches))
 
 
@@ -45,7 +52,7 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """Every record lands twice, days of a month in any order, and the whole run is repeated; the store holds each once."""
     home = shared_dir(spark)
     records = b.doc_records(spark, folder).drop("doc_id")
-    lines = _landed(spark, records.unionAll(records), home, 2)
+    lines = _landed(spark, records, home, 2, copies=2)
     lake = Lake(spark, f"{home}/raw", f"{home}/lake", b.TERMS_WHOLE)
     for attempt in range(2):
         intake.start_store_sink(lines, lake, f"{home}/checkpoint{attempt}").awaitTermination()

@@ -46,11 +46,12 @@ class Lake:
         """Parsed lines to silver, the store, its index and the bronze tables; returns the counters."""
         with Scratch(self.spark) as scratch:
             # Lines are parsed once and records normalised and labelled once; everything below reads staged columns.
-            # They are staged by silver folder: this is the only time that whole rows are shuffled.
-            parsed = scratch.stage(_by_folder(parsed))
+            # They are staged by silver folder: this is the only time that whole rows are shuffled, and the only
+            # copy of them. What a merge or an insert writes is settled on keys and marks.
+            parsed = scratch.stage(_by_folder(norm.with_records(parsed, self.taxonomy)))
             counts = norm.ingest_counts(parsed, by_table=True).first().asDict()
             found = {shape: counts.pop(shape) for shape in norm.SHAPES}
-            records = scratch.stage(numbered(norm.normalize(parsed, self.taxonomy)))
+            records = norm.records(parsed)
             tables.write_silver(records, self.silver_dir, merge=merge)
             insert = tables.insert_new(records, self.store_dir, "lake_records")
             self._insert_bronze(parsed, found)
@@ -83,10 +84,15 @@ class Lake:
         Searches see an insert only once its ``corpus`` row is there, which is written last, so a job
         that dies half-way leaves nothing counted twice; indexing it again replaces what it left.
         """
-        named = F.lit(insert).alias("insert")
+        named, path = F.lit(insert).alias("insert"), f"{self.store_dir}/postings"
+        # Rows read without their numbers (``read_table``) cannot be looked up.
+        records = records if "doc" in records.columns else records.withColumn("doc", F.lit(None).cast("bigint"))
         posts = search.in_buckets(search.postings(records, ("doc",))).select("*", named)
-        tables.put(posts, f"{self.store_dir}/postings", "bucket", "insert")
-        tables.put(search.corpus_stats(records).select("*", named), f"{self.store_dir}/corpus", "insert")
+        tables.put(posts, path, "bucket", "insert")
+        # Tokens are counted where they were written, texts are not cut again for it.
+        written = tables.read_folders(self.spark, path, f"bucket=*/insert={insert}", DERIVED["postings"])
+        stats = search.postings_stats(written, records.count())
+        tables.put(stats.select("*", named), f"{self.store_dir}/corpus", "insert")
 
     def rebuild_index(self) -> None:
         """Replace the text index by a fresh one, for instance after rows were removed by hand."""
@@ -211,7 +217,7 @@ class Lake:
 def _by_folder(parsed: DataFrame) -> DataFrame:
     """Parsed lines with a number each, those of a date and a source side by side."""
     folder = {"_date": F.substring("rec.collected_at", 1, 10), "_source": F.lower("rec.source_type")}
-    named = parsed.select("shape", "rec").withColumns(folder)
+    named = parsed.select(*[c for c in ("shape", "rec", "lake") if c in parsed.columns]).withColumns(folder)
     return numbered(named.hint("rebalance", *map(F.col, folder)).drop(*folder))
 
 

@@ -8,6 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hazlake.operators.dedupe import first_arrival, new_rows, numbered, picked
+from hazlake.operators.normalize import marks
 from hazlake.operators.ranges import CELLS, cell_of
 from hazlake.schemas import KEYS, LAKE_COLUMNS, LAKE_ON_DISK, TABLES
 from hazlake.session import STAGED, Scratch, path_exists
@@ -76,37 +77,56 @@ def write_silver(records: DataFrame, path: str, merge: bool = False) -> None:
     """Replace the touched date/source folders.
 
     ``merge`` is for input that may be only part of a folder's records: stored
-    rows with other ids are kept. Folders in which the batch replaces no stored id only get files added, so
-    that a batch costs what it holds; of the others the rows to keep are staged first, because
+    rows with other ids are kept, and so are those of an id whose rows the batch brings again as they are,
+    each as often. Folders in which the batch replaces no stored id only get files added, so
+    that a batch costs what it changes; of the others the rows to keep are staged first, because
     a folder is never overwritten while it is being read. Records with a column ``_row`` are staged already
     and lie by folder. For others ``rebalance`` lets AQE split a folder that holds much of the data over several files and tasks.
     """
     spark = records.sparkSession
     folders = {"date": F.coalesce("date_partition", F.lit("")), "source": F.coalesce("source_type", F.lit(""))}
-    out = records.select(*LAKE_COLUMNS, *[value.alias(name) for name, value in folders.items()])
+    out = records.withColumns(folders)
     staged = ROW in records.columns
     if not staged:
         out = out.hint("rebalance", F.col("date"), F.col("source"))
     if not (merge and path_exists(spark, path)):
         _write_folders(out, path, "overwrite")
         return
+    at = ["lake_id", "date", "source"]
     with Scratch(spark) as scratch:
-        batch = out if staged else scratch.stage(out)
+        batch = out if staged else scratch.stage(numbered(_marked(out)))
+        narrow = scratch.stage(_marked(batch).select(*at, *marks(), ROW))
         # The folders the batch touches, as literals: the stored side then lists and reads no other folder.
-        touched = batch.select("date", "source").distinct()
-        stored = _named_folders(read_silver(spark, path).select("lake_id", "date", "source"), touched)
-        ids = batch.select("lake_id", "date", "source").distinct()
-        hit = scratch.stage(stored.join(ids, ["lake_id", "date", "source"], "left_semi").select("date", "source").distinct())
+        stored = _named_folders(read_silver(spark, path), narrow.select("date", "source").distinct())
+        hit = scratch.stage(stored.select(*at).join(narrow.select(*at), at, "left_semi").select("date", "source").distinct())
         if hit.isEmpty():
             _write_folders(batch, path, "append")
             return
-        _write_folders(_outside(batch, hit), path, "append")
-        # Where a stored row lies is short; only that is shuffled to find the rows to leave out.
+        # Where a stored row lies and its marks are short; only that is shuffled to find the rows to leave out.
         placed = read_silver(spark, path).withColumns({"file": F.col("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
         stored = _inside(_named_folders(placed, hit), hit)
-        gone = stored.select("lake_id", "date", "source", "file", ROW).join(ids, ["lake_id", "date", "source"], "left_semi")
-        kept = scratch.stage(picked(stored, gone, ["file"], keep=False).select(*batch.columns))
-        _write_folders(kept.unionByName(_inside(batch, hit)), path, "overwrite")
+        held = scratch.stage(_marked(stored).select(*at, *marks(), "file", ROW))
+        other = scratch.stage(narrow.join(_unchanged(narrow, held, at), at, "left_anti").select(*at, ROW))
+        if other.isEmpty():
+            return
+        new = picked(batch, other, [])
+        gone = scratch.stage(held.join(other.select(*at), at, "left_semi").select("date", "source", "file", ROW))
+        replaced = scratch.stage(gone.select("date", "source").distinct())
+        _write_folders(_outside(new, replaced), path, "append")
+        if not replaced.isEmpty():
+            kept = scratch.stage(picked(_inside(stored, replaced), gone, ["file"], keep=False).select(*LAKE_COLUMNS, "date", "source"))
+            _write_folders(kept.unionByName(_inside(new, replaced).select(*kept.columns)), path, "overwrite")
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    return rows if set(marks()) <= set(rows.columns) else rows.withColumns(marks())
+
+
+def _unchanged(batch: DataFrame, held: DataFrame, at: list[str]) -> DataFrame:
+    """The ids (with their folder) whose rows in ``batch`` are those of ``held``, each as often."""
+    both = batch.select(*at, *marks(), F.lit(1).alias("n")).unionAll(held.select(*at, *marks(), F.lit(-1).alias("n")))
+    rows = both.groupBy(*at, *marks()).agg(F.sum("n").alias("more"))
+    return rows.groupBy(*at).agg(F.bool_and(F.col("more") == 0).alias("same")).filter("same").select(*at)
 
 
 def _named_folders(stored: DataFrame, folders: DataFrame) -> DataFrame:
@@ -130,7 +150,7 @@ def _outside(rows: DataFrame, folders: DataFrame) -> DataFrame:
 
 def _write_folders(out: DataFrame, path: str, mode: str) -> None:
     (
-        out.write.mode(mode)
+        out.select(*LAKE_COLUMNS, "date", "source").write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy("date", "source")
@@ -229,11 +249,15 @@ def read_numbers(spark: SparkSession, store_dir: str) -> DataFrame:
 
 def read_insert(spark: SparkSession, store_dir: str, table: str, insert: str) -> DataFrame:
     """The rows of one insert; no other insert's folder is listed."""
-    path, schema = table_path(store_dir, table), _disk_schema(table)
-    found = _paths(spark, [f"{path}/date=*/insert={insert}"])
+    return read_folders(spark, table_path(store_dir, table), f"date=*/insert={insert}", _disk_schema(table)).drop("insert")
+
+
+def read_folders(spark: SparkSession, path: str, pattern: str, schema: T.StructType) -> DataFrame:
+    """The rows below ``path`` in folders of a pattern; no other folder is listed."""
+    found = _paths(spark, [f"{path}/{pattern}"])
     if not found:
-        return spark.createDataFrame([], schema).drop("insert")
-    return spark.read.schema(schema).option("basePath", path).parquet(*found).drop("insert")
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
 
 
 def put(df: DataFrame, path: str, *folders: str) -> None:
@@ -242,7 +266,7 @@ def put(df: DataFrame, path: str, *folders: str) -> None:
     Spark then gathers a job's files in a folder of the job's own, so that writers at the
     same time do not disturb each other, and a repeated write replaces itself.
     """
-    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", STAGED)
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**STAGED)
     out.partitionBy(*folders).parquet(path)
 
 
@@ -293,25 +317,29 @@ def insert_new(batch: DataFrame, store_dir: str, table: str) -> str:
     """Append rows with new keys; returns the id of the insert.
 
     What is stored already is looked up in the key table, in the batch's buckets alone, so an insert
-    costs what its batch costs. Which rows are new is found on keys and times; whole rows are shuffled once,
+    costs what its batch costs; of rows with stored keys nothing but the keys is read. Which of the others come first is found on keys and times; whole rows are shuffled once,
     by date, when the batch is staged, and not at all if it is staged already (column ``_row``). Inserts whose job died before it wrote their keys are given theirs first.
     Inserts at the same time break nothing, but may both store a key that is new to both.
     """
     spark = batch.sparkSession
     fields = TABLES[table].fields
-    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], *[c for c in batch.columns if c == ROW])
+    carried = [c for c in batch.columns if c in (ROW, "_hash")]
+    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields], *carried)
     for left in pending(spark, store_dir, table, f"keys-{table}"):
         write_keys(spark, store_dir, table, left)
     with Scratch(spark) as scratch:
         if ROW not in typed.columns:
             typed = scratch.stage(numbered(typed.hint("rebalance", F.col("date_partition"))))
-        narrow = typed.select(
-            *KEYS[table], "date_partition", *[c for c in ("collected_at",) if c not in KEYS[table]],
-            F.xxhash64(*[f.name for f in fields]).alias("_hash"), ROW,
+        keys = scratch.stage(typed.select(*KEYS[table], ROW))
+        new = scratch.stage(new_rows(keys, stored_keys(keys, store_dir, table), KEYS[table]).select(ROW))
+        if new.isEmpty():
+            return uuid.uuid4().hex
+        row_hash = F.col("_hash") if "_hash" in carried else F.xxhash64(*[f.name for f in fields]).alias("_hash")
+        narrow = picked(typed, new, []).select(
+            *KEYS[table], "date_partition", *[c for c in ("collected_at",) if c not in KEYS[table]], row_hash, ROW,
         )
         firsts = first_arrival(narrow, KEYS[table], [F.col("date_partition"), F.col("collected_at"), F.col("_hash")])
-        new = new_rows(firsts, stored_keys(typed, store_dir, table), KEYS[table])
-        return _append(picked(typed, new, []).drop(ROW), store_dir, table)
+        return _append(picked(typed, firsts, []).drop(ROW, "_hash"), store_dir, table)
 
 
 def _append(fresh: DataFrame, store_dir: str, table: str) -> str:
